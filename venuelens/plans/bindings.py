@@ -429,3 +429,193 @@ def q_rolling_gap(spark, d):
 )
 def q_gap_labels(spark, d):
     return vq.gap_labels(_gaps(spark, d))
+
+
+# --------------------------------------------------------------------------------------------
+# curation building blocks
+# --------------------------------------------------------------------------------------------
+from ..functions.dates import stamp_in_window  # noqa: E402
+from ..functions.sampling import hash_keep  # noqa: E402
+from ..operators import curation as cur  # noqa: E402
+from ..operators.joins import enrich_with_defaults  # noqa: E402
+from ..operators.ranking import percent_rank_by_histogram, top_groups  # noqa: E402
+from .curate import CurationParams, curate_facts  # noqa: E402
+
+# Sample settings of the bindings: 40 % of customers (salt 42), 20 % of orders (salt 43).
+ENTITY_FRACTION, ENTITY_SALT = 0.40, 42
+FACT_FRACTION, FACT_SALT = 0.20, 43
+BIND_PARAMS = CurationParams(
+    year_min=1996, year_max=1999, user_fraction=ENTITY_FRACTION, review_fraction=FACT_FRACTION,
+    seed=ENTITY_SALT, review_salt=FACT_SALT,
+)
+
+
+def _hash_sql(expr: str, salt: int, fraction: float) -> str:
+    from ..functions.sampling import hash_threshold
+
+    return f"substr(md5(concat('{salt}|', CAST({expr} AS VARCHAR))), 1, 8) < '{hash_threshold(fraction)}'"
+
+
+_SAMPLED_CUSTOMERS_SQL = f"SELECT * FROM customer WHERE {_hash_sql('c_custkey', ENTITY_SALT, ENTITY_FRACTION)}"
+
+
+@register("trim_columns", "SELECT * EXCLUDE (l_tax, l_returnflag) FROM lineitem")
+def q_trim_columns(spark, d):
+    return cur.trim_columns(table(spark, d, "lineitem"), drop=["l_tax", "no_such_column"], drop_prefix="l_return")
+
+
+@register(
+    "year_window",
+    "SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '2000-01-01'",
+)
+def q_year_window(spark, d):
+    return cur.year_window(table(spark, d, "orders"), "o_orderdate", 1996, 1999)
+
+
+@register(
+    "year_window_text",
+    """
+SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate FROM orders
+WHERE regexp_full_match(substr(strftime(o_orderdate, '%Y-%m-%d'), 1, 4), '[0-9]{4}')
+  AND CAST(substr(strftime(o_orderdate, '%Y-%m-%d'), 1, 4) AS INTEGER) BETWEEN 1996 AND 1999
+""",
+)
+def q_year_window_text(spark, d):
+    o = table(spark, d, "orders").select(
+        "o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate")
+    )
+    return cur.year_window(o, "o_orderdate", 1996, 1999)
+
+
+@register("sample_entities", _SAMPLED_CUSTOMERS_SQL)
+def q_sample_entities(spark, d):
+    return cur.sample_entities(table(spark, d, "customer"), "c_custkey", ENTITY_FRACTION, ENTITY_SALT)
+
+
+@register("sample_facts", f"SELECT * FROM orders WHERE {_hash_sql('o_orderkey', FACT_SALT, FACT_FRACTION)}")
+def q_sample_facts(spark, d):
+    return cur.sample_facts(table(spark, d, "orders"), "o_orderkey", FACT_FRACTION, FACT_SALT)
+
+
+@register(
+    "cascade_semi",
+    f"SELECT * FROM orders WHERE o_custkey IN (SELECT c_custkey FROM ({_SAMPLED_CUSTOMERS_SQL}))",
+)
+def q_cascade_semi(spark, d):
+    sampled = cur.sample_entities(table(spark, d, "customer"), "c_custkey", ENTITY_FRACTION, ENTITY_SALT)
+    return cur.cascade_semi(
+        table(spark, d, "orders"), sampled, "o_custkey", "c_custkey",
+        prefilter=hash_keep("o_custkey", ENTITY_FRACTION, ENTITY_SALT),
+    )
+
+
+@register(
+    "curate",
+    f"""
+SELECT * FROM orders
+WHERE o_custkey IN (SELECT c_custkey FROM ({_SAMPLED_CUSTOMERS_SQL}))
+  AND o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '2000-01-01'
+  AND {_hash_sql('o_orderkey', FACT_SALT, FACT_FRACTION)}
+""",
+)
+def q_curate(spark, d):
+    sampled = cur.sample_entities(table(spark, d, "customer"), "c_custkey", ENTITY_FRACTION, ENTITY_SALT)
+    return curate_facts(
+        table(spark, d, "orders"), sampled, "o_custkey", "c_custkey", "o_orderdate", BIND_PARAMS, "o_orderkey"
+    )
+
+
+# Packed visits: one text per (user, block of 256 event ids), stamps sorted, ", "-joined.
+_PACKED_SQL = """
+p AS (
+  SELECT user_id AS business_id, CAST(floor(event_id / 256) AS BIGINT) AS block,
+         string_agg(strftime(ts, '%Y-%m-%d %H:%M:%S'), ', ' ORDER BY strftime(ts, '%Y-%m-%d %H:%M:%S')) AS date
+  FROM events GROUP BY user_id, floor(event_id / 256))
+"""
+
+
+def _packed(spark, d):
+    ev = table(spark, d, "events").select(F.col("user_id").alias("business_id"), "event_id", "ts")
+    return cur.pack_stamps(ev, "business_id", "ts", out="date", block_col="event_id", block_size=256)
+
+
+@register(
+    "packed_filter",
+    "WITH "
+    + _PACKED_SQL
+    + """,
+k AS (
+  SELECT business_id, block,
+         list_filter(list_transform(string_split(date, ','), lambda x: trim(x)),
+                     lambda x: try_strptime(x, '%Y-%m-%d %H:%M:%S') >= TIMESTAMP '2024-01-10 00:00:00'
+                           AND try_strptime(x, '%Y-%m-%d %H:%M:%S') < TIMESTAMP '2024-01-10 06:00:00') AS kept
+  FROM p)
+SELECT business_id, block, array_to_string(kept, ', ') AS date FROM k WHERE len(kept) > 0
+""",
+)
+def q_packed_filter(spark, d):
+    return cur.packed_filter(
+        _packed(spark, d), "date", keep=lambda s: stamp_in_window(s, "2024-01-10 00:00:00", "2024-01-10 06:00:00")
+    )
+
+
+@register(
+    "expand_visits",
+    "SELECT user_id AS business_id, CAST(date_trunc('second', ts) AS TIMESTAMP) AS checkin_ts FROM events",
+)
+def q_expand_visits(spark, d):
+    return cur.expand_visits(_packed(spark, d), "business_id", "date", "checkin_ts")
+
+
+@register(
+    "explode_categories",
+    "SELECT business_id, TRIM(cat) AS category FROM ("
+    "SELECT p_partkey AS business_id, unnest(string_split(p_name, ' ')) AS cat FROM part WHERE p_name IS NOT NULL)",
+)
+def q_explode_categories(spark, d):
+    return vq.explode_categories(part_venues(spark, d).filter(F.col("categories").isNotNull()), sep=" ")
+
+
+@register(
+    "enrich_defaults",
+    """
+WITH ec AS (SELECT user_id, COUNT(*) AS total_checkins FROM events GROUP BY user_id)
+SELECT c.c_custkey AS user_id, c.c_name AS name, COALESCE(ec.total_checkins, 0) AS total_checkins
+FROM customer c LEFT JOIN ec ON c.c_custkey = ec.user_id
+""",
+)
+def q_enrich_defaults(spark, d):
+    users = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"))
+    counts = table(spark, d, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("total_checkins"))
+    return enrich_with_defaults(users, counts, ["user_id"], {"total_checkins": 0})
+
+
+@register(
+    "percent_rank_groups",
+    """
+SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity,
+       PERCENT_RANK() OVER (PARTITION BY l_suppkey ORDER BY l_quantity) AS quantity_pct_rank
+FROM lineitem
+""",
+)
+def q_percent_rank_groups(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
+    return percent_rank_by_histogram(li, ["l_suppkey"], "l_quantity", "quantity_pct_rank")
+
+
+@register(
+    "top_groups",
+    """
+SELECT c.c_nationkey AS nation, COUNT(*) AS total FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+GROUP BY c.c_nationkey ORDER BY total DESC, nation LIMIT 5
+""",
+)
+def q_top_groups(spark, d):
+    o = table(spark, d, "orders").select("o_custkey")
+    c = table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"))
+    per_nation = o.join(c, o.o_custkey == c.c_custkey).select("nation", F.lit(1).alias("one"))
+    return top_groups(per_nation, "nation", "one", 5).withColumn("total", F.col("total").cast("bigint"))
+
+
+# Keys of the I/O, report and segmentation bindings register themselves on import.
+from . import bindings_io, bindings_ml  # noqa: E402,F401
