@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 _RANKERS = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}
 
 
@@ -29,7 +31,11 @@ def top_per_group(
 
 
 def percent_rank_by_histogram(
-    df: DataFrame, group: Sequence[str], value: str, out: str
+    df: DataFrame,
+    group: Sequence[str],
+    value: str,
+    out: str,
+    broadcast_rows: int | None = 500_000,
 ) -> DataFrame:
     """``percent_rank() OVER (PARTITION BY group ORDER BY value)`` without windowing the rows.
 
@@ -37,6 +43,11 @@ def percent_rank_by_histogram(
     distinct values only (smaller values first, NULL first as in Spark's ascending order), and
     join the rank back on (group, value) with a NULL-safe key. Result: (rows below) / (n - 1),
     0 for a single-row group - the same double as the built-in.
+
+    The rank table is checkpointed and its actual row count checked: up to ``broadcast_rows``
+    it is broadcast, so the rows are joined where they are read and never shuffled; beyond that
+    the join falls back to a shuffle (with AQE skew splitting for a hot (group, value)).
+    ``broadcast_rows=None`` skips the check and leaves the strategy to the planner.
     """
     g = list(group)
     hist = df.groupBy(*g, value).agg(F.count(F.lit(1)).alias("__c"))
@@ -52,6 +63,10 @@ def percent_rank_by_histogram(
         F.col(value).alias("__v"),
         pr.alias(out),
     )
+    if broadcast_rows is not None:
+        ranks = materialize(ranks)
+        if ranks.count() <= broadcast_rows:
+            ranks = F.broadcast(ranks)
     cond = [df[c].eqNullSafe(ranks[f"__g_{i}"]) for i, c in enumerate(g)]
     cond.append(df[value].eqNullSafe(ranks["__v"]))
     joined = df.join(ranks, cond, "inner")

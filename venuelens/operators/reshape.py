@@ -20,24 +20,17 @@ def pivot_matrix(
 ) -> DataFrame:
     """Row x column matrix of mean ``value``; columns are ``column`` cast to int.
 
-    The column list is explicit, so the pivot needs no extra distinct job. Text that is not an
-    integer becomes NULL and falls out. Rows are limited to the ``top_rows`` rows with the
-    largest total ``weight`` (ties broken by row key) and returned sorted by row key.
+    One aggregation: a conditional mean per listed column value (an explicit list, so no
+    distinct job) and the row's total ``weight`` side by side. Text that is not an integer
+    becomes NULL and falls out. Rows are limited to the ``top_rows`` rows with the largest total
+    ``weight`` (ties broken by row key) and returned sorted by row key.
     """
     cells = df.withColumn("__col", F.col(column).try_cast("int")).filter(F.col("__col").isNotNull())
-    mat = cells.groupBy(row).pivot("__col", list(column_values)).agg(F.avg(value))
-    for v in column_values:
-        mat = mat.withColumnRenamed(str(v), f"{prefix}{v}")
+    aggs = [F.avg(F.when(F.col("__col") == v, F.col(value))).alias(f"{prefix}{v}") for v in column_values]
+    mat = cells.groupBy(row).agg(*aggs, F.sum(weight).alias("__w"))
     if top_rows is not None:
-        tops = (
-            cells.groupBy(row)
-            .agg(F.sum(weight).alias("__w"))
-            .orderBy(F.col("__w").desc(), F.col(row).asc())
-            .limit(top_rows)
-            .select(row)
-        )
-        mat = mat.join(F.broadcast(tops), row, "left_semi")
-    return mat.orderBy(row)
+        mat = mat.orderBy(F.col("__w").desc(), F.col(row).asc()).limit(top_rows)
+    return mat.drop("__w").orderBy(row)
 
 
 def bubble_scale(

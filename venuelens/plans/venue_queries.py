@@ -28,6 +28,7 @@ from ..functions.lists import split_trim
 from ..functions.stats import mean_from_moments, merge_moments, moments, pop_stddev_from_moments
 from ..operators.ranking import percent_rank_by_histogram, rows_of_top_groups, top_per_group
 from ..operators.reshape import bubble_scale, group_means, pivot_matrix
+from ..session import materialize
 
 # The four cities of the day-part question.
 DAYPART_CITIES = ("Philadelphia", "Tampa", "Tucson", "Nashville")
@@ -289,8 +290,12 @@ def yoy_change(reviews: DataFrame, venues: DataFrame, group: str = "state") -> D
 
 
 def yoy_top_groups(yoy: DataFrame, k: int = 5, group: str = "state") -> DataFrame:
-    """Rows of the ``k`` groups with the most reviews overall (the chart's lines)."""
-    return rows_of_top_groups(yoy, group, "reviews", k)
+    """Rows of the ``k`` groups with the most reviews overall (the chart's lines).
+
+    The yearly frame (groups x years) is checkpointed first: both the ranking of groups and the
+    returned rows read it, so the review facts behind it are scanned once.
+    """
+    return rows_of_top_groups(materialize(yoy), group, "reviews", k)
 
 
 # --------------------------------------------------------------------------------------------
@@ -305,6 +310,7 @@ def traffic_vs_rating(
     traffic_at_least: float = 0.90,
     rating_at_most: float = 0.25,
     top_k: int = 30,
+    materialize_venues: bool = True,
 ) -> DataFrame:
     """Busy but poorly rated venues: within each group, traffic percent rank >= 0.90 and
     rating percent rank <= 0.25 among venues with visits and >= ``min_reviews`` reviews.
@@ -330,6 +336,10 @@ def traffic_vs_rating(
         )
         .filter((F.col("total_checkins") > 0) & (F.col("total_reviews") >= min_reviews))
     )
+    # One row per venue feeding the rows and both histograms: checkpoint it so the visit and
+    # review facts are scanned once, not once per branch.
+    if materialize_venues:
+        combined = materialize(combined)
     ranked = percent_rank_by_histogram(combined, [group], "total_checkins", "__tpr")
     ranked = percent_rank_by_histogram(ranked, [group], "avg_review_stars", "__rpr")
     out = ranked.select(

@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str | None:
@@ -69,3 +69,14 @@ def local_session(cores: int | str = 8, app: str = "venuelens", memory: str = "8
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back (cuts lineage).
+
+    Used where a derived frame feeds several branches of one plan, so the facts behind it are
+    scanned once instead of once per branch. The checkpoint survives executor loss.
+    """
+    if checkpoint_root(df.sparkSession) is None:
+        raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder to checkpoint into")
+    return df.checkpoint(eager=True)
