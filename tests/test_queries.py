@@ -166,3 +166,24 @@ def test_yoy_edges(spark):
     venues = spark.createDataFrame([("b", "S")], "business_id string, state string")
     got = sorted((r.yr, r.yoy_pct_change) for r in vq.yoy_change(reviews, venues).collect())
     assert got == [(2018, None), (2020, 50.0)]
+
+
+def test_calendar_periods(spark):
+    """Months 1, 2, 4 with means 4, 2, 3: observed rows give 3.0 at month 4, calendar months 2.5."""
+    rows = [("b", "x", f"2020-0{m}-10 00:00:00", s, f"r{m}{i}") for m, s in ((1, 4.0), (2, 2.0), (4, 3.0)) for i in range(5)]
+    reviews = spark.createDataFrame(rows, "business_id string, name string, date string, stars double, review_id string")
+    venues = spark.createDataFrame([("b", "x", "S")], "business_id string, name string, state string")
+    obs = {str(r.review_month)[:7]: r.rolling_avg_rating for r in vq.rolling_gap(reviews, venues).collect()}
+    cal = {str(r.review_month)[:7]: r.rolling_avg_rating for r in vq.rolling_gap(reviews, venues, calendar=True).collect()}
+    assert obs["2020-04"] == 3.0 and cal["2020-04"] == 2.5 and cal["2020-02"] == 3.0
+    yrows = [(f"r{y}{i}", "b", f"{y}-05-01") for y, n in ((2018, 10), (2020, 15)) for i in range(n)]
+    yrev = spark.createDataFrame(yrows, "review_id string, business_id string, date string")
+    got = sorted((r.yr, r.yoy_pct_change) for r in vq.yoy_change(yrev, venues, calendar=True).collect())
+    assert got == [(2018, None), (2020, None)]
+
+
+def test_merge_by_id(spark, views):
+    by_id = vq.daypart_leaders(views["checkins"], views["business"], by="business_id")
+    assert "business_id" in by_id.columns and by_id.count() > 0
+    leaders = vq.category_leaders(views["reviews"], views["business"], min_reviews=5, by="business_id")
+    assert "business_id" in leaders.columns and leaders.count() > 0

@@ -229,3 +229,24 @@ def q_size_delta(spark, d):
     before = layer_report(spark, {"lineitem": f"{base}/raw/lineitem"}, fmt="json")
     after = layer_report(spark, {"lineitem": f"{base}/trimmed/lineitem"}, fmt="json")
     return size_delta(before, after)
+
+
+@register("curate_stream", ORACLE_SQL["curate"])
+def q_curate_stream(spark, d):
+    """The order curation run incrementally over JSON-lines files arriving in two batches."""
+    from ..streaming import append_to_layer, stream_files
+
+    src = shared_path(spark, "bind", "curate_stream", "src")
+    out = shared_path(spark, "bind", "curate_stream", "out")
+    ckpt = shared_path(spark, "bind", "curate_stream", "ckpt")
+    orders = table(spark, d, "orders")
+    keys = cur.sample_entities(table(spark, d, "customer"), "c_custkey", ENTITY_FRACTION, ENTITY_SALT)
+
+    def transform(stream):
+        return curate_facts(stream, keys, "o_custkey", "c_custkey", "o_orderdate", BIND_PARAMS, "o_orderkey")
+
+    for i, batch in enumerate((orders.filter("o_orderstatus = 'F'"), orders.filter("o_orderstatus <> 'F'"))):
+        write_layer(batch, f"{src}/arrival={i}", fmt="json")
+        q = append_to_layer(spark, stream_files(spark, f"{src}/*", ORDERS, transform), out, ckpt)
+        q.awaitTermination()
+    return spark.read.parquet(out)

@@ -274,8 +274,13 @@ def reviewer_influence(
 # --------------------------------------------------------------------------------------------
 # Q7 year-over-year change
 # --------------------------------------------------------------------------------------------
-def yoy_change(reviews: DataFrame, venues: DataFrame, group: str = "state") -> DataFrame:
-    """Reviews per (group, year) and % change on the previous *present* year (NULL first)."""
+def yoy_change(
+    reviews: DataFrame, venues: DataFrame, group: str = "state", calendar: bool = False
+) -> DataFrame:
+    """Reviews per (group, year) and % change on the previous *present* year (NULL first).
+
+    ``calendar=True`` compares with year - 1 only (a RANGE frame): NULL when that year is absent.
+    """
     yr = F.year(as_timestamp(reviews, "date"))
     per_venue = reviews.groupBy("business_id", yr.alias("yr")).agg(F.count(F.lit(1)).alias("__n"))
     yearly = (
@@ -283,7 +288,8 @@ def yoy_change(reviews: DataFrame, venues: DataFrame, group: str = "state") -> D
         .groupBy(group, "yr")
         .agg(F.sum("__n").cast("bigint").alias("reviews"))
     )
-    prev = F.lag("reviews").over(Window.partitionBy(group).orderBy("yr"))
+    w = Window.partitionBy(group).orderBy("yr")
+    prev = F.max("reviews").over(w.rangeBetween(-1, -1)) if calendar else F.lag("reviews").over(w)
     return yearly.withColumn(
         "yoy_pct_change", F.round(F.try_divide(F.col("reviews") - prev, prev) * 100, 1)
     ).select(group, "yr", "reviews", "yoy_pct_change")
@@ -367,10 +373,15 @@ def rolling_gap(
     window_months: int = 3,
     min_reviews: int = 5,
     top_k: int = 15,
+    calendar: bool = False,
 ) -> DataFrame:
     """Monthly mean rating against its own moving mean over the last ``window_months``
     *observed* months; months with fewer than ``min_reviews`` reviews feed the moving mean but
-    are not reported; the ``k`` lowest (rounded) gaps."""
+    are not reported; the ``k`` lowest (rounded) gaps.
+
+    ``calendar=True`` averages over the last ``window_months`` calendar months instead (a RANGE
+    frame on a month number), so a gap in the history shortens the window.
+    """
     month = month_start(as_timestamp(reviews, "date"))
     monthly = reviews.groupBy("business_id", month.alias("review_month")).agg(
         F.count("review_id").alias("__cnt"), F.sum("stars").alias("__s"), F.count("stars").alias("__ns")
@@ -378,7 +389,11 @@ def rolling_gap(
     monthly = monthly.join(venues.select("business_id", "name"), "business_id").withColumn(
         "__avg", F.try_divide(F.col("__s"), F.col("__ns"))
     )
-    w = Window.partitionBy("business_id").orderBy("review_month").rowsBetween(-(window_months - 1), 0)
+    if calendar:
+        month_no = F.year("review_month") * 12 + F.month("review_month")
+        w = Window.partitionBy("business_id").orderBy(month_no).rangeBetween(-(window_months - 1), 0)
+    else:
+        w = Window.partitionBy("business_id").orderBy("review_month").rowsBetween(-(window_months - 1), 0)
     rolled = monthly.withColumn("__roll", F.avg("__avg").over(w))
     out = rolled.filter(F.col("__cnt") >= min_reviews).select(
         "business_id",
