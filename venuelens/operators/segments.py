@@ -15,15 +15,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def standardize(df: DataFrame, features: Sequence[str], suffix: str = "_z") -> DataFrame:
+def feature_stats(df: DataFrame, features: Sequence[str]) -> dict:
+    """Row count, mean and population deviation per feature: one aggregate row."""
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    for f in features:
+        aggs += [F.avg(f).alias(f"m_{f}"), F.stddev_pop(f).alias(f"s_{f}")]
+    return df.agg(*aggs).first().asDict()
+
+
+def standardize(
+    df: DataFrame, features: Sequence[str], suffix: str = "_z", stats: dict | None = None
+) -> DataFrame:
     """Centre to mean 0 and scale to population deviation 1; a constant feature becomes 0.
 
     The per-feature mean and deviation are one aggregate row, read back as literals.
     """
-    aggs = []
-    for f in features:
-        aggs += [F.avg(f).alias(f"m_{f}"), F.stddev_pop(f).alias(f"s_{f}")]
-    stats = df.agg(*aggs).first()
+    stats = stats or feature_stats(df, features)
     out = df
     for f in features:
         m, s = stats[f"m_{f}"], stats[f"s_{f}"]
@@ -33,6 +40,13 @@ def standardize(df: DataFrame, features: Sequence[str], suffix: str = "_z") -> D
     return out
 
 
+def partitions_for(spark, rows: int, rows_per_partition: int = 500_000) -> int:
+    """Partitions for an iterative fit: enough for ``rows_per_partition`` rows each, at most the
+    cluster's default parallelism, at least one."""
+    cap = max(1, spark.sparkContext.defaultParallelism)
+    return max(1, min(cap, -(-rows // rows_per_partition)))
+
+
 def _fixed_layout(df: DataFrame, key: str, partitions: int) -> DataFrame:
     """Same rows in the same partitions and order for any input layout (stable k-means starts)."""
     return df.repartition(partitions, key).sortWithinPartitions(key)
@@ -46,7 +60,7 @@ def fit_segments(
     seeds: Sequence[int] = tuple(range(42, 52)),
     max_iter: int = 20,
     partitions: int = 8,
-    concurrency: int = 4,
+    concurrency: int = 10,
 ) -> tuple[KMeansModel, list[int]]:
     """Best of several k-means starts (lowest within-cluster cost).
 

@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import enrich_with_defaults
 from ..operators.reshape import group_means
-from ..operators.segments import assign_segments, centroid_frame, fit_segments, standardize
+from ..operators.segments import (
+    assign_segments,
+    centroid_frame,
+    feature_stats,
+    fit_segments,
+    partitions_for,
+    standardize,
+)
+from ..session import materialize
 
 FEATURES = ("stars", "review_count", "total_checkins")
 
@@ -27,12 +35,19 @@ def segment_entities(
     features: DataFrame,
     k: int = 4,
     seeds: Sequence[int] = tuple(range(42, 52)),
-    partitions: int = 8,
+    partitions: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(venues with ``segment``, centroids in standardised units)."""
-    z = standardize(features, FEATURES)
+    """(venues with ``segment``, centroids in standardised units).
+
+    The feature rows (one per venue) feed the statistics, every k-means start and the final
+    assignment, so they are checkpointed once instead of being recomputed from the facts.
+    """
+    features = materialize(features)
+    stats = feature_stats(features, FEATURES)
+    z = standardize(features, FEATURES, stats=stats)
     zcols = [f + "_z" for f in FEATURES]
-    model, relabel = fit_segments(z, zcols, "business_id", k=k, seeds=seeds, partitions=partitions)
+    parts = partitions or partitions_for(features.sparkSession, int(stats["__n"]))
+    model, relabel = fit_segments(z, zcols, "business_id", k=k, seeds=seeds, partitions=parts)
     assigned = assign_segments(z, model, relabel, zcols).drop(*zcols)
     return assigned, centroid_frame(features.sparkSession, model, relabel, zcols)
 
