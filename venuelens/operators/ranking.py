@@ -30,47 +30,68 @@ def top_per_group(
     return ranked.filter(F.col(name) <= k)
 
 
-def percent_rank_by_histogram(
+def percent_ranks_by_histogram(
     df: DataFrame,
     group: Sequence[str],
-    value: str,
-    out: str,
+    values: Sequence[str],
+    outs: Sequence[str],
     broadcast_rows: int | None = 500_000,
 ) -> DataFrame:
-    """``percent_rank() OVER (PARTITION BY group ORDER BY value)`` without windowing the rows.
+    """``percent_rank() OVER (PARTITION BY group ORDER BY v)`` for each ``v`` in ``values``,
+    without windowing the rows.
 
-    Count rows per (group, value) with map-side partial aggregation, run the window over the
-    distinct values only (smaller values first, NULL first as in Spark's ascending order), and
-    join the rank back on (group, value) with a NULL-safe key. Result: (rows below) / (n - 1),
-    0 for a single-row group - the same double as the built-in.
+    One pass builds a histogram of every measure: rows are counted per (measure, group, value)
+    with map-side partial aggregation; a window over the distinct values only (NULL first, as in
+    Spark's ascending order) gives (rows below) / (n - 1), 0 for a single-row group - the same
+    double as the built-in. Each measure's ranks are joined back on (group, value) with a
+    NULL-safe key; values are compared as doubles (exact for integers below 2**53).
 
-    The rank table is checkpointed and its actual row count checked: up to ``broadcast_rows``
+    The rank table is written once and its actual row count (observed during the write) checked: up to ``broadcast_rows``
     it is broadcast, so the rows are joined where they are read and never shuffled; beyond that
-    the join falls back to a shuffle (with AQE skew splitting for a hot (group, value)).
+    the joins fall back to a shuffle (with AQE skew splitting for a hot (group, value)).
     ``broadcast_rows=None`` skips the check and leaves the strategy to the planner.
     """
     g = list(group)
-    hist = df.groupBy(*g, value).agg(F.count(F.lit(1)).alias("__c"))
-    w_order = Window.partitionBy(*g).orderBy(F.col(value).asc_nulls_first())
-    w_all = Window.partitionBy(*g)
+    if len(values) == 1:
+        stacked = df.select(*g, F.lit(0).alias("__m"), F.col(values[0]).cast("double").alias("__v"))
+    else:
+        tagged = F.array(
+            *[F.struct(F.lit(i).alias("m"), F.col(v).cast("double").alias("v")) for i, v in enumerate(values)]
+        )
+        stacked = df.select(*g, F.explode(tagged).alias("__s")).select(
+            *g, F.col("__s.m").alias("__m"), F.col("__s.v").alias("__v")
+        )
+    hist = stacked.groupBy("__m", *g, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    w_order = Window.partitionBy("__m", *g).orderBy(F.col("__v").asc_nulls_first())
+    w_all = Window.partitionBy("__m", *g)
     below = F.coalesce(
         F.sum("__c").over(w_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
     n = F.sum("__c").over(w_all)
     pr = F.when(n <= 1, F.lit(0.0)).otherwise(below / (n - F.lit(1)))
     ranks = hist.select(
-        *[F.col(c).alias(f"__g_{i}") for i, c in enumerate(g)],
-        F.col(value).alias("__v"),
-        pr.alias(out),
+        "__m", *[F.col(c).alias(f"__g_{i}") for i, c in enumerate(g)], "__v", pr.alias("__pr")
     )
     if broadcast_rows is not None:
-        ranks = materialize(ranks)
-        if ranks.count() <= broadcast_rows:
+        ranks, rows = materialize(ranks, count=True)
+        if rows <= broadcast_rows:
             ranks = F.broadcast(ranks)
-    cond = [df[c].eqNullSafe(ranks[f"__g_{i}"]) for i, c in enumerate(g)]
-    cond.append(df[value].eqNullSafe(ranks["__v"]))
-    joined = df.join(ranks, cond, "inner")
-    return joined.drop(*[f"__g_{i}" for i in range(len(g))], "__v")
+    out = df
+    for m, (v, name) in enumerate(zip(values, outs)):
+        r = ranks.filter(F.col("__m") == m).select(
+            *[f"__g_{i}" for i in range(len(g))], "__v", F.col("__pr").alias(name)
+        )
+        cond = [out[c].eqNullSafe(r[f"__g_{i}"]) for i, c in enumerate(g)]
+        cond.append(out[v].cast("double").eqNullSafe(r["__v"]))
+        out = out.join(r, cond, "inner").drop(*[f"__g_{i}" for i in range(len(g))], "__v")
+    return out
+
+
+def percent_rank_by_histogram(
+    df: DataFrame, group: Sequence[str], value: str, out: str, broadcast_rows: int | None = 500_000
+) -> DataFrame:
+    """Single-measure form of :func:`percent_ranks_by_histogram`."""
+    return percent_ranks_by_histogram(df, group, [value], [out], broadcast_rows)
 
 
 def top_groups(

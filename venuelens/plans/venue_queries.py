@@ -26,7 +26,7 @@ from ..functions.dates import as_timestamp, month_label, month_start
 from ..functions.dayparts import day_part
 from ..functions.lists import split_trim
 from ..functions.stats import mean_from_moments, merge_moments, moments, pop_stddev_from_moments
-from ..operators.ranking import percent_rank_by_histogram, rows_of_top_groups, top_per_group
+from ..operators.ranking import percent_ranks_by_histogram, rows_of_top_groups, top_per_group
 from ..operators.reshape import bubble_scale, group_means, pivot_matrix
 from ..session import materialize
 
@@ -346,8 +346,9 @@ def traffic_vs_rating(
     # review facts are scanned once, not once per branch.
     if materialize_venues:
         combined = materialize(combined)
-    ranked = percent_rank_by_histogram(combined, [group], "total_checkins", "__tpr")
-    ranked = percent_rank_by_histogram(ranked, [group], "avg_review_stars", "__rpr")
+    ranked = percent_ranks_by_histogram(
+        combined, [group], ["total_checkins", "avg_review_stars"], ["__tpr", "__rpr"]
+    )
     out = ranked.select(
         "business_id",
         "name",

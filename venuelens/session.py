@@ -71,12 +71,22 @@ def local_session(cores: int | str = 8, app: str = "venuelens", memory: str = "8
     return spark
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back (cuts lineage).
+def materialize(df: DataFrame, count: bool = False):
+    """Write ``df`` once as a parquet table under ``spark.checkpoint.dir`` and read it back.
 
-    Used where a derived frame feeds several branches of one plan, so the facts behind it are
-    scanned once instead of once per branch. The checkpoint survives executor loss.
+    Cuts lineage where a derived frame feeds several branches of one plan, so the facts behind
+    it are scanned once instead of once per branch; the written table survives executor loss.
+    The read-back relation carries its real on-disk size for the planner. With ``count=True``
+    the row count is observed during the write (no second job) and returned as well.
     """
-    if checkpoint_root(df.sparkSession) is None:
-        raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder to checkpoint into")
-    return df.checkpoint(eager=True)
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    spark = df.sparkSession
+    if checkpoint_root(spark) is None:
+        raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder to write into")
+    path = shared_path(spark, "materialized")
+    obs = Observation("materialize")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    out = spark.read.parquet(path)
+    return (out, int(obs.get["rows"])) if count else out
