@@ -346,8 +346,14 @@ def traffic_vs_rating(
     # review facts are scanned once, not once per branch.
     if materialize_venues:
         combined = materialize(combined)
+    # The rows joined back are the materialized venue frame (with real size statistics), not
+    # facts: the join strategy is left to the planner and AQE instead of a separate size check.
     ranked = percent_ranks_by_histogram(
-        combined, [group], ["total_checkins", "avg_review_stars"], ["__tpr", "__rpr"]
+        combined,
+        [group],
+        ["total_checkins", "avg_review_stars"],
+        ["__tpr", "__rpr"],
+        broadcast_rows=None if materialize_venues else 500_000,
     )
     out = ranked.select(
         "business_id",

@@ -88,5 +88,5 @@ def materialize(df: DataFrame, count: bool = False):
     path = shared_path(spark, "materialized")
     obs = Observation("materialize")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    out = spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)  # known schema: no footer inference
     return (out, int(obs.get["rows"])) if count else out
