@@ -121,3 +121,21 @@ def test_standardize_population_and_constant(spark):
     out = standardize(df, ["x", "c"]).collect()
     assert [r.x_z for r in out] == [-1.0, 1.0]  # population deviation of (1, 2) is 0.5
     assert [r.c_z for r in out] == [0.0, 0.0]
+
+
+def test_reconcile_modes(spark):
+    path = shared_path(spark, "test", "reconcile")
+    b1 = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    r = loads.load_reconcile(spark, b1, path).collect()[0]
+    assert (r.rows_read, r.rows_written, r.rows_in_target, r.reconciled) == (2, 2, 2, True)
+    b2 = spark.createDataFrame([(2, "x"), (3, "c"), (3, "d")], "k int, v string")
+    r = loads.load_reconcile(spark, b2, path, mode="insert_absent", keys=["k"], order_by=["v"]).collect()[0]
+    assert (r.rows_read, r.rows_written, r.rows_in_target, r.reconciled) == (3, 1, 3, True)
+    assert sorted(tuple(x) for x in spark.read.parquet(path).collect()) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_replace_drops_stale_document_id(spark):
+    path = shared_path(spark, "test", "replace_id")
+    df = spark.createDataFrame([("x", 1)], "_id string, k int")
+    loads.load_replace_unique(df, path, ["k"])
+    assert spark.read.parquet(path).columns == ["k"]

@@ -144,7 +144,7 @@ def test_rolling_gap(spark, views):
         w AS (SELECT *, AVG(a) OVER (PARTITION BY business_id ORDER BY mo ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS ra
               FROM m)
         SELECT business_id, name, mo, ROUND(a, 2), ROUND(ra, 2), ROUND(a - ra, 2) AS g FROM w WHERE n >= 2
-        ORDER BY g ASC NULLS LAST, business_id, mo LIMIT 15""")
+        ORDER BY g ASC NULLS FIRST, business_id, mo LIMIT 15""")
     assert same(got, want) == 15
     labels = vq.gap_labels(got).collect()
     assert all(r.label.endswith(")") and " (" in r.label for r in labels)

@@ -85,17 +85,31 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-def load_replace(df: DataFrame, path: str, fmt: str = "parquet", skip: bool = False) -> dict:
-    """Replace the target with the batch (no uniqueness requirement)."""
+def _drop_present(df: DataFrame, drop: Sequence[str]) -> DataFrame:
+    return df.drop(*[c for c in drop if c in df.columns])
+
+
+def load_replace(
+    df: DataFrame, path: str, fmt: str = "parquet", skip: bool = False, drop: Sequence[str] = ("_id",)
+) -> dict:
+    """Replace the target with the batch (no uniqueness requirement).
+
+    Columns in ``drop`` (by default a stale document id ``_id``) are removed when present.
+    """
     if skip:
         return {"status": "skipped", "rows_written": 0}
-    out, obs = _observed(df, "load_replace")
+    out, obs = _observed(_drop_present(df, drop), "load_replace")
     write_layer(out, path, fmt=fmt, mode="overwrite")
     return {"status": "loaded", "rows_written": obs.get["rows"]}
 
 
 def load_replace_unique(
-    df: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet", skip: bool = False
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    fmt: str = "parquet",
+    skip: bool = False,
+    drop: Sequence[str] = ("_id",),
 ) -> dict:
     """Replace the target, requiring unique keys; duplicates raise before anything is written."""
     if skip:
@@ -103,7 +117,7 @@ def load_replace_unique(
     dup = duplicate_keys(df, keys).limit(1).collect()
     if dup:
         raise DuplicateKeyError(f"duplicate key in batch: {dup[0].asDict()}")
-    return load_replace(df, path, fmt)
+    return load_replace(df, path, fmt, drop=drop)
 
 
 def load_insert_absent(
@@ -145,17 +159,38 @@ def load_insert_absent_jdbc(
     return {"status": "loaded", "rows_written": obs.get["rows"]}
 
 
-def load_reconcile(spark: SparkSession, batch: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
-    """Load by replacement and report rows read, rows written and rows now in the target.
+def load_reconcile(
+    spark: SparkSession,
+    batch: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    mode: str = "replace",
+    keys: Sequence[str] = (),
+    order_by: Sequence[str] = (),
+) -> DataFrame:
+    """Load and report rows read, rows written and rows now in the target.
 
-    Read and written counts are observed on the one write job; the target count is a
-    metadata-level count of the written layer.
+    ``mode="replace"`` overwrites the target; ``mode="insert_absent"`` appends the rows whose
+    key is absent (``keys``, first by ``order_by``). Read and written counts are observed on the
+    one write job; the target count is taken from the written layer afterwards. ``reconciled``
+    says whether the target holds exactly what it should: the batch for a replace, the earlier
+    rows plus the written ones for an insert.
     """
     src, obs_in = _observed(batch, "reconcile_read")
-    write_layer(src, path, fmt=fmt, mode="overwrite")
-    read_n = obs_in.get["rows"]
+    before = 0
+    if mode == "replace":
+        out, obs_out = _observed(src, "reconcile_written")
+        write_layer(out, path, fmt=fmt, mode="overwrite")
+    elif mode == "insert_absent":
+        target = spark.read.format(fmt).load(path) if _path_exists(spark, path) else None
+        before = target.count() if target is not None else 0
+        out, obs_out = _observed(rows_to_insert(src, target, keys, order_by), "reconcile_written")
+        write_layer(out, path, fmt=fmt, mode="append")
+    else:
+        raise ValueError(f"unknown load mode: {mode}")
+    read_n, written_n = obs_in.get["rows"], obs_out.get["rows"]
     in_target = spark.read.format(fmt).load(path).count()
     return spark.createDataFrame(
-        [(read_n, read_n, in_target, read_n == in_target)],
+        [(read_n, written_n, in_target, before + written_n == in_target)],
         "rows_read bigint, rows_written bigint, rows_in_target bigint, reconciled boolean",
     )

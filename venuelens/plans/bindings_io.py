@@ -250,3 +250,22 @@ def q_curate_stream(spark, d):
         q = append_to_layer(spark, stream_files(spark, f"{src}/*", ORDERS, transform), out, ckpt)
         q.awaitTermination()
     return spark.read.parquet(out)
+
+
+@register(
+    "load_reconcile_insert",
+    """
+WITH keys1 AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01'),
+keys2 AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)
+SELECT (SELECT COUNT(*) FROM lineitem) AS rows_read,
+       (SELECT COUNT(*) FROM keys2) - (SELECT COUNT(*) FROM keys1) AS rows_written,
+       (SELECT COUNT(*) FROM keys2) AS rows_in_target, true AS reconciled
+""",
+)
+def q_load_reconcile_insert(spark, d):
+    """Reconciliation of the second insert-if-absent batch of ``load_insert_absent``."""
+    path = shared_path(spark, "bind", "load_reconcile_insert")
+    li = table(spark, d, "lineitem")
+    first = li.filter(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    loads.load_insert_absent(first, path, LINE_KEYS, LINE_ORDER)
+    return loads.load_reconcile(spark, li, path, mode="insert_absent", keys=LINE_KEYS, order_by=LINE_ORDER)

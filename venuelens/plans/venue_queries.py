@@ -411,7 +411,7 @@ def rolling_gap(
         F.round(F.col("__avg") - F.col("__roll"), 2).alias("performance_gap"),
     )
     return out.orderBy(
-        F.col("performance_gap").asc_nulls_last(), F.col("business_id").asc(), F.col("review_month").asc()
+        F.col("performance_gap").asc_nulls_first(), F.col("business_id").asc(), F.col("review_month").asc()
     ).limit(top_k)
 
 
