@@ -78,3 +78,43 @@ def test_curation_commutes(spark):
         .filter(hash_keep("review_id", p.review_fraction, p.seed))
     )
     assert sorted(composed.select("review_id").collect()) == sorted(stepwise.select("review_id").collect())
+
+
+def test_answer_all_over_curated_layers(spark):
+    from venuelens.plans.views import answer_all, file_views
+
+    paths = _raw_json(spark)
+    out = shared_path(spark, "test", "curated_all")
+    run_curation(spark, paths, out, CurationParams(user_fraction=0.9, review_fraction=0.9))
+    answers = answer_all(file_views(spark, out))
+    assert len(answers) == 17
+    for name, df in answers.items():
+        df.count()  # every question runs over the curated views
+    assert answers["yoy_change"].count() > 0 and answers["entity_segments"].count() > 0
+
+
+def test_remote_specs_map_options():
+    from venuelens.plans.views import remote_specs
+    from venuelens.sources import JdbcSpec
+
+    specs = remote_specs(
+        {"business": "mongodb://a", "tips": "mongodb://b", "checkins": "mongodb://c"},
+        JdbcSpec("jdbc:postgresql://h/db", "reviews", partition_column="id", num_partitions=4, lower_bound=1, upper_bound=9),
+        JdbcSpec("jdbc:postgresql://h/db", "users"),
+    )
+    assert specs["checkins"].options["connection.uri"] == "mongodb://c"
+    assert specs["reviews"].options["numPartitions"] == "4" and specs["reviews"].options["upperBound"] == "10"
+    assert "partitionColumn" not in specs["users"].options
+
+
+def test_cli_curate_and_answer(spark):
+    from venuelens.__main__ import main
+
+    raw = shared_path(spark, "test", "cli_raw")
+    for name, df in raw_frames(spark).items():
+        write_layer(df, f"{raw}/{name}", fmt="json")
+    out = shared_path(spark, "test", "cli_curated")
+    res = shared_path(spark, "test", "cli_results")
+    main(["curate", "--raw-dir", raw, "--out", out])
+    main(["answer", "--curated", out, "--results", res, "--no-segments"])
+    assert spark.read.parquet(f"{res}/yoy_change").count() > 0
