@@ -38,3 +38,12 @@ def test_filters_reach_scan(spark):
 def test_scan_prunes_columns(spark):
     p = plan(QUERIES["rolling_gap"](spark, SF))
     assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_quantity:double,l_shipdate:timestamp_ntz>" in p
+
+
+def test_first_per_key_limits_before_shuffle(spark):
+    from venuelens.operators.loads import first_per_key
+
+    li = QUERIES["trim_columns"](spark, SF)
+    p = plan(first_per_key(li, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey"]))
+    # partial WindowGroupLimit below the exchange: a hot key ships at most one row per map partition
+    assert p.index("Exchange hashpartitioning") < p.rindex("WindowGroupLimit")

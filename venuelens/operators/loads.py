@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,17 +43,12 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per key: the first by ``order_by`` (ascending, NULLs first).
 
-    A ``min`` over a struct whose leading fields are the order columns: an aggregate, so it
-    combines map-side and a key holding a large share of the batch is reduced before the shuffle
-    (a row_number window would put that whole key in one task).
+    ``row_number() = 1`` over the key: Catalyst plans it with a partial ``WindowGroupLimit``
+    before the shuffle, so a key holding a large share of the batch ships at most one row per
+    map partition and is never collected whole into one task.
     """
-    payload = [c for c in df.columns if c not in keys]
-    order = list(order_by)
-    rest = [c for c in payload if c not in order]
-    packed = F.struct(*[_q(c).alias(f"o{i}") for i, c in enumerate(order)], *[_q(c) for c in rest])
-    best = df.groupBy(*[_q(k) for k in keys]).agg(F.min(packed).alias("__best"))
-    cols = {c: F.col(f"__best.o{order.index(c)}") if c in order else F.col(f"__best.`{c}`") for c in payload}
-    return best.select(*[(_q(c) if c in keys else cols[c].alias(c)) for c in df.columns])
+    w = Window.partitionBy(*[_q(k) for k in keys]).orderBy(*[_q(c).asc_nulls_first() for c in order_by])
+    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
 def rows_to_insert(
@@ -70,7 +65,8 @@ def rows_to_insert(
     winners = first_per_key(batch.filter(cond), keys, order_by)
     if target_keys is None:
         return winners
-    return winners.join(target_keys.select(*keys).distinct(), list(keys), "left_anti")
+    # duplicate keys on the right cannot change an anti join, so the target keys are not deduplicated
+    return winners.join(target_keys.select(*keys), list(keys), "left_anti")
 
 
 def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
