@@ -47,3 +47,41 @@ def test_first_per_key_limits_before_shuffle(spark):
     p = plan(first_per_key(li, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey"]))
     # partial WindowGroupLimit below the exchange: a hot key ships at most one row per map partition
     assert p.index("Exchange hashpartitioning") < p.rindex("WindowGroupLimit")
+
+
+def _ancestors(plan_text, line_no):
+    """Lines on the path from a plan node up to the root (the tree string lists children below)."""
+    lines = plan_text.splitlines()
+
+    def depth(s):
+        return len(s) - len(s.lstrip(" :+-|"))
+
+    out, d = [], depth(lines[line_no])
+    for i in range(line_no - 1, -1, -1):
+        if depth(lines[i]) < d:
+            out.append(lines[i].strip(" :+-|"))
+            d = depth(lines[i])
+    return out
+
+
+FACT_SCANS = {
+    "daypart_leaders": "events.parquet",
+    "category_rating": "lineitem.parquet",
+    "category_leaders": "lineitem.parquet",
+    "reviewer_influence": "lineitem.parquet",
+    "yoy_change": "orders.parquet",
+    "rolling_gap": "lineitem.parquet",
+}
+
+
+@pytest.mark.parametrize("key", sorted(FACT_SCANS))
+def test_facts_combine_map_side_before_shuffle(spark, key):
+    p = plan(QUERIES[key](spark, SF))
+    lines = p.splitlines()
+    scans = [i for i, s in enumerate(lines) if "FileScan" in s and FACT_SCANS[key] in s]
+    assert scans
+    for i in scans:
+        up = _ancestors(p, i)
+        first_exchange = next(j for j, s in enumerate(up) if s.startswith("Exchange"))
+        below = up[:first_exchange]
+        assert any(s.startswith("HashAggregate") and "partial_" in s for s in below), (key, below)
