@@ -118,3 +118,16 @@ def test_cli_curate_and_answer(spark):
     main(["curate", "--raw-dir", raw, "--out", out])
     main(["answer", "--curated", out, "--results", res, "--no-segments"])
     assert spark.read.parquet(f"{res}/yoy_change").count() > 0
+
+
+def test_curation_with_xxhash_commutes(spark):
+    raw = raw_frames(spark)
+    p = CurationParams(hash_method="xxhash64")
+    composed = curate(raw, p)["review"]
+    users = raw["user"].filter(hash_keep("user_id", p.user_fraction, p.seed, "xxhash64")).select("user_id")
+    stepwise = (
+        raw["review"].join(users, "user_id", "left_semi")
+        .filter(year_in_range("date", p.year_min, p.year_max))
+        .filter(hash_keep("review_id", p.review_fraction, p.seed, "xxhash64"))
+    )
+    assert sorted(composed.select("review_id").collect()) == sorted(stepwise.select("review_id").collect())

@@ -48,3 +48,12 @@ def test_hash_sample_is_layout_independent(spark):
     assert df.filter(hash_keep("k", 0.0, 1)).count() == 0
     nulls = spark.createDataFrame([(None,)], "k bigint")
     assert nulls.filter(hash_keep("k", 0.99, 1)).count() == 0
+
+
+def test_xxhash_sample_is_layout_independent(spark):
+    df = spark.range(0, 5000).withColumnRenamed("id", "k")
+    a = {r.k for r in df.repartition(3).filter(hash_keep("k", 0.3, 7, method="xxhash64")).collect()}
+    b = {r.k for r in df.repartition(11, "k").filter(hash_keep("k", 0.3, 7, method="xxhash64")).collect()}
+    assert a == b and 1300 < len(a) < 1700
+    nulls = spark.createDataFrame([(None,)], "k bigint")
+    assert nulls.filter(hash_keep("k", 0.99, 1, method="xxhash64")).count() == 0

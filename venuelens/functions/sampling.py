@@ -16,12 +16,22 @@ def hash_threshold(fraction: float) -> str:
     return format(int(fraction * 2**32), "08x")
 
 
-def hash_keep(key: Column | str, fraction: float, salt: int | str) -> Column:
-    """Predicate keeping about ``fraction`` of the distinct keys; NULL key is never kept."""
+def hash_keep(key: Column | str, fraction: float, salt: int | str, method: str = "md5") -> Column:
+    """Predicate keeping about ``fraction`` of the distinct keys; NULL key is never kept.
+
+    ``method="md5"`` (default) can be evaluated by other SQL engines too (the oracle checks rely
+    on it); ``method="xxhash64"`` uses Spark's built-in 64-bit hash of (salt, key), several times
+    cheaper per row on very large fact tables, equally independent of partitioning.
+    """
     if fraction >= 1.0:
         return F.lit(True)
     if fraction <= 0.0:
         return F.lit(False)
     k = F.col(key) if isinstance(key, str) else key
+    if method == "xxhash64":
+        low32 = F.xxhash64(F.lit(str(salt)), k.cast("string")).bitwiseAND(F.lit(0xFFFFFFFF))
+        return F.coalesce(k.isNotNull() & (low32 < F.lit(int(fraction * 2**32))), F.lit(False))
+    if method != "md5":
+        raise ValueError(f"unknown hash method: {method}")
     digest = F.md5(F.concat(F.lit(f"{salt}|"), k.cast("string")))
     return F.coalesce(F.substring(digest, 1, 8) < F.lit(hash_threshold(fraction)), F.lit(False))

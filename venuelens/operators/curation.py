@@ -74,14 +74,18 @@ def packed_filter(
     return out.withColumn(column, F.array_join(tmp, sep_out)).drop(tmp)
 
 
-def sample_entities(df: DataFrame, key: str, fraction: float, salt: int | str = 42) -> DataFrame:
+def sample_entities(
+    df: DataFrame, key: str, fraction: float, salt: int | str = 42, method: str = "md5"
+) -> DataFrame:
     """Reproducible Bernoulli sample of entities by key hash (same rows for any partitioning)."""
-    return df.filter(hash_keep(_q(key), fraction, salt))
+    return df.filter(hash_keep(_q(key), fraction, salt, method))
 
 
-def sample_facts(df: DataFrame, key: str, fraction: float, salt: int | str = 42) -> DataFrame:
+def sample_facts(
+    df: DataFrame, key: str, fraction: float, salt: int | str = 42, method: str = "md5"
+) -> DataFrame:
     """Reproducible Bernoulli sample of facts, keyed on the fact id with its own salt."""
-    return df.filter(hash_keep(_q(key), fraction, salt))
+    return df.filter(hash_keep(_q(key), fraction, salt, method))
 
 
 def cascade_semi(

@@ -535,18 +535,18 @@ def q_curate(spark, d):
     )
 
 
-# Packed visits: one text per (user, block of 256 event ids), stamps sorted, ", "-joined.
+# Packed visits: one text per (user, block of 4096 event ids), stamps sorted, ", "-joined.
 _PACKED_SQL = """
 p AS (
-  SELECT user_id AS business_id, CAST(floor(event_id / 256) AS BIGINT) AS block,
+  SELECT user_id AS business_id, CAST(floor(event_id / 4096) AS BIGINT) AS block,
          string_agg(strftime(ts, '%Y-%m-%d %H:%M:%S'), ', ' ORDER BY strftime(ts, '%Y-%m-%d %H:%M:%S')) AS date
-  FROM events GROUP BY user_id, floor(event_id / 256))
+  FROM events GROUP BY user_id, floor(event_id / 4096))
 """
 
 
 def _packed(spark, d):
     ev = table(spark, d, "events").select(F.col("user_id").alias("business_id"), "event_id", "ts")
-    return cur.pack_stamps(ev, "business_id", "ts", out="date", block_col="event_id", block_size=256)
+    return cur.pack_stamps(ev, "business_id", "ts", out="date", block_col="event_id", block_size=4096)
 
 
 @register(
