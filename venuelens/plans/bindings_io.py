@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from ..operators import curation as cur
 from ..operators import loads
 from ..operators.reports import StepCounter, layer_report, size_delta, step_summary
-from ..session import shared_path
+from ..session import materialize, shared_path
 from ..sources.files import read_json_lines, write_layer
 from ..sources.switch import SourceSpec, load_views
 from . import venue_queries as vq
@@ -240,7 +240,10 @@ def q_curate_stream(spark, d):
     out = shared_path(spark, "bind", "curate_stream", "out")
     ckpt = shared_path(spark, "bind", "curate_stream", "ckpt")
     orders = table(spark, d, "orders")
-    keys = cur.sample_entities(table(spark, d, "customer"), "c_custkey", ENTITY_FRACTION, ENTITY_SALT)
+    # the static side of the stream-static semi join is written once, not re-derived per batch
+    keys = materialize(
+        cur.sample_entities(table(spark, d, "customer"), "c_custkey", ENTITY_FRACTION, ENTITY_SALT).select("c_custkey")
+    )
 
     def transform(stream):
         return curate_facts(stream, keys, "o_custkey", "c_custkey", "o_orderdate", BIND_PARAMS, "o_orderkey")

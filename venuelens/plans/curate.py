@@ -81,7 +81,7 @@ def curate(raw: Mapping[str, DataFrame], p: CurationParams = CurationParams()) -
     users = None
     if "user" in raw:
         users = sample_entities(
-            trim_columns(raw["user"], USER_DROP, USER_DROP_PREFIX),
+            trim_columns(raw["user"], USER_DROP, USER_DROP_PREFIX),  # no-op on a key-only frame
             "user_id",
             p.user_fraction,
             p.seed,

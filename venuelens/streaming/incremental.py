@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.curate import CurationParams, curate
-from ..session import shared_path
+from ..session import materialize, shared_path
 from ..sources.schemas import ENTITY_SCHEMAS
 
 
