@@ -85,3 +85,20 @@ def test_facts_combine_map_side_before_shuffle(spark, key):
         first_exchange = next(j for j, s in enumerate(up) if s.startswith("Exchange"))
         below = up[:first_exchange]
         assert any(s.startswith("HashAggregate") and "partial_" in s for s in below), (key, below)
+
+
+def test_bucketed_target_is_not_shuffled(spark):
+    import uuid
+
+    from venuelens.operators import loads
+    from venuelens.session import shared_path
+
+    li = QUERIES["trim_columns"](spark, SF).select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey")
+    keys, order = ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey"]
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    loads.load_insert_absent_bucketed(li, name, shared_path(spark, "test", "bucketed"), keys, order, 8)
+    p = plan(loads.rows_to_insert(li, spark.table(name), keys, order))
+    target_scan = next(i for i, s in enumerate(p.splitlines()) if "FileScan" in s and name in s)
+    up = _ancestors(p, target_scan)
+    join = next(j for j, s in enumerate(up) if "Join" in s)
+    assert not any(s.startswith("Exchange") for s in up[:join]), up[:join]

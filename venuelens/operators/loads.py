@@ -190,3 +190,30 @@ def load_reconcile(
         [(read_n, written_n, in_target, before + written_n == in_target)],
         "rows_read bigint, rows_written bigint, rows_in_target bigint, reconciled boolean",
     )
+
+
+def load_insert_absent_bucketed(
+    batch: DataFrame,
+    table: str,
+    path: str,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    buckets: int,
+    skip: bool = False,
+) -> dict:
+    """Insert-if-absent into a catalog table bucketed (and sorted) by the key.
+
+    The target is stored at ``path`` (a shared location) as ``buckets`` hash buckets of the key,
+    so the anti join reads it without a shuffle - only the batch is exchanged, into the same
+    buckets - and repeated loads into a very large target never re-shuffle it. Appends keep the
+    bucketing.
+    """
+    if skip:
+        return {"status": "skipped", "rows_written": 0}
+    spark = batch.sparkSession
+    exists = spark.catalog.tableExists(table)
+    target = spark.table(table) if exists else None
+    new, obs = _observed(rows_to_insert(batch, target, keys, order_by), "insert_absent_bucketed")
+    writer = new.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", path)
+    writer.mode("append" if exists else "errorifexists").saveAsTable(table)
+    return {"status": "loaded", "rows_written": obs.get["rows"]}

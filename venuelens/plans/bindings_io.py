@@ -272,3 +272,18 @@ def q_load_reconcile_insert(spark, d):
     first = li.filter(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
     loads.load_insert_absent(first, path, LINE_KEYS, LINE_ORDER)
     return loads.load_reconcile(spark, li, path, mode="insert_absent", keys=LINE_KEYS, order_by=LINE_ORDER)
+
+
+@register("load_insert_absent_bucketed", ORACLE_SQL["load_insert_absent"])
+def q_load_insert_absent_bucketed(spark, d):
+    """The same two insert-if-absent batches into a target bucketed by the key."""
+    import uuid
+
+    name = f"venuelens_lineitem_{uuid.uuid4().hex[:10]}"
+    path = shared_path(spark, "bind", "load_insert_absent_bucketed")
+    li = table(spark, d, "lineitem")
+    first = li.filter(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    loads.load_insert_absent_bucketed(first, name, path, LINE_KEYS, LINE_ORDER, buckets)
+    loads.load_insert_absent_bucketed(li, name, path, LINE_KEYS, LINE_ORDER, buckets)
+    return spark.table(name).select(*li.columns)
