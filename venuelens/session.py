@@ -90,3 +90,23 @@ def materialize(df: DataFrame, count: bool = False):
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)  # known schema: no footer inference
     return (out, int(obs.get["rows"])) if count else out
+
+
+def scale_conf(input_bytes: int, executor_cores_total: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input, sized instead of hard-coded.
+
+    Shuffles start from enough partitions for ~``partition_bytes`` each (at least 3 per core) and
+    AQE coalesces small ones at runtime; scans split files at the same size; skewed join
+    partitions are split by AQE. Pass the result to ``SparkSession.builder.config(map=...)`` or
+    ``spark-submit --conf``; the library itself never sets them.
+    """
+    parts = max(3 * executor_cores_total, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
