@@ -87,7 +87,7 @@ def test_answer_all_over_curated_layers(spark):
     out = shared_path(spark, "test", "curated_all")
     run_curation(spark, paths, out, CurationParams(user_fraction=0.9, review_fraction=0.9))
     answers = answer_all(file_views(spark, out))
-    assert len(answers) == 17
+    assert len(answers) == 18
     for name, df in answers.items():
         df.count()  # every question runs over the curated views
     assert answers["yoy_change"].count() > 0 and answers["entity_segments"].count() > 0

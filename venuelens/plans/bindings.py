@@ -288,6 +288,34 @@ def q_category_leaders(spark, d):
     )
 
 
+@register(
+    "leaders_profile",
+    """
+WITH ec AS (
+  SELECT business_id, name, TRIM(cat) AS category_name FROM (
+    SELECT p_partkey AS business_id, p_brand AS name, unnest(string_split(p_name, ' ')) AS cat
+    FROM part WHERE p_name IS NOT NULL)),
+bs AS (
+  SELECT ec.category_name, ec.name, COUNT(l.l_orderkey) AS total_reviews, AVG(l.l_quantity) AS raw_avg
+  FROM ec JOIN lineitem l ON ec.business_id = l.l_partkey
+  GROUP BY ec.category_name, ec.name HAVING COUNT(l.l_orderkey) >= 20),
+rk AS (
+  SELECT category_name, name, total_reviews,
+         DENSE_RANK() OVER (PARTITION BY category_name ORDER BY total_reviews DESC, raw_avg DESC) AS market_rank
+  FROM bs),
+head AS (
+  SELECT * FROM rk WHERE market_rank <= 3
+  ORDER BY category_name, market_rank, total_reviews DESC, name LIMIT 30)
+SELECT category_name, name, AVG(total_reviews) AS mean_reviews FROM head GROUP BY category_name, name
+""",
+)
+def q_leaders_profile(spark, d):
+    leaders = vq.category_leaders(
+        lineitem_part_reviews(spark, d), part_venues(spark, d), sep=" ", min_reviews=20, top_k=3
+    )
+    return vq.leaders_profile(leaders, head=30)
+
+
 @register(
     "reviewer_influence",
     """

@@ -225,6 +225,15 @@ def category_leaders(
     )
 
 
+def leaders_profile(leaders: DataFrame, head: int = 30) -> DataFrame:
+    """Mean review count per (category, name) over the first ``head`` leader rows in report
+    order (category, rank, then name and count as tie-breaks) - the leaders chart's bars."""
+    first = leaders.orderBy(
+        "category_name", "market_rank", F.col("total_reviews").desc(), "name"
+    ).limit(head)
+    return first.groupBy("category_name", "name").agg(F.avg("total_reviews").alias("mean_reviews"))
+
+
 # --------------------------------------------------------------------------------------------
 # Q6 reviewer influence
 # --------------------------------------------------------------------------------------------

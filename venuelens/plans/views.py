@@ -71,6 +71,7 @@ def answer_all(views: Mapping[str, DataFrame], segments: bool = True) -> dict[st
     gaps = vq.rolling_gap(r, b)
     leaders = vq.daypart_leaders(c, b)
     opportunity = vq.market_opportunity(b)
+    leaders_by_category = vq.category_leaders(r, b)
     out = {
         "market_opportunity": opportunity,
         "bubble_scale": vq.market_bubbles(opportunity),
@@ -79,7 +80,8 @@ def answer_all(views: Mapping[str, DataFrame], segments: bool = True) -> dict[st
         "category_rating": vq.category_rating(r, b),
         "price_tier_rating": tiers,
         "price_tier_matrix": vq.price_tier_matrix(tiers),
-        "category_leaders": vq.category_leaders(r, b),
+        "category_leaders": leaders_by_category,
+        "leaders_profile": vq.leaders_profile(leaders_by_category),
         "reviewer_influence": vq.reviewer_influence(r, u),
         "yoy_change": yoy,
         "yoy_top_groups": vq.yoy_top_groups(yoy),
