@@ -15,9 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 def checkpoint_root(spark: SparkSession) -> str | None:
     """The shared folder named by ``spark.checkpoint.dir`` (or set on the context), if any."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
+    try:
+        d = spark.sparkContext.getCheckpointDir()
+        if d:
+            return d
+    except Exception:  # pragma: no cover - no SparkContext on a Spark Connect session
+        pass
     try:
         return spark.conf.get("spark.checkpoint.dir", None) or None
     except Exception:  # pragma: no cover - conf not readable on some deployments
@@ -32,8 +35,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     d = checkpoint_root(spark)
     if d is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="venuelens-ckpt-"))
-        d = spark.sparkContext.getCheckpointDir()
+        local = tempfile.mkdtemp(prefix="venuelens-ckpt-")
+        try:
+            spark.sparkContext.setCheckpointDir(local)
+            d = spark.sparkContext.getCheckpointDir()
+        except Exception:  # pragma: no cover - Spark Connect: record it in the session conf
+            spark.conf.set("spark.checkpoint.dir", local)
+            d = local
     return d
 
 
