@@ -2,6 +2,7 @@
 
     curate --raw-dir RAW --out OUT       raw JSON lines (business, review, user, checkin, tip
                                          sub-folders or files) -> curated parquet layers
+    load --curated OUT --targets TGT     the five loads (replace / insert-if-absent) + reconcile
     answer --curated OUT --results RES   every question over the curated layers -> parquet
 """
 
@@ -13,6 +14,7 @@ import os
 from pyspark.sql import SparkSession
 
 from .plans.curate import CurationParams, run_curation
+from .plans.load import load_curated
 from .plans.views import answer_all, file_views
 from .sources.files import write_layer
 
@@ -28,6 +30,9 @@ def main(argv=None) -> None:
     c.add_argument("--user-fraction", type=float, default=0.40)
     c.add_argument("--review-fraction", type=float, default=0.20)
     c.add_argument("--seed", type=int, default=42)
+    ld = sub.add_parser("load")
+    ld.add_argument("--curated", required=True)
+    ld.add_argument("--targets", required=True)
     a = sub.add_parser("answer")
     a.add_argument("--curated", required=True)
     a.add_argument("--results", required=True)
@@ -39,6 +44,8 @@ def main(argv=None) -> None:
         p = CurationParams(args.year_min, args.year_max, args.user_fraction, args.review_fraction, args.seed)
         raw = {n: os.path.join(args.raw_dir, n) for n in ("business", "review", "user", "checkin", "tip")}
         run_curation(spark, raw, args.out, p).show(truncate=False)
+    elif args.cmd == "load":
+        load_curated(spark, args.curated, args.targets).show(truncate=False)
     else:
         for name, df in answer_all(file_views(spark, args.curated), segments=not args.no_segments).items():
             write_layer(df, os.path.join(args.results, name))
