@@ -37,7 +37,7 @@ def run(spark, key, sf_dir):
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "5"))
     keys = os.environ.get("BENCH_KEYS")
     keys = keys.split(",") if keys else HEADLINE
     spark = local_session(cpus, app="venuelens-bench", memory=os.environ.get("BENCH_MEMORY", "16g"))
