@@ -151,3 +151,26 @@ def test_load_curated_layers(spark):
     assert users.columns == [f.name for f in __import__("venuelens.sources.schemas", fromlist=["x"]).USER_TARGET.fields]
     skipped = {r.entity: r.mode for r in load_curated(spark, out, targets, skip=["tip"]).collect()}
     assert skipped["tip"] == "skipped"
+
+
+def test_bucketed_layers_need_no_shuffle_for_venue_work(spark):
+    import uuid
+
+    from venuelens.plans.views import answer_all, file_views, table_views
+
+    paths = _raw_json(spark)
+    out = shared_path(spark, "test", "curated_bucketed")
+    prefix = f"cur_{uuid.uuid4().hex[:8]}"
+    run_curation(spark, paths, out, CurationParams(user_fraction=0.9, review_fraction=0.9), buckets=4, table_prefix=prefix)
+    views = table_views(spark, out, prefix)
+    # per-venue moments of the reviews and their join to the venues: no exchange below the join
+    plan = vq.category_rating(views["reviews"], views["business"], min_reviews=1)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    join = next(i for i, s in enumerate(lines) if "SortMergeJoin" in s or "BroadcastHashJoin" in s)
+    below = "\n".join(lines[join:])
+    assert "Exchange hashpartitioning(business_id" not in below, plan
+    # same answers as over the plain layers
+    plain = answer_all(file_views(spark, out), segments=False)
+    bucketed = answer_all(views, segments=False)
+    for k in ("category_rating", "yoy_change", "rolling_gap", "daypart_leaders", "traffic_vs_rating"):
+        assert sorted(map(tuple, plain[k].collect()), key=repr) == sorted(map(tuple, bucketed[k].collect()), key=repr), k

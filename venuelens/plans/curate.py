@@ -99,14 +99,25 @@ def curate(raw: Mapping[str, DataFrame], p: CurationParams = CurationParams()) -
     return out
 
 
+# Entities that join on the venue key; bucketing them by it co-locates every question's joins.
+VENUE_KEYED = ("business", "review", "tip", "checkin")
+
+
 def run_curation(
     spark: SparkSession,
     raw_paths: Mapping[str, str],
     out_dir: str,
     p: CurationParams = CurationParams(),
     fmt: str = "parquet",
+    buckets: int | None = None,
+    table_prefix: str = "curated",
 ) -> DataFrame:
-    """Read raw JSON lines, write each curated layer once, return the per-step row summary."""
+    """Read raw JSON lines, write each curated layer once, return the per-step row summary.
+
+    With ``buckets``, the venue-keyed layers are also catalog tables ``<table_prefix>_<entity>``
+    bucketed and sorted by ``business_id`` into the same number of buckets (files still under
+    ``out_dir``): per-venue aggregations and venue joins over them need no shuffle.
+    """
     raw = {name: read_json_lines(spark, path, ENTITY_SCHEMAS[name]) for name, path in raw_paths.items()}
     counters = []
     for name in raw:
@@ -114,7 +125,15 @@ def run_curation(
         # Only this step's input carries the observation; the user sample used as a join side
         # by other steps is built from the unobserved input, so no step reports twice.
         plan = curate({**raw, name: counter.input(raw[name])}, p)[name]
-        write_layer(counter.output(plan), f"{out_dir}/{name}", fmt=fmt)
+        if buckets and name in VENUE_KEYED:
+            (
+                counter.output(plan).write.format(fmt).mode("overwrite")
+                .bucketBy(buckets, "business_id").sortBy("business_id")
+                .option("path", f"{out_dir}/{name}")
+                .saveAsTable(f"{table_prefix}_{name}")
+            )
+        else:
+            write_layer(counter.output(plan), f"{out_dir}/{name}", fmt=fmt)
         counters.append(counter)
     return step_summary(spark, counters)
 

@@ -63,6 +63,19 @@ def file_views(spark: SparkSession, curated_dir: str, fmt: str = "parquet") -> d
     return load_views(spark, curated_specs(curated_dir, fmt))
 
 
+def table_views(spark: SparkSession, curated_dir: str, table_prefix: str = "curated", fmt: str = "parquet") -> dict[str, DataFrame]:
+    """The five views when the venue-keyed layers were written as bucketed tables
+    (``run_curation(..., buckets=n)``): read through the catalog so the bucketing is known to
+    the planner. Users are a plain layer."""
+    return {
+        "business": spark.table(f"{table_prefix}_business"),
+        "reviews": parse_dates(spark.table(f"{table_prefix}_review")),
+        "tips": spark.table(f"{table_prefix}_tip"),
+        "users": spark.read.format(fmt).load(f"{curated_dir}/user"),
+        "checkins": expand_visits(spark.table(f"{table_prefix}_checkin")),
+    }
+
+
 def answer_all(views: Mapping[str, DataFrame], segments: bool = True) -> dict[str, DataFrame]:
     """Every question over the named views, with the original thresholds and sizes."""
     b, r, u, c = views["business"], views["reviews"], views["users"], views["checkins"]
