@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 
 from .plans.curate import CurationParams, run_curation
 from .plans.load import load_curated
-from .plans.views import answer_all, file_views
+from .plans.views import answer_all, file_views, table_views
 from .sources.files import write_layer
 
 
@@ -30,6 +30,10 @@ def main(argv=None) -> None:
     c.add_argument("--user-fraction", type=float, default=0.40)
     c.add_argument("--review-fraction", type=float, default=0.20)
     c.add_argument("--seed", type=int, default=42)
+    c.add_argument("--buckets", type=int, default=None,
+                   help="also register venue-keyed layers as tables bucketed by business_id "
+                        "(needs a persistent catalog to be seen by later runs)")
+    c.add_argument("--table-prefix", default="curated")
     ld = sub.add_parser("load")
     ld.add_argument("--curated", required=True)
     ld.add_argument("--targets", required=True)
@@ -37,17 +41,21 @@ def main(argv=None) -> None:
     a.add_argument("--curated", required=True)
     a.add_argument("--results", required=True)
     a.add_argument("--no-segments", action="store_true")
+    a.add_argument("--table-prefix", default=None, help="read the bucketed tables of a curate --buckets run")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"venuelens-{args.cmd}").getOrCreate()
     if args.cmd == "curate":
         p = CurationParams(args.year_min, args.year_max, args.user_fraction, args.review_fraction, args.seed)
         raw = {n: os.path.join(args.raw_dir, n) for n in ("business", "review", "user", "checkin", "tip")}
-        run_curation(spark, raw, args.out, p).show(truncate=False)
+        run_curation(spark, raw, args.out, p, buckets=args.buckets, table_prefix=args.table_prefix).show(truncate=False)
     elif args.cmd == "load":
         load_curated(spark, args.curated, args.targets).show(truncate=False)
     else:
-        for name, df in answer_all(file_views(spark, args.curated), segments=not args.no_segments).items():
+        views = (
+            table_views(spark, args.curated, args.table_prefix) if args.table_prefix else file_views(spark, args.curated)
+        )
+        for name, df in answer_all(views, segments=not args.no_segments).items():
             write_layer(df, os.path.join(args.results, name))
 
 
