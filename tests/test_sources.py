@@ -56,3 +56,17 @@ def test_source_switch_same_frames(spark):
     assert sorted(a["checkins"].collect()) == sorted(b["checkins"].collect())
     assert spark.table("checkins").count() == 2
     assert REVIEW.fieldNames()[0] == "review_id"
+
+
+def test_json_layer_keeps_utf8(spark):
+    import glob
+    import os
+
+    from venuelens.sources.files import write_layer
+
+    path = shared_path(spark, "test", "utf8")
+    write_layer(spark.createDataFrame([("b1", "Café Zürich")], "business_id string, name string"), path, fmt="json")
+    local = path.replace("file:", "")
+    text = "".join(open(f, encoding="utf-8").read() for f in glob.glob(os.path.join(local, "part-*")))
+    assert "Café Zürich" in text and "\\u00e9" not in text
+    assert text.count("\n") == 1  # one record per line
