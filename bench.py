@@ -39,7 +39,7 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeats = int(os.environ.get("BENCH_REPEATS", "5"))
     keys = os.environ.get("BENCH_KEYS")
-    keys = keys.split(",") if keys else HEADLINE
+    keys = sorted(QUERIES) if keys == "all" else (keys.split(",") if keys else HEADLINE)
     spark = local_session(cpus, app="venuelens-bench", memory=os.environ.get("BENCH_MEMORY", "16g"))
     times = {}
     for k in keys:
