@@ -120,10 +120,12 @@ def run_curation(
     """
     raw = {name: read_json_lines(spark, path, ENTITY_SCHEMAS[name]) for name, path in raw_paths.items()}
     counters = []
-    for name in raw:
+    # users first: the written user layer is the sampled key set, so the referential filters of
+    # reviews and tips read its key column instead of parsing the raw user files again
+    # (sampling it again inside ``curate`` is idempotent).
+    for name in sorted(raw, key=lambda n: n != "user"):
         counter = StepCounter(name)
-        # Only this step's input carries the observation; the user sample used as a join side
-        # by other steps is built from the unobserved input, so no step reports twice.
+        # Only this step's input carries the observation.
         plan = curate({**raw, name: counter.input(raw[name])}, p)[name]
         if buckets and name in VENUE_KEYED:
             (
@@ -135,6 +137,8 @@ def run_curation(
         else:
             write_layer(counter.output(plan), f"{out_dir}/{name}", fmt=fmt)
         counters.append(counter)
+        if name == "user":
+            raw = {**raw, "user": spark.read.format(fmt).load(f"{out_dir}/user").select("user_id")}
     return step_summary(spark, counters)
 
 
