@@ -27,7 +27,8 @@ def test_curation_end_to_end(spark):
     out = shared_path(spark, "test", "curated")
     p = CurationParams()
     summary = {r.step: r for r in run_curation(spark, paths, out, p).collect()}
-    assert set(summary) == {"business", "user", "review", "checkin", "tip"}
+    assert set(summary) == {"business", "user", "review", "checkin", "tip", "visit"}
+    assert summary["visit"].rows_read == summary["checkin"].rows_read
     assert summary["business"].rows_read == summary["business"].rows_written == 80
 
     raw = raw_frames(spark)
@@ -57,6 +58,9 @@ def test_curation_end_to_end(spark):
     views = load_views(spark, curated_specs(out))
     assert views["reviews"].schema["date"].dataType.simpleString() == "timestamp_ntz"
     assert views["checkins"].columns == ["business_id", "checkin_ts"]
+    packed = load_views(spark, curated_specs(out, long_visits=False))["checkins"]
+    assert sorted(packed.collect()) == sorted(views["checkins"].collect())
+    assert summary["visit"].rows_written == views["checkins"].count()
     leaders = vq.daypart_leaders(views["checkins"], views["business"])
     assert leaders.count() > 0
 

@@ -76,7 +76,8 @@ def curate_facts(
 
 
 def curate(raw: Mapping[str, DataFrame], p: CurationParams = CurationParams()) -> dict[str, DataFrame]:
-    """Curated frames for the entities present in ``raw`` (user, business, review, tip, checkin)."""
+    """Curated frames for the entities present in ``raw`` (user, business, review, tip, checkin),
+    plus ``visit``: the kept visits in typed long form, parsed once here instead of in every query."""
     out: dict[str, DataFrame] = {}
     users = None
     if "user" in raw:
@@ -96,11 +97,17 @@ def curate(raw: Mapping[str, DataFrame], p: CurationParams = CurationParams()) -
         out["tip"] = curate_facts(raw["tip"], users, "user_id", "user_id", "date", p)
     if "checkin" in raw:
         out["checkin"] = packed_filter(raw["checkin"], "date", p.year_min, p.year_max)
+        # the same visits parsed once into typed long form (one row per visit)
+        out["visit"] = expand_visits(out["checkin"])
     return out
 
 
+# the raw entity each curated output is computed from
+SOURCE_OF = {"visit": "checkin"}
+
+
 # Entities that join on the venue key; bucketing them by it co-locates every question's joins.
-VENUE_KEYED = ("business", "review", "tip", "checkin")
+VENUE_KEYED = ("business", "review", "tip", "checkin", "visit")
 
 
 def run_curation(
@@ -123,10 +130,12 @@ def run_curation(
     # users first: the written user layer is the sampled key set, so the referential filters of
     # reviews and tips read its key column instead of parsing the raw user files again
     # (sampling it again inside ``curate`` is idempotent).
-    for name in sorted(raw, key=lambda n: n != "user"):
+    outputs = [n for n in curate(raw, p)]
+    for name in sorted(outputs, key=lambda n: n != "user"):
+        source = SOURCE_OF.get(name, name)
         counter = StepCounter(name)
         # Only this step's input carries the observation.
-        plan = curate({**raw, name: counter.input(raw[name])}, p)[name]
+        plan = curate({**raw, source: counter.input(raw[source])}, p)[name]
         if buckets and name in VENUE_KEYED:
             (
                 counter.output(plan).write.format(fmt).mode("overwrite")
@@ -148,12 +157,21 @@ def _parse_review_dates(df: DataFrame) -> DataFrame:
     return df.withColumn("date", as_timestamp(df, "date"))
 
 
-def curated_specs(base_dir: str, fmt: str = "parquet") -> dict[str, SourceSpec]:
-    """Source specs for the analytics views over curated layers (dates parsed once, visits long)."""
+def curated_specs(base_dir: str, fmt: str = "parquet", long_visits: bool = True) -> dict[str, SourceSpec]:
+    """Source specs for the analytics views over curated layers.
+
+    Visits come from the typed long-form ``visit`` layer written by the curation; with
+    ``long_visits=False`` (layers from elsewhere) the packed ``checkin`` layer is expanded on read.
+    """
+    visits = (
+        SourceSpec(fmt, f"{base_dir}/visit")
+        if long_visits
+        else SourceSpec(fmt, f"{base_dir}/checkin", normalize=expand_visits)
+    )
     return {
         "business": SourceSpec(fmt, f"{base_dir}/business"),
         "reviews": SourceSpec(fmt, f"{base_dir}/review", normalize=_parse_review_dates),
         "tips": SourceSpec(fmt, f"{base_dir}/tip"),
         "users": SourceSpec(fmt, f"{base_dir}/user"),
-        "checkins": SourceSpec(fmt, f"{base_dir}/checkin", normalize=expand_visits),
+        "checkins": visits,
     }

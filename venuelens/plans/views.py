@@ -72,7 +72,7 @@ def table_views(spark: SparkSession, curated_dir: str, table_prefix: str = "cura
         "reviews": parse_dates(spark.table(f"{table_prefix}_review")),
         "tips": spark.table(f"{table_prefix}_tip"),
         "users": spark.read.format(fmt).load(f"{curated_dir}/user"),
-        "checkins": expand_visits(spark.table(f"{table_prefix}_checkin")),
+        "checkins": spark.table(f"{table_prefix}_visit"),
     }
 
 
