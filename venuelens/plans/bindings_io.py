@@ -248,7 +248,8 @@ def q_curate_stream(spark, d):
     def transform(stream):
         return curate_facts(stream, keys, "o_custkey", "c_custkey", "o_orderdate", BIND_PARAMS, "o_orderkey")
 
-    for i, batch in enumerate((orders.filter("o_orderstatus = 'F'"), orders.filter("o_orderstatus <> 'F'"))):
+    first = F.col("o_orderstatus").eqNullSafe("F")
+    for i, batch in enumerate((orders.filter(first), orders.filter(~first))):  # every order arrives once
         write_layer(batch, f"{src}/arrival={i}", fmt="json")
         q = append_to_layer(spark, stream_files(spark, f"{src}/*", ORDERS, transform), out, ckpt)
         q.awaitTermination()
