@@ -72,6 +72,9 @@ def local_session(cores: int | str = 8, app: str = "venuelens", memory: str = "8
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # call-site capture for DataFrame error messages costs py4j round trips on every
+        # DataFrame/Column call; non-interactive runs do not need it
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
