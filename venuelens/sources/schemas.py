@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 S, L, D = T.StringType(), T.LongType(), T.DoubleType()
 
 
+# Every field name below is a key of the venue data's JSON records (and of the
+# relational targets' columns); they must match the data as written.
+
+
 def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
