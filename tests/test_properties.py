@@ -36,7 +36,7 @@ def test_year_predicate(spark, values, lo, span):
 
 
 packed = st.lists(
-    st.builds(lambda pad, s, pad2: pad + s + pad2, st.sampled_from(["", " ", "  ", "\t"]), stamp_text.filter(lambda x: x is not None and "," not in x), st.sampled_from(["", " "])),
+    st.builds(lambda pad, s, pad2: pad + s + pad2, st.sampled_from(["", " ", "  ", "\t", "\xa0", "\u3000 "]), stamp_text.filter(lambda x: x is not None and "," not in x), st.sampled_from(["", " ", "\u2009"])),
     max_size=6,
 ).map(lambda xs: ",".join(xs))
 

@@ -16,8 +16,15 @@ from pyspark.sql import types as T
 from ..functions.dates import year_bounds, year_in_range
 from ..functions.sampling import hash_keep
 
-# Fixed value: characters stripped around each packed stamp (ASCII whitespace).
-STAMP_WHITESPACE = " \t\n\r\x0b\x0c"
+# Characters stripped around each packed stamp - every Unicode whitespace character
+# (tab, line feed, vertical tab, form feed, carriage return, the four information separators,
+# space, next line, no-break space, ogham space, the en quad .. hair space range, line and
+# paragraph separators, narrow no-break space, medium mathematical space, ideographic space).
+STAMP_WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def _q(name: str) -> Column:
