@@ -178,3 +178,14 @@ def test_bucketed_layers_need_no_shuffle_for_venue_work(spark):
     bucketed = answer_all(views, segments=False)
     for k in ("category_rating", "yoy_change", "rolling_gap", "daypart_leaders", "traffic_vs_rating"):
         assert sorted(map(tuple, plain[k].collect()), key=repr) == sorted(map(tuple, bucketed[k].collect()), key=repr), k
+
+
+def test_malformed_lines_are_counted_and_dropped(spark):
+    base = shared_path(spark, "test", "raw_bad")
+    good = '{"business_id": "b1", "name": "A", "city": "X", "state": "S", "stars": 4.0, "address": "z"}'
+    spark.sparkContext.parallelize([good, "{not json", good.replace("b1", "b2")], 1).saveAsTextFile(f"{base}/business")
+    out = shared_path(spark, "test", "curated_bad")
+    summary = {r.step: r for r in run_curation(spark, {"business": f"{base}/business"}, out).collect()}
+    assert (summary["business"].rows_read, summary["business"].rows_written) == (3, 2)
+    rows = spark.read.parquet(f"{out}/business").collect()
+    assert sorted(r.business_id for r in rows) == ["b1", "b2"] and "address" not in rows[0].asDict()

@@ -12,6 +12,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.sampling import hash_keep
 from ..operators.curation import (
@@ -106,6 +107,8 @@ def curate(raw: Mapping[str, DataFrame], p: CurationParams = CurationParams()) -
 SOURCE_OF = {"visit": "checkin"}
 
 
+CORRUPT = "_corrupt_record"
+
 # Entities that join on the venue key; bucketing them by it co-locates every question's joins.
 VENUE_KEYED = ("business", "review", "tip", "checkin", "visit")
 
@@ -125,7 +128,10 @@ def run_curation(
     bucketed and sorted by ``business_id`` into the same number of buckets (files still under
     ``out_dir``): per-venue aggregations and venue joins over them need no shuffle.
     """
-    raw = {name: read_json_lines(spark, path, ENTITY_SCHEMAS[name]) for name, path in raw_paths.items()}
+    raw = {
+        name: read_json_lines(spark, path, ENTITY_SCHEMAS[name], corrupt_column=CORRUPT)
+        for name, path in raw_paths.items()
+    }
     counters = []
     # users first: the written user layer is the sampled key set, so the referential filters of
     # reviews and tips read its key column instead of parsing the raw user files again
@@ -135,7 +141,9 @@ def run_curation(
         source = SOURCE_OF.get(name, name)
         counter = StepCounter(name)
         # Only this step's input carries the observation.
-        plan = curate({**raw, source: counter.input(raw[source])}, p)[name]
+        # malformed lines are counted as read, then dropped (never written as rows of NULLs)
+        parsed = counter.input(raw[source]).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        plan = curate({**{k: v.drop(CORRUPT) for k, v in raw.items()}, source: parsed}, p)[name]
         if buckets and name in VENUE_KEYED:
             (
                 counter.output(plan).write.format(fmt).mode("overwrite")
@@ -147,7 +155,8 @@ def run_curation(
             write_layer(counter.output(plan), f"{out_dir}/{name}", fmt=fmt)
         counters.append(counter)
         if name == "user":
-            raw = {**raw, "user": spark.read.format(fmt).load(f"{out_dir}/user").select("user_id")}
+            keys = spark.read.format(fmt).load(f"{out_dir}/user").select("user_id")
+            raw = {**raw, "user": keys.withColumn(CORRUPT, F.lit(None).cast("string"))}
     return step_summary(spark, counters)
 
 
