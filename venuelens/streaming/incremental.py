@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -28,13 +29,23 @@ def stream_files(
     fmt: str = "json",
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """``transform`` applied to a file stream read with a declared schema (no inference)."""
+    """``transform`` applied to a file stream read with a declared schema (no inference).
+
+    JSON lines that do not parse are dropped before the transform (never passed on as rows of
+    NULLs).
+    """
+    corrupt = "_corrupt_record"
+    if fmt == "json":
+        schema = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType(), True)])
     reader = spark.readStream.format(fmt).schema(schema)
     if fmt == "json":
-        reader = reader.option("mode", "PERMISSIVE")
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return transform(reader.load(source_dir))
+    stream = reader.load(source_dir)
+    if fmt == "json":
+        stream = stream.filter(F.col(corrupt).isNull()).drop(corrupt)
+    return transform(stream)
 
 
 def append_to_layer(
