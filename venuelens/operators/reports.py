@@ -13,14 +13,17 @@ from .loads import _path_exists
 def layer_report(spark: SparkSession, layers: Mapping[str, str], fmt: str = "parquet") -> DataFrame:
     """Per layer: records, files and MB (10^6 bytes) from the files' metadata, plus a TOTAL row.
 
-    Missing layers are skipped. Rows are counted per file with map-side partial counts; sizes
-    come from ``_metadata.file_size`` once per file.
+    Missing layers are skipped. Rows are counted per file with map-side partial counts (JSON-lines
+    layers are read as text lines, not parsed); sizes come from ``_metadata.file_size`` once per
+    file.
     """
     parts = []
     for name, path in layers.items():
         if not _path_exists(spark, path):
             continue
-        df = spark.read.format(fmt).load(path).select(
+        # JSON lines: one record per line, so count lines as text (no JSON parsing)
+        reader = spark.read.format("text") if fmt == "json" else spark.read.format(fmt)
+        df = reader.load(path).select(
             F.lit(name).alias("layer"),
             F.col("_metadata.file_path").alias("__f"),
             F.col("_metadata.file_size").alias("__sz"),
