@@ -145,8 +145,9 @@ def test_layer_report_counts_json_lines(spark):
     from venuelens.operators.reports import layer_report, size_delta
 
     path = shared_path(spark, "test", "json_layer")
-    spark.createDataFrame([(i, "x" * i) for i in range(5)], "k int, v string").repartition(2).write.json(path)
+    spark.createDataFrame([(i, "x" * 60) for i in range(3000)], "k int, v string").repartition(2).write.json(path)
     rep = {r.layer: r for r in layer_report(spark, {"l": path, "missing": path + "_nope"}, fmt="json").collect()}
-    assert set(rep) == {"l", "TOTAL"} and rep["l"].records == 5 and rep["l"].files == 2 and rep["l"].mb > 0
+    assert set(rep) == {"l", "TOTAL"} and rep["l"].records == 3000 and rep["l"].files == 2
+    assert rep["l"].mb > 0.1 and rep["TOTAL"].mb == rep["l"].mb
     delta = size_delta(layer_report(spark, {"l": path}, fmt="json"), layer_report(spark, {"l": path}, fmt="json"))
     assert {r.layer: r.pct_change for r in delta.collect()} == {"l": 0.0, "TOTAL": 0.0}
