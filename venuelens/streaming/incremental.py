@@ -81,12 +81,19 @@ def curate_stream(
 ) -> DataFrame:
     """A streaming frame of curated ``entity`` rows from files landing in ``source_dir``.
 
-    ``users`` is the raw user frame (static) for the referential filter of reviews and tips.
+    ``users`` is the raw user frame (static) for the referential filter of reviews and tips. Its
+    sampled keys are written once when the stream is defined, so each micro-batch joins against
+    that small table instead of re-reading and re-sampling all users (sampling again inside the
+    curation is idempotent: the same key-hash predicate).
     """
+    keys = None
+    if users is not None and entity != "user":
+        keys = materialize(curate({"user": users}, p)["user"].select("user_id"))
+
     def transform(stream: DataFrame) -> DataFrame:
         raw = {entity: stream}
-        if users is not None and entity != "user":
-            raw["user"] = users
+        if keys is not None:
+            raw["user"] = keys
         return curate(raw, p)[entity]
 
     return stream_files(spark, source_dir, ENTITY_SCHEMAS[entity], transform, "json", max_files_per_trigger)
