@@ -189,3 +189,15 @@ def test_malformed_lines_are_counted_and_dropped(spark):
     assert (summary["business"].rows_read, summary["business"].rows_written) == (3, 2)
     rows = spark.read.parquet(f"{out}/business").collect()
     assert sorted(r.business_id for r in rows) == ["b1", "b2"] and "address" not in rows[0].asDict()
+
+
+def test_remote_normalizers_widen_ratings(spark):
+    from venuelens.plans.views import remote_specs
+    from venuelens.sources import JdbcSpec
+
+    specs = remote_specs({"business": "m", "tips": "m", "checkins": "m"}, JdbcSpec("j", "reviews"), JdbcSpec("j", "users"))
+    reviews = spark.createDataFrame([("r1", 4.5, "2019-01-02 03:04:05")], "review_id string, stars float, date string")
+    out = specs["reviews"].normalize(reviews)
+    assert dict(out.dtypes) == {"review_id": "string", "stars": "double", "date": "timestamp_ntz"}
+    users = spark.createDataFrame([("u1", 3.5)], "user_id string, average_stars float")
+    assert dict(specs["users"].normalize(users).dtypes)["average_stars"] == "double"

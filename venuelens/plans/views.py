@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.dates import as_timestamp
 from ..operators.curation import expand_visits
@@ -23,6 +24,10 @@ def parse_dates(df: DataFrame) -> DataFrame:
     return df.withColumn("date", as_timestamp(df, "date"))
 
 
+def as_double(df: DataFrame, column: str) -> DataFrame:
+    return df.withColumn(column, F.col(column).cast("double")) if column in df.columns else df
+
+
 def remote_specs(
     docstore_uris: Mapping[str, str],
     reviews: JdbcSpec,
@@ -53,8 +58,9 @@ def remote_specs(
         "business": doc("business"),
         "tips": doc("tips"),
         "checkins": doc("checkins", expand_visits),
-        "reviews": rel(reviews, parse_dates),
-        "users": rel(users),
+        # single-precision ratings in the relational tables are widened to double on read
+        "reviews": rel(reviews, lambda df: parse_dates(as_double(df, "stars"))),
+        "users": rel(users, lambda df: as_double(df, "average_stars")),
     }
 
 
