@@ -70,3 +70,11 @@ def test_json_layer_keeps_utf8(spark):
     text = "".join(open(f, encoding="utf-8").read() for f in glob.glob(os.path.join(local, "part-*")))
     assert "Café Zürich" in text and "\\u00e9" not in text
     assert text.count("\n") == 1  # one record per line
+
+
+def test_jdbc_write_caps_connections():
+    from venuelens.sources.jdbc import write_options
+
+    opts = write_options(JdbcSpec("jdbc:x", "users", num_partitions=16, batchsize=500))
+    assert opts["numPartitions"] == "16" and opts["batchsize"] == "500" and opts["dbtable"] == "users"
+    assert "numPartitions" not in write_options(JdbcSpec("jdbc:x", "users"))

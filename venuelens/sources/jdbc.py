@@ -80,6 +80,16 @@ def read_jdbc(spark: SparkSession, spec: JdbcSpec) -> DataFrame:
     return reader.load()
 
 
+def write_options(spec: JdbcSpec) -> dict[str, str]:
+    """Writer options: the connection options plus, when ``num_partitions`` is set, Spark's cap on
+    concurrent connections (the frame is coalesced to at most that many writing tasks)."""
+    opts = {**spec.options(), "dbtable": spec.table}
+    if spec.num_partitions:
+        opts["numPartitions"] = str(spec.num_partitions)
+    return opts
+
+
 def write_jdbc(df: DataFrame, spec: JdbcSpec, mode: str = "append") -> None:
-    """Write rows; each task inserts its partition in batches of ``spec.batchsize``."""
-    df.write.format("jdbc").options(**spec.options()).option("dbtable", spec.table).mode(mode).save()
+    """Write rows; each task inserts its partition in batches of ``spec.batchsize``, with at most
+    ``spec.num_partitions`` tasks (connections) at once."""
+    df.write.format("jdbc").options(**write_options(spec)).mode(mode).save()
