@@ -86,3 +86,64 @@ def test_hash_sample(spark, keys, fraction, salt):
     limit = int(fraction * 2**32)
     want = {k for k in keys if int(hashlib.md5(f"{salt}|{k}".encode()).hexdigest()[:8], 16) < limit}
     assert got == want
+
+
+from venuelens.plans.venue_queries import rolling_gap, yoy_change  # noqa: E402
+
+month_rows = st.lists(
+    st.tuples(st.sampled_from(["b1", "b2", "b3"]), st.integers(0, 14), st.integers(1, 5)), min_size=1, max_size=60
+)
+
+
+def half_up(x, digits=2):
+    """Spark's ROUND on a double: the shortest decimal form of the value, rounded half up."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
+
+
+def _brute_gaps(rows, calendar, min_reviews):
+    by = {}
+    for b, m, s in rows:
+        by.setdefault(b, {}).setdefault(m, []).append(s)
+    out = set()
+    for b, months in by.items():
+        ms = sorted(months)
+        means = {m: sum(v) / len(v) for m, v in months.items()}
+        for i, m in enumerate(ms):
+            window = [x for x in ms if m - 2 <= x <= m] if calendar else ms[max(0, i - 2): i + 1]
+            roll = sum(means[x] for x in window) / len(window)
+            if len(months[m]) >= min_reviews:
+                out.add((b, m, half_up(means[m]), half_up(roll), half_up(means[m] - roll)))
+    return out
+
+
+@SETTINGS
+@given(month_rows, st.booleans(), st.integers(1, 3))
+def test_rolling_gap_brute_force(spark, rows, calendar, min_reviews):
+    data = [(f"r{i}", b, float(s), f"{2020 + m // 12}-{m % 12 + 1:02d}-15 00:00:00") for i, (b, m, s) in enumerate(rows)]
+    reviews = spark.createDataFrame(data, "review_id string, business_id string, stars double, date string")
+    venues = spark.createDataFrame([("b1", "x"), ("b2", "y"), ("b3", "z")], "business_id string, name string")
+    got = rolling_gap(reviews, venues, min_reviews=min_reviews, top_k=1000, calendar=calendar).collect()
+    got = {(r.business_id, (r.review_month.year - 2020) * 12 + r.review_month.month - 1, r.current_month_rating,
+            r.rolling_avg_rating, r.performance_gap) for r in got}
+    assert got == _brute_gaps(rows, calendar, min_reviews)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["S", "T"]), st.integers(2015, 2022)), min_size=1, max_size=50), st.booleans())
+def test_yoy_brute_force(spark, rows, calendar):
+    data = [(f"r{i}", f"b{s}", f"{y}-06-01") for i, (s, y) in enumerate(rows)]
+    reviews = spark.createDataFrame(data, "review_id string, business_id string, date string")
+    venues = spark.createDataFrame([("bS", "S"), ("bT", "T")], "business_id string, state string")
+    got = {(r.state, r.yr): (r.reviews, r.yoy_pct_change) for r in yoy_change(reviews, venues, calendar=calendar).collect()}
+    counts = {}
+    for s, y in rows:
+        counts[(s, y)] = counts.get((s, y), 0) + 1
+    for (s, y), n in counts.items():
+        years = sorted(yy for (ss, yy) in counts if ss == s)
+        prev_year = (y - 1) if calendar else (years[years.index(y) - 1] if years.index(y) > 0 else None)
+        prev = counts.get((s, prev_year)) if prev_year is not None else None
+        want = None if prev is None else half_up((n - prev) / prev * 100, 1)
+        assert got[(s, y)][0] == n
+        assert (got[(s, y)][1] is None and want is None) or abs(got[(s, y)][1] - want) < 1e-9
