@@ -187,3 +187,10 @@ def test_merge_by_id(spark, views):
     assert "business_id" in by_id.columns and by_id.count() > 0
     leaders = vq.category_leaders(views["reviews"], views["business"], min_reviews=5, by="business_id")
     assert "business_id" in leaders.columns and leaders.count() > 0
+
+
+def test_traffic_vs_rating_both_rank_paths(spark, views):
+    kw = dict(min_reviews=5, traffic_at_least=0.5, rating_at_most=0.5, top_k=30)
+    window = vq.traffic_vs_rating(views["checkins"], views["reviews"], views["business"], **kw)
+    hist = vq.traffic_vs_rating(views["checkins"], views["reviews"], views["business"], window_rows=0, **kw)
+    assert same(window, hist) > 0

@@ -326,11 +326,14 @@ def traffic_vs_rating(
     rating_at_most: float = 0.25,
     top_k: int = 30,
     materialize_venues: bool = True,
+    window_rows: int = 2_000_000,
 ) -> DataFrame:
     """Busy but poorly rated venues: within each group, traffic percent rank >= 0.90 and
     rating percent rank <= 0.25 among venues with visits and >= ``min_reviews`` reviews.
 
-    Percent ranks run on value histograms, not on the rows (see ``percent_rank_by_histogram``).
+    The venue frame is written once (its row count observed). Up to ``window_rows`` venues the
+    percent ranks are built-in windows over it; beyond that they run on value histograms (see
+    ``percent_ranks_by_histogram``), so no group is ever windowed whole in one task.
     """
     checkins = visits.groupBy("business_id").agg(F.count(F.lit(1)).alias("__checkins"))
     revs = reviews.groupBy("business_id").agg(
@@ -351,19 +354,28 @@ def traffic_vs_rating(
         )
         .filter((F.col("total_checkins") > 0) & (F.col("total_reviews") >= min_reviews))
     )
-    # One row per venue feeding the rows and both histograms: checkpoint it so the visit and
-    # review facts are scanned once, not once per branch.
+    # One row per venue feeding the rows and both ranks: write it once so the visit and review
+    # facts are scanned once, not once per branch; its row count is observed on that write.
+    rows = None
     if materialize_venues:
-        combined = materialize(combined)
-    # The rows joined back are the materialized venue frame (with real size statistics), not
-    # facts: the join strategy is left to the planner and AQE instead of a separate size check.
-    ranked = percent_ranks_by_histogram(
-        combined,
-        [group],
-        ["total_checkins", "avg_review_stars"],
-        ["__tpr", "__rpr"],
-        broadcast_rows=None if materialize_venues else 500_000,
-    )
+        combined, rows = materialize(combined, count=True)
+    if rows is not None and rows <= window_rows:
+        # bounded frame: the built-in window is exact, and even a state holding all the rows
+        # stays within the bound in its one task
+        w = Window.partitionBy(group)
+        ranked = combined.withColumn(
+            "__tpr", F.percent_rank().over(w.orderBy("total_checkins"))
+        ).withColumn("__rpr", F.percent_rank().over(w.orderBy("avg_review_stars")))
+    else:
+        # unbounded: histogram form; the rows joined back are the materialized venue frame (with
+        # real size statistics), so the join strategy is left to the planner and AQE
+        ranked = percent_ranks_by_histogram(
+            combined,
+            [group],
+            ["total_checkins", "avg_review_stars"],
+            ["__tpr", "__rpr"],
+            broadcast_rows=None if materialize_venues else 500_000,
+        )
     out = ranked.select(
         "business_id",
         "name",
