@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import as_timestamp
 from ..functions.sampling import hash_keep
 from ..operators.curation import (
     cascade_semi,
@@ -160,9 +161,8 @@ def run_curation(
     return step_summary(spark, counters)
 
 
-def _parse_review_dates(df: DataFrame) -> DataFrame:
-    from ..functions.dates import as_timestamp
-
+def parse_dates(df: DataFrame) -> DataFrame:
+    """The text ``date`` column as ``timestamp_ntz`` (NULL when it does not parse)."""
     return df.withColumn("date", as_timestamp(df, "date"))
 
 
@@ -179,7 +179,7 @@ def curated_specs(base_dir: str, fmt: str = "parquet", long_visits: bool = True)
     )
     return {
         "business": SourceSpec(fmt, f"{base_dir}/business"),
-        "reviews": SourceSpec(fmt, f"{base_dir}/review", normalize=_parse_review_dates),
+        "reviews": SourceSpec(fmt, f"{base_dir}/review", normalize=parse_dates),
         "tips": SourceSpec(fmt, f"{base_dir}/tip"),
         "users": SourceSpec(fmt, f"{base_dir}/user"),
         "checkins": visits,

@@ -8,22 +8,17 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import as_timestamp
 from ..operators.curation import expand_visits
 from ..sources.docstore import docstore_options
 from ..sources.jdbc import JdbcSpec
 from ..sources.switch import SourceSpec, load_views
 from . import segmentation as seg
 from . import venue_queries as vq
-from .curate import curated_specs
+from .curate import curated_specs, parse_dates
 
 VIEW_NAMES = ("business", "reviews", "tips", "users", "checkins")
 
 
-def parse_dates(df: DataFrame) -> DataFrame:
-    return df.withColumn("date", as_timestamp(df, "date"))
-
-
 def as_double(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.col(column).cast("double")) if column in df.columns else df
 
