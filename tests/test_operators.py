@@ -151,3 +151,15 @@ def test_layer_report_counts_json_lines(spark):
     assert rep["l"].mb > 0.1 and rep["TOTAL"].mb == rep["l"].mb
     delta = size_delta(layer_report(spark, {"l": path}, fmt="json"), layer_report(spark, {"l": path}, fmt="json"))
     assert {r.layer: r.pct_change for r in delta.collect()} == {"l": 0.0, "TOTAL": 0.0}
+
+
+def test_price_tier_edges(spark):
+    """Tier "2" -> 2, "None" -> not a number (out of the matrix), NULL -> excluded by the question."""
+    from venuelens.plans import venue_queries as vq
+
+    rows = [("v1", "A", "2", 4.0, 1), ("v2", "A", "None", 3.0, 1), ("v3", "A", None, 5.0, 1), ("v4", "A", "2", 2.0, 1)]
+    venues = spark.createDataFrame(rows, "business_id string, categories string, tier string, stars double, is_open int")
+    tiers = vq.price_tier_rating(venues, tier="tier", min_venues=1)
+    assert sorted((r.price_tier, r.total_venues) for r in tiers.collect()) == [("2", 2), ("None", 1)]
+    matrix = vq.price_tier_matrix(tiers).collect()
+    assert [(r.category, r.tier_1, r.tier_2, r.tier_3, r.tier_4) for r in matrix] == [("A", None, 3.0, None, None)]
