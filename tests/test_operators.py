@@ -163,3 +163,14 @@ def test_price_tier_edges(spark):
     assert sorted((r.price_tier, r.total_venues) for r in tiers.collect()) == [("2", 2), ("None", 1)]
     matrix = vq.price_tier_matrix(tiers).collect()
     assert [(r.category, r.tier_1, r.tier_2, r.tier_3, r.tier_4) for r in matrix] == [("A", None, 3.0, None, None)]
+
+
+def test_moments_match_builtin_with_nulls(spark):
+    from venuelens.functions.stats import mean_from_moments, merge_moments, moments, pop_stddev_from_moments
+
+    rows = [("a", "v1", 1.0), ("a", "v1", 2.0), ("a", "v2", None), ("b", "v3", None), ("c", "v4", 5.0)]
+    df = spark.createDataFrame(rows, "g string, k string, x double")
+    parts = df.groupBy("g", "k").agg(*moments("x")).groupBy("g").agg(*merge_moments())
+    got = {r.g: (r._rows, r.m, r.sd) for r in parts.select("g", "_rows", mean_from_moments().alias("m"), pop_stddev_from_moments().alias("sd")).collect()}
+    want = {r.g: (r.n, r.m, r.sd) for r in df.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("m"), F.stddev_pop("x").alias("sd")).collect()}
+    assert got == want

@@ -30,7 +30,8 @@ def mean_from_moments(prefix: str = "_") -> Column:
 
 
 def pop_stddev_from_moments(prefix: str = "_") -> Column:
-    """Population standard deviation sqrt(E[x^2] - E[x]^2), floored at 0 against rounding."""
+    """Population standard deviation sqrt(E[x^2] - E[x]^2), floored at 0 against rounding;
+    NULL when there is no non-NULL value (as ``stddev_pop``)."""
     mean = mean_from_moments(prefix)
     var = F.try_divide(F.col(f"{prefix}ss"), F.col(f"{prefix}n")) - mean * mean
-    return F.sqrt(F.greatest(var, F.lit(0.0)))
+    return F.when(F.col(f"{prefix}n") > 0, F.sqrt(F.greatest(var, F.lit(0.0))))
