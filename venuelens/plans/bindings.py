@@ -294,6 +294,41 @@ def q_category_leaders(spark, d):
     )
 
 
+@register(
+    "review_cube",
+    """
+SELECT l_suppkey AS business_id, CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS review_month,
+       COUNT(*) AS reviews, COUNT(l_quantity) AS rated, SUM(l_quantity) AS stars_sum,
+       SUM(l_quantity * l_quantity) AS stars_sq, COUNT(l_orderkey) AS review_ids
+FROM lineitem GROUP BY l_suppkey, date_trunc('month', l_shipdate)
+""",
+)
+def q_review_cube(spark, d):
+    reviews = table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("review_id"),
+        F.col("l_suppkey").alias("business_id"),
+        F.col("l_quantity").alias("stars"),
+        F.col("l_shipdate").alias("date"),
+    )
+    return vq.review_cube(reviews)
+
+
+@register(
+    "visit_cube",
+    """
+SELECT user_id AS business_id,
+       CASE WHEN hour(ts) BETWEEN 6 AND 11 THEN 'Morning (6-12)'
+            WHEN hour(ts) BETWEEN 12 AND 17 THEN 'Afternoon (12-18)'
+            WHEN hour(ts) BETWEEN 18 AND 23 THEN 'Evening (18-24)'
+            ELSE 'Night/Early Morning (0-6)' END AS day_segment,
+       COUNT(*) AS visits
+FROM events GROUP BY 1, 2
+""",
+)
+def q_visit_cube(spark, d):
+    return vq.visit_cube(visits_from_events(spark, d))
+
+
 @register(
     "leaders_profile",
     """

@@ -22,9 +22,14 @@ from ..session import materialize
 FEATURES = ("stars", "review_count", "total_checkins")
 
 
-def segment_features(venues: DataFrame, visits: DataFrame) -> DataFrame:
+def segment_features(
+    venues: DataFrame, visits: DataFrame | None, visits_by_part: DataFrame | None = None
+) -> DataFrame:
     """Venues with a rating and a review count, plus their visit count (0 when none)."""
-    counts = visits.groupBy("business_id").agg(F.count(F.lit(1)).alias("total_checkins"))
+    if visits_by_part is not None:
+        counts = visits_by_part.groupBy("business_id").agg(F.sum("visits").alias("total_checkins"))
+    else:
+        counts = visits.groupBy("business_id").agg(F.count(F.lit(1)).alias("total_checkins"))
     v = venues.select("business_id", "name", "stars", "review_count").filter(
         F.col("review_count").isNotNull() & F.col("stars").isNotNull()
     )

@@ -41,6 +41,27 @@ def explode_categories(
     return venues.select(*keep, F.explode(split_trim(column, sep)).alias("category"))
 
 
+def review_cube(reviews: DataFrame) -> DataFrame:
+    """Reviews aggregated once per (venue, month): every per-venue and per-period measure of the
+    questions (counts, rated counts, sums and sums of squares of the rating, review-id counts)
+    can be rolled up from it exactly, so a full report scans the review facts once."""
+    month = month_start(as_timestamp(reviews, "date"))
+    return reviews.groupBy("business_id", month.alias("review_month")).agg(
+        F.count(F.lit(1)).alias("reviews"),
+        F.count("stars").alias("rated"),
+        F.sum("stars").alias("stars_sum"),
+        F.sum(F.col("stars") * F.col("stars")).alias("stars_sq"),
+        F.count("review_id").alias("review_ids"),
+    )
+
+
+def visit_cube(visits: DataFrame) -> DataFrame:
+    """Visits aggregated once per (venue, day part); per-venue visit counts roll up from it."""
+    return visits.groupBy("business_id", day_part("checkin_ts").alias("day_segment")).agg(
+        F.count(F.lit(1)).alias("visits")
+    )
+
+
 # --------------------------------------------------------------------------------------------
 # Q1 market opportunity
 # --------------------------------------------------------------------------------------------
@@ -85,15 +106,15 @@ def daypart_leaders(
     cities: Sequence[str] | None = DAYPART_CITIES,
     top_k: int = 3,
     by: str = "name",
+    visits_by_part: DataFrame | None = None,
 ) -> DataFrame:
     """Top venues per (city, day part) by visit count, rank with gaps ``<= k``.
 
     ``by="name"`` groups by (city, name, part) as the original question does: branches of a chain
     in one city merge. ``by="business_id"`` keeps venues apart.
     """
-    per_venue = visits.groupBy(
-        "business_id", day_part("checkin_ts").alias("day_segment")
-    ).agg(F.count(F.lit(1)).alias("__n"))
+    cube = visits_by_part if visits_by_part is not None else visit_cube(visits)
+    per_venue = cube.select("business_id", "day_segment", F.col("visits").alias("__n"))
     v = venues
     if cities is not None:
         v = v.filter(F.col("city").isin(list(cities)))
@@ -125,13 +146,20 @@ def category_rating(
     sep: str = ", ",
     min_reviews: int = 1000,
     top_k: int = 15,
+    cube: DataFrame | None = None,
 ) -> DataFrame:
     """Mean and population deviation of review ratings per category; >= ``min_reviews`` reviews.
 
     Reviews are reduced to moments per venue first, then joined to the exploded categories and
     combined, so the largest table is never multiplied by the categories per venue.
     """
-    per_venue = reviews.groupBy("business_id").agg(*moments("stars"))
+    if cube is not None:
+        per_venue = cube.groupBy("business_id").agg(
+            F.sum("reviews").alias("_rows"), F.sum("rated").alias("_n"),
+            F.sum("stars_sum").alias("_s"), F.sum("stars_sq").alias("_ss"),
+        )
+    else:
+        per_venue = reviews.groupBy("business_id").agg(*moments("stars"))
     cats = explode_categories(venues.filter(F.col("categories").isNotNull()), sep)
     per_cat = cats.join(per_venue, "business_id").groupBy("category").agg(*merge_moments())
     out = per_cat.filter(F.col("_rows") >= min_reviews).select(
@@ -188,14 +216,20 @@ def category_leaders(
     min_reviews: int = 20,
     top_k: int = 3,
     by: str = "name",
+    cube: DataFrame | None = None,
 ) -> DataFrame:
     """Top venues per category by review count then mean rating (dense rank ``<= k``).
 
     The rank orders on the unrounded mean; the output mean is rounded to 2.
     """
-    per_venue = reviews.groupBy("business_id").agg(
-        F.count("review_id").alias("__cnt"), F.sum("stars").alias("__s"), F.count("stars").alias("__ns")
-    )
+    if cube is not None:
+        per_venue = cube.groupBy("business_id").agg(
+            F.sum("review_ids").alias("__cnt"), F.sum("stars_sum").alias("__s"), F.sum("rated").alias("__ns")
+        )
+    else:
+        per_venue = reviews.groupBy("business_id").agg(
+            F.count("review_id").alias("__cnt"), F.sum("stars").alias("__s"), F.count("stars").alias("__ns")
+        )
     keep = ["business_id", "name"]
     cats = explode_categories(venues.filter(F.col("categories").isNotNull()), sep, keep=keep)
     key = ["name"] if by == "name" else ["business_id", "name"]
@@ -284,14 +318,23 @@ def reviewer_influence(
 # Q7 year-over-year change
 # --------------------------------------------------------------------------------------------
 def yoy_change(
-    reviews: DataFrame, venues: DataFrame, group: str = "state", calendar: bool = False
+    reviews: DataFrame | None,
+    venues: DataFrame,
+    group: str = "state",
+    calendar: bool = False,
+    cube: DataFrame | None = None,
 ) -> DataFrame:
     """Reviews per (group, year) and % change on the previous *present* year (NULL first).
 
     ``calendar=True`` compares with year - 1 only (a RANGE frame): NULL when that year is absent.
     """
-    yr = F.year(as_timestamp(reviews, "date"))
-    per_venue = reviews.groupBy("business_id", yr.alias("yr")).agg(F.count(F.lit(1)).alias("__n"))
+    if cube is not None:
+        per_venue = cube.groupBy("business_id", F.year("review_month").alias("yr")).agg(
+            F.sum("reviews").alias("__n")
+        )
+    else:
+        yr = F.year(as_timestamp(reviews, "date"))
+        per_venue = reviews.groupBy("business_id", yr.alias("yr")).agg(F.count(F.lit(1)).alias("__n"))
     yearly = (
         per_venue.join(venues.select("business_id", group), "business_id")
         .groupBy(group, "yr")
@@ -327,6 +370,8 @@ def traffic_vs_rating(
     top_k: int = 30,
     materialize_venues: bool = True,
     window_rows: int = 2_000_000,
+    cube: DataFrame | None = None,
+    visits_by_part: DataFrame | None = None,
 ) -> DataFrame:
     """Busy but poorly rated venues: within each group, traffic percent rank >= 0.90 and
     rating percent rank <= 0.25 among venues with visits and >= ``min_reviews`` reviews.
@@ -335,10 +380,19 @@ def traffic_vs_rating(
     percent ranks are built-in windows over it; beyond that they run on value histograms (see
     ``percent_ranks_by_histogram``), so no group is ever windowed whole in one task.
     """
-    checkins = visits.groupBy("business_id").agg(F.count(F.lit(1)).alias("__checkins"))
-    revs = reviews.groupBy("business_id").agg(
-        F.count(F.lit(1)).alias("__reviews"), F.round(F.avg("stars"), 2).alias("__avg")
-    )
+    if visits_by_part is not None:
+        checkins = visits_by_part.groupBy("business_id").agg(F.sum("visits").alias("__checkins"))
+    else:
+        checkins = visits.groupBy("business_id").agg(F.count(F.lit(1)).alias("__checkins"))
+    if cube is not None:
+        revs = cube.groupBy("business_id").agg(
+            F.sum("reviews").alias("__reviews"),
+            F.round(F.try_divide(F.sum("stars_sum"), F.sum("rated")), 2).alias("__avg"),
+        )
+    else:
+        revs = reviews.groupBy("business_id").agg(
+            F.count(F.lit(1)).alias("__reviews"), F.round(F.avg("stars"), 2).alias("__avg")
+        )
     combined = (
         venues.select("business_id", "name", "city", group, "stars")
         .join(checkins, "business_id", "left")
@@ -402,6 +456,7 @@ def rolling_gap(
     min_reviews: int = 5,
     top_k: int = 15,
     calendar: bool = False,
+    cube: DataFrame | None = None,
 ) -> DataFrame:
     """Monthly mean rating against its own moving mean over the last ``window_months``
     *observed* months; months with fewer than ``min_reviews`` reviews feed the moving mean but
@@ -410,10 +465,16 @@ def rolling_gap(
     ``calendar=True`` averages over the last ``window_months`` calendar months instead (a RANGE
     frame on a month number), so a gap in the history shortens the window.
     """
-    month = month_start(as_timestamp(reviews, "date"))
-    monthly = reviews.groupBy("business_id", month.alias("review_month")).agg(
-        F.count("review_id").alias("__cnt"), F.sum("stars").alias("__s"), F.count("stars").alias("__ns")
-    )
+    if cube is not None:
+        monthly = cube.select(
+            "business_id", "review_month", F.col("review_ids").alias("__cnt"),
+            F.col("stars_sum").alias("__s"), F.col("rated").alias("__ns"),
+        )
+    else:
+        month = month_start(as_timestamp(reviews, "date"))
+        monthly = reviews.groupBy("business_id", month.alias("review_month")).agg(
+            F.count("review_id").alias("__cnt"), F.sum("stars").alias("__s"), F.count("stars").alias("__ns")
+        )
     monthly = monthly.join(venues.select("business_id", "name"), "business_id").withColumn(
         "__avg", F.try_divide(F.col("__s"), F.col("__ns"))
     )

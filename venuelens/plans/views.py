@@ -14,6 +14,7 @@ from ..sources.jdbc import JdbcSpec
 from ..sources.switch import SourceSpec, load_views
 from . import segmentation as seg
 from . import venue_queries as vq
+from ..session import materialize
 from .curate import curated_specs, parse_dates
 
 VIEW_NAMES = ("business", "reviews", "tips", "users", "checkins")
@@ -77,21 +78,33 @@ def table_views(spark: SparkSession, curated_dir: str, table_prefix: str = "cura
     }
 
 
-def answer_all(views: Mapping[str, DataFrame], segments: bool = True) -> dict[str, DataFrame]:
-    """Every question over the named views, with the original thresholds and sizes."""
+def answer_all(
+    views: Mapping[str, DataFrame], segments: bool = True, shared_aggregates: bool = True
+) -> dict[str, DataFrame]:
+    """Every question over the named views, with the original thresholds and sizes.
+
+    With ``shared_aggregates`` the review facts are aggregated once per (venue, month) and the
+    visits once per (venue, day part); both are written once and every question that needs
+    per-venue or per-period measures rolls them up from there. A full report then scans each fact
+    table once (plus the (user, venue) pass of the reviewer question) instead of once per question.
+    """
     b, r, u, c = views["business"], views["reviews"], views["users"], views["checkins"]
+    rc = vc = None
+    if shared_aggregates:
+        rc = materialize(vq.review_cube(r))
+        vc = materialize(vq.visit_cube(c))
     tiers = vq.price_tier_rating(b)
-    yoy = vq.yoy_change(r, b)
-    gaps = vq.rolling_gap(r, b)
-    leaders = vq.daypart_leaders(c, b)
+    yoy = vq.yoy_change(r, b, cube=rc)
+    gaps = vq.rolling_gap(r, b, cube=rc)
+    leaders = vq.daypart_leaders(c, b, visits_by_part=vc)
     opportunity = vq.market_opportunity(b)
-    leaders_by_category = vq.category_leaders(r, b)
+    leaders_by_category = vq.category_leaders(r, b, cube=rc)
     out = {
         "market_opportunity": opportunity,
         "bubble_scale": vq.market_bubbles(opportunity),
         "daypart_leaders": leaders,
         "daypart_profile": vq.daypart_profile(leaders),
-        "category_rating": vq.category_rating(r, b),
+        "category_rating": vq.category_rating(r, b, cube=rc),
         "price_tier_rating": tiers,
         "price_tier_matrix": vq.price_tier_matrix(tiers),
         "category_leaders": leaders_by_category,
@@ -99,12 +112,12 @@ def answer_all(views: Mapping[str, DataFrame], segments: bool = True) -> dict[st
         "reviewer_influence": vq.reviewer_influence(r, u),
         "yoy_change": yoy,
         "yoy_top_groups": vq.yoy_top_groups(yoy),
-        "traffic_vs_rating": vq.traffic_vs_rating(c, r, b),
+        "traffic_vs_rating": vq.traffic_vs_rating(c, r, b, cube=rc, visits_by_part=vc),
         "rolling_gap": gaps,
         "gap_labels": vq.gap_labels(gaps),
     }
     if segments:
-        assigned, centroids = seg.segment_entities(seg.segment_features(b, c))
+        assigned, centroids = seg.segment_entities(seg.segment_features(b, c, visits_by_part=vc))
         out.update(
             entity_segments=assigned, segment_centroids=centroids, segment_profile=seg.segment_profile(assigned)
         )
