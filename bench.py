@@ -41,10 +41,13 @@ def main():
     keys = os.environ.get("BENCH_KEYS")
     keys = sorted(QUERIES) if keys == "all" else (keys.split(",") if keys else HEADLINE)
     spark = local_session(cpus, app="venuelens-bench", memory=os.environ.get("BENCH_MEMORY", "16g"))
-    times = {}
+    times, errors = {}, {}
     for k in keys:
-        run(spark, k, sf_dir)
-        times[k] = round(statistics.median(run(spark, k, sf_dir) for _ in range(repeats)), 3)
+        try:
+            run(spark, k, sf_dir)
+            times[k] = round(statistics.median(run(spark, k, sf_dir) for _ in range(repeats)), 3)
+        except Exception as e:  # a failing key is reported, the others are still measured
+            errors[k] = f"{type(e).__name__}: {str(e)[:300]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(
         json.dumps(
@@ -56,6 +59,7 @@ def main():
                 "sf": float(m.group(1)) if m else sf_dir,
                 "cpus": cpus,
                 "repeats": repeats,
+                **({"errors": errors} if errors else {}),
             }
         )
     )
