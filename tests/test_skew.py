@@ -64,3 +64,36 @@ def test_scale_conf_sizes_partitions():
     conf = scale_conf(100 * 2**40, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert scale_conf(10 * 2**20, 8)["spark.sql.shuffle.partitions"] == "24"
+
+
+def test_semi_join_hot_key_is_split_by_aqe(spark):
+    """The curation's referential semi join: a user holding a third of the facts is split by AQE."""
+    from pyspark.sql import functions as F
+
+    from venuelens.operators.curation import cascade_semi
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        uid = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("u"), (F.col("id") % 5000).cast("string")))
+        facts = spark.range(150000).select(uid.alias("user_id"), F.col("id").alias("review_id"))
+        users = spark.range(5000).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("user_id")).union(
+            spark.createDataFrame([("hot",)], "user_id string")
+        )
+        out = cascade_semi(facts, users, "user_id")
+        assert len(out.collect()) == 150000
+        assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
