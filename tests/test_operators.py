@@ -174,3 +174,15 @@ def test_moments_match_builtin_with_nulls(spark):
     got = {r.g: (r._rows, r.m, r.sd) for r in parts.select("g", "_rows", mean_from_moments().alias("m"), pop_stddev_from_moments().alias("sd")).collect()}
     want = {r.g: (r.n, r.m, r.sd) for r in df.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("m"), F.stddev_pop("x").alias("sd")).collect()}
     assert got == want
+
+
+def test_year_window_on_dates_is_pushed_down(spark):
+    path = shared_path(spark, "test", "dates")
+    spark.createDataFrame([("2017-12-31",), ("2018-01-01",), ("2021-12-31",), ("2022-01-01",)], "s string").select(
+        F.col("s").cast("date").alias("d")
+    ).write.parquet(path)
+    out = cur.year_window(spark.read.parquet(path), "d", 2018, 2021)
+    assert sorted(str(r.d) for r in out.collect()) == ["2018-01-01", "2021-12-31"]
+    assert "PushedFilters: [IsNotNull(d), GreaterThanOrEqual(d,2018-01-01), LessThan(d,2022-01-01)]" in (
+        out._jdf.queryExecution().executedPlan().toString()
+    )

@@ -7,6 +7,7 @@ per output and is written once: no intermediate file is rewritten in place.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -48,12 +49,13 @@ def year_window(df: DataFrame, column: str, year_min: int, year_max: int) -> Dat
     predicate (first four characters are digits within the range).
     """
     dtype = df.schema[column].dataType
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+    if isinstance(dtype, T.DateType):
+        # date literals keep the predicate on the bare column, so it is pushed to the scan
+        lo, hi = F.lit(dt.date(year_min, 1, 1)), F.lit(dt.date(year_max + 1, 1, 1))
+        return df.filter((_q(column) >= lo) & (_q(column) < hi))
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         lo, hi = year_bounds(year_min, year_max)
-        c = _q(column)
-        if isinstance(dtype, T.DateType):
-            c = c.cast("timestamp_ntz")
-        return df.filter((c >= lo) & (c < hi))
+        return df.filter((_q(column) >= lo) & (_q(column) < hi))
     return df.filter(year_in_range(_q(column), year_min, year_max))
 
 
