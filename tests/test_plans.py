@@ -102,3 +102,18 @@ def test_bucketed_target_is_not_shuffled(spark):
     up = _ancestors(p, target_scan)
     join = next(j for j, s in enumerate(up) if "Join" in s)
     assert not any(s.startswith("Exchange") for s in up[:join]), up[:join]
+
+
+CODEGEN_KEYS = ["daypart_leaders", "category_rating", "reviewer_influence", "yoy_change", "rolling_gap",
+                "curate", "review_cube", "visit_cube", "sample_facts", "cascade_semi"]
+
+
+@pytest.mark.parametrize("key", CODEGEN_KEYS)
+def test_fact_operators_are_code_generated(spark, key):
+    df = QUERIES[key](spark, SF)
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString()
+    final = p.split("== Final Plan ==")[1].split("== Initial Plan ==")[0] if "== Final Plan ==" in p else p
+    row_ops = ("Filter", "Project", "HashAggregate", "BroadcastHashJoin", "SortMergeJoin")
+    outside = [s.strip(" :+-") for s in final.splitlines() if s.strip(" :+-").split("(")[0].split(" ")[0] in row_ops]
+    assert not outside, outside  # every such operator line starts with a "*(n)" codegen marker
