@@ -97,3 +97,9 @@ def test_semi_join_hot_key_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_scale_conf_keys_are_spark_settings(spark):
+    jconf = spark._jsparkSession.sessionState().conf()
+    defined = {t._1() for t in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(jconf.getAllDefinedConfs())}
+    assert set(scale_conf(10**12, 800)) <= defined
