@@ -78,3 +78,61 @@ def test_jdbc_write_caps_connections():
     opts = write_options(JdbcSpec("jdbc:x", "users", num_partitions=16, batchsize=500))
     assert opts["numPartitions"] == "16" and opts["batchsize"] == "500" and opts["dbtable"] == "users"
     assert "numPartitions" not in write_options(JdbcSpec("jdbc:x", "users"))
+
+
+class _Recorder:
+    """Stands in for a session: each ``read`` is a fresh reader (as in Spark) that records its
+    options on ``load``; loads return canned bound rows."""
+
+    def __init__(self, bounds=(3, 98)):
+        self.calls, self.bounds = [], bounds
+
+    @property
+    def read(self):
+        return _Reader(self)
+
+
+class _Reader:
+    def __init__(self, rec):
+        self.rec, self.opts = rec, {}
+
+    def format(self, f):
+        self.opts["__format"] = f
+        return self
+
+    def options(self, **kw):
+        self.opts.update(kw)
+        return self
+
+    def option(self, k, v):
+        self.opts[k] = v
+        return self
+
+    def load(self):
+        self.rec.calls.append(("load", dict(self.opts)))
+        rec = self.rec
+
+        class _DF:
+            def first(self):
+                return {"lo": rec.bounds[0], "hi": rec.bounds[1]}
+
+        return _DF()
+
+
+def test_jdbc_read_is_range_partitioned():
+    from venuelens.sources.jdbc import read_jdbc
+
+    rec = _Recorder()
+    read_jdbc(rec, JdbcSpec("jdbc:x", "reviews", partition_column="review_no", num_partitions=4))
+    loads_ = [c[1] for c in rec.calls if c[0] == "load"]
+    assert loads_[0]["dbtable"].startswith("(SELECT MIN(review_no) AS lo, MAX(review_no) AS hi FROM reviews)")
+    final = loads_[-1]
+    assert (final["dbtable"], final["partitionColumn"], final["lowerBound"], final["upperBound"], final["numPartitions"]) == (
+        "reviews", "review_no", "3", "99", "4"
+    )
+    rec2 = _Recorder()
+    read_jdbc(rec2, JdbcSpec("jdbc:x", "users", partition_column="id", num_partitions=2, lower_bound=0, upper_bound=9))
+    assert len([c for c in rec2.calls if c[0] == "load"]) == 1  # bounds given: no bounds query
+    rec3 = _Recorder()
+    read_jdbc(rec3, JdbcSpec("jdbc:x", "users"))
+    assert "partitionColumn" not in rec3.calls[-1][1]
