@@ -147,3 +147,15 @@ def test_yoy_brute_force(spark, rows, calendar):
         want = None if prev is None else half_up((n - prev) / prev * 100, 1)
         assert got[(s, y)][0] == n
         assert (got[(s, y)][1] is None and want is None) or abs(got[(s, y)][1] - want) < 1e-9
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="ab ,;", max_size=12)), min_size=1, max_size=30),
+       st.sampled_from([",", ", ", ";", " ,", ", ;", " "]))
+def test_split_trim_matches_split_then_trim(spark, texts, sep):
+    from venuelens.functions.lists import split_trim
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.a for r in df.select("i", split_trim("t", sep).alias("a")).collect()}
+    want = {i: (None if t is None else [x.strip(" ") for x in t.split(sep)]) for i, t in enumerate(texts)}
+    assert got == want
