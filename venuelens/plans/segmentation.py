@@ -45,7 +45,7 @@ def segment_entities(
     """(venues with ``segment``, centroids in standardised units).
 
     The feature rows (one per venue) feed the statistics, every k-means start and the final
-    assignment, so they are checkpointed once instead of being recomputed from the facts.
+    assignment, so they are written once instead of being recomputed from the facts.
     """
     features = materialize(features)
     stats = feature_stats(features, FEATURES)

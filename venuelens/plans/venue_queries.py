@@ -350,7 +350,7 @@ def yoy_change(
 def yoy_top_groups(yoy: DataFrame, k: int = 5, group: str = "state") -> DataFrame:
     """Rows of the ``k`` groups with the most reviews overall (the chart's lines).
 
-    The yearly frame (groups x years) is checkpointed first: both the ranking of groups and the
+    The yearly frame (groups x years) is written once first: both the ranking of groups and the
     returned rows read it, so the review facts behind it are scanned once.
     """
     return rows_of_top_groups(materialize(yoy), group, "reviews", k)
