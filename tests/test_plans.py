@@ -25,7 +25,11 @@ def test_no_python_in_plan(spark, key):
 
 def test_rank_filters_use_group_limit(spark):
     for key in ("daypart_leaders", "category_leaders"):
-        assert "WindowGroupLimit" in plan(QUERIES[key](spark, SF)), key
+        lines = plan(QUERIES[key](spark, SF)).splitlines()
+        partial = next(i for i, s in enumerate(lines) if "WindowGroupLimit" in s and s.rstrip().endswith("Partial"))
+        final = next(i for i, s in enumerate(lines) if "WindowGroupLimit" in s and s.rstrip().endswith("Final"))
+        exchange = next(i for i in range(final, partial) if "Exchange hashpartitioning" in lines[i])
+        assert final < exchange < partial, key  # limit per map task, shuffle, limit per group
 
 
 def test_filters_reach_scan(spark):
