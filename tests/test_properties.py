@@ -159,3 +159,58 @@ def test_split_trim_matches_split_then_trim(spark, texts, sep):
     got = {r.i: r.a for r in df.select("i", split_trim("t", sep).alias("a")).collect()}
     want = {i: (None if t is None else [x.strip(" ") for x in t.split(sep)]) for i, t in enumerate(texts)}
     assert got == want
+
+
+from venuelens.plans import venue_queries as vq  # noqa: E402
+
+reviews_with_nulls = st.lists(
+    st.tuples(st.integers(0, 5), st.integers(0, 3), st.one_of(st.none(), st.integers(1, 5)), st.integers(0, 3)),
+    min_size=1, max_size=60,
+)
+
+
+@SETTINGS
+@given(reviews_with_nulls)
+def test_rewrites_keep_null_rating_semantics(spark, rows):
+    venues = spark.createDataFrame(
+        [(f"b{i}", f"n{i % 3}", ["A, B", "A", "B,C", None, "", "C"][i]) for i in range(6)],
+        "business_id string, name string, categories string",
+    )
+    reviews = spark.createDataFrame(
+        [(f"r{i}", f"u{u}", f"b{b}", None if s is None else float(s), us) for i, (b, u, s, us) in enumerate(rows)],
+        "review_id string, user_id string, business_id string, stars double, useful int",
+    )
+    users = spark.createDataFrame([(f"u{i}", f"user{i}", 3.0) for i in range(4)], "user_id string, name string, average_stars double")
+    venues.createOrReplaceTempView("p_business")
+    reviews.createOrReplaceTempView("p_reviews")
+    users.createOrReplaceTempView("p_users")
+
+    def rows_of(df):
+        return sorted((tuple(r) for r in df.collect()), key=repr)
+
+    got = vq.category_rating(reviews, venues, sep=", ", min_reviews=1, top_k=100)
+    want = spark.sql("""
+        WITH c AS (SELECT business_id, TRIM(x) AS category FROM p_business
+                   LATERAL VIEW explode(split(categories, ', ')) e AS x WHERE categories IS NOT NULL)
+        SELECT category, COUNT(*), ROUND(AVG(r.stars), 2), ROUND(STDDEV_POP(r.stars), 2)
+        FROM p_reviews r JOIN c USING (business_id) GROUP BY category""")
+    assert rows_of(got) == rows_of(want)
+
+    got = vq.category_leaders(reviews, venues, min_reviews=1, top_k=3)
+    want = spark.sql("""
+        WITH c AS (SELECT business_id, name, TRIM(x) AS cat FROM p_business
+                   LATERAL VIEW explode(split(categories, ',')) e AS x WHERE categories IS NOT NULL),
+        s AS (SELECT c.cat, c.name, COUNT(r.review_id) AS n, AVG(r.stars) AS m
+              FROM c JOIN p_reviews r USING (business_id) GROUP BY c.cat, c.name HAVING COUNT(r.review_id) >= 1),
+        k AS (SELECT cat, name, n, ROUND(m, 2) AS rm, DENSE_RANK() OVER (PARTITION BY cat ORDER BY n DESC, m DESC) AS rk FROM s)
+        SELECT cat, rk, name, n, rm FROM k WHERE rk <= 3""")
+    assert rows_of(got) == rows_of(want)
+
+    got = vq.reviewer_influence(reviews, users, min_reviews=1, top_k=100)
+    want = spark.sql("""
+        WITH s AS (SELECT user_id, COUNT(*) AS n, COUNT(DISTINCT business_id) AS d, SUM(useful) AS x,
+                          ROUND(AVG(stars), 2) AS a FROM p_reviews GROUP BY user_id)
+        SELECT u.user_id, u.name, COALESCE(s.n, 0), COALESCE(s.d, 0), COALESCE(s.x, 0), COALESCE(s.a, u.average_stars),
+               CAST(ROUND(COALESCE(s.n, 0) * 0.4 + COALESCE(s.d, 0) * 0.3 + COALESCE(s.x, 0) * 0.3, 2) AS DOUBLE)
+        FROM p_users u LEFT JOIN s USING (user_id) WHERE COALESCE(s.n, 0) >= 1""")
+    assert rows_of(got) == rows_of(want)
