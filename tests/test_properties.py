@@ -214,3 +214,37 @@ def test_rewrites_keep_null_rating_semantics(spark, rows):
                CAST(ROUND(COALESCE(s.n, 0) * 0.4 + COALESCE(s.d, 0) * 0.3 + COALESCE(s.x, 0) * 0.3, 2) AS DOUBLE)
         FROM p_users u LEFT JOIN s USING (user_id) WHERE COALESCE(s.n, 0) >= 1""")
     assert rows_of(got) == rows_of(want)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 5), st.one_of(st.none(), st.integers(1, 5)),
+                          st.one_of(st.none(), st.just("bad"), st.integers(0, 30))), min_size=1, max_size=60))
+def test_cube_rollups_equal_direct(spark, rows):
+    venues = spark.createDataFrame(
+        [(f"b{i}", f"n{i % 3}", f"c{i % 2}", ["A, B", "A", "B,C", None, "", "C"][i], 3.0) for i in range(6)],
+        "business_id string, name string, state string, categories string, stars double",
+    ).withColumn("city", F.col("state"))
+
+    def date(m):
+        return None if m is None else ("bad" if m == "bad" else f"{2019 + m // 12}-{m % 12 + 1:02d}-03 10:00:00")
+
+    reviews = spark.createDataFrame(
+        [(f"r{i}", f"b{b}", None if s is None else float(s), date(m)) for i, (b, s, m) in enumerate(rows)],
+        "review_id string, business_id string, stars double, date string",
+    )
+    visits = spark.createDataFrame([(f"b{b}", f"2020-01-0{1 + b % 5} 0{b % 10}:00:00") for b, _, _ in rows],
+                                   "business_id string, s string").select("business_id", F.col("s").cast("timestamp_ntz").alias("checkin_ts"))
+    cube, vcube = vq.review_cube(reviews), vq.visit_cube(visits)
+
+    def same(a, b):
+        return sorted((tuple(r) for r in a.collect()), key=repr) == sorted((tuple(r) for r in b.collect()), key=repr)
+
+    assert same(vq.category_rating(reviews, venues, min_reviews=1, top_k=100),
+                vq.category_rating(None, venues, min_reviews=1, top_k=100, cube=cube))
+    assert same(vq.category_leaders(reviews, venues, min_reviews=1), vq.category_leaders(None, venues, min_reviews=1, cube=cube))
+    assert same(vq.yoy_change(reviews, venues), vq.yoy_change(None, venues, cube=cube))
+    assert same(vq.rolling_gap(reviews, venues, min_reviews=1, top_k=1000), vq.rolling_gap(None, venues, min_reviews=1, top_k=1000, cube=cube))
+    kw = dict(min_reviews=1, traffic_at_least=0.0, rating_at_most=1.0, top_k=100)
+    assert same(vq.traffic_vs_rating(visits, reviews, venues, **kw),
+                vq.traffic_vs_rating(None, None, venues, cube=cube, visits_by_part=vcube, **kw))
+    assert same(vq.daypart_leaders(visits, venues, cities=None), vq.daypart_leaders(None, venues, cities=None, visits_by_part=vcube))
