@@ -38,3 +38,25 @@ def test_stream_packed_filter(spark):
     got = sorted((r.business_id, r.date) for r in spark.read.parquet(out).collect())
     want = sorted((r.business_id, r.date) for r in curate(raw)["checkin"].collect())
     assert got == want
+
+
+def test_visit_cube_stream_matches_batch(spark):
+    from venuelens.operators.curation import expand_visits
+    from venuelens.plans import venue_queries as vq
+    from venuelens.streaming import start_visit_cube_stream
+
+    raw = raw_frames(spark)
+    src = shared_path(spark, "test", "vc_src")
+    out = shared_path(spark, "test", "vc_out")
+    ckpt = shared_path(spark, "test", "vc_ckpt")
+    checkins = raw["checkin"]
+    first = checkins.filter("business_id < 'b4'")
+    rest = checkins.filter("business_id >= 'b4'")
+    write_layer(first, f"{src}/a", fmt="json")
+    start_visit_cube_stream(spark, f"{src}/*", out, checkpoint=ckpt).awaitTermination()
+    after_first = spark.read.parquet(out).count()
+    write_layer(rest, f"{src}/b", fmt="json")
+    start_visit_cube_stream(spark, f"{src}/*", out, checkpoint=ckpt).awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    want = sorted(tuple(r) for r in vq.visit_cube(expand_visits(curate(raw)["checkin"])).collect())
+    assert got == want and 0 < after_first < len(want)

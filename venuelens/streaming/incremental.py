@@ -114,3 +114,42 @@ def start_curation_stream(
     a folder under ``spark.checkpoint.dir``."""
     df = curate_stream(spark, entity, source_dir, users, p)
     return append_to_layer(spark, df, out_dir, checkpoint, entity, available_now, processing_time)
+
+
+def start_visit_cube_stream(
+    spark: SparkSession,
+    source_dir: str,
+    out_dir: str,
+    p: CurationParams = CurationParams(),
+    checkpoint: str | None = None,
+    available_now: bool = True,
+    processing_time: str | None = None,
+) -> StreamingQuery:
+    """Keep the visit cube (visits per venue and day part) current as packed visit files arrive.
+
+    Each file is curated (packed-stamp filter), expanded and counted into streaming state keyed
+    by (venue, day part) - state is bounded by the venue dimension, not by the visits. Every
+    micro-batch overwrites ``out_dir`` with the whole cube, so a replayed batch rewrites the same
+    result (idempotent); the questions read it through their ``visits_by_part`` argument.
+    """
+    from ..operators.curation import expand_visits
+    from ..plans.venue_queries import visit_cube
+
+    def transform(stream: DataFrame) -> DataFrame:
+        return visit_cube(expand_visits(curate({"checkin": stream}, p)["checkin"]))
+
+    cube = stream_files(spark, source_dir, ENTITY_SCHEMAS["checkin"], transform, "json")
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(out_dir)
+
+    writer = (
+        cube.writeStream.outputMode("complete")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint or shared_path(spark, "stream", "visit_cube"))
+    )
+    if processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    elif available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
