@@ -24,7 +24,7 @@ from .bindings import (
     register,
     table,
 )
-from .curate import curate_facts
+from .curate import CurationParams, curate_facts
 
 CUSTOMER = T.StructType(
     [
@@ -288,3 +288,22 @@ def q_load_insert_absent_bucketed(spark, d):
     loads.load_insert_absent_bucketed(first, name, path, LINE_KEYS, LINE_ORDER, buckets)
     loads.load_insert_absent_bucketed(li, name, path, LINE_KEYS, LINE_ORDER, buckets)
     return spark.table(name).select(*li.columns)
+
+
+@register("visit_cube_stream", ORACLE_SQL["visit_cube"])
+def q_visit_cube_stream(spark, d):
+    """The visit cube kept by a stateful stream over packed visit files arriving in two batches."""
+    from ..streaming import start_visit_cube_stream
+    from .bindings import _packed
+
+    src = shared_path(spark, "bind", "visit_cube_stream", "src")
+    out = shared_path(spark, "bind", "visit_cube_stream", "out")
+    ckpt = shared_path(spark, "bind", "visit_cube_stream", "ckpt")
+    packed = _packed(spark, d).select(F.col("business_id").cast("string").alias("business_id"), "date")
+    early = F.coalesce(F.col("date") < F.lit("2024-01-15"), F.lit(False))  # records starting before the 15th
+    p = CurationParams(year_min=2024, year_max=2024)  # the events' own year window
+    for i, batch in enumerate((packed.filter(early), packed.filter(~early))):  # every record arrives once
+        write_layer(batch, f"{src}/arrival={i}", fmt="json")
+        start_visit_cube_stream(spark, f"{src}/*", out, p, checkpoint=ckpt).awaitTermination()
+    cube = spark.read.parquet(out)
+    return cube.select(F.col("business_id").cast("bigint").alias("business_id"), "day_segment", "visits")
