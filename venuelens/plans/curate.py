@@ -104,10 +104,6 @@ def curate(raw: Mapping[str, DataFrame], p: CurationParams = CurationParams()) -
     return out
 
 
-# the raw entity each curated output is computed from
-SOURCE_OF = {"visit": "checkin"}
-
-
 CORRUPT = "_corrupt_record"
 
 # Entities that join on the venue key; bucketing them by it co-locates every question's joins.
@@ -138,13 +134,17 @@ def run_curation(
     # reviews and tips read its key column instead of parsing the raw user files again
     # (sampling it again inside ``curate`` is idempotent).
     outputs = [n for n in curate(raw, p)]
-    for name in sorted(outputs, key=lambda n: n != "user"):
-        source = SOURCE_OF.get(name, name)
+    # users first (their layer is the key set of reviews and tips), visits last (expanded from the
+    # written checkin layer instead of parsing and filtering the raw checkin files a second time)
+    for name in sorted(outputs, key=lambda n: (n != "user", n == "visit")):
         counter = StepCounter(name)
-        # Only this step's input carries the observation.
-        # malformed lines are counted as read, then dropped (never written as rows of NULLs)
-        parsed = counter.input(raw[source]).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-        plan = curate({**{k: v.drop(CORRUPT) for k, v in raw.items()}, source: parsed}, p)[name]
+        if name == "visit":
+            plan = expand_visits(counter.input(spark.read.format(fmt).load(f"{out_dir}/checkin")))
+        else:
+            # Only this step's input carries the observation; malformed lines are counted as
+            # read, then dropped (never written as rows of NULLs).
+            parsed = counter.input(raw[name]).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+            plan = curate({**{k: v.drop(CORRUPT) for k, v in raw.items()}, name: parsed}, p)[name]
         if buckets and name in VENUE_KEYED:
             (
                 counter.output(plan).write.format(fmt).mode("overwrite")
