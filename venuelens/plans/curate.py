@@ -1,9 +1,11 @@
 """Chained curation of raw venue data: trim -> sample users -> referential filter ->
-year window -> packed visit filter -> sample reviews, as one lazy plan per output.
+year window -> packed visit filter -> sample reviews, as one lazy plan per output, plus the
+kept visits in typed long form.
 
 Sampling is a key hash, so the user sample, the referential filter and the review sample are
 row-local predicates that commute with each other and with the year window: nothing is
-rewritten in place and no id set is held by the driver.
+rewritten in place and no id set is held by the driver. ``run_curation`` writes each layer once
+and parses each raw file once.
 """
 
 from __future__ import annotations
