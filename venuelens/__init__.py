@@ -6,8 +6,10 @@ Subpackages:
 * ``functions`` - column expressions (day part, year predicate, list split, key-hash sampling)
 * ``operators`` - DataFrame -> DataFrame building blocks (curation, loads, ranking, reshaping,
   segmentation, reports)
-* ``plans``     - the composite venue queries, the chained curation and the test-table bindings
-* ``streaming`` - incremental curation of newly arriving JSON-lines files
+* ``plans``     - the composite venue questions and their shared review / visit cubes, the chained
+  curation, the loads, the named views with ``answer_all``, and the test-table bindings
+* ``streaming`` - incremental curation of newly arriving JSON-lines files and a visit cube kept
+  current in streaming state
 
 No function here creates a session, fixes a path or collects an unbounded result.
 """
