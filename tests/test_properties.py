@@ -248,3 +248,34 @@ def test_cube_rollups_equal_direct(spark, rows):
     assert same(vq.traffic_vs_rating(visits, reviews, venues, **kw),
                 vq.traffic_vs_rating(None, None, venues, cube=cube, visits_by_part=vcube, **kw))
     assert same(vq.daypart_leaders(visits, venues, cities=None), vq.daypart_leaders(None, venues, cities=None, visits_by_part=vcube))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 9), st.integers(0, 23)), min_size=1, max_size=80))
+def test_daypart_leaders_brute_force(spark, visits_rows):
+    from venuelens.functions.dayparts import AFTERNOON, EVENING, MORNING, NIGHT
+
+    # venues: 10 venues, names repeat (branches merge by name), three cities, one outside the list
+    venues_rows = [(f"b{i}", f"n{i % 4}", ["X", "Y", "Z"][i % 3]) for i in range(10)]
+    venues = spark.createDataFrame(venues_rows, "business_id string, name string, city string")
+    visits = spark.createDataFrame([(f"b{b}", f"2020-01-01 {h:02d}:15:00") for b, h in visits_rows],
+                                   "business_id string, s string").select("business_id", F.col("s").cast("timestamp_ntz").alias("checkin_ts"))
+    got = sorted(tuple(r) for r in vq.daypart_leaders(visits, venues, cities=("X", "Y"), top_k=3).collect())
+
+    def part(h):
+        return MORNING if 6 <= h <= 11 else AFTERNOON if 12 <= h <= 17 else EVENING if 18 <= h <= 23 else NIGHT
+
+    city_of = {b: c for b, _, c in venues_rows}
+    name_of = {b: n for b, n, _ in venues_rows}
+    counts = {}
+    for b, h in visits_rows:
+        key = (city_of[f"b{b}"], name_of[f"b{b}"], part(h))
+        counts[key] = counts.get(key, 0) + 1
+    want = []
+    for (city, name, seg), n in counts.items():
+        if city not in ("X", "Y"):
+            continue
+        rank = 1 + sum(1 for (c2, _, s2), n2 in counts.items() if c2 == city and s2 == seg and n2 > n)
+        if rank <= 3:
+            want.append((city, seg, name, n))
+    assert got == sorted(want)
