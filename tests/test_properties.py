@@ -11,7 +11,8 @@ from venuelens.operators.curation import packed_filter
 from venuelens.operators.loads import first_per_key
 from venuelens.operators.ranking import percent_rank_by_histogram
 
-SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+# derandomize: the same examples on every run, so the suite is reproducible wherever it runs
+SETTINGS = settings(max_examples=12, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 
 stamp_text = st.one_of(
     st.none(),
@@ -216,7 +217,7 @@ def test_rewrites_keep_null_rating_semantics(spark, rows):
     assert rows_of(got) == rows_of(want)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.integers(0, 5), st.one_of(st.none(), st.integers(1, 5)),
                           st.one_of(st.none(), st.just("bad"), st.integers(0, 30))), min_size=1, max_size=60))
 def test_cube_rollups_equal_direct(spark, rows):
