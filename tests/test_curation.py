@@ -122,6 +122,10 @@ def test_cli_curate_and_answer(spark):
     main(["curate", "--raw-dir", raw, "--out", out])
     main(["answer", "--curated", out, "--results", res, "--no-segments"])
     assert spark.read.parquet(f"{res}/yoy_change").count() > 0
+    import os
+
+    written = sorted(os.listdir(res.replace("file:", "")))
+    assert len(written) == 15 and "reviewer_influence" in written and "entity_segments" not in written
 
 
 def test_curation_with_xxhash_commutes(spark):

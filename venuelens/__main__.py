@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import argparse
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -55,8 +56,10 @@ def main(argv=None) -> None:
         views = (
             table_views(spark, args.curated, args.table_prefix) if args.table_prefix else file_views(spark, args.curated)
         )
-        for name, df in answer_all(views, segments=not args.no_segments).items():
-            write_layer(df, os.path.join(args.results, name))
+        answers = answer_all(views, segments=not args.no_segments)
+        # independent result jobs: submit them from a few threads so the scheduler overlaps them
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            list(pool.map(lambda kv: write_layer(kv[1], os.path.join(args.results, kv[0])), answers.items()))
 
 
 if __name__ == "__main__":
