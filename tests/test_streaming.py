@@ -60,3 +60,18 @@ def test_visit_cube_stream_matches_batch(spark):
     got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     want = sorted(tuple(r) for r in vq.visit_cube(expand_visits(curate(raw)["checkin"])).collect())
     assert got == want and 0 < after_first < len(want)
+
+
+def test_curation_stream_with_processing_time_trigger(spark):
+    raw = raw_frames(spark)
+    src = shared_path(spark, "test", "pt_src")
+    out = shared_path(spark, "test", "pt_out")
+    write_layer(raw["checkin"], src, fmt="json")
+    q = start_curation_stream(spark, "checkin", src, out, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = sorted((r.business_id, r.date) for r in spark.read.parquet(out).collect())
+    want = sorted((r.business_id, r.date) for r in curate(raw)["checkin"].collect())
+    assert got == want
