@@ -11,6 +11,7 @@ and parses each raw file once.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -131,22 +132,19 @@ def run_curation(
         name: read_json_lines(spark, path, ENTITY_SCHEMAS[name], corrupt_column=CORRUPT)
         for name, path in raw_paths.items()
     }
-    counters = []
-    # users first: the written user layer is the sampled key set, so the referential filters of
-    # reviews and tips read its key column instead of parsing the raw user files again
-    # (sampling it again inside ``curate`` is idempotent).
-    outputs = [n for n in curate(raw, p)]
-    # users first (their layer is the key set of reviews and tips), visits last (expanded from the
-    # written checkin layer instead of parsing and filtering the raw checkin files a second time)
-    for name in sorted(outputs, key=lambda n: (n != "user", n == "visit")):
+    outputs = list(curate(raw, p))
+    clean = {k: v.drop(CORRUPT) for k, v in raw.items()}
+
+    def step(name: str) -> StepCounter:
         counter = StepCounter(name)
         if name == "visit":
+            # expanded from the written checkin layer, not from the raw checkin files again
             plan = expand_visits(counter.input(spark.read.format(fmt).load(f"{out_dir}/checkin")))
         else:
             # Only this step's input carries the observation; malformed lines are counted as
             # read, then dropped (never written as rows of NULLs).
             parsed = counter.input(raw[name]).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-            plan = curate({**{k: v.drop(CORRUPT) for k, v in raw.items()}, name: parsed}, p)[name]
+            plan = curate({**clean, name: parsed}, p)[name]
         if buckets and name in VENUE_KEYED:
             (
                 counter.output(plan).write.format(fmt).mode("overwrite")
@@ -156,10 +154,24 @@ def run_curation(
             )
         else:
             write_layer(counter.output(plan), f"{out_dir}/{name}", fmt=fmt)
-        counters.append(counter)
-        if name == "user":
-            keys = spark.read.format(fmt).load(f"{out_dir}/user").select("user_id")
-            raw = {**raw, "user": keys.withColumn(CORRUPT, F.lit(None).cast("string"))}
+        return counter
+
+    done: dict[str, StepCounter] = {}
+    # users first: the written user layer is the sampled key set, so the referential filters of
+    # reviews and tips read its key column instead of parsing the raw user files again
+    # (sampling it again inside ``curate`` is idempotent).
+    if "user" in outputs:
+        done["user"] = step("user")
+        keys = spark.read.format(fmt).load(f"{out_dir}/user").select("user_id")
+        clean["user"] = keys
+    # the other layers are independent jobs: submitted together, the scheduler overlaps them
+    middle = [n for n in outputs if n not in ("user", "visit")]
+    if middle:
+        with ThreadPoolExecutor(max_workers=len(middle)) as pool:
+            done.update(zip(middle, pool.map(step, middle)))
+    if "visit" in outputs:  # needs the written checkin layer
+        done["visit"] = step("visit")
+    counters = [done[n] for n in outputs if n in done]
     return step_summary(spark, counters)
 
 
