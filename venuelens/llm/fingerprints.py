@@ -32,9 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import cut
+
 K, S = 9, 4
 SHORT_TEXT, SHORT_K, SHORT_S = 64, 4, 2
 ANCHORS = 48
+RANGE_BYTES = 128 << 20
 _ODD = np.uint32(0x9E3779B1)
 
 
@@ -148,7 +151,7 @@ PAIR_SCHEMA = (
 )
 
 
-def neighbour_fingerprints(docs: DataFrame, anchors: int = ANCHORS) -> DataFrame:
+def neighbour_fingerprints(docs: DataFrame, anchors: int = ANCHORS, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Per row of ``docs``: its fingerprint, that of its edited text (the last half replaced by as
     many first code points of the next document) and the likeness of its own to the edited and to
     the next document's."""
@@ -156,10 +159,13 @@ def neighbour_fingerprints(docs: DataFrame, anchors: int = ANCHORS) -> DataFrame
         "h", F.xxhash64("text")
     )
     order = [F.col("doc_id").desc_nulls_last(), F.col("h").asc()]
-    # first key of each range of a range partitioning of the keys alone: as many rows as partitions
+    # the ranges are made from the keys alone, as many as the texts need, and no fewer than shuffles have
+    keys = cut(texts.select("doc_id", "h", F.octet_length("text").alias("bytes")))
+    total = keys.agg(F.sum("bytes")).first()[0] or 0
+    ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // range_bytes))
+    # first key of each range: as many rows as ranges
     heads = (
-        texts.select("doc_id", "h")
-        .repartitionByRange(*order)
+        keys.repartitionByRange(ranges, *order)
         .withColumn("range", F.spark_partition_id())
         .groupBy("range")
         .agg(F.max(F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id"), (-1 - F.col("h")).alias("turned"))).alias("head"))
@@ -219,4 +225,4 @@ def neighbour_fingerprints(docs: DataFrame, anchors: int = ANCHORS) -> DataFrame
 
     placed = texts.mapInArrow(place, "bucket long, borrowed boolean, doc_id long, h long, text string")
     within = [F.col("bucket").asc(), F.col("borrowed").asc(), *order]
-    return placed.repartition("bucket").sortWithinPartitions(*within).mapInArrow(compare, PAIR_SCHEMA)
+    return placed.repartitionById(max(len(heads), 1), F.col("bucket").cast("int")).sortWithinPartitions(*within).mapInArrow(compare, PAIR_SCHEMA)
