@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .shared import labelled_sample, with_fold
 from .textbytes import ALNUM_WORD, SpanHasher, each_block, mix, rows_of, span_hashes, words
 
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 6_000
 PARTS, HELD, THRESHOLD = 3, 1, 0.7
 BUCKETS, DIMENSIONS, WIDTHS, FILTERS = 1 << 18, 8, (1, 2, 3), 8
 PREFIXES = (4, 5, 6, 7, 8)  # bytes
@@ -152,13 +152,12 @@ def train(
     if not len(y) or y.min() == y.max() or y[half].sum() < 1 or y[~half].sum() < 1:
         return None
     rng = np.random.default_rng(seed)
-    rows = rows_of(first).astype(np.int64)
-    present = np.unique(np.concatenate([rows * BUCKETS + column for column in pieces.T]))
-    owner, bucket = present // BUCKETS, present % BUCKETS
-    mine = half[owner]
+    # rows that hold a bucket, by class, counted row by row: no array over all pieces is made
+    counts = np.zeros((2, BUCKETS))
+    for i in np.flatnonzero(half):
+        counts[int(y[i])][np.unique(pieces[first[i] : first[i + 1]])] += 1
+    c0, c1 = counts
     n1, n0 = y[half].sum(), (1 - y[half]).sum()
-    c1 = np.bincount(bucket[mine], y[owner[mine]], BUCKETS)
-    c0 = np.bincount(bucket[mine], 1 - y[owner[mine]], BUCKETS)
     odds = np.log((c1 + n1 / (n0 + n1)) / (n1 + 1)) - np.log((c0 + n0 / (n0 + n1)) / (n0 + 1))
     odds *= (c1 + c0) / (c1 + c0 + 3)  # rare buckets start near zero
     embed = rng.normal(0, 0.05, (BUCKETS, DIMENSIONS))
@@ -245,8 +244,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", sampl
     if not got:
         return None
     first = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
-    half = rows.column("half").to_numpy() == 0
-    return train(np.concatenate(got), first, np.concatenate(group), rows.column("label").to_numpy(), half)
+    y, half = rows.column("label").to_numpy(), rows.column("half").to_numpy() == 0
+    del rows
+    pieces = np.empty((int(first[-1]), 1 + len(PREFIXES)), np.int32)
+    at = 0
+    while got:  # each block's array is freed once it is copied
+        block = got.pop(0)
+        pieces[at : at + len(block)] = block
+        at += len(block)
+    return train(pieces, first, np.concatenate(group), y, half)
 
 
 def toxicity_scores(docs: DataFrame, net: Network | None) -> DataFrame:
