@@ -168,9 +168,9 @@ def _running(ranged: DataFrame, value: Column) -> DataFrame:
     )
 
 
-def mixture(docs: DataFrame, weights: tuple = WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
+def mixture(docs: DataFrame, weights: tuple = WEIGHTS, max_copies: int = MAX_COPIES, max_sources: int = MAX_SOURCES) -> DataFrame:
     """Per row of ``docs``: doc_id, size, source_size, target (its source's), taken, copies."""
-    rows, sizes, targets, _ = mix_plan(docs, weights, max_copies)
+    rows, sizes, targets, _ = mix_plan(docs, weights, max_copies, max_sources)
     return rows.select(
         "doc_id", "size",
         _by_source({s: float(v) for s, v in sizes.items()}, F.col("source")).cast("long").alias("source_size"),
