@@ -1,8 +1,7 @@
-"""Each venue question against a direct SQL statement of the same question.
+"""Each venue question against its rule, worked out by brute force over the collected rows."""
 
-The operators pre-aggregate facts before joins, rank on histograms and split distinct counts;
-the direct statements below do none of that, so agreement checks the rewrites.
-"""
+from collections import defaultdict
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 
@@ -37,33 +36,60 @@ def test_market_opportunity(spark, views):
     assert same(got, want) > 0
 
 
+def half_up(x, n):
+    return None if x is None else float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-n), ROUND_HALF_UP))
+
+
+def mean(values):
+    return sum(values) / len(values)
+
+
+def rows(views, name):
+    return views[name].collect()
+
+
+def by_venue(views):
+    out = defaultdict(list)
+    for r in rows(views, "reviews"):
+        out[r.business_id].append(r)
+    return out
+
+
+def labels(venue, sep):
+    return [] if venue.categories is None else [c.strip() for c in venue.categories.split(sep)]
+
+
 def test_daypart_leaders(spark, views):
-    got = vq.daypart_leaders(views["checkins"], views["business"])
-    want = spark.sql("""
-        WITH parts AS (
-          SELECT business_id, CASE WHEN hour(checkin_ts) BETWEEN 6 AND 11 THEN 'Morning (6-12)'
-                                   WHEN hour(checkin_ts) BETWEEN 12 AND 17 THEN 'Afternoon (12-18)'
-                                   WHEN hour(checkin_ts) BETWEEN 18 AND 23 THEN 'Evening (18-24)'
-                                   ELSE 'Night/Early Morning (0-6)' END AS seg
-          FROM checkins),
-        t AS (SELECT b.city, b.name, p.seg, COUNT(*) AS n FROM parts p JOIN business b USING (business_id)
-              GROUP BY b.city, b.name, p.seg),
-        r AS (SELECT *, RANK() OVER (PARTITION BY city, seg ORDER BY n DESC) AS rk FROM t)
-        SELECT city, seg, name, n FROM r
-        WHERE rk <= 3 AND city IN ('Philadelphia', 'Tampa', 'Tucson', 'Nashville')""")
-    assert same(got, want) > 0
+    names = ("Night/Early Morning (0-6)", "Morning (6-12)", "Afternoon (12-18)", "Evening (18-24)")
+    venues = {v.business_id: v for v in rows(views, "business")}
+    visits = defaultdict(int)
+    for c in rows(views, "checkins"):
+        if c.business_id in venues:
+            v = venues[c.business_id]
+            visits[v.city, names[0 if c.checkin_ts is None else c.checkin_ts.hour // 6], v.name] += 1
+    want = [
+        (city, part, name, n)
+        for (city, part, name), n in visits.items()
+        if city in ("Philadelphia", "Tampa", "Tucson", "Nashville")
+        and sum(m > n for (c, p, _), m in visits.items() if (c, p) == (city, part)) < 3
+    ]
+    got = [tuple(r) for r in vq.daypart_leaders(views["checkins"], views["business"]).collect()]
+    assert got == sorted(want, key=lambda r: (r[0], -r[3], r[1], r[2])) and got
 
 
 def test_category_rating(spark, views):
+    reviews, stars = by_venue(views), defaultdict(list)
+    for v in rows(views, "business"):
+        for c in labels(v, ", "):
+            stars[c] += [r.stars for r in reviews[v.business_id]]
+    want = []
+    for c, x in stars.items():
+        if len(x) >= 50:
+            spread = (sum((y - mean(x)) ** 2 for y in x) / len(x)) ** 0.5
+            want.append((c, len(x), half_up(mean(x), 2), half_up(round(spread, 9), 2)))
+    want.sort(key=lambda r: (-r[2], -r[1], r[0]))
     got = vq.category_rating(views["reviews"], views["business"], sep=", ", min_reviews=50, top_k=15)
-    want = spark.sql("""
-        WITH c AS (SELECT business_id, TRIM(x) AS category FROM business
-                   LATERAL VIEW explode(split(categories, ', ')) e AS x WHERE categories IS NOT NULL)
-        SELECT category, COUNT(*) AS total_reviews, ROUND(AVG(r.stars), 2) AS avg_stars,
-               ROUND(STDDEV_POP(r.stars), 2) AS stddev_stars
-        FROM reviews r JOIN c USING (business_id) GROUP BY category HAVING COUNT(*) >= 50
-        ORDER BY avg_stars DESC, total_reviews DESC, category LIMIT 15""")
-    assert same(got, want) > 0
+    assert [tuple(r) for r in got.collect()] == want[:15] and want
 
 
 def test_price_tier_rating(spark, views):
@@ -81,73 +107,94 @@ def test_price_tier_rating(spark, views):
 
 
 def test_category_leaders(spark, views):
-    got = vq.category_leaders(views["reviews"], views["business"], min_reviews=20)
-    want = spark.sql("""
-        WITH c AS (SELECT business_id, name, TRIM(x) AS cat FROM business
-                   LATERAL VIEW explode(split(categories, ',')) e AS x WHERE categories IS NOT NULL),
-        s AS (SELECT c.cat, c.name, COUNT(r.review_id) AS n, AVG(r.stars) AS m
-              FROM c JOIN reviews r USING (business_id) GROUP BY c.cat, c.name HAVING COUNT(r.review_id) >= 20),
-        k AS (SELECT cat, name, n, ROUND(m, 2) AS rm,
-                     DENSE_RANK() OVER (PARTITION BY cat ORDER BY n DESC, m DESC) AS rk FROM s)
-        SELECT cat, rk, name, n, rm FROM k WHERE rk <= 3""")
-    assert same(got, want) > 0
+    reviews, stars = by_venue(views), defaultdict(list)
+    for v in rows(views, "business"):
+        for c in labels(v, ","):
+            stars[c, v.name] += [r.stars for r in reviews[v.business_id]]
+    result = {k: (len(x), mean(x)) for k, x in stars.items() if len(x) >= 20}
+    want = []
+    for (c, name), own in result.items():
+        rank = 1 + len({other for (c2, _), other in result.items() if c2 == c and other > own})
+        if rank <= 3:
+            want.append((c, rank, name, own[0], half_up(own[1], 2)))
+    got = [tuple(r) for r in vq.category_leaders(views["reviews"], views["business"], min_reviews=20).collect()]
+    assert got == sorted(want, key=lambda r: r[:3]) and got
 
 
 def test_reviewer_influence(spark, views):
+    written = defaultdict(list)
+    for r in rows(views, "reviews"):
+        written[r.user_id].append(r)
+    want = []
+    for u in rows(views, "users"):
+        own = written[u.user_id]
+        if len(own) >= 50:
+            venues, useful = len({r.business_id for r in own}), sum(r.useful for r in own)
+            score = Decimal(4 * len(own) + 3 * venues + 3 * useful) / 10
+            want.append((u.user_id, u.name, len(own), venues, useful, half_up(mean([r.stars for r in own]), 2), float(score)))
+    want.sort(key=lambda r: (-r[6], r[0]))
     got = vq.reviewer_influence(views["reviews"], views["users"], min_reviews=50, top_k=20)
-    want = spark.sql("""
-        WITH s AS (SELECT user_id, COUNT(*) AS n, COUNT(DISTINCT business_id) AS d, SUM(useful) AS u,
-                          ROUND(AVG(stars), 2) AS a FROM reviews GROUP BY user_id),
-        e AS (SELECT x.user_id, x.name, COALESCE(s.n, 0) AS n, COALESCE(s.d, 0) AS d, COALESCE(s.u, 0) AS u,
-                     COALESCE(s.a, x.average_stars) AS a FROM users x LEFT JOIN s ON x.user_id = s.user_id)
-        SELECT user_id, name, n, d, u, a, CAST(ROUND(n * 0.4 + d * 0.3 + u * 0.3, 2) AS DOUBLE) AS score
-        FROM e WHERE n >= 50 ORDER BY score DESC, user_id LIMIT 20""")
-    assert same(got, want) > 0
+    assert [tuple(r) for r in got.collect()] == want[:20] and want
 
 
 def test_yoy_change(spark, views):
-    got = vq.yoy_change(views["reviews"], views["business"])
-    want = spark.sql("""
-        WITH y AS (SELECT b.state, year(try_cast(r.date AS timestamp_ntz)) AS yr, COUNT(*) AS n
-                   FROM reviews r JOIN business b USING (business_id) GROUP BY 1, 2),
-        l AS (SELECT *, LAG(n) OVER (PARTITION BY state ORDER BY yr) AS p FROM y)
-        SELECT state, yr, n, ROUND((n - p) / p * 100, 1) FROM l""")
-    assert same(got, want) > 0
-    top = vq.yoy_top_groups(got, k=2)
+    state = {v.business_id: v.state for v in rows(views, "business")}
+    counts = defaultdict(int)
+    for r in rows(views, "reviews"):
+        if r.business_id in state:
+            counts[state[r.business_id], int(r.date[:4]) if r.date and r.date[:4].isdigit() else None] += 1
+    got_frame = vq.yoy_change(views["reviews"], views["business"])
+    got = [tuple(r) for r in got_frame.collect()]
+    place = lambda y: (y is not None, y or 0)  # noqa: E731 a missing year comes first
+    want = []
+    for (s, y), n in counts.items():
+        earlier = [m for t, m in counts if t == s and place(m) < place(y)]
+        before = counts[s, max(earlier, key=place)] if earlier else None
+        want.append((s, y, n, None if before is None else half_up((n - before) / before * 100, 1)))
+    assert got == sorted(want, key=lambda r: (r[0], place(r[1]))) and got
+    top = vq.yoy_top_groups(got_frame, k=2)
     assert top.select("state").distinct().count() == 2
 
 
 def test_traffic_vs_rating(spark, views):
-    kw = dict(min_reviews=5, traffic_at_least=0.5, rating_at_most=0.5, top_k=30)
-    got = vq.traffic_vs_rating(views["checkins"], views["reviews"], views["business"], **kw)
-    want = spark.sql("""
-        WITH ch AS (SELECT business_id, COUNT(*) AS n FROM checkins GROUP BY business_id),
-        rv AS (SELECT business_id, COUNT(*) AS n, ROUND(AVG(stars), 2) AS a FROM reviews GROUP BY business_id),
-        c AS (SELECT b.business_id, b.name, b.city, b.state, COALESCE(ch.n, 0) AS tc, COALESCE(rv.n, 0) AS tr,
-                     COALESCE(rv.a, b.stars) AS a
-              FROM business b LEFT JOIN ch USING (business_id) LEFT JOIN rv USING (business_id)),
-        k AS (SELECT *, ROUND(PERCENT_RANK() OVER (PARTITION BY state ORDER BY tc), 4) AS tp,
-                        ROUND(PERCENT_RANK() OVER (PARTITION BY state ORDER BY a), 4) AS rp
-              FROM c WHERE tc > 0 AND tr >= 5)
-        SELECT business_id, name, city, state, tc, tr, a, tp, rp FROM k WHERE tp >= 0.5 AND rp <= 0.5
-        ORDER BY tc DESC, a ASC, business_id LIMIT 30""")
-    assert same(got, want) > 0
+    visits, reviews = defaultdict(int), by_venue(views)
+    for c in rows(views, "checkins"):
+        visits[c.business_id] += 1
+    live = []
+    for v in rows(views, "business"):
+        own = reviews[v.business_id]
+        if visits[v.business_id] and len(own) >= 5:
+            live.append((v.business_id, v.name, v.city, v.state, visits[v.business_id], len(own), half_up(mean([r.stars for r in own]), 2)))
+
+    def rank(row, at):
+        peers = [x for x in live if x[3] == row[3]]
+        return half_up(sum(x[at] < row[at] for x in peers) / (len(peers) - 1), 4) if len(peers) > 1 else 0.0
+
+    want = [(*x, rank(x, 4), rank(x, 6)) for x in live]
+    want = sorted((x for x in want if x[7] >= 0.5 and x[8] <= 0.5), key=lambda x: (-x[4], x[6], x[0]))[:30]
+    got = vq.traffic_vs_rating(
+        views["checkins"], views["reviews"], views["business"], min_reviews=5, traffic_at_least=0.5, rating_at_most=0.5, top_k=30
+    )
+    assert [tuple(r) for r in got.collect()] == want and want
 
 
 def test_rolling_gap(spark, views):
-    got = vq.rolling_gap(views["reviews"], views["business"], min_reviews=2, top_k=15)
-    want = spark.sql("""
-        WITH m AS (SELECT b.business_id, b.name,
-                          CAST(date_trunc('month', try_cast(r.date AS timestamp_ntz)) AS timestamp_ntz) AS mo,
-                          AVG(r.stars) AS a, COUNT(r.review_id) AS n
-                   FROM reviews r JOIN business b USING (business_id) GROUP BY 1, 2, 3),
-        w AS (SELECT *, AVG(a) OVER (PARTITION BY business_id ORDER BY mo ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS ra
-              FROM m)
-        SELECT business_id, name, mo, ROUND(a, 2), ROUND(ra, 2), ROUND(a - ra, 2) AS g FROM w WHERE n >= 2
-        ORDER BY g ASC NULLS FIRST, business_id, mo LIMIT 15""")
-    assert same(got, want) == 15
-    labels = vq.gap_labels(got).collect()
-    assert all(r.label.endswith(")") and " (" in r.label for r in labels)
+    names = {v.business_id: v.name for v in rows(views, "business")}
+    months = defaultdict(list)
+    for r in rows(views, "reviews"):
+        if r.business_id in names:
+            months[r.business_id, r.date[:7] if r.date else ""].append(r.stars)  # a missing month comes first
+    want = []
+    for (b, m), x in months.items():
+        if len(x) >= 2:
+            near = sorted(k for k in months if k[0] == b and k[1] <= m)[-3:]
+            own, moved = mean(x), mean([mean(months[k]) for k in near])
+            want.append((b, names[b], m, half_up(own, 2), half_up(moved, 2), half_up(own - moved, 2)))
+    want.sort(key=lambda r: (r[5], r[0], r[2]))
+    frame = vq.rolling_gap(views["reviews"], views["business"], min_reviews=2, top_k=15)
+    got = [(r.business_id, r.name, str(r.review_month or "")[:7], *tuple(r)[3:]) for r in frame.collect()]
+    assert got == want[:15]
+    assert all(r.label.endswith(")") and " (" in r.label for r in vq.gap_labels(frame).collect() if r.review_month)
 
 
 def test_rolling_window_edges(spark):
@@ -187,10 +234,3 @@ def test_merge_by_id(spark, views):
     assert "business_id" in by_id.columns and by_id.count() > 0
     leaders = vq.category_leaders(views["reviews"], views["business"], min_reviews=5, by="business_id")
     assert "business_id" in leaders.columns and leaders.count() > 0
-
-
-def test_traffic_vs_rating_both_rank_paths(spark, views):
-    kw = dict(min_reviews=5, traffic_at_least=0.5, rating_at_most=0.5, top_k=30)
-    window = vq.traffic_vs_rating(views["checkins"], views["reviews"], views["business"], **kw)
-    hist = vq.traffic_vs_rating(views["checkins"], views["reviews"], views["business"], window_rows=0, **kw)
-    assert same(window, hist) > 0

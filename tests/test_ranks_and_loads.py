@@ -1,0 +1,103 @@
+"""Percent ranks over split groups, and loads that must not lose or double rows."""
+
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from venuelens.operators import loads
+from venuelens.operators.ranking import percent_rank_by_histogram
+from venuelens.operators.reports import layer_report, size_delta
+from venuelens.plans.load import INSERT_ENTITIES
+from venuelens.sources.jdbc import JdbcSpec, text_key_predicates, tls_url
+
+
+@pytest.mark.parametrize(
+    ("values", "kind"),
+    [([2**53, 2**53 + 1, 2**53 + 2, 2**53 + 3, None], "bigint"),
+     ([Decimal("0.10000000000000000001"), Decimal("0.10000000000000000002"), Decimal("0.1"), None], "decimal(38,20)"),
+     (["b", "a", "a", None, "c"], "string")],
+)
+def test_values_rank_in_their_own_type(spark, values, kind):
+    df = spark.createDataFrame([("g", v) for v in values], f"g string, v {kind}")
+    got = sorted((r.v is not None, r.v, r.pr) for r in percent_rank_by_histogram(df, ["g"], "v", "pr").collect() if r.v is not None)
+    want = df.withColumn("pr", F.percent_rank().over(Window.partitionBy("g").orderBy("v")))
+    assert got == sorted((True, r.v, r.pr) for r in want.collect() if r.v is not None)
+
+
+def test_hot_group_spans_partitions(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") < 19_000, "hot").otherwise("small").alias("g"), (F.col("id") * 7919 % 20_011).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = percent_rank_by_histogram(df, ["g"], "v", "pr")
+        want = df.withColumn("pr", F.percent_rank().over(Window.partitionBy("g").orderBy("v")))
+        assert got.exceptAll(want).count() == 0 and got.count() == 20_000
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "windowspecdefinition(__part" in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_first_row_does_not_depend_on_partitioning(spark):
+    keys, order, schema = INSERT_ENTITIES["user"]
+    batch = loads.conform_columns(
+        spark.createDataFrame([("u", "n", "2010", i) for i in range(6)], "user_id string, name string, yelping_since string, fans bigint"), schema
+    )
+    found = {tuple(loads.first_per_key(batch.repartition(n), keys, order).first()) for n in (1, 2, 3, 5)}
+    assert len(found) == 1
+
+
+def test_null_keys_are_not_reconciled(spark, tmp_path):
+    batch = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "k string, v int")
+    r = loads.load_reconcile(spark, batch, str(tmp_path / "t"), mode="insert_absent", keys=["k"], order_by=["v"]).first()
+    assert (r.rows_written, r.rows_in_target, r.reconciled) == (1, 1, False)
+
+
+def test_unusable_store_raises(spark):
+    with pytest.raises(Exception, match="nosuchscheme"):
+        loads._path_exists(spark, "nosuchscheme://host/x")
+    assert loads._path_exists(spark, "/tmp/no/such/folder") is False
+
+
+def test_only_a_missing_table_is_absent(spark, monkeypatch):
+    def fail(message):
+        def read(*_):
+            raise RuntimeError(message)
+        return read
+
+    batch = spark.createDataFrame([("a", 1)], "k string, v int")
+    written = []
+    monkeypatch.setattr(loads, "write_jdbc", lambda df, spec, mode: written.append(df.count()))
+    spec = JdbcSpec("jdbc:x", "t")
+    monkeypatch.setattr(loads, "read_jdbc", fail("FATAL: password authentication failed"))
+    with pytest.raises(RuntimeError, match="password"):
+        loads.load_insert_absent_jdbc(batch, spec, ["k"], ["v"])
+    assert written == []
+    monkeypatch.setattr(loads, "read_jdbc", fail('ERROR: relation "t" does not exist (SQLSTATE 42P01)'))
+    try:
+        loads.load_insert_absent_jdbc(batch, spec, ["k"], ["v"])
+    finally:
+        assert written == [1]
+
+
+def test_text_keys_split_into_disjoint_ranges():
+    got = text_key_predicates("k", ["m", "c", "m", "o'x"])
+    assert got == ("k < 'c' OR k IS NULL", "k >= 'c' AND k < 'm'", "k >= 'm' AND k < 'o''x'", "k >= 'o''x'")
+    assert text_key_predicates("k", []) == ()
+
+
+def test_full_check_needs_a_ca():
+    with pytest.raises(ValueError, match="CA"):
+        tls_url("jdbc:postgresql://h/d", full_check=True)
+
+
+def test_empty_layer_is_reported(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "full"))
+    spark.range(0).write.parquet(str(tmp_path / "none"))
+    got = {r.layer: r for r in layer_report(spark, {n: str(tmp_path / n) for n in ("full", "none", "missing")}).collect()}
+    assert set(got) == {"full", "none", "TOTAL"}
+    assert (got["none"].records, got["full"].records, got["TOTAL"].records) == (0, 3, 3)
+    one = spark.createDataFrame([("a", 1.0)], "layer string, mb double")
+    two = spark.createDataFrame([("b", 2.0)], "layer string, mb double")
+    assert {(r.layer, r.mb_before, r.mb_after) for r in size_delta(one, two).collect()} == {("a", 1.0, None), ("b", None, 2.0)}

@@ -124,7 +124,8 @@ def pack_stamps(
     key: str,
     ts: str,
     out: str = "date",
-    block_col: str | None = None,
+    *,
+    block_col: str,
     block_size: int = 256,
     fmt: str = "yyyy-MM-dd HH:mm:ss",
 ) -> DataFrame:
@@ -134,9 +135,7 @@ def pack_stamps(
     e.g. an event id) caps each packed record at ``block_size`` stamps, so no group is
     unbounded even for a key holding a large share of all rows.
     """
-    group = [_q(key)]
-    if block_col is not None:
-        group.append(F.floor(_q(block_col) / F.lit(block_size)).alias("block"))
+    group = [_q(key), F.floor(_q(block_col) / F.lit(block_size)).alias("block")]
     return df.groupBy(*group).agg(
         F.array_join(F.array_sort(F.collect_list(F.date_format(_q(ts), fmt))), ", ").alias(out)
     )

@@ -6,8 +6,10 @@ batch; counts come from an ``Observation`` on the written plan, not from a secon
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,17 +77,27 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there. A store that cannot be reached raises: it must not look empty."""
     try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(hpath))
-    except Exception:  # pragma: no cover - no JVM handle (Spark Connect): probe by reading
+        context = spark.sparkContext
+    except Exception:  # Spark Connect has none: probe by reading
         try:
             spark.read.format("binaryFile").load(path).limit(1).schema  # noqa: B018
             return True
-        except Exception:
-            return False
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return False
+            raise
+    hpath = context._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(context._jsc.hadoopConfiguration()).exists(hpath))
+
+
+# SQL states and wordings by which databases say that a table is not there.
+_NO_TABLE = re.compile(r"\b(42P01|42S02|42X05|3F000)\b|relation .* does not exist|table .* (not found|does(n't| not) exist)", re.I)
+
+
+def _table_missing(error: Exception) -> bool:
+    return bool(_NO_TABLE.search(str(error)))
 
 
 def _drop_present(df: DataFrame, drop: Sequence[str]) -> DataFrame:
@@ -153,9 +165,11 @@ def load_insert_absent_jdbc(
         return {"status": "skipped", "rows_written": 0}
     spark = batch.sparkSession
     try:
-        target = read_jdbc(spark, JdbcSpec(**{**spec.__dict__, "partition_column": None}))
+        target = read_jdbc(spark, spec)
         target.schema  # noqa: B018 - resolve now: a missing table raises here
-    except Exception:
+    except Exception as e:  # any other failure (host, password, right) must not look like an empty table
+        if not _table_missing(e):
+            raise
         target = None
     new, obs = _observed(rows_to_insert(batch, target, keys, order_by), "insert_absent_jdbc")
     write_jdbc(new, spec, mode="append")
@@ -177,9 +191,15 @@ def load_reconcile(
     key is absent (``keys``, first by ``order_by``). Read and written counts are observed on the
     one write job; the target count is taken from the written layer afterwards. ``reconciled``
     says whether the target holds exactly what it should: the batch for a replace, the earlier
-    rows plus the written ones for an insert.
+    rows plus the written ones for an insert. Rows with a NULL key cannot be inserted; a batch that
+    has any is not reconciled. ``rows_read`` is observed below a shuffle and may count rows of a
+    rerun stage twice; the other two are not.
     """
-    src, obs_in = _observed(batch, "reconcile_read")
+    null_key = F.lit(False)
+    for k in keys if mode == "insert_absent" else ():
+        null_key = null_key | _q(k).isNull()
+    obs_in = Observation("reconcile_read")
+    src = batch.observe(obs_in, F.count(F.lit(1)).alias("rows"), F.count_if(null_key).alias("rejected"))
     before = 0
     if mode == "replace":
         out, obs_out = _observed(src, "reconcile_written")
@@ -194,7 +214,7 @@ def load_reconcile(
     read_n, written_n = obs_in.get["rows"], obs_out.get["rows"]
     in_target = spark.read.format(fmt).load(path).count()
     return spark.createDataFrame(
-        [(read_n, written_n, in_target, before + written_n == in_target)],
+        [(read_n, written_n, in_target, before + written_n == in_target and not obs_in.get["rejected"])],
         "rows_read bigint, rows_written bigint, rows_in_target bigint, reconciled boolean",
     )
 

@@ -30,68 +30,58 @@ def top_per_group(
     return ranked.filter(F.col(name) <= k)
 
 
-def percent_ranks_by_histogram(
-    df: DataFrame,
-    group: Sequence[str],
-    values: Sequence[str],
-    outs: Sequence[str],
-    broadcast_rows: int | None = 500_000,
-) -> DataFrame:
-    """``percent_rank() OVER (PARTITION BY group ORDER BY v)`` for each ``v`` in ``values``,
-    without windowing the rows.
-
-    One pass builds a histogram of every measure: rows are counted per (measure, group, value)
-    with map-side partial aggregation; a window over the distinct values only (NULL first, as in
-    Spark's ascending order) gives (rows below) / (n - 1), 0 for a single-row group - the same
-    double as the built-in. Each measure's ranks are joined back on (group, value) with a
-    NULL-safe key; values are compared as doubles (exact for integers below 2**53).
-
-    The rank table is written once and its actual row count (observed during the write) checked: up to ``broadcast_rows``
-    it is broadcast, so the rows are joined where they are read and never shuffled; beyond that
-    the joins fall back to a shuffle (with AQE skew splitting for a hot (group, value)).
-    ``broadcast_rows=None`` skips the check and leaves the strategy to the planner.
+def value_ranks(df: DataFrame, group: Sequence[str], value: str, out: str) -> DataFrame:
+    """``percent_rank()`` of every distinct (group, value): (rows below) / (n - 1), 0 for a single row.
+
+    Rows are counted per (group, value) with map-side partial aggregation, in the value's own type;
+    NULL comes first, as in Spark's ascending order. The counts are range-partitioned by (group,
+    value) and written once, so a group spans as many partitions as its values need. Running counts
+    are taken inside each partition, and one sum per (group, partition) adds what lies before.
     """
     g = list(group)
-    if len(values) == 1:
-        stacked = df.select(*g, F.lit(0).alias("__m"), F.col(values[0]).cast("double").alias("__v"))
-    else:
-        tagged = F.array(
-            *[F.struct(F.lit(i).alias("m"), F.col(v).cast("double").alias("v")) for i, v in enumerate(values)]
-        )
-        stacked = df.select(*g, F.explode(tagged).alias("__s")).select(
-            *g, F.col("__s.m").alias("__m"), F.col("__s.v").alias("__v")
-        )
-    hist = stacked.groupBy("__m", *g, "__v").agg(F.count(F.lit(1)).alias("__c"))
-    w_order = Window.partitionBy("__m", *g).orderBy(F.col("__v").asc_nulls_first())
-    w_all = Window.partitionBy("__m", *g)
-    below = F.coalesce(
-        F.sum("__c").over(w_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    hist = df.groupBy(*g, value).agg(F.count(F.lit(1)).alias("__c"))
+    ranged = materialize(
+        hist.repartitionByRange(*[F.col(c).asc_nulls_first() for c in [*g, value]]).withColumn("__part", F.spark_partition_id())
     )
-    n = F.sum("__c").over(w_all)
-    pr = F.when(n <= 1, F.lit(0.0)).otherwise(below / (n - F.lit(1)))
-    ranks = hist.select(
-        "__m", *[F.col(c).alias(f"__g_{i}") for i, c in enumerate(g)], "__v", pr.alias("__pr")
+    along = Window.partitionBy(*g).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy(*g, "__part").agg(F.sum("__c").alias("__s"))
+    sums = sums.select(
+        *[F.col(c).alias(f"__g_{i}") for i, c in enumerate(g)],
+        F.col("__part").alias("__p"),
+        F.coalesce(F.sum("__s").over(along), F.lit(0)).alias("__before"),
+        F.sum("__s").over(Window.partitionBy(*g)).alias("__n"),
     )
-    if broadcast_rows is not None:
-        ranks, rows = materialize(ranks, count=True)
-        if rows <= broadcast_rows:
-            ranks = F.broadcast(ranks)
-    out = df
-    for m, (v, name) in enumerate(zip(values, outs)):
-        r = ranks.filter(F.col("__m") == m).select(
-            *[f"__g_{i}" for i in range(len(g))], "__v", F.col("__pr").alias(name)
-        )
-        cond = [out[c].eqNullSafe(r[f"__g_{i}"]) for i, c in enumerate(g)]
-        cond.append(out[v].cast("double").eqNullSafe(r["__v"]))
-        out = out.join(r, cond, "inner").drop(*[f"__g_{i}" for i in range(len(g))], "__v")
-    return out
-
-
-def percent_rank_by_histogram(
-    df: DataFrame, group: Sequence[str], value: str, out: str, broadcast_rows: int | None = 500_000
-) -> DataFrame:
+    inside = Window.partitionBy("__part", *g).orderBy(F.col(value).asc_nulls_first())
+    local = ranged.withColumn(
+        "__below", F.coalesce(F.sum("__c").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    )
+    same = [local["__part"] == sums["__p"]] + [local[c].eqNullSafe(sums[f"__g_{i}"]) for i, c in enumerate(g)]
+    n = F.col("__n")
+    rank = F.when(n <= 1, F.lit(0.0)).otherwise((F.col("__below") + F.col("__before")) / (n - F.lit(1)))
+    return local.join(sums, same).select(*g, value, rank.alias(out))
+
+
+def join_ranks(df: DataFrame, ranks: DataFrame, group: Sequence[str], value: str, out: str) -> DataFrame:
+    """``df`` with the rank of its (group, value), by a NULL-safe join whose strategy the planner picks
+    from the written table's real size."""
+    keys = [*group, value]
+    named = ranks.select(*[F.col(c).alias(f"__k_{i}") for i, c in enumerate(keys)], F.col(out))
+    same = [df[c].eqNullSafe(named[f"__k_{i}"]) for i, c in enumerate(keys)]
+    return df.join(named, same).drop(*[f"__k_{i}" for i in range(len(keys))])
+
+
+def percent_ranks_by_histogram(df: DataFrame, group: Sequence[str], values: Sequence[str], outs: Sequence[str]) -> DataFrame:
+    """``percent_rank() OVER (PARTITION BY group ORDER BY v)`` for each ``v`` in ``values``, without
+    windowing the rows; see :func:`value_ranks`."""
+    ranked = df
+    for v, name in zip(values, outs, strict=True):
+        ranked = join_ranks(ranked, value_ranks(df, group, v, name), group, v, name)
+    return ranked
+
+
+def percent_rank_by_histogram(df: DataFrame, group: Sequence[str], value: str, out: str) -> DataFrame:
     """Single-measure form of :func:`percent_ranks_by_histogram`."""
-    return percent_ranks_by_histogram(df, group, [value], [out], broadcast_rows)
+    return percent_ranks_by_histogram(df, group, [value], [out])
 
 
 def top_groups(

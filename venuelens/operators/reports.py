@@ -32,6 +32,8 @@ def layer_report(spark: SparkSession, layers: Mapping[str, str], fmt: str = "par
             F.count(F.lit(1)).alias("__rows"), F.max("__sz").alias("__sz")
         )
         parts.append(per_file)
+        # an existing layer without rows is reported too
+        parts.append(spark.createDataFrame([(name, None, 0, 0)], "layer string, __f string, __rows bigint, __sz bigint"))
     if not parts:
         return spark.createDataFrame([], "layer string, records bigint, files bigint, mb double")
     allf = parts[0]
@@ -39,17 +41,18 @@ def layer_report(spark: SparkSession, layers: Mapping[str, str], fmt: str = "par
         allf = allf.unionByName(p)
     rolled = allf.rollup("layer").agg(
         F.sum("__rows").cast("bigint").alias("records"),
-        F.count(F.lit(1)).cast("bigint").alias("files"),
+        F.count("__f").cast("bigint").alias("files"),
         F.round(F.sum("__sz") / F.lit(1e6), 3).alias("mb"),
     )
     return rolled.select(F.coalesce("layer", F.lit("TOTAL")).alias("layer"), "records", "files", "mb")
 
 
 def size_delta(before: DataFrame, after: DataFrame) -> DataFrame:
-    """MB before and after per layer (e.g. raw vs trimmed) with the % change."""
+    """MB before and after per layer (e.g. raw vs trimmed) with the % change; a layer on one side only
+    has NULL on the other."""
     b = before.select("layer", F.col("mb").alias("mb_before"))
     a = after.select("layer", F.col("mb").alias("mb_after"))
-    return b.join(a, "layer", "inner").withColumn(
+    return b.join(a, "layer", "full").withColumn(
         "pct_change", F.round(F.try_divide(F.col("mb_after") - F.col("mb_before"), F.col("mb_before")) * 100, 1)
     )
 

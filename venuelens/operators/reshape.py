@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -38,10 +38,9 @@ def bubble_scale(
 ) -> DataFrame:
     """``measure / max(measure) * span + base``.
 
-    Meant for a bounded (top-k) result: the global max is a window over the whole frame, which
-    runs in a single task.
+    The maximum is one aggregated value, put in as a literal, so the frame is never gathered.
     """
-    m = F.max(measure).over(Window.partitionBy())
+    m = F.lit(df.agg(F.max(measure)).first()[0])
     return df.withColumn(out, F.try_divide(F.col(measure).cast("double"), m) * span + base)
 
 

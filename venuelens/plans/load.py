@@ -16,15 +16,21 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import loads
 from ..sources.jdbc import JdbcSpec, read_jdbc
 from ..sources.schemas import REVIEW_TARGET, USER_TARGET
 
+def _total_order(first: list[str], target: T.StructType) -> list[str]:
+    """``first``, then all other target columns: rows that tie on all of them are equal."""
+    return [*first, *(f.name for f in target.fields if f.name not in first)]
+
+
 # insert-if-absent settings per entity: key, order deciding the first row, target columns
 INSERT_ENTITIES = {
-    "user": (["user_id"], ["yelping_since", "name"], USER_TARGET),
-    "review": (["review_id"], ["date", "user_id"], REVIEW_TARGET),
+    "user": (["user_id"], _total_order(["yelping_since", "name"], USER_TARGET), USER_TARGET),
+    "review": (["review_id"], _total_order(["date", "user_id"], REVIEW_TARGET), REVIEW_TARGET),
 }
 
 

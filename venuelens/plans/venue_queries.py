@@ -26,7 +26,7 @@ from ..functions.dates import as_timestamp, month_label, month_start
 from ..functions.dayparts import day_part
 from ..functions.lists import split_trim
 from ..functions.stats import mean_from_moments, merge_moments, moments, pop_stddev_from_moments
-from ..operators.ranking import percent_ranks_by_histogram, rows_of_top_groups, top_per_group
+from ..operators.ranking import join_ranks, rows_of_top_groups, top_per_group, value_ranks
 from ..operators.reshape import bubble_scale, group_means, pivot_matrix
 from ..session import materialize
 
@@ -127,7 +127,7 @@ def daypart_leaders(
         traffic, ["city", "day_segment"], [F.col("checkin_count").desc()], top_k, "rank", "traffic_rank"
     )
     cols = ["city", "day_segment", *key, "checkin_count"]
-    return ranked.select(*cols)
+    return ranked.select(*cols).orderBy("city", F.col("checkin_count").desc(), "day_segment", *key)
 
 
 def daypart_profile(leaders: DataFrame) -> DataFrame:
@@ -256,7 +256,7 @@ def category_leaders(
         *key,
         "total_reviews",
         F.round("__avg", 2).alias("avg_rating"),
-    )
+    ).orderBy("category_name", "market_rank", *key)
 
 
 def leaders_profile(leaders: DataFrame, head: int = 30) -> DataFrame:
@@ -280,8 +280,8 @@ def reviewer_influence(
 ) -> DataFrame:
     """Reviews written, distinct venues, useful votes -> weighted influence score; top ``k``.
 
-    Two-stage aggregation (user, venue) then user replaces ``COUNT(DISTINCT)``: both stages
-    combine map-side, so one very active reviewer never lands whole in one task.
+    Two-stage aggregation (user, venue) then user, the plan Spark makes of ``COUNT(DISTINCT)``, with
+    the other sums taken along.
     Weights are exact decimals, as in SQL text.
     """
     per_pair = reviews.groupBy("user_id", "business_id").agg(
@@ -344,7 +344,7 @@ def yoy_change(
     prev = F.max("reviews").over(w.rangeBetween(-1, -1)) if calendar else F.lag("reviews").over(w)
     return yearly.withColumn(
         "yoy_pct_change", F.round(F.try_divide(F.col("reviews") - prev, prev) * 100, 1)
-    ).select(group, "yr", "reviews", "yoy_pct_change")
+    ).select(group, "yr", "reviews", "yoy_pct_change").orderBy(group, "yr")
 
 
 def yoy_top_groups(yoy: DataFrame, k: int = 5, group: str = "state") -> DataFrame:
@@ -368,17 +368,15 @@ def traffic_vs_rating(
     traffic_at_least: float = 0.90,
     rating_at_most: float = 0.25,
     top_k: int = 30,
-    materialize_venues: bool = True,
-    window_rows: int = 2_000_000,
     cube: DataFrame | None = None,
     visits_by_part: DataFrame | None = None,
 ) -> DataFrame:
     """Busy but poorly rated venues: within each group, traffic percent rank >= 0.90 and
     rating percent rank <= 0.25 among venues with visits and >= ``min_reviews`` reviews.
 
-    The venue frame is written once (its row count observed). Up to ``window_rows`` venues the
-    percent ranks are built-in windows over it; beyond that they run on value histograms (see
-    ``percent_ranks_by_histogram``), so no group is ever windowed whole in one task.
+    The venue frame is written once. A percent rank grows with its value, so each threshold is one
+    cut-off value per group: the ranks of the distinct values (:func:`value_ranks`) give the
+    cut-offs, the frame is filtered by them, and ranks are looked up for the ``top_k`` rows alone.
     """
     if visits_by_part is not None:
         checkins = visits_by_part.groupBy("business_id").agg(F.sum("visits").alias("__checkins"))
@@ -408,42 +406,33 @@ def traffic_vs_rating(
         )
         .filter((F.col("total_checkins") > 0) & (F.col("total_reviews") >= min_reviews))
     )
-    # One row per venue feeding the rows and both ranks: write it once so the visit and review
-    # facts are scanned once, not once per branch; its row count is observed on that write.
-    rows = None
-    if materialize_venues:
-        combined, rows = materialize(combined, count=True)
-    if rows is not None and rows <= window_rows:
-        # bounded frame: the built-in window is exact, and even a state holding all the rows
-        # stays within the bound in its one task
-        w = Window.partitionBy(group)
-        ranked = combined.withColumn(
-            "__tpr", F.percent_rank().over(w.orderBy("total_checkins"))
-        ).withColumn("__rpr", F.percent_rank().over(w.orderBy("avg_review_stars")))
-    else:
-        # unbounded: histogram form; the rows joined back are the materialized venue frame (with
-        # real size statistics), so the join strategy is left to the planner and AQE
-        ranked = percent_ranks_by_histogram(
-            combined,
-            [group],
-            ["total_checkins", "avg_review_stars"],
-            ["__tpr", "__rpr"],
-            broadcast_rows=None if materialize_venues else 500_000,
+    # one row per venue feeds the rows and both ranks, so the facts behind it are scanned once
+    combined = materialize(combined)
+    traffic = value_ranks(combined, [group], "total_checkins", "__tpr")
+    rating = value_ranks(combined, [group], "avg_review_stars", "__rpr")
+    low = traffic.filter(F.round("__tpr", 4) >= traffic_at_least).groupBy(F.col(group).alias("__g1")).agg(
+        F.min("total_checkins").alias("__low")
+    )
+    high = rating.filter(F.round("__rpr", 4) <= rating_at_most).groupBy(F.col(group).alias("__g2")).agg(
+        F.max("avg_review_stars").alias("__high")
+    )
+    order = [F.col("total_checkins").desc(), F.col("avg_review_stars").asc(), F.col("business_id").asc()]
+    chosen = (
+        combined.join(low, F.col(group).eqNullSafe(F.col("__g1")) & (F.col("total_checkins") >= F.col("__low")))
+        .join(
+            high,
+            F.col(group).eqNullSafe(F.col("__g2"))
+            & (F.col("avg_review_stars").isNull() | (F.col("avg_review_stars") <= F.col("__high"))),
         )
-    out = ranked.select(
-        "business_id",
-        "name",
-        "city",
-        group,
-        "total_checkins",
-        "total_reviews",
-        "avg_review_stars",
-        F.round("__tpr", 4).alias("traffic_pct_rank"),
-        F.round("__rpr", 4).alias("rating_pct_rank"),
-    ).filter((F.col("traffic_pct_rank") >= traffic_at_least) & (F.col("rating_pct_rank") <= rating_at_most))
-    return out.orderBy(
-        F.col("total_checkins").desc(), F.col("avg_review_stars").asc(), F.col("business_id").asc()
-    ).limit(top_k)
+        .select(*combined.columns)
+        .orderBy(*order)
+        .limit(top_k)
+    )
+    top = F.broadcast(chosen)  # at most top_k rows
+    ranked = join_ranks(join_ranks(top, traffic, [group], "total_checkins", "__tpr"), rating, [group], "avg_review_stars", "__rpr")
+    return ranked.select(
+        *combined.columns, F.round("__tpr", 4).alias("traffic_pct_rank"), F.round("__rpr", 4).alias("rating_pct_rank")
+    ).orderBy(*order)
 
 
 # --------------------------------------------------------------------------------------------

@@ -30,11 +30,13 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a local one only when none is configured.
 
-    Only tests, the benchmark and the driver contract call this; on a cluster the setting is
-    always given and is used as it is.
+    A folder of this machine serves a ``local`` master only; on a cluster a missing setting raises.
     """
     d = checkpoint_root(spark)
     if d is None:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
         local = tempfile.mkdtemp(prefix="venuelens-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(local)

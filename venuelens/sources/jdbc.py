@@ -7,6 +7,7 @@ instead of one task reading a whole table. The key bounds come from one pushed-d
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,8 @@ def tls_url(base_url: str, ca_path: str | None = None, full_check: bool = False)
     ``full_check`` also verifies the host name (requires ``ca_path``).
     """
     sep = "&" if "?" in base_url else "?"
+    if full_check and not ca_path:
+        raise ValueError("a full certificate check needs the path of a CA file")
     if ca_path:
         mode = "verify-full" if full_check else "verify-ca"
         return f"{base_url}{sep}sslmode={mode}&sslrootcert={ca_path}"
@@ -35,6 +38,7 @@ class JdbcSpec:
     num_partitions: int | None = None
     lower_bound: int | None = None
     upper_bound: int | None = None
+    predicates: tuple[str, ...] = ()
     fetchsize: int = 10_000
     batchsize: int = 10_000
     extra: dict[str, str] = field(default_factory=dict)
@@ -51,6 +55,17 @@ class JdbcSpec:
         return opts
 
 
+def text_key_predicates(column: str, cuts: Sequence[str]) -> tuple[str, ...]:
+    """One predicate per slice of a text key: the ranges between the sorted ``cuts``, NULL keys in the
+    first. Every row matches exactly one."""
+    quoted = ["'" + c.replace("'", "''") + "'" for c in sorted(set(cuts))]
+    if not quoted:
+        return ()
+    first = f"{column} < {quoted[0]} OR {column} IS NULL"
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(quoted, quoted[1:], strict=False)]
+    return (first, *inner, f"{column} >= {quoted[-1]}")
+
+
 def key_bounds(spark: SparkSession, spec: JdbcSpec) -> tuple[int, int] | None:
     """Min and max of the partition column, computed by the database (one row back)."""
     col = spec.partition_column
@@ -62,7 +77,11 @@ def key_bounds(spark: SparkSession, spec: JdbcSpec) -> tuple[int, int] | None:
 
 
 def read_jdbc(spark: SparkSession, spec: JdbcSpec) -> DataFrame:
-    """Read a table; partitioned by key range when ``partition_column`` is set."""
+    """Read a table: one query per predicate (text keys) when given, else split by key range when
+    ``partition_column`` is set."""
+    if spec.predicates:
+        options = {k: v for k, v in spec.options().items() if k != "url"}
+        return spark.read.jdbc(spec.url, spec.table, predicates=list(spec.predicates), properties=options)
     reader = spark.read.format("jdbc").options(**spec.options()).option("dbtable", spec.table)
     if spec.partition_column and (spec.num_partitions or 0) > 1:
         lo, hi = spec.lower_bound, spec.upper_bound
