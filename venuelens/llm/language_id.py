@@ -111,11 +111,20 @@ def build(languages: list[str], lang: np.ndarray, packed: np.ndarray, default: i
 def fit_language(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, min_share: float = MIN_SHARE) -> Filters | None:
     """Filters of every non-null ``lang`` of the documents outside the held fold."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", PARTS) != HELD))
-    turn = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # row_number <= k is cut down in every task before the shuffle, so a hot language costs k rows a task
-    drawn = known.select("doc_id", "lang").withColumn("__n", F.row_number().over(turn)).filter(F.col("__n") <= docs_per_language)
-    # an id may be repeated; its texts then count once each
-    drawn = drawn.select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang")).distinct()
+    ids = known.select("doc_id", "lang").distinct()  # an id may be repeated; its texts then count once each
+    sizes = {r["lang"]: r["n"] for r in ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes:
+        return None
+    # the first ids in hash order are wanted; hashes above four times the expected place of the last
+    # one are left out beforehand, so that a hot language brings few rows to its window
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / float(1 << 53)
+    reach = F.create_map(*[F.lit(x) for l, n in sizes.items() for x in (l, min(1.0, 4 * docs_per_language / n))])
+    turn = Window.partitionBy("lang").orderBy("place", "doc_id")
+    drawn = (
+        ids.withColumn("place", place).filter(F.col("place") <= reach[F.col("lang")])
+        .withColumn("__n", F.row_number().over(turn)).filter(F.col("__n") <= docs_per_language)
+        .select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"))
+    )
     texts = known.select("doc_id", "lang", "text")
     sample = texts.join(F.broadcast(drawn), (texts.doc_id == drawn["__id"]) & (texts.lang == drawn["__lang"])).select("lang", "text")
 
