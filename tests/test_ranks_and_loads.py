@@ -101,3 +101,20 @@ def test_empty_layer_is_reported(spark, tmp_path):
     one = spark.createDataFrame([("a", 1.0)], "layer string, mb double")
     two = spark.createDataFrame([("b", 2.0)], "layer string, mb double")
     assert {(r.layer, r.mb_before, r.mb_after) for r in size_delta(one, two).collect()} == {("a", 1.0, None), ("b", None, 2.0)}
+
+
+def test_replace_without_half_written_state(spark, tmp_path):
+    from venuelens.sources.files import current_version, read_replaced, replace_layer
+
+    path = str(tmp_path / "layer")
+    with pytest.raises(FileNotFoundError):
+        read_replaced(spark, path)
+    first = replace_layer(spark.range(5), path)
+    held = read_replaced(spark, path)
+    with pytest.raises(Exception, match="broken"):
+        replace_layer(spark.range(9).withColumn("id", F.raise_error(F.lit("broken"))), path)
+    assert current_version(spark, path) == first and read_replaced(spark, path).count() == 5
+    replace_layer(spark.range(7), path)
+    assert read_replaced(spark, path).count() == 7 and held.count() == 5  # readers of the last version go on
+    replace_layer(spark.range(8), path)
+    assert not (tmp_path / "layer" / first).exists() and read_replaced(spark, path).count() == 8

@@ -29,3 +29,16 @@ def test_segment_profile_and_centroids(spark):
     # the centroids are numbered in sorted order
     rows = [tuple(r)[1:] for r in centroids.orderBy("segment").collect()]
     assert rows == sorted(rows)
+
+
+def test_fit_layout_does_not_follow_the_cluster(spark):
+    """Same labels whatever the input's partitions: the fit's layout is one setting."""
+    from venuelens.plans import segmentation as seg
+    from venuelens.plans.bindings_ml import _features
+
+    features = _features(spark, "/root/testdata/sf0.001")
+    found = set()
+    for n in (1, 2, 8):
+        assigned, _ = seg.segment_entities(features.repartition(n), k=4, seeds=(42, 43))
+        found.add(tuple(sorted((r.business_id, r.segment) for r in assigned.collect())))
+    assert len(found) == 1

@@ -5,6 +5,7 @@ Everything runs distributed; only the k centroids and a few scalars reach the dr
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -40,11 +41,9 @@ def standardize(
     return out
 
 
-def partitions_for(spark, rows: int, rows_per_partition: int = 500_000) -> int:
-    """Partitions for an iterative fit: enough for ``rows_per_partition`` rows each, at most the
-    cluster's default parallelism, at least one."""
-    cap = max(1, spark.sparkContext.defaultParallelism)
-    return max(1, min(cap, -(-rows // rows_per_partition)))
+# Partitions of a fit. The starts depend on the layout, so it is one setting, never derived from the
+# rows or the cluster: raise it for more venues than 8 tasks should hold, and keep it.
+FIT_PARTITIONS = 8
 
 
 def _fixed_layout(df: DataFrame, key: str, partitions: int) -> DataFrame:
@@ -58,8 +57,8 @@ def fit_segments(
     key: str,
     k: int = 4,
     seeds: Sequence[int] = tuple(range(42, 52)),
-    max_iter: int = 20,
-    partitions: int = 8,
+    max_iter: int = 300,
+    partitions: int = FIT_PARTITIONS,
     concurrency: int = 10,
 ) -> tuple[KMeansModel, list[int]]:
     """Best of several k-means starts (lowest within-cluster cost).
@@ -86,6 +85,8 @@ def fit_segments(
     finally:
         data.unpersist()
     best = min(results, key=lambda r: (r[0], r[1]))[2]
+    if best.summary.numIter >= max_iter:
+        warnings.warn(f"the best start stopped unconverged after {max_iter} iterations", stacklevel=2)
     centres = [tuple(round(float(x), 9) for x in c) for c in best.clusterCenters()]
     order = sorted(range(len(centres)), key=lambda i: centres[i])
     relabel = [0] * len(centres)

@@ -9,7 +9,7 @@ from ..operators import curation as cur
 from ..operators import loads
 from ..operators.reports import StepCounter, layer_report, size_delta, step_summary
 from ..session import materialize, shared_path
-from ..sources.files import read_json_lines, write_layer
+from ..sources.files import read_json_lines, write_layer, read_replaced, replace_layer
 from ..sources.switch import SourceSpec, load_views
 from . import venue_queries as vq
 from .bindings import (
@@ -124,6 +124,22 @@ def q_load_replace(spark, d):
     return spark.read.parquet(path)
 
 
+@register("replace_layer", "SELECT * FROM part")
+def q_replace_layer(spark, d):
+    path = shared_path(spark, "bind", "replace_layer")
+    part = table(spark, d, "part")
+    replace_layer(part.filter(F.col("p_size") > 25), path)
+    try:  # a load that fails in its tasks leaves the version before it in place ...
+        replace_layer(part.withColumn("p_size", F.raise_error(F.lit("broken batch"))), path)
+    except Exception as e:
+        if "broken batch" not in str(e):
+            raise
+    if read_replaced(spark, path).filter(F.col("p_size") <= 25).limit(1).count():
+        raise AssertionError("a failed load changed the layer")
+    replace_layer(part, path)  # ... and the next one replaces it
+    return read_replaced(spark, path)
+
+
 @register("load_replace_unique", "SELECT * FROM part")
 def q_load_replace_unique(spark, d):
     path = shared_path(spark, "bind", "load_replace_unique")

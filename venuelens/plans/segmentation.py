@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from ..operators.joins import enrich_with_defaults
 from ..operators.reshape import group_means
 from ..operators.segments import (
+    FIT_PARTITIONS,
     assign_segments,
     centroid_frame,
     feature_stats,
     fit_segments,
-    partitions_for,
     standardize,
 )
 from ..session import materialize
@@ -40,7 +40,7 @@ def segment_entities(
     features: DataFrame,
     k: int = 4,
     seeds: Sequence[int] = tuple(range(42, 52)),
-    partitions: int | None = None,
+    partitions: int = FIT_PARTITIONS,
 ) -> tuple[DataFrame, DataFrame]:
     """(venues with ``segment``, centroids in standardised units).
 
@@ -51,8 +51,7 @@ def segment_entities(
     stats = feature_stats(features, FEATURES)
     z = standardize(features, FEATURES, stats=stats)
     zcols = [f + "_z" for f in FEATURES]
-    parts = partitions or partitions_for(features.sparkSession, int(stats["__n"]))
-    model, relabel = fit_segments(z, zcols, "business_id", k=k, seeds=seeds, partitions=parts)
+    model, relabel = fit_segments(z, zcols, "business_id", k=k, seeds=seeds, partitions=partitions)
     assigned = assign_segments(z, model, relabel, zcols).drop(*zcols)
     return assigned, centroid_frame(features.sparkSession, model, relabel, zcols)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,3 +52,58 @@ def write_layer(
         w = w.option(k, v)
     w.save(path)
     return path
+
+
+def replace_layer(df: DataFrame, path: str, fmt: str = "parquet") -> str:
+    """Replace the layer kept at ``path`` without a half-written state, and return the new version.
+
+    The rows go to a fresh folder under ``path``; only when all are written does the pointer file
+    ``CURRENT`` change, by one rename. A failed write leaves the earlier version in place, and a
+    reader always sees one whole version. The version replaced last stays for its readers, older
+    ones are removed.
+    """
+    spark = df.sparkSession
+    version = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    df.write.format(fmt).save(f"{path}/{version}")
+    before = current_version(spark, path)
+    fs, folder = _folder(spark, path)
+    new = spark._jvm.org.apache.hadoop.fs.Path(folder, f".CURRENT-{version}")
+    out = fs.create(new)
+    out.write(bytearray(version.encode()))
+    out.close()
+    jvm = spark._jvm.org.apache.hadoop.fs
+    options = spark.sparkContext._gateway.new_array(jvm.Options.Rename, 1)
+    options[0] = jvm.Options.Rename.OVERWRITE
+    context = jvm.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(new, jvm.Path(folder, "CURRENT"), options)
+    for entry in fs.listStatus(folder):
+        name = entry.getPath().getName()
+        if name.startswith("v-") and name < version and name != before:
+            fs.delete(entry.getPath(), True)
+    return version
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Name of the version that ``CURRENT`` points at; None where there is none yet."""
+    fs, folder = _folder(spark, path)
+    pointer = spark._jvm.org.apache.hadoop.fs.Path(folder, "CURRENT")
+    if not fs.exists(pointer):
+        return None
+    stream = fs.open(pointer)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def read_replaced(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The current version of a layer written by :func:`replace_layer`."""
+    version = current_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no version of the layer at {path}")
+    return spark.read.format(fmt).load(f"{path}/{version}")
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
