@@ -42,8 +42,8 @@ def standardize(
 
 
 # Partitions of a fit. The starts depend on the layout, so it is one setting, never derived from the
-# rows or the cluster: raise it for more venues than 8 tasks should hold, and keep it.
-FIT_PARTITIONS = 8
+# rows or the cluster: raise it for more venues than 4 tasks should hold, and keep it.
+FIT_PARTITIONS = 4
 
 
 def _fixed_layout(df: DataFrame, key: str, partitions: int) -> DataFrame:

@@ -17,6 +17,7 @@ map-side partial aggregation. Every limit carries a total order (a key tie-break
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
@@ -408,8 +409,10 @@ def traffic_vs_rating(
     )
     # one row per venue feeds the rows and both ranks, so the facts behind it are scanned once
     combined = materialize(combined)
-    traffic = value_ranks(combined, [group], "total_checkins", "__tpr")
-    rating = value_ranks(combined, [group], "avg_review_stars", "__rpr")
+    # the two counts are independent jobs over it and overlap
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        jobs = [pool.submit(value_ranks, combined, [group], v, out) for v, out in (("total_checkins", "__tpr"), ("avg_review_stars", "__rpr"))]
+        traffic, rating = (job.result() for job in jobs)
     low = traffic.filter(F.round("__tpr", 4) >= traffic_at_least).groupBy(F.col(group).alias("__g1")).agg(
         F.min("total_checkins").alias("__low")
     )
