@@ -225,3 +225,39 @@ def test_answer_all_shared_aggregates_equal_direct(spark):
         # k-means merges per-partition sums in no fixed order: centroids agree to ~1e-16
         digits = 9 if k == "segment_centroids" else None
         assert rows(shared[k], digits) == rows(direct[k], digits), k
+
+
+def test_curation_keeps_unlisted_fields(spark):
+    """Only the listed columns and prefixes go; other attributes and undeclared fields stay."""
+    from venuelens.streaming.incremental import curate_stream
+
+    base = shared_path(spark, "test", "raw_open")
+    venue = (
+        '{"business_id": "b1", "name": "A", "address": "z", "stars": 4.0, "verified": true, "tags": ["x", 1], '
+        '"attributes": {"WiFi": "free", "RestaurantsPriceRange2": "2", "Parking": {"lot": true}}}'
+    )
+    plain = '{"business_id": "b2", "name": "B", "stars": 3.0}'
+    spark.sparkContext.parallelize([venue, "", plain], 1).saveAsTextFile(f"{base}/business")
+    users = [f'{{"user_id": "u{i}", "friends": "f", "compliment_hot": 3, "badge": {i}}}' for i in range(20)]
+    spark.sparkContext.parallelize(users, 1).saveAsTextFile(f"{base}/user")
+    out = shared_path(spark, "test", "curated_open")
+    run_curation(spark, {n: f"{base}/{n}" for n in ("business", "user")}, out)
+    rows = {r.business_id: r for r in spark.read.parquet(f"{out}/business").collect()}
+    assert rows["b1"].other_fields == {"verified": "true", "tags": '["x",1]'}
+    assert rows["b1"].attributes == {"WiFi": "free", "RestaurantsPriceRange2": "2", "Parking": '{"lot":true}'}
+    assert rows["b2"].other_fields is None and rows["b2"].attributes is None and len(rows) == 2
+    assert "address" not in rows["b1"].asDict()
+    kept = spark.read.parquet(f"{out}/user")
+    assert "friends" not in kept.columns and 0 < kept.count() < 20
+    assert all(set(r.other_fields) == {"badge"} for r in kept.collect())
+    streamed = curate_stream(spark, "business", f"{base}/business")
+    assert streamed.schema["other_fields"].dataType.simpleString() == "map<string,string>"
+    assert streamed.columns == spark.read.parquet(f"{out}/business").columns
+
+
+def test_price_tier_reads_an_attribute_member(spark):
+    """Nested member access through the attribute map equals the same rule over a flat column."""
+    business = raw_frames(spark)["business"]
+    flat = business.withColumn("tier", F.element_at("attributes", "RestaurantsPriceRange2"))
+    got = vq.price_tier_rating(business, min_venues=2).collect()
+    assert got and got == vq.price_tier_rating(flat, tier="tier", min_venues=2).collect()

@@ -16,7 +16,7 @@ def test_json_lines_declared_schema_and_corrupt_rows(spark):
     spark.sparkContext.parallelize(lines, 1).saveAsTextFile(path)
     df = read_json_lines(spark, path, BUSINESS_RAW, corrupt_column="_corrupt")
     rows = {r.business_id: r for r in df.collect() if r.business_id}
-    assert rows["b1"].name == "Café" and rows["b1"].attributes.RestaurantsPriceRange2 == "2"
+    assert rows["b1"].name == "Café" and rows["b1"].attributes == {"RestaurantsPriceRange2": "2", "Other": "x"}
     assert rows["b2"].stars is None
     bad = [r for r in df.collect() if r._corrupt is not None]
     assert len(bad) == 1 and bad[0]._corrupt == "not json at all"

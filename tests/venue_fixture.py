@@ -26,7 +26,7 @@ def rows(seed: int = 3):
         else:
             categories = rnd.choice([", ", ","]).join(cats)
         tier = rnd.choice(["1", "2", "3", "4", "None", None])
-        attributes = None if rnd.random() < 0.1 else (tier,)
+        attributes = None if rnd.random() < 0.1 else {"RestaurantsPriceRange2": tier}
         business.append(
             (f"b{i}", rnd.choice(NAMES), "addr", city, state, "00000", 1.0, 2.0,
              rnd.choice([1.0, 1.5, 2.0, 3.0, 3.5, 4.0, 4.5, 5.0]), rnd.randint(0, 400), rnd.choice([0, 1, 1]),

@@ -32,13 +32,28 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def trim_columns(df: DataFrame, drop: Iterable[str] = (), drop_prefix: str = "") -> DataFrame:
-    """Drop columns by exact name and by prefix; names that are not present are ignored."""
+def trim_columns(
+    df: DataFrame, drop: Iterable[str] = (), drop_prefix: str = "", carried: str | None = None
+) -> DataFrame:
+    """Drop columns by exact name and by prefix; names that are not present are ignored.
+
+    ``carried`` names a map column of further fields: the same names go from its keys (a map left
+    empty becomes NULL). It is ignored when the frame has no such column.
+    """
     names = set(drop)
     keep = [
         c for c in df.columns if c not in names and not (drop_prefix and c.startswith(drop_prefix))
     ]
-    return df.select(*[_q(c) for c in keep])
+    out = df.select(*[_q(c) for c in keep])
+    if carried is None or carried not in keep or not (names or drop_prefix):
+        return out
+
+    def stays(key: Column, _: Column) -> Column:
+        listed = key.isin(sorted(names)) if names else F.lit(False)
+        return ~(listed | key.startswith(drop_prefix)) if drop_prefix else ~listed
+
+    left = F.map_filter(_q(carried), stays)
+    return out.withColumn(carried, F.when(F.size(left) > 0, left))
 
 
 def year_window(df: DataFrame, column: str, year_min: int, year_max: int) -> DataFrame:

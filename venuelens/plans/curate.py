@@ -30,7 +30,7 @@ from ..operators.curation import (
 )
 from ..operators.reports import StepCounter, step_summary
 from ..sources.files import read_json_lines, write_layer
-from ..sources.schemas import BUSINESS_DROP, ENTITY_SCHEMAS, USER_DROP, USER_DROP_PREFIX
+from ..sources.schemas import BUSINESS_DROP, CARRIED, ENTITY_SCHEMAS, USER_DROP, USER_DROP_PREFIX
 from ..sources.switch import SourceSpec
 
 
@@ -87,7 +87,7 @@ def curate(raw: Mapping[str, DataFrame], p: CurationParams = CurationParams()) -
     users = None
     if "user" in raw:
         users = sample_entities(
-            trim_columns(raw["user"], USER_DROP, USER_DROP_PREFIX),  # no-op on a key-only frame
+            trim_columns(raw["user"], USER_DROP, USER_DROP_PREFIX, CARRIED),  # no-op on a key-only frame
             "user_id",
             p.user_fraction,
             p.seed,
@@ -95,7 +95,7 @@ def curate(raw: Mapping[str, DataFrame], p: CurationParams = CurationParams()) -
         )
         out["user"] = users
     if "business" in raw:
-        out["business"] = trim_columns(raw["business"], BUSINESS_DROP)
+        out["business"] = trim_columns(raw["business"], BUSINESS_DROP, carried=CARRIED)
     if "review" in raw:
         out["review"] = curate_facts(raw["review"], users, "user_id", "user_id", "date", p, "review_id")
     if "tip" in raw:
@@ -124,12 +124,15 @@ def run_curation(
 ) -> DataFrame:
     """Read raw JSON lines, write each curated layer once, return the per-step row summary.
 
+    Only the columns the trimming names are lost: unlisted venue attributes stay in the
+    ``attributes`` map, fields no schema declares in the map column ``other_fields``.
+
     With ``buckets``, the venue-keyed layers are also catalog tables ``<table_prefix>_<entity>``
     bucketed and sorted by ``business_id`` into the same number of buckets (files still under
     ``out_dir``): per-venue aggregations and venue joins over them need no shuffle.
     """
     raw = {
-        name: read_json_lines(spark, path, ENTITY_SCHEMAS[name], corrupt_column=CORRUPT)
+        name: read_json_lines(spark, path, ENTITY_SCHEMAS[name], corrupt_column=CORRUPT, carry_column=CARRIED)
         for name, path in raw_paths.items()
     }
     outputs = list(curate(raw, p))

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -15,12 +16,16 @@ def read_json_lines(
     path: str | Sequence[str],
     schema: T.StructType,
     corrupt_column: str | None = None,
+    carry_column: str | None = None,
 ) -> DataFrame:
     """JSON lines with a declared schema (no inference pass over large files).
 
     PERMISSIVE mode: a malformed line becomes a row of NULLs; with ``corrupt_column`` its raw
-    text is kept in that column for inspection.
+    text is kept in that column for inspection. With ``carry_column`` the fields that the schema
+    does not name are kept as well (see :func:`parse_lines`).
     """
+    if carry_column is not None:
+        return parse_lines(spark.read.text(list(path) if not isinstance(path, str) else path), schema, corrupt_column, carry_column)
     if corrupt_column is not None:
         schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType(), True)])
     reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
@@ -29,6 +34,26 @@ def read_json_lines(
     return reader.json(list(path) if not isinstance(path, str) else path)
 
 
+def parse_lines(lines: DataFrame, schema: T.StructType, corrupt_column: str | None, carry_column: str) -> DataFrame:
+    """Text lines (column ``value``, batch or stream) as declared columns plus ``carry_column``.
+
+    ``carry_column`` maps the name of every field outside ``schema`` to its value as text (nested
+    values as JSON); NULL where a record has none. Blank lines are no records.
+    """
+    options = {"mode": "PERMISSIVE"}
+    fields = list(schema.fields)
+    if corrupt_column is not None:
+        fields.append(T.StructField(corrupt_column, T.StringType(), True))
+        options["columnNameOfCorruptRecord"] = corrupt_column
+    every = F.from_json("value", T.MapType(T.StringType(), T.StringType()), options)
+    other = F.map_filter(every, lambda name, _: ~name.isin(schema.fieldNames()))
+    return (
+        lines.filter(F.btrim("value", F.lit(" \t\r\n")) != "")
+        .select(F.from_json("value", T.StructType(fields), options).alias("__record"), other.alias("__other"))
+        .select("__record.*", F.when(F.size("__other") > 0, F.col("__other")).alias(carry_column))
+    )
+
+
 def read_layer(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read.format(fmt)
     if schema is not None:

@@ -1,7 +1,7 @@
 """Declared schemas of the venue entities (JSON-lines layout). No inference pass is needed.
 
 Types follow the data: identifiers and text stamps are strings, counters are bigint, ratings
-double, the price tier a text member of a nested struct.
+double, the venue attributes an open map of texts (the price tier is one of its members).
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ BUSINESS_RAW = _struct(
     ("stars", D),
     ("review_count", L),
     ("is_open", L),
-    ("attributes", _struct(("RestaurantsPriceRange2", S))),
+    ("attributes", T.MapType(S, S, True)),
     ("categories", S),
     ("hours", _struct(*[(d, S) for d in WEEKDAYS])),
 )
@@ -69,6 +69,9 @@ CHECKIN = _struct(("business_id", S), ("date", S))
 
 TIP = _struct(("user_id", S), ("business_id", S), ("text", S), ("date", S), ("compliment_count", L))
 
+# Column of the curated layers that holds a record's fields beyond the declared ones.
+CARRIED = "other_fields"
+
 # Columns dropped by the curation's trimming step.
 USER_DROP = ("friends",)
 USER_DROP_PREFIX = "compliment_"

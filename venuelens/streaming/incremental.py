@@ -18,7 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.curate import CurationParams, curate
 from ..session import materialize, shared_path
-from ..sources.schemas import ENTITY_SCHEMAS
+from ..sources.files import parse_lines
+from ..sources.schemas import CARRIED, ENTITY_SCHEMAS
 
 
 def stream_files(
@@ -28,21 +29,27 @@ def stream_files(
     transform: Callable[[DataFrame], DataFrame],
     fmt: str = "json",
     max_files_per_trigger: int | None = None,
+    carry_column: str | None = None,
 ) -> DataFrame:
     """``transform`` applied to a file stream read with a declared schema (no inference).
 
     JSON lines that do not parse are dropped before the transform (never passed on as rows of
-    NULLs).
+    NULLs). With ``carry_column`` (JSON only) the fields the schema does not name are kept in it.
     """
     corrupt = "_corrupt_record"
-    if fmt == "json":
+    carry = carry_column is not None and fmt == "json"
+    if fmt == "json" and not carry:
         schema = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType(), True)])
-    reader = spark.readStream.format(fmt).schema(schema)
-    if fmt == "json":
-        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt)
+    reader = spark.readStream.format("text" if carry else fmt)
+    if not carry:
+        reader = reader.schema(schema)
+        if fmt == "json":
+            reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.load(source_dir)
+    if carry:
+        stream = parse_lines(stream, schema, corrupt, carry_column)
     if fmt == "json":
         stream = stream.filter(F.col(corrupt).isNull()).drop(corrupt)
     return transform(stream)
@@ -96,7 +103,7 @@ def curate_stream(
             raw["user"] = keys
         return curate(raw, p)[entity]
 
-    return stream_files(spark, source_dir, ENTITY_SCHEMAS[entity], transform, "json", max_files_per_trigger)
+    return stream_files(spark, source_dir, ENTITY_SCHEMAS[entity], transform, "json", max_files_per_trigger, CARRIED)
 
 
 def start_curation_stream(
