@@ -171,12 +171,18 @@ def test_bucketed_layers_need_no_shuffle_for_venue_work(spark):
     prefix = f"cur_{uuid.uuid4().hex[:8]}"
     run_curation(spark, paths, out, CurationParams(user_fraction=0.9, review_fraction=0.9), buckets=4, table_prefix=prefix)
     views = table_views(spark, out, prefix)
-    # per-venue moments of the reviews and their join to the venues: no exchange below the join
-    plan = vq.category_rating(views["reviews"], views["business"], min_reviews=1)._jdf.queryExecution().executedPlan().toString()
+    # per-venue moments of the review cube and their join to the venues: no exchange below the join
+    cube = views["review_cube"]
+    plan = vq.category_rating(None, views["business"], min_reviews=1, cube=cube)._jdf.queryExecution().executedPlan().toString()
     lines = plan.splitlines()
     join = next(i for i, s in enumerate(lines) if "SortMergeJoin" in s or "BroadcastHashJoin" in s)
     below = "\n".join(lines[join:])
     assert "Exchange hashpartitioning(business_id" not in below, plan
+    # one file a bucket; raw facts are plain layers that split anywhere
+    for name in ("business", "review_cube", "visit_cube"):
+        files = spark.table(f"{prefix}_{name}").select(F.input_file_name().alias("f")).distinct().count()
+        assert 0 < files <= 4, name
+    assert not spark.catalog.tableExists(f"{prefix}_review")
     # same answers as over the plain layers
     plain = answer_all(file_views(spark, out), segments=False)
     bucketed = answer_all(views, segments=False)

@@ -32,7 +32,7 @@ def main(argv=None) -> None:
     c.add_argument("--review-fraction", type=float, default=0.20)
     c.add_argument("--seed", type=int, default=42)
     c.add_argument("--buckets", type=int, default=None,
-                   help="also register venue-keyed layers as tables bucketed by business_id "
+                   help="also write the venues and the fact aggregates as tables bucketed by business_id "
                         "(needs a persistent catalog to be seen by later runs)")
     c.add_argument("--table-prefix", default="curated")
     ld = sub.add_parser("load")

@@ -95,13 +95,27 @@ def fit_segments(
     return best, relabel
 
 
+def assign_nearest(
+    df: DataFrame, centres: Sequence[Sequence[float]], features: Sequence[str], out: str = "segment"
+) -> DataFrame:
+    """Number of the nearest centre (squared Euclidean distance; a tie goes to the smaller number)."""
+    distances = [
+        F.struct(
+            sum((pow(F.col(f) - F.lit(float(x)), 2) for f, x in zip(features, c, strict=True)), F.lit(0.0)).alias("d"),
+            F.lit(i).alias("i"),
+        )
+        for i, c in enumerate(centres)
+    ]
+    return df.withColumn(out, F.array_min(F.array(*distances))["i"].cast("int"))
+
+
 def assign_segments(
     df: DataFrame, model: KMeansModel, relabel: Sequence[int], features: Sequence[str], out: str = "segment"
 ) -> DataFrame:
-    vec = VectorAssembler(inputCols=list(features), outputCol="__features")
-    pred = model.setFeaturesCol("__features").setPredictionCol("__seg").transform(vec.transform(df))
-    mapping = F.element_at(F.array(*[F.lit(int(x)) for x in relabel]), F.col("__seg") + 1)
-    return pred.withColumn(out, mapping.cast("int")).drop("__features", "__seg")
+    """Segment of each row: its nearest centroid, in the numbering of ``relabel``."""
+    centres = model.clusterCenters()
+    ordered = [centres[old] for old in sorted(range(len(centres)), key=lambda i: relabel[i])]
+    return assign_nearest(df, ordered, features, out)
 
 
 def centroid_frame(spark, model: KMeansModel, relabel: Sequence[int], features: Sequence[str]) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import functions as F
 
-from ..operators.segments import standardize
+from ..operators.segments import assign_nearest, standardize
 from . import segmentation as seg
 from .bindings import customer_venues, register, visits_from_events
 
@@ -38,8 +40,15 @@ def q_standardize(spark, d):
     return z.select("business_id", *[F.round(f + "_z", 6).alias(f + "_z") for f in seg.FEATURES])
 
 
+# Fits by input, so that the keys over one table share the ten starts. The frames read written tables.
+_FITS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
 def _segments(spark, d):
-    return seg.segment_entities(_features(spark, d), k=4)
+    fits = _FITS.setdefault(spark, {})
+    if d not in fits:
+        fits[d] = seg.segment_entities(_features(spark, d), k=4)
+    return fits[d]
 
 
 @register("entity_segments")
@@ -58,3 +67,68 @@ def q_segment_centroids(spark, d):
 def q_segment_profile(spark, d):
     assigned, _ = _segments(spark, d)
     return seg.segment_profile(assigned)
+
+
+# Stated centres in raw units (balance, orders, events), for the parts of the segmentation SQL can follow.
+CENTRES = ((0.0, 5.0, 0.0), (0.0, 12.0, 60.0), (5000.0, 5.0, 0.0), (8000.0, 12.0, 60.0))
+
+_NEAREST_SQL = (
+    _FEATURES_SQL
+    + """,
+c(segment, x, y, z) AS (VALUES """
+    + ", ".join(f"({i}, {x}, {y}, {z})" for i, (x, y, z) in enumerate(CENTRES))
+    + """),
+near AS (
+  SELECT f.*, (SELECT segment FROM c ORDER BY power(f.stars - x, 2) + power(f.review_count - y, 2)
+               + power(f.total_checkins - z, 2), segment LIMIT 1) AS segment
+  FROM f)
+"""
+)
+
+
+@register("segments_stated_centres", _NEAREST_SQL + "SELECT business_id, segment FROM near")
+def q_segments_stated_centres(spark, d):
+    near = assign_nearest(_features(spark, d), CENTRES, seg.FEATURES)
+    return near.select("business_id", "segment")
+
+
+@register(
+    "segment_profile_stated_centres",
+    _NEAREST_SQL
+    + """SELECT segment, ROUND(AVG(stars), 4) AS stars_mean, ROUND(AVG(review_count), 4) AS review_count_mean,
+       ROUND(AVG(total_checkins), 4) AS total_checkins_mean FROM near GROUP BY segment""",
+)
+def q_segment_profile_stated_centres(spark, d):
+    near = assign_nearest(_features(spark, d), CENTRES, seg.FEATURES)
+    return seg.segment_profile(near).select("segment", *[F.round(f"{f}_mean", 4).alias(f"{f}_mean") for f in seg.FEATURES])
+
+
+@register(
+    "segment_fit_check",
+    """
+SELECT COUNT(*) AS venues, 4 AS segments, 0::BIGINT AS misplaced, 0::BIGINT AS off_mean
+FROM customer
+""",
+)
+def q_segment_fit_check(spark, d):
+    """Two things that hold for every converged fit: each venue lies nearest its own centroid, and each
+    centroid is the mean of its venues (to 0.001 standard units). Both are counted by joins and
+    aggregates here, apart from the assignment's own expression."""
+    assigned, centroids = _segments(spark, d)
+    z = standardize(assigned, seg.FEATURES)
+    zcols = [f"{f}_z" for f in seg.FEATURES]
+    centres = centroids.select(F.col("segment").alias("other"), *[F.col(c).alias(f"{c}_centre") for c in zcols])
+    distance = sum(((F.col(c) - F.col(f"{c}_centre")) * (F.col(c) - F.col(f"{c}_centre")) for c in zcols), F.lit(0.0))
+    stated = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in r.asDict().items()]) for r in centres.collect()])  # k rows
+    every = z.select("*", F.inline(stated))
+    own = F.min(F.when(F.col("segment") == F.col("other"), distance))
+    per_venue = every.groupBy("business_id").agg((own > F.min(distance) + 1e-9).alias("misplaced"))
+    means = z.groupBy("segment").agg(*[F.avg(c).alias(c) for c in zcols])
+    far = sum((F.abs(F.col(c) - F.col(f"{c}_centre")) for c in zcols), F.lit(0.0)) > 1e-3
+    off = means.join(centres, means.segment == centres.other, "full").agg(
+        F.count("segment").cast("int").alias("segments"), F.count_if(F.coalesce(far, F.lit(True))).alias("off_mean")
+    ).first()
+    placed = per_venue.agg(F.count(F.lit(1)).alias("venues"), F.count_if("misplaced").alias("misplaced"))
+    return placed.select(
+        "venues", F.lit(off.segments).alias("segments"), "misplaced", F.lit(off.off_mean).cast("bigint").alias("off_mean")
+    )

@@ -29,7 +29,7 @@ from ..operators.curation import (
     year_window,
 )
 from ..operators.reports import StepCounter, step_summary
-from ..sources.files import read_json_lines, write_layer
+from ..sources.files import read_json_lines, write_bucketed, write_layer
 from ..sources.schemas import BUSINESS_DROP, CARRIED, ENTITY_SCHEMAS, USER_DROP, USER_DROP_PREFIX
 from ..sources.switch import SourceSpec
 
@@ -109,8 +109,9 @@ def curate(raw: Mapping[str, DataFrame], p: CurationParams = CurationParams()) -
 
 CORRUPT = "_corrupt_record"
 
-# Entities that join on the venue key; bucketing them by it co-locates every question's joins.
-VENUE_KEYED = ("business", "review", "tip", "checkin", "visit")
+# Tables of a bucketed curation: one venue's rows in them are bounded by months and day parts, so no
+# bucket is hot. Raw facts stay plain layers: a bucketed scan is one task a bucket, whatever it holds.
+BUCKETED = ("business", "review_cube", "visit_cube")
 
 
 def run_curation(
@@ -127,10 +128,12 @@ def run_curation(
     Only the columns the trimming names are lost: unlisted venue attributes stay in the
     ``attributes`` map, fields no schema declares in the map column ``other_fields``.
 
-    With ``buckets``, the venue-keyed layers are also catalog tables ``<table_prefix>_<entity>``
-    bucketed and sorted by ``business_id`` into the same number of buckets (files still under
-    ``out_dir``): per-venue aggregations and venue joins over them need no shuffle.
+    With ``buckets``, the venues and the two fact aggregates (reviews per venue and month, visits per
+    venue and day part) are also catalog tables ``<table_prefix>_business``, ``_review_cube`` and
+    ``_visit_cube``, bucketed and sorted by ``business_id`` into as many files (under ``out_dir``):
+    joins of those aggregates to the venues need no shuffle.
     """
+    from .venue_queries import review_cube, visit_cube
     raw = {
         name: read_json_lines(spark, path, ENTITY_SCHEMAS[name], corrupt_column=CORRUPT, carry_column=CARRIED)
         for name, path in raw_paths.items()
@@ -148,13 +151,8 @@ def run_curation(
             # read, then dropped (never written as rows of NULLs).
             parsed = counter.input(raw[name]).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
             plan = curate({**clean, name: parsed}, p)[name]
-        if buckets and name in VENUE_KEYED:
-            (
-                counter.output(plan).write.format(fmt).mode("overwrite")
-                .bucketBy(buckets, "business_id").sortBy("business_id")
-                .option("path", f"{out_dir}/{name}")
-                .saveAsTable(f"{table_prefix}_{name}")
-            )
+        if buckets and name == "business":
+            write_bucketed(counter.output(plan), f"{out_dir}/{name}", f"{table_prefix}_{name}", "business_id", buckets, fmt)
         else:
             write_layer(counter.output(plan), f"{out_dir}/{name}", fmt=fmt)
         return counter
@@ -174,6 +172,12 @@ def run_curation(
             done.update(zip(middle, pool.map(step, middle)))
     if "visit" in outputs:  # needs the written checkin layer
         done["visit"] = step("visit")
+    if buckets:
+        facts = {"review": ("review_cube", lambda df: review_cube(parse_dates(df))), "visit": ("visit_cube", visit_cube)}
+        for name, (cube, aggregate) in facts.items():
+            if name in outputs:
+                rows = aggregate(spark.read.format(fmt).load(f"{out_dir}/{name}"))
+                write_bucketed(rows, f"{out_dir}/{cube}", f"{table_prefix}_{cube}", "business_id", buckets, fmt)
     counters = [done[n] for n in outputs if n in done]
     return step_summary(spark, counters)
 

@@ -15,7 +15,7 @@ from ..sources.switch import SourceSpec, load_views
 from . import segmentation as seg
 from . import venue_queries as vq
 from ..session import materialize
-from .curate import curated_specs, parse_dates
+from .curate import BUCKETED, curated_specs, parse_dates
 
 VIEW_NAMES = ("business", "reviews", "tips", "users", "checkins")
 
@@ -66,15 +66,12 @@ def file_views(spark: SparkSession, curated_dir: str, fmt: str = "parquet") -> d
 
 
 def table_views(spark: SparkSession, curated_dir: str, table_prefix: str = "curated", fmt: str = "parquet") -> dict[str, DataFrame]:
-    """The five views when the venue-keyed layers were written as bucketed tables
-    (``run_curation(..., buckets=n)``): read through the catalog so the bucketing is known to
-    the planner. Users are a plain layer."""
+    """The five views of a ``run_curation(..., buckets=n)`` run, the venues read through the catalog so
+    that the planner knows their bucketing, plus its ``review_cube`` and ``visit_cube`` tables, which
+    :func:`answer_all` takes in place of aggregating the facts again."""
     return {
-        "business": spark.table(f"{table_prefix}_business"),
-        "reviews": parse_dates(spark.table(f"{table_prefix}_review")),
-        "tips": spark.table(f"{table_prefix}_tip"),
-        "users": spark.read.format(fmt).load(f"{curated_dir}/user"),
-        "checkins": spark.table(f"{table_prefix}_visit"),
+        **file_views(spark, curated_dir, fmt),
+        **{n: spark.table(f"{table_prefix}_{n}") for n in BUCKETED},
     }
 
 
@@ -85,14 +82,15 @@ def answer_all(
 
     With ``shared_aggregates`` the review facts are aggregated once per (venue, month) and the
     visits once per (venue, day part); both are written once and every question that needs
-    per-venue or per-period measures rolls them up from there. A full report then scans each fact
+    per-venue or per-period measures rolls them up from there; views that hold the two written
+    aggregates (:func:`table_views`) are read as they are. A full report then scans each fact
     table once (plus the (user, venue) pass of the reviewer question) instead of once per question.
     """
     b, r, u, c = views["business"], views["reviews"], views["users"], views["checkins"]
     rc = vc = None
     if shared_aggregates:
-        rc = materialize(vq.review_cube(r))
-        vc = materialize(vq.visit_cube(c))
+        rc = views["review_cube"] if "review_cube" in views else materialize(vq.review_cube(r))
+        vc = views["visit_cube"] if "visit_cube" in views else materialize(vq.visit_cube(c))
     tiers = vq.price_tier_rating(b)
     yoy = vq.yoy_change(r, b, cube=rc)
     gaps = vq.rolling_gap(r, b, cube=rc)
