@@ -76,6 +76,14 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def _null_key(keys: Sequence[str]) -> Column:
+    """Whether any part of the key is NULL (such a row cannot be inserted)."""
+    null = F.lit(False)
+    for k in keys:
+        null = null | _q(k).isNull()
+    return null
+
+
 def _path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` is there. A store that cannot be reached raises: it must not look empty."""
     try:
@@ -160,6 +168,9 @@ def load_insert_absent_jdbc(
 
     Check-then-append is not atomic: concurrent writers can still collide on the key, in which
     case the database's own key constraint rejects the batch.
+
+    The result tells rows read, written and now in the table, and whether the table holds exactly its
+    earlier rows plus the written ones with no NULL key left out (``reconciled``).
     """
     if skip:
         return {"status": "skipped", "rows_written": 0}
@@ -171,9 +182,19 @@ def load_insert_absent_jdbc(
         if not _table_missing(e):
             raise
         target = None
-    new, obs = _observed(rows_to_insert(batch, target, keys, order_by), "insert_absent_jdbc")
+    before = target.count() if target is not None else 0
+    obs_in = Observation("insert_absent_jdbc_read")
+    src = batch.observe(obs_in, F.count(F.lit(1)).alias("rows"), F.count_if(_null_key(keys)).alias("rejected"))
+    new, obs = _observed(rows_to_insert(src, target, keys, order_by), "insert_absent_jdbc")
     write_jdbc(new, spec, mode="append")
-    return {"status": "loaded", "rows_written": obs.get["rows"]}
+    written, in_target = obs.get["rows"], read_jdbc(spark, spec).count()
+    return {
+        "status": "loaded",
+        "rows_read": obs_in.get["rows"],
+        "rows_written": written,
+        "rows_in_target": in_target,
+        "reconciled": before + written == in_target and not obs_in.get["rejected"],
+    }
 
 
 def load_reconcile(
@@ -195,9 +216,7 @@ def load_reconcile(
     has any is not reconciled. ``rows_read`` is observed below a shuffle and may count rows of a
     rerun stage twice; the other two are not.
     """
-    null_key = F.lit(False)
-    for k in keys if mode == "insert_absent" else ():
-        null_key = null_key | _q(k).isNull()
+    null_key = _null_key(keys if mode == "insert_absent" else ())
     obs_in = Observation("reconcile_read")
     src = batch.observe(obs_in, F.count(F.lit(1)).alias("rows"), F.count_if(null_key).alias("rejected"))
     before = 0

@@ -6,7 +6,7 @@
   (absent fields load as NULL); the first row per key wins by the given order
 
 Every load is reconciled (rows read, written, now in the target). Targets are file layers
-under ``target_dir``; users and reviews can go to JDBC tables instead.
+under ``target_dir``; users and reviews can go to JDBC tables, the others to document collections.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import loads
-from ..sources.jdbc import JdbcSpec, read_jdbc
+from ..sources.docstore import read_docstore, write_docstore
+from ..sources.jdbc import JdbcSpec
 from ..sources.schemas import REVIEW_TARGET, USER_TARGET
 
 def _total_order(first: list[str], target: T.StructType) -> list[str]:
@@ -41,12 +42,22 @@ def load_curated(
     fmt: str = "parquet",
     jdbc: Mapping[str, JdbcSpec] | None = None,
     skip: Sequence[str] = (),
+    docstore: Mapping[str, Mapping[str, str]] | None = None,
 ) -> DataFrame:
-    """Run the five loads; returns one row per entity with its reconciliation."""
+    """Run the five loads; returns one row per entity with its reconciliation.
+
+    ``docstore`` maps business, checkin or tip to its collection (``uri``, ``database``, ``collection``):
+    that entity replaces the collection instead of a file layer.
+    """
     def load(name: str) -> tuple:
         if name in skip:
             return (name, "skipped", 0, 0, None, None)
         src = spark.read.format(fmt).load(f"{curated_dir}/{name}")
+        if docstore and name in docstore:
+            out, counted = loads._observed(loads._drop_present(src, ["_id"]), f"docstore_{name}")
+            write_docstore(out, mode="overwrite", **docstore[name])
+            written, in_target = counted.get["rows"], read_docstore(spark, **docstore[name]).count()
+            return (name, "replace", written, written, in_target, written == in_target)
         if name in ("business", "checkin", "tip"):
             rep = loads.load_reconcile(spark, loads._drop_present(src, ["_id"]), f"{target_dir}/{name}", fmt)
             r = rep.first()
@@ -55,8 +66,7 @@ def load_curated(
         batch = loads.conform_columns(src, target)
         if jdbc and name in jdbc:
             res = loads.load_insert_absent_jdbc(batch, jdbc[name], keys, order)
-            in_target = read_jdbc(spark, jdbc[name]).count()
-            return (name, "insert_absent", src.count(), res["rows_written"], in_target, None)
+            return (name, "insert_absent", *[res[c] for c in ("rows_read", "rows_written", "rows_in_target", "reconciled")])
         rep = loads.load_reconcile(spark, batch, f"{target_dir}/{name}", fmt, "insert_absent", keys, order)
         r = rep.first()
         return (name, "insert_absent", r.rows_read, r.rows_written, r.rows_in_target, r.reconciled)

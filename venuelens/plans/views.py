@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.curation import expand_visits
 from ..sources.docstore import docstore_options
-from ..sources.jdbc import JdbcSpec
+from ..sources.jdbc import JdbcSpec, read_jdbc, read_options
 from ..sources.switch import SourceSpec, load_views
 from . import segmentation as seg
 from . import venue_queries as vq
@@ -33,22 +33,16 @@ def remote_specs(
     """Venues, tips and visits from document-store collections; reviews and users over JDBC.
 
     ``docstore_uris`` maps ``business``, ``tips`` and ``checkins`` to connection URIs (they may
-    be different clusters). JDBC reads are range-partitioned when the spec names a column.
+    be different clusters). JDBC reads are split by key range when the spec names a column, by its
+    predicates when it has any.
     """
 
     def doc(name: str, normalize=None) -> SourceSpec:
         return SourceSpec("mongodb", options=docstore_options(docstore_uris[name], database, name), normalize=normalize)
 
     def rel(spec: JdbcSpec, normalize=None) -> SourceSpec:
-        opts = {**spec.options(), "dbtable": spec.table}
-        if spec.partition_column and spec.num_partitions and spec.lower_bound is not None and spec.upper_bound is not None:
-            opts.update(
-                partitionColumn=spec.partition_column,
-                lowerBound=str(spec.lower_bound),
-                upperBound=str(spec.upper_bound + 1),
-                numPartitions=str(spec.num_partitions),
-            )
-        return SourceSpec("jdbc", options=opts, normalize=normalize)
+        # the load's own reader: key ranges (bounds asked for when not given) or predicates of a text key
+        return SourceSpec("jdbc", options=read_options(spec), normalize=normalize, read=lambda spark: read_jdbc(spark, spec))
 
     return {
         "business": doc("business"),

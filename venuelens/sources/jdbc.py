@@ -8,7 +8,7 @@ instead of one task reading a whole table. The key bounds come from one pushed-d
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,27 +76,30 @@ def key_bounds(spark: SparkSession, spec: JdbcSpec) -> tuple[int, int] | None:
     return int(row["lo"]), int(row["hi"])
 
 
+def read_options(spec: JdbcSpec) -> dict[str, str]:
+    """Reader options: the connection and, with a key column and both bounds, its split into ranges."""
+    opts = {**spec.options(), "dbtable": spec.table}
+    if spec.partition_column and (spec.num_partitions or 0) > 1 and spec.lower_bound is not None and spec.upper_bound is not None:
+        opts.update(
+            partitionColumn=spec.partition_column,
+            lowerBound=str(spec.lower_bound),
+            upperBound=str(spec.upper_bound + 1),
+            numPartitions=str(spec.num_partitions),
+        )
+    return opts
+
+
 def read_jdbc(spark: SparkSession, spec: JdbcSpec) -> DataFrame:
     """Read a table: one query per predicate (text keys) when given, else split by key range when
     ``partition_column`` is set."""
     if spec.predicates:
         options = {k: v for k, v in spec.options().items() if k != "url"}
         return spark.read.jdbc(spec.url, spec.table, predicates=list(spec.predicates), properties=options)
-    reader = spark.read.format("jdbc").options(**spec.options()).option("dbtable", spec.table)
-    if spec.partition_column and (spec.num_partitions or 0) > 1:
-        lo, hi = spec.lower_bound, spec.upper_bound
-        if lo is None or hi is None:
-            bounds = key_bounds(spark, spec)
-            if bounds is not None:
-                lo, hi = bounds
-        if lo is not None and hi is not None:
-            reader = (
-                reader.option("partitionColumn", spec.partition_column)
-                .option("lowerBound", str(lo))
-                .option("upperBound", str(hi + 1))
-                .option("numPartitions", str(spec.num_partitions))
-            )
-    return reader.load()
+    if spec.partition_column and (spec.num_partitions or 0) > 1 and (spec.lower_bound is None or spec.upper_bound is None):
+        bounds = key_bounds(spark, spec)
+        if bounds is not None:
+            spec = replace(spec, lower_bound=bounds[0], upper_bound=bounds[1])
+    return spark.read.format("jdbc").options(**read_options(spec)).load()
 
 
 def write_options(spec: JdbcSpec) -> dict[str, str]:

@@ -20,13 +20,17 @@ class SourceSpec:
     options: dict[str, str] = field(default_factory=dict)
     schema: T.StructType | None = None
     normalize: Callable[[DataFrame], DataFrame] | None = None
+    read: Callable[[SparkSession], DataFrame] | None = None  # in place of format and options
 
 
 def load_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    reader = spark.read.format(spec.format).options(**spec.options)
-    if spec.schema is not None:
-        reader = reader.schema(spec.schema)
-    df = reader.load(spec.path) if spec.path is not None else reader.load()
+    if spec.read is not None:
+        df = spec.read(spark)
+    else:
+        reader = spark.read.format(spec.format).options(**spec.options)
+        if spec.schema is not None:
+            reader = reader.schema(spec.schema)
+        df = reader.load(spec.path) if spec.path is not None else reader.load()
     return spec.normalize(df) if spec.normalize is not None else df
 
 
