@@ -25,6 +25,7 @@ from .textbytes import (
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_CONTENT_SHARE = 0.5
+LONG_LINE = 24  # words; the labelled lines are no longer, so length counts no further
 
 SCHEMA = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -77,6 +78,11 @@ LABELLED = [
     ["+The first part of the talk was about the sea and the ships that used to cross it",
      "+and the second about the towns from which they came and the goods they carried with them",
      "+nothing was said about the war"],
+    ["+The prices of the season are given below, by kind and by place of sale.",
+     "-Apples | pears, | plums | cherries. | walnuts | hazel | quince, | medlar | grapes | figs | dates. | melons |",
+     "+Prices rose in the second half of the year and fell again before the winter.",
+     "-North | south, | east | west. | coast | hills | market, | harbour | station | bridge.",
+     "+No figures were given for the islands."],
     ["+Les noms des rues ont changé deux fois au cours du siècle", "+La place est restée la même.",
      "+On y vend encore du pain le matin, du poisson à midi et des fleurs le soir"],
 ]
@@ -141,7 +147,7 @@ def analyse(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     symbols = count(_SYMBOL)
     features = np.column_stack([
         np.ones(len(n)),
-        np.log1p(n),
+        np.log1p(np.minimum(n, LONG_LINE)),
         n <= 4,
         np.minimum(within(symbols, line_starts, line_ends) / chars, 0.5) * 4,
         within(count(_UPPER), line_starts, line_ends) / np.maximum(letters, 1),
