@@ -158,6 +158,14 @@ def test_toxicity_held_out(spark):
     assert np.mean([r.predicted for r in rows if r.toxic == 0]) < 0.03
 
 
+def test_toxicity_sample_is_not_cut(spark, monkeypatch):
+    drawn = []
+    monkeypatch.setattr(toxicity, "train", lambda *args: drawn.append(len(args[-1])))
+    docs = spark.range(30_000).selectExpr("id as doc_id", "'a few words' as text")
+    toxicity.fit_toxicity(docs, docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic"))
+    assert drawn == [8_000]
+
+
 def test_classifiers_on_hard_rows(docs, many, labels):
     model = quality_classifier.fit_quality(many, labels)
     net = toxicity.fit_toxicity(many, labels)

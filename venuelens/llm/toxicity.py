@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .shared import labelled_sample, with_fold
 from .textbytes import ALNUM_WORD, SpanHasher, each_block, mix, rows_of, span_hashes, words
 
-SAMPLE_ROWS = 6_000
+SAMPLE_ROWS = 8_000
 PARTS, HELD, THRESHOLD = 3, 1, 0.7
 BUCKETS, DIMENSIONS, WIDTHS, FILTERS = 1 << 18, 8, (1, 2, 3), 8
 PREFIXES = (4, 5, 6, 7, 8)  # bytes
