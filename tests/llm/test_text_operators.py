@@ -1,6 +1,7 @@
 """Operators on single texts against brute force, on real documents and hard cases."""
 
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -158,6 +159,28 @@ def test_toxicity_held_out(spark):
     assert np.mean([r.predicted for r in rows if r.toxic == 0]) < 0.03
 
 
+def test_toxicity_cutoffs_count_every_labelled_row(spark):
+    # 0: many rows, best cut 0.65; 1: eight toxic rows at 0.3, clean ones at 0.1, all beyond a sample of one
+    ids = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 3 != 1][:1016]
+    rows = [(i, 0.9 if n % 2 else 0.4, 0, n % 2) for n, i in enumerate(ids[:1000])]
+    rows += [(i, 0.3 if n % 2 else 0.1, 1, n % 2) for n, i in enumerate(ids[1000:])]
+    table = spark.createDataFrame(rows, "doc_id long, raw double, part int, toxic int")
+    cuts = toxicity.cutoffs(table.drop("toxic"), table.select("doc_id", "toxic"), sample_rows=1)
+    assert 0.3 < cuts[1] < cuts[0] and abs(cuts[0] - 0.65) < 0.02
+    assert cuts[2] == cuts[3] == cuts[4]  # no labelled row: the cut-off of all languages
+    # eight rows against twenty, twice: 8/28 of the way to 0.2, then again
+    want = cuts[2]
+    for _ in range(2):
+        want = (8 * 0.2 + 20 * want) / 28
+    assert abs(cuts[1] - want) < 0.01
+
+
+def test_toxicity_calibrates_a_rare_language(spark):
+    d = "/root/testdata/sf0.1"
+    net = toxicity.fit_toxicity(spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet"))
+    assert len(set(net.cuts[:4].tolist())) == 4 and net.cuts[3] != net.cuts[4]  # es has 21 toxic rows
+
+
 def test_toxicity_sample_is_not_cut(spark, monkeypatch):
     drawn = []
     monkeypatch.setattr(toxicity, "train", lambda *args: drawn.append(len(args[-1])))

@@ -46,6 +46,16 @@ def on_workers(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*have, root])
 
 
+def known_labels(labels: DataFrame, label: str, parts: int, held: int) -> DataFrame:
+    """(doc_id, __label) of each labelled id whose fold is not ``held``; an id with several labels
+    takes the largest, null labels and null ids are left out."""
+    return (
+        labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (fold("doc_id", parts) != held))
+        .groupBy("doc_id")
+        .agg(F.max(label).cast("double").alias("__label"))
+    )
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, parts: int, held: int, rows: int) -> DataFrame:
     """(doc_id, text, label) of at most ``rows`` labelled ids whose fold is not ``held``.
 
@@ -53,11 +63,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, parts: int,
     ``rows``) to one scan of the texts. An id with several labels takes the largest; null labels
     and null ids teach nothing.
     """
-    known = (
-        labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (fold("doc_id", parts) != held))
-        .groupBy("doc_id")
-        .agg(F.max(label).cast("double").alias("__label"))
-    )
+    known = known_labels(labels, label, parts, held)
     drawn = bounded_sample(known, "doc_id", rows).withColumnRenamed("doc_id", "__id")
     texts = docs.select("doc_id", "text")
     return texts.join(F.broadcast(drawn), texts.doc_id == drawn["__id"]).select("doc_id", "text", F.col("__label").alias("label"))

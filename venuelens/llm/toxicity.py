@@ -7,10 +7,12 @@ and a logistic layer reads the maxima. One embedding dimension starts from the b
 one half of the training sample and the network is trained on the other half, so the start does not
 reveal its own labels.
 
-Raw probabilities are mapped to scores so that 0.7 is the best cut-off for the language of the
-text. The language is guessed from the text's own function words, never read from a column. The
-training sample is bounded (``sample_rows`` labelled ids in a fixed hash order); scoring reads
-whole texts and needs no shuffle.
+Raw probabilities are mapped to scores so that 0.7 is the cut-off for the language of the text
+(English, German, French, Spanish, or none of them), guessed from the text's own function words,
+never read from a column. The training sample is bounded (``sample_rows`` labelled ids in a fixed
+hash order); the cut-offs come from the scores of every labelled row outside the held fold, counted
+by bins on Spark. A language's cut-off is drawn towards that of all languages, the more the fewer
+toxic rows it has; rows the network was not trained on draw it from there to their own. Scoring reads whole texts once and shuffles ids and raw scores only.
 
 Defined cases: a null or empty text has no responses and gets the score of the bias alone; repeated
 rows get equal scores, each its own row; with no labelled rows, or with one class, all scores are 0
@@ -23,16 +25,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import labelled_sample, with_fold
+from .shared import bounded_sample, cut, known_labels, labelled_sample, with_fold
 from .textbytes import ALNUM_WORD, SpanHasher, each_block, mix, rows_of, span_hashes, words
 
 SAMPLE_ROWS = 8_000
 PARTS, HELD, THRESHOLD = 3, 1, 0.7
 BUCKETS, DIMENSIONS, WIDTHS, FILTERS = 1 << 18, 8, (1, 2, 3), 8
 PREFIXES = (4, 5, 6, 7, 8)  # bytes
+BINS, LIMIT = 2000, 10.0  # bins of the log-odds of raw probabilities, between -LIMIT and LIMIT
+EDGES = 1 / (1 + np.exp(-np.linspace(-LIMIT, LIMIT, BINS + 1)))
 
 # Function words by which the calibration group of a text is guessed.
 FUNCTION_WORDS = {
@@ -125,28 +129,64 @@ def probability(net: Network, embed: np.ndarray, pieces: np.ndarray, first: np.n
     return 1 / (1 + np.exp(-(features.astype(float) @ net.weight + net.offset)))
 
 
-def calibrated(raw: np.ndarray, group: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+def calibrated(cuts: np.ndarray) -> Column:
     """Raw probabilities stretched so that each group's cut-off lands on THRESHOLD."""
-    t = cuts[group]
-    below = THRESHOLD * raw / t
-    above = THRESHOLD + (1 - THRESHOLD) * (raw - t) / (1 - t)
-    return np.clip(np.where(raw < t, np.minimum(below, np.nextafter(THRESHOLD, 0)), above), 0, 1)
-
-
-def _best_cut(raw: np.ndarray, y: np.ndarray) -> float:
-    """Cut-off of the largest F1, in the middle of the gap it falls in."""
-    order = np.argsort(-raw, kind="stable")
-    hit = np.cumsum(y[order])
-    f1 = 2 * hit / (np.arange(1, len(y) + 1) + y.sum())
-    f1[:-1][raw[order][:-1] == raw[order][1:]] = 0  # no cut between equal values
+    raw, t = F.col("raw"), F.element_at(F.array(*(F.lit(float(x)) for x in cuts)), F.col("part") + 1)
+    below = F.least(THRESHOLD * raw / t, F.lit(float(np.nextafter(THRESHOLD, 0))))
+    above = F.lit(THRESHOLD) + (1 - THRESHOLD) * (raw - t) / (1 - t)
+    return F.greatest(F.least(F.when(raw < t, below).otherwise(above), F.lit(1.0)), F.lit(0.0))
+
+
+def _toward(counts: np.ndarray, base: float, prior: float) -> float:
+    """Cut-off of the largest F1 over (label, bin) counts, in the middle of the gap it falls in; it
+    weighs as its toxic rows do against ``prior`` rows of ``base``."""
+    positive = counts[1].sum()
+    if not positive:
+        return base
+    full = np.flatnonzero(counts.sum(axis=0))[::-1]
+    f1 = 2 * np.cumsum(counts[1][full]) / (np.cumsum(counts.sum(axis=0)[full]) + positive)
     k = int(f1.argmax())
-    low = raw[order][k + 1] if k + 1 < len(y) else 0.0
-    return float(np.clip((raw[order][k] + low) / 2, 1e-4, 1 - 1e-4))
+    low = EDGES[full[k + 1] + 1] if k + 1 < len(full) else 0.0
+    own = np.clip((EDGES[full[k]] + low) / 2, 1e-4, 1 - 1e-4)
+    return float((positive * own + prior * base) / (positive + prior))
+
+
+def _in_half() -> Column:
+    """Whether an id of the sample gives the starting log-odds; the others train."""
+    return F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+
+
+def cutoffs(raw: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = SAMPLE_ROWS, prior: float = 20.0) -> np.ndarray:
+    """Cut-off of each language group from (doc_id, raw, part) of every labelled id outside the held
+    fold; rows repeated under one id count once."""
+    known = known_labels(labels, label, PARTS, HELD)
+    drawn = bounded_sample(known, "doc_id", sample_rows).filter(~_in_half()).select("doc_id", F.lit(0).alias("fresh"))
+    odds = F.least(F.greatest(F.col("row.raw"), F.lit(1e-9)), F.lit(1 - 1e-9))
+    place = F.floor((F.log(odds / (1 - odds)) + LIMIT) / (2 * LIMIT) * BINS)
+    rows = (
+        raw.filter(F.col("doc_id").isNotNull())
+        .groupBy("doc_id")
+        .agg(F.min(F.struct("raw", "part")).alias("row"))
+        .join(known, "doc_id")
+        .join(F.broadcast(drawn), "doc_id", "left")
+        .groupBy(
+            F.coalesce("fresh", F.lit(1)).alias("fresh"), F.col("row.part").alias("part"), (F.col("__label") > 0).cast("int").alias("label"),
+            F.least(F.greatest(place, F.lit(0)), F.lit(BINS - 1)).alias("bin"),
+        )
+        .count()
+        .collect()
+    )
+    counts = np.zeros((2, len(FUNCTION_WORDS) + 1, 2, BINS))
+    for r in rows:
+        counts[r.fresh, r.part, r.label, r.bin] = r["count"]
+    everyone = _toward(counts.sum(axis=(0, 1)), 0.5, 0)
+    everyone = _toward(counts[1].sum(axis=0), everyone, prior)
+    return np.array([_toward(fresh, _toward(both, everyone, prior), prior) for fresh, both in zip(counts[1], counts.sum(axis=0), strict=True)])
 
 
 def train(
-    pieces: np.ndarray, first: np.ndarray, group: np.ndarray, y: np.ndarray, half: np.ndarray,
-    epochs: int = 12, batch: int = 64, rate: float = 0.01, shrink: float = 1e-4, min_positive: int = 20, seed: int = 5,
+    pieces: np.ndarray, first: np.ndarray, y: np.ndarray, half: np.ndarray,
+    epochs: int = 12, batch: int = 64, rate: float = 0.01, shrink: float = 1e-4, seed: int = 5,
 ) -> Network | None:
     """Adam on the logistic loss; ``half``: rows that give the starting log-odds, the others train."""
     if not len(y) or y.min() == y.max() or y[half].sum() < 1 or y[~half].sum() < 1:
@@ -215,36 +255,28 @@ def train(
                 np.subtract.at(net.embed, local[touched, k], push)
             net.embed[0] = 0
     net.embed = net.embed.astype(np.float32)
-    raw = np.concatenate([
-        probability(net, net.embed, pieces[first[i] : first[min(i + 500, len(y))]], first[i : i + 501] - first[i])
-        for i in range(0, len(y), 500)
-    ])
-    everyone = _best_cut(raw[~half], y[~half])
-    for k in range(len(net.cuts)):
-        here = ~half & (group == k)
-        net.cuts[k] = _best_cut(raw[here], y[here]) if y[here].sum() >= min_positive else everyone
     return net
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Network | None:
+def fit_network(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Network | None:
+    """The network, its cut-offs not yet calibrated."""
     rows = (
         labelled_sample(docs, labels, label, PARTS, HELD, sample_rows)
         .groupBy("doc_id")
         .agg(F.min(F.struct("label", "text")).alias("row"))  # rows repeated under one id teach once
-        .select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("half"), "row.*")
+        .select("doc_id", _in_half().alias("half"), "row.*")
         .orderBy("doc_id")
         .toArrow()
     )
-    got, group, sizes = [], [], []
+    got, sizes = [], []
     for _, _, data, offs in each_block(rows.column("text"), lower=True):
-        pieces, first, part = tokens(data, offs)
+        pieces, first, _ = tokens(data, offs)
         got.append(pieces)
-        group.append(part)
         sizes.append(np.diff(first))
     if not got:
         return None
     first = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
-    y, half = rows.column("label").to_numpy(), rows.column("half").to_numpy() == 0
+    y, half = rows.column("label").to_numpy(), rows.column("half").to_numpy()
     del rows
     pieces = np.empty((int(first[-1]), 1 + len(PREFIXES)), np.int32)
     at = 0
@@ -252,11 +284,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", sampl
         block = got.pop(0)
         pieces[at : at + len(block)] = block
         at += len(block)
-    return train(pieces, first, np.concatenate(group), y, half)
+    return train(pieces, first, y, half)
 
 
-def toxicity_scores(docs: DataFrame, net: Network | None) -> DataFrame:
-    """(doc_id, score) of each row of ``docs``."""
+def raw_scores(docs: DataFrame, net: Network | None) -> DataFrame:
+    """(doc_id, raw probability, language group) of each row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches):
@@ -264,19 +296,43 @@ def toxicity_scores(docs: DataFrame, net: Network | None) -> DataFrame:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            parts = []
+            raw, part = [], []
             for a, b, data, offs in each_block(batch.column(1), lower=True):
                 if net is None:
-                    parts.append(np.zeros(b - a))
+                    raw.append(np.zeros(b - a))
+                    part.append(np.zeros(b - a, np.int32))
                     continue
                 pieces, first, group = tokens(data, offs)
-                parts.append(calibrated(probability(net, net.embed, pieces, first), group, net.cuts))
-            score = pa.array(np.concatenate(parts).astype(np.float64))
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), score], names=["doc_id", "score"])
+                raw.append(probability(net, net.embed, pieces, first))
+                part.append(group.astype(np.int32))
+            columns = [batch.column(0).cast(pa.int64()), pa.array(np.concatenate(raw).astype(np.float64)), pa.array(np.concatenate(part))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "raw", "part"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, raw double, part int")
+
+
+def _scaled(raw: DataFrame, net: Network | None) -> DataFrame:
+    return raw.select("doc_id", (F.lit(0.0) if net is None else calibrated(net.cuts)).alias("score"))
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Network | None:
+    net = fit_network(docs, labels, label, sample_rows)
+    if net is not None:
+        net.cuts = cutoffs(raw_scores(docs, net), labels, label, sample_rows)
+    return net
+
+
+def toxicity_scores(docs: DataFrame, net: Network | None) -> DataFrame:
+    """(doc_id, score) of each row of ``docs``."""
+    return _scaled(raw_scores(docs, net), net)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """doc_id, held_out, score, predicted of each row of ``docs``."""
-    return with_fold(toxicity_scores(docs, fit_toxicity(docs, labels, sample_rows=sample_rows)), PARTS, HELD, THRESHOLD)
+    """doc_id, held_out, score, predicted of each row of ``docs``; the texts are scored once, for the
+    cut-offs and for the result."""
+    net = fit_network(docs, labels, sample_rows=sample_rows)
+    raw = raw_scores(docs, net)
+    if net is not None:
+        raw = cut(raw)
+        net.cuts = cutoffs(raw, labels, sample_rows=sample_rows)
+    return with_fold(_scaled(raw, net), PARTS, HELD, THRESHOLD)
