@@ -150,6 +150,23 @@ def test_syncmers_by_definition():
     assert set(zip((at + 7).tolist(), h.tolist(), strict=True)) <= set(zip(at2.tolist(), h2.tolist(), strict=True))
 
 
+def test_shared_passages_of_long_texts_are_seen():
+    rng = np.random.default_rng(11)
+    text = lambda n: rng.integers(97, 123, n).astype(np.uint32)
+    for n in (2_000, 20_000, 128_000):
+        for _ in range(10):
+            a, b, shared = text(n), text(n), text(300)
+            a[n // 4 : n // 4 + 300] = shared
+            b[n // 2 : n // 2 + 300] = shared
+            assert fingerprints.likeness(fingerprints.fingerprint(a), fingerprints.fingerprint(b)) > 0
+            edited = np.concatenate([a[: n // 2], b[: n // 2]])
+            if n > 2_000:
+                assert abs(fingerprints.likeness(fingerprints.fingerprint(a), fingerprints.fingerprint(edited)) - 1 / 3) < 0.06
+    # what is kept of a passage does not depend on the rest of the text
+    alone, within = fingerprints.fingerprint(shared_text := text(5_000)), fingerprints.fingerprint(np.concatenate([text(100_000), shared_text]))
+    assert alone[2] and set(alone[1].tolist()) <= set(within[1].tolist())
+
+
 def test_targets_stop_and_share_again():
     got = mixing.source_targets({"b": 100, "a": 10, None: 1000, "c": 400})
     # weights a 5, b 2, c 1, null 5; a stops at 30, then b (370 of 1480) at 300, the rest is 1 : 5

@@ -2,10 +2,12 @@
 
 A k-mer of code points is a closed syncmer when the smallest hash among its s-mers stands first or
 last in it. Whether a k-mer is chosen depends on nothing outside it, so texts that share a passage
-choose the same anchors in it. The fingerprint is a bottom sketch: the anchors with the smallest
-hashes, each with its position, in order of position. Likeness matches anchors of two fingerprints
+choose the same anchors in it. The fingerprint keeps a fixed share of the distinct anchors, those
+whose hash lies under LIMIT, each with its first position, in order of position; it grows with the
+text. Texts of at most WHOLE distinct anchors keep all. Likeness matches anchors of two fingerprints
 positionally: common hashes vote for the offset between their positions, and the share of the
-smallest hashes of both that is common and agrees with the best offset is the likeness.
+hashes of both that is common and agrees with the best offset is the likeness. Where one of the two
+keeps a share, the same share of the other is compared.
 
 ``neighbour_fingerprints`` compares each document with the one that follows it by descending
 doc_id, and with a version of itself whose end is replaced by that one's beginning. The order is
@@ -36,7 +38,8 @@ from .shared import cut
 
 K, S = 9, 4
 SHORT_TEXT, SHORT_K, SHORT_S = 64, 4, 2
-ANCHORS = 48
+WHOLE, LIMIT = 256, np.uint32(1 << 29)  # one anchor in eight lies under the limit
+FLUSH_ROWS, FLUSH_CHARS = 2000, 16 << 20
 RANGE_BYTES = 128 << 20
 _ODD = np.uint32(0x9E3779B1)
 
@@ -76,19 +79,21 @@ def syncmers(codes: np.ndarray, k: int = K, s: int = S) -> tuple[np.ndarray, np.
     return chosen, _mixed(h)
 
 
-def fingerprint(codes: np.ndarray, anchors: int = ANCHORS, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, 32-bit hashes) of the ``anchors`` smallest distinct hashes at their first
-    places, in order of position."""
+def fingerprint(codes: np.ndarray, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray, bool]:
+    """(positions, 32-bit hashes) of the kept distinct hashes at their first places, in order of
+    position, and whether only those under LIMIT are kept."""
     at, h = syncmers(codes, k, s) if len(codes) >= SHORT_TEXT else syncmers(codes, SHORT_K, SHORT_S)
-    if len(h) > 8 * anchors:  # the smallest ones are among those under a cut with enough below it
-        cut = np.partition(h, 4 * anchors)[4 * anchors]
-        under = h <= cut
-        if len(np.unique(h[under])) >= anchors:
-            at, h = at[under], h[under]
-    h, first = np.unique(h, return_index=True)
-    at, h = at[first[:anchors]], h[:anchors]
-    order = np.argsort(at, kind="stable")
-    return at[order], h[order]
+    under = np.flatnonzero(h < LIMIT)
+    kept, first = np.unique(h[under], return_index=True)
+    at_kept = at[under][first]
+    thin = len(kept) > WHOLE
+    if not thin:
+        every, first = np.unique(h, return_index=True)
+        thin = len(every) > WHOLE
+        if not thin:
+            kept, at_kept = every, at[first]
+    order = np.argsort(at_kept, kind="stable")
+    return at_kept[order], kept[order], thin
 
 
 def as_text(at: np.ndarray, h: np.ndarray) -> str:
@@ -98,34 +103,32 @@ def as_text(at: np.ndarray, h: np.ndarray) -> str:
     return pairs.tobytes().hex()
 
 
-def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], slack: int = K) -> float:
-    """Share of the smallest hashes of both fingerprints that is common at the best offset."""
+def likeness(a: tuple[np.ndarray, np.ndarray, bool], b: tuple[np.ndarray, np.ndarray, bool], slack: int = K) -> float:
+    """Share of the hashes of both fingerprints that is common at the best offset."""
     if not len(a[1]) or not len(b[1]):
         return float(len(a[1]) == len(b[1]))
-    size = max(min(len(a[1]), len(b[1])), 1)
-    union = np.unique(np.concatenate([a[1], b[1]]))
-    if len(a[1]) >= ANCHORS or len(b[1]) >= ANCHORS:
-        union = union[: max(size, min(len(union), ANCHORS))]
-    common, i, j = np.intersect1d(a[1], b[1], return_indices=True)
-    inside = np.isin(common, union)
-    if not inside.any():
+    (at_a, h_a, thin_a), (at_b, h_b, thin_b) = a, b
+    if thin_a != thin_b:  # the share that both keep
+        at_a, h_a, at_b, h_b = at_a[h_a < LIMIT], h_a[h_a < LIMIT], at_b[h_b < LIMIT], h_b[h_b < LIMIT]
+    common, i, j = np.intersect1d(h_a, h_b, assume_unique=True, return_indices=True)
+    if not len(common):
         return 0.0
-    offset = np.sort((a[0][i] - b[0][j])[inside])
+    offset = np.sort(at_a[i] - at_b[j])
     agree = int((np.searchsorted(offset, offset + slack, "right") - np.arange(len(offset))).max())
-    return agree / len(union)
+    return agree / (len(h_a) + len(h_b) - len(common))
 
 
 def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
-def fingerprints(docs: DataFrame, anchors: int = ANCHORS) -> DataFrame:
+def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, n_chars, fingerprint) of each row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.as_py() or "" for t in batch.column(1)]
-            got = [as_text(*fingerprint(_codes(t), anchors)) for t in texts]
+            got = [as_text(*fingerprint(_codes(t))[:2]) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array(got, pa.string())],
                 names=["doc_id", "n_chars", "fingerprint"],
@@ -151,7 +154,7 @@ PAIR_SCHEMA = (
 )
 
 
-def neighbour_fingerprints(docs: DataFrame, anchors: int = ANCHORS, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def neighbour_fingerprints(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Per row of ``docs``: its fingerprint, that of its edited text (the last half replaced by as
     many first code points of the next document) and the likeness of its own to the edited and to
     the next document's."""
@@ -208,16 +211,16 @@ def neighbour_fingerprints(docs: DataFrame, anchors: int = ANCHORS, range_bytes:
         for doc_id, text, following in _pairs(batches):
             n = len(text)
             edited = text[: n - n // 2] + following[: n // 2]
-            own = last[1] if last and last[0] == text else fingerprint(_codes(text), anchors)
-            after = own if following == text else fingerprint(_codes(following), anchors)
+            own = last[1] if last and last[0] == text else fingerprint(_codes(text))
+            after = own if following == text else fingerprint(_codes(following))
             last = (following, after)
-            changed = own if edited == text else fingerprint(_codes(edited), anchors)
+            changed = own if edited == text else fingerprint(_codes(edited))
             rows.append((
-                doc_id, n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), as_text(*own), as_text(*changed),
+                doc_id, n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), as_text(*own[:2]), as_text(*changed[:2]),
                 likeness(own, changed), likeness(own, after),
             ))
-            size += 1
-            if size == 2000:
+            size += len(rows[-1][3]) + len(rows[-1][4])
+            if len(rows) == FLUSH_ROWS or size > FLUSH_CHARS:
                 yield flush()
                 rows, size = [], 0
         if rows:
