@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, html_text, language_id, license_scan, mixing, packing, quality_classifier, quality_rules, simhash, toxicity
+from . import (
+    fingerprints, html_text, language_id, lexical_search, license_scan, mixing, oracles, packing, quality_classifier, quality_rules, simhash, toxicity,
+)
 from .shared import on_workers, read
 
 
@@ -61,6 +63,10 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(read(spark, sf_dir, "documents")).drop("copies")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         on_workers(spark)
@@ -74,9 +80,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: _ready(q)
     for q in (
         op1_quality_classifier, op2_license_scan, op3_toxicity, op4_simhash_near_dedup, op5_packing, op6_document_fingerprints,
-        op7_html_extraction, op8_language_id, op9_quality_rules, op10_source_mixing,
+        op7_html_extraction, op8_language_id, op9_quality_rules, op10_source_mixing, op11_lexical_search,
     )
 }
 
 # DuckDB SQL where it can express a whole query; the others are tested against brute force.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op11_lexical_search": oracles.LEXICAL_SEARCH}

@@ -83,6 +83,29 @@ def each_block(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, int
         yield a, b, (LOWER[part] if lower else part), offs[a : b + 1] - offs[a]
 
 
+def each_window(column: pa.Array, table: np.ndarray, lower: bool = False, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Like ``each_block``, but a text longer than ``size`` comes as several windows of about that
+    length, cut where no run of ``table`` bytes goes on; only one longer word stays whole."""
+    data, offs = text_buffer(column)
+    for a, b in blocks(offs, size):
+        end, begin = int(offs[b]), int(offs[a])
+        while True:
+            stop = end if b - a > 1 else min(begin + size, end)
+            while stop < end:
+                ahead = data[stop : stop + size]
+                gap = np.flatnonzero(~table[LOWER[ahead] if lower else ahead])
+                if len(gap):
+                    stop += int(gap[0])
+                    break
+                stop = min(stop + size, end)
+            part = data[begin:stop]
+            where = offs[a : b + 1] - begin if b - a > 1 else np.array([0, stop - begin])
+            yield a, b, (LOWER[part] if lower else part), where
+            if stop >= end:
+                break
+            begin = stop
+
+
 def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, first): byte spans of the maximal runs of ``table`` bytes inside each row,
     and the index of each row's first word (one more entry than rows)."""
