@@ -30,3 +30,39 @@ WITH doc AS (
 )
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 """
+
+# op12: prefixes as the joined digests of their turns, ancestors as all their cuts; crc32 bit by bit.
+PREFIX_TRIE = """
+WITH turns AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) - 1 AS i, k, b FROM (
+    SELECT conv_id, turn, strlen(coalesce(text, '')) AS b,
+           sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k
+    FROM conversations WHERE conv_id IS NOT NULL)
+), convs AS (
+  SELECT c, c - c % 5 AS g, CASE WHEN c % 5 = 0 THEN 0 ELSE xor(list_reduce(
+    list_concat([4294967295::BIGINT], flatten(list_transform(string_split(c::VARCHAR, ''), lambda x: [1000 + ascii(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda acc, x: CASE WHEN x >= 1000 THEN xor(acc, x - 1000) ELSE xor(acc >> 1, 3988292384 * (acc & 1)) END), 4294967295) % 9 END AS h
+  FROM (SELECT DISTINCT c FROM turns)
+), rebuilt AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY own, i) AS d, k, b FROM (
+    SELECT convs.c, 0 AS own, i, k, b FROM convs JOIN turns ON turns.c = g WHERE i < h
+    UNION ALL SELECT c, 1, i, k, b FROM turns JOIN convs USING (c) WHERE i >= h)
+), paths AS (
+  SELECT c, d, b, string_agg(k, '') OVER (PARTITION BY c ORDER BY d) AS key FROM rebuilt
+  UNION ALL SELECT c, 0, 0, '' FROM convs
+), ends AS (
+  SELECT key, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids
+  FROM (SELECT c, arg_max(key, d) AS key FROM paths GROUP BY c) GROUP BY key
+), nodes AS (
+  SELECT key, d, min(c) AS conv_id, count(*) AS n_convs, max(b) AS b, left(key, greatest(64 * d - 64, 0)) AS up FROM paths GROUP BY key, d
+), children AS (
+  SELECT up AS key, count(*) AS n FROM nodes WHERE d > 0 GROUP BY up
+), subtree AS (
+  SELECT left(key, 64 * a) AS key, sum(CASE WHEN n IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * b) AS saved
+  FROM (SELECT nodes.*, n, unnest(range(0, d + 1)) AS a FROM nodes LEFT JOIN children USING (key)) GROUP BY 1
+)
+SELECT v.conv_id, v.d AS depth, CASE WHEN v.d > 0 THEN u.conv_id END AS parent_conv_id, v.n_convs, coalesce(children.n, 0) AS n_children,
+       n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes v JOIN nodes u ON u.key = v.up AND u.d = greatest(v.d - 1, 0) JOIN subtree ON subtree.key = v.key
+LEFT JOIN children ON children.key = v.key LEFT JOIN ends ON ends.key = v.key
+"""

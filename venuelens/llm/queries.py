@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    fingerprints, html_text, language_id, lexical_search, license_scan, mixing, oracles, packing, quality_classifier, quality_rules, simhash, toxicity,
+    fingerprints, html_text, language_id, lexical_search, license_scan, mixing, oracles, packing, prefix_trie, quality_classifier, quality_rules,
+    simhash, toxicity,
 )
 from .shared import on_workers, read
 
@@ -67,6 +68,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(read(spark, sf_dir, "conversations"))
+
+
 def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         on_workers(spark)
@@ -81,8 +86,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for q in (
         op1_quality_classifier, op2_license_scan, op3_toxicity, op4_simhash_near_dedup, op5_packing, op6_document_fingerprints,
         op7_html_extraction, op8_language_id, op9_quality_rules, op10_source_mixing, op11_lexical_search,
+        op12_conversation_prefix_trie,
     )
 }
 
 # DuckDB SQL where it can express a whole query; the others are tested against brute force.
-ORACLE_SQL: dict[str, str] = {"op11_lexical_search": oracles.LEXICAL_SEARCH}
+ORACLE_SQL: dict[str, str] = {
+    "op11_lexical_search": oracles.LEXICAL_SEARCH,
+    "op12_conversation_prefix_trie": oracles.PREFIX_TRIE,
+}

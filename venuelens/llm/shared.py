@@ -77,3 +77,23 @@ def with_fold(scored: DataFrame, parts: int, held: int, threshold: float) -> Dat
         "score",
         F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"),
     )
+
+
+HOT_KEYS = 1_000
+
+
+def lookup(rows: DataFrame, table: DataFrame, keys: list[str], counts: DataFrame, total: int) -> DataFrame:
+    """``rows`` left-joined with ``table`` (one row per key) on ``keys``, whatever a key's share.
+
+    ``counts`` (keys, n) holds the number of ``rows`` of a key. Keys with over a thousandth of all
+    ``total`` rows, of which there can be a thousand at most, are broadcast; their rows are dealt by
+    a hash of the row in the shuffled join, which finds the rest.
+    """
+    values = [c for c in table.columns if c not in keys]
+    hot = table.join(counts.filter(F.col("n") * HOT_KEYS > total).select(*keys), keys, "left_semi")
+    near = rows.join(F.broadcast(hot.select(*keys, F.struct(*values).alias("__hot"))), keys, "left")
+    spread = F.when(F.col("__hot").isNotNull(), F.xxhash64(*[F.col(c) for c in rows.columns if c not in keys])).otherwise(0)
+    far = table.select(*keys, F.lit(0).cast("long").alias("__spread"), F.struct(*values).alias("__cold"))
+    joined = near.withColumn("__spread", spread).join(far, [*keys, "__spread"], "left")
+    found = F.coalesce("__hot", "__cold")
+    return joined.select(*rows.columns, *[found[c].alias(c) for c in values])
