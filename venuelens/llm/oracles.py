@@ -66,3 +66,18 @@ SELECT v.conv_id, v.d AS depth, CASE WHEN v.d > 0 THEN u.conv_id END AS parent_c
 FROM nodes v JOIN nodes u ON u.key = v.up AND u.d = greatest(v.d - 1, 0) JOIN subtree ON subtree.key = v.key
 LEFT JOIN children ON children.key = v.key LEFT JOIN ends ON ends.key = v.key
 """
+
+# op13: SHA-1 in base32, five hexadecimal digits (20 bits) to four letters.
+WARC = """
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), kept AS (
+  SELECT *, max(page_id) OVER (PARTITION BY hex) AS keeper FROM hashed
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((('0x' || substr(hex, (i // 4 * 5 + 1)::INTEGER, 5))::INTEGER >> (15 - 5 * (i % 4))::INTEGER) & 31) + 1, 1)), '') AS payload_digest,
+       CASE WHEN keeper IS DISTINCT FROM page_id AND keeper IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN keeper IS DISTINCT FROM page_id THEN keeper END AS refers_to
+FROM kept
+"""

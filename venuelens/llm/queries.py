@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from . import (
     fingerprints, html_text, language_id, lexical_search, license_scan, mixing, oracles, packing, prefix_trie, quality_classifier, quality_rules,
-    simhash, toxicity,
+    simhash, toxicity, warc,
 )
 from .shared import on_workers, read
 
@@ -72,6 +72,13 @@ def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame
     return prefix_trie.conversation_trie(read(spark, sf_dir, "conversations"))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.fresh_folder(spark)
+    index = warc.archived_pages(read(spark, sf_dir, "pages"), folder)
+    warc.removed(folder)  # the merged index is written, and all this query returns is in it
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         on_workers(spark)
@@ -86,7 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for q in (
         op1_quality_classifier, op2_license_scan, op3_toxicity, op4_simhash_near_dedup, op5_packing, op6_document_fingerprints,
         op7_html_extraction, op8_language_id, op9_quality_rules, op10_source_mixing, op11_lexical_search,
-        op12_conversation_prefix_trie,
+        op12_conversation_prefix_trie, op13_warc,
     )
 }
 
@@ -94,4 +101,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op11_lexical_search": oracles.LEXICAL_SEARCH,
     "op12_conversation_prefix_trie": oracles.PREFIX_TRIE,
+    "op13_warc": oracles.WARC,
 }
