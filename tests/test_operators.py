@@ -170,10 +170,35 @@ def test_moments_match_builtin_with_nulls(spark):
 
     rows = [("a", "v1", 1.0), ("a", "v1", 2.0), ("a", "v2", None), ("b", "v3", None), ("c", "v4", 5.0)]
     df = spark.createDataFrame(rows, "g string, k string, x double")
-    parts = df.groupBy("g", "k").agg(*moments("x")).groupBy("g").agg(*merge_moments())
-    got = {r.g: (r._rows, r.m, r.sd) for r in parts.select("g", "_rows", mean_from_moments().alias("m"), pop_stddev_from_moments().alias("sd")).collect()}
     want = {r.g: (r.n, r.m, r.sd) for r in df.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("m"), F.stddev_pop("x").alias("sd")).collect()}
-    assert got == want
+    for few in (False, True):
+        parts = merge_moments(df.groupBy("g", "k").agg(*moments("x")), ["g"], few_parts=few)
+        got = {r.g: (r._rows, r.m, r.sd) for r in parts.select("g", "_rows", mean_from_moments().alias("m"), pop_stddev_from_moments().alias("sd")).collect()}
+        assert got == want
+
+
+def test_deviation_of_values_far_from_zero(spark):
+    from venuelens.functions.stats import merge_moments, moments, pop_stddev_from_moments
+
+    far = [(g, f"v{i % 3}", g * 1e9 + i % 2) for g in (0, 1, -7) for i in range(60)] + [(None, "v", 5e8), (None, "w", 5e8 + 1)]
+    df = spark.createDataFrame(far, "g int, k string, x double")
+    for few in (False, True):
+        for having in (None, F.col("_rows") >= 2):
+            parts = merge_moments(df.groupBy("g", "k").agg(*moments("x")), ["g"], having=having, few_parts=few)
+            assert {(r.g, round(r.sd, 6)) for r in parts.select("g", pop_stddev_from_moments().alias("sd")).collect()} == {(g, 0.5) for g in (0, 1, -7, None)}
+    dropped = merge_moments(df.groupBy("g", "k").agg(*moments("x")), ["g"], having=F.col("_rows") >= 3)
+    assert sorted(r.g for r in dropped.collect()) == [-7, 0, 1]
+
+
+def test_category_rating_of_values_far_from_zero(spark):
+    """Two venues whose ratings are 1e9 and 1e9 + 1: deviation 0.5, also through the monthly cube."""
+    from venuelens.plans import venue_queries as vq
+
+    venues = spark.createDataFrame([("a", "X"), ("b", "X")], "business_id string, categories string")
+    rows = [(str(i), "ab"[i % 2], 1e9 + (i // 2) % 2, f"2020-0{1 + i % 3}-05") for i in range(24)]
+    reviews = spark.createDataFrame(rows, "review_id string, business_id string, stars double, date string")
+    for cube in (None, vq.review_cube(reviews)):
+        assert [r.stddev_stars for r in vq.category_rating(reviews, venues, min_reviews=1, cube=cube).collect()] == [0.5]
 
 
 def test_year_window_on_dates_is_pushed_down(spark):

@@ -208,7 +208,7 @@ def q_daypart_profile(spark, d):
     "category_rating",
     """
 SELECT word AS category, COUNT(*) AS total_reviews, ROUND(SUM(q) / COUNT(*), 2) AS avg_stars,
-       ROUND(SQRT(SUM(q * q) / COUNT(*) - POWER(SUM(q) / COUNT(*), 2)), 2) AS stddev_stars
+       ROUND(STDDEV_POP(q), 2) AS stddev_stars
 FROM (SELECT l_quantity AS q, split_part(p_name, ' ', k) AS word
       FROM lineitem, part, (VALUES (1), (2)) word_no(k) WHERE p_partkey = l_partkey)
 GROUP BY word HAVING COUNT(*) >= 1000
@@ -221,6 +221,39 @@ def q_category_rating(spark, d):
     )
 
 
+# Prices far from zero: a deviation from plain sums of squares would be lost in rounding.
+FAR = 1e9
+
+
+def _far_prices(spark, d):
+    reviews = table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("review_id"), F.col("o_custkey").alias("business_id"),
+        (F.col("o_totalprice") + FAR).alias("stars"), F.col("o_orderdate").alias("date"),
+    )
+    venues = table(spark, d, "customer").select(F.col("c_custkey").alias("business_id"), F.col("c_mktsegment").alias("categories"))
+    return reviews, venues
+
+
+_FAR_SQL = f"""
+SELECT c_mktsegment AS category, COUNT(*) AS total_reviews, ROUND(AVG(o_totalprice + {FAR}), 2) AS avg_stars,
+       ROUND(STDDEV_POP(o_totalprice + {FAR}), 2) AS stddev_stars
+FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY c_mktsegment
+"""
+
+
+@register("rating_deviation_far", _FAR_SQL)
+def q_rating_deviation_far(spark, d):
+    reviews, venues = _far_prices(spark, d)
+    return vq.category_rating(reviews, venues, min_reviews=1)
+
+
+@register("rating_deviation_far_cube", _FAR_SQL)
+def q_rating_deviation_far_cube(spark, d):
+    """The same through the monthly cube, whose parts are merged twice (venue, then category)."""
+    reviews, venues = _far_prices(spark, d)
+    return vq.category_rating(None, venues, min_reviews=1, cube=vq.review_cube(reviews))
+
+
 _TIER_SQL = """
 WITH e AS (
   SELECT unnest(string_split(p_name, ' ')) AS cat, p_type AS price_tier, p_size AS stars
@@ -296,7 +329,7 @@ def q_category_leaders(spark, d):
     """
 SELECT l_suppkey AS business_id, CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS review_month,
        COUNT(*) AS reviews, COUNT(l_quantity) AS rated, SUM(l_quantity) AS stars_sum,
-       SUM(l_quantity * l_quantity) AS stars_sq, COUNT(l_orderkey) AS review_ids
+       ROUND(VAR_POP(l_quantity) * COUNT(l_quantity), 6) AS stars_m2, COUNT(l_orderkey) AS review_ids
 FROM lineitem GROUP BY l_suppkey, date_trunc('month', l_shipdate)
 """,
 )
@@ -307,7 +340,7 @@ def q_review_cube(spark, d):
         F.col("l_quantity").alias("stars"),
         F.col("l_shipdate").alias("date"),
     )
-    return vq.review_cube(reviews)
+    return vq.review_cube(reviews).withColumn("stars_m2", F.round("stars_m2", 6))
 
 
 @register(

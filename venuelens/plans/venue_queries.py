@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import as_timestamp, month_label, month_start
 from ..functions.dayparts import day_part
 from ..functions.lists import split_trim
-from ..functions.stats import mean_from_moments, merge_moments, moments, pop_stddev_from_moments
+from ..functions.stats import centred_second_moment, mean_from_moments, merge_moments, moments, pop_stddev_from_moments
 from ..operators.ranking import join_ranks, rows_of_top_groups, top_per_group, value_ranks
 from ..operators.reshape import bubble_scale, group_means, pivot_matrix
 from ..session import materialize
@@ -44,14 +44,14 @@ def explode_categories(
 
 def review_cube(reviews: DataFrame) -> DataFrame:
     """Reviews aggregated once per (venue, month): every per-venue and per-period measure of the
-    questions (counts, rated counts, sums and sums of squares of the rating, review-id counts)
-    can be rolled up from it exactly, so a full report scans the review facts once."""
+    questions (counts, rated counts, sums and centred second moments of the rating, review-id counts)
+    can be rolled up from it, so a full report scans the review facts once."""
     month = month_start(as_timestamp(reviews, "date"))
     return reviews.groupBy("business_id", month.alias("review_month")).agg(
         F.count(F.lit(1)).alias("reviews"),
         F.count("stars").alias("rated"),
         F.sum("stars").alias("stars_sum"),
-        F.sum(F.col("stars") * F.col("stars")).alias("stars_sq"),
+        centred_second_moment("stars").alias("stars_m2"),
         F.count("review_id").alias("review_ids"),
     )
 
@@ -155,15 +155,16 @@ def category_rating(
     combined, so the largest table is never multiplied by the categories per venue.
     """
     if cube is not None:
-        per_venue = cube.groupBy("business_id").agg(
-            F.sum("reviews").alias("_rows"), F.sum("rated").alias("_n"),
-            F.sum("stars_sum").alias("_s"), F.sum("stars_sq").alias("_ss"),
+        months = cube.select(
+            "business_id", F.col("reviews").alias("_rows"), F.col("rated").alias("_n"),
+            F.col("stars_sum").alias("_s"), F.col("stars_m2").alias("_m2"),
         )
+        per_venue = merge_moments(months, ["business_id"], few_parts=True)  # a row a month
     else:
         per_venue = reviews.groupBy("business_id").agg(*moments("stars"))
     cats = explode_categories(venues.filter(F.col("categories").isNotNull()), sep)
-    per_cat = cats.join(per_venue, "business_id").groupBy("category").agg(*merge_moments())
-    out = per_cat.filter(F.col("_rows") >= min_reviews).select(
+    per_cat = merge_moments(cats.join(per_venue, "business_id"), ["category"], having=F.col("_rows") >= min_reviews)
+    out = per_cat.select(
         "category",
         F.col("_rows").alias("total_reviews"),
         F.round(mean_from_moments(), 2).alias("avg_stars"),
