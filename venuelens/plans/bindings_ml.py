@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import functions as F
 
-from ..operators.segments import assign_nearest, standardize
+from ..operators.segments import Blocks, assign_nearest, lloyd_step, standardize
 from . import segmentation as seg
 from .bindings import customer_venues, register, visits_from_events
 
@@ -40,15 +38,8 @@ def q_standardize(spark, d):
     return z.select("business_id", *[F.round(f + "_z", 6).alias(f + "_z") for f in seg.FEATURES])
 
 
-# Fits by input, so that the keys over one table share the ten starts. The frames read written tables.
-_FITS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-
-
 def _segments(spark, d):
-    fits = _FITS.setdefault(spark, {})
-    if d not in fits:
-        fits[d] = seg.segment_entities(_features(spark, d), k=4)
-    return fits[d]
+    return seg.segment_entities(_features(spark, d), k=4)
 
 
 @register("entity_segments")
@@ -132,3 +123,36 @@ def q_segment_fit_check(spark, d):
     return placed.select(
         "venues", F.lit(off.segments).alias("segments"), "misplaced", F.lit(off.off_mean).cast("bigint").alias("off_mean")
     )
+
+
+# Two starts of stated centres in raw units: one step of each, replayed by SQL.
+STARTS = {0: [tuple(map(float, c)) for c in CENTRES], 7: [(-500.0, 0.0, 10.0), (4000.0, 8.0, 30.0), (9000.0, 15.0, 80.0)]}
+
+
+@register(
+    "lloyd_step_stated_starts",
+    _FEATURES_SQL
+    + """,
+c(start, segment, x, y, z) AS (VALUES """
+    + ", ".join(f"({s}, {i}, {x}, {y}, {z})" for s, cs in STARTS.items() for i, (x, y, z) in enumerate(cs))
+    + """),
+every AS (
+  SELECT business_id, start, segment, stars, review_count, total_checkins,
+         power(stars - x, 2) + power(review_count - y, 2) + power(total_checkins - z, 2) AS d
+  FROM f, c),
+own AS (
+  SELECT a.* FROM every a LEFT JOIN every b ON a.business_id = b.business_id AND a.start = b.start AND (b.d, b.segment) < (a.d, a.segment)
+  WHERE b.segment IS NULL)
+SELECT start, segment, COUNT(*) AS n, ROUND(SUM(d) / COUNT(*), 2) AS mean_cost, ROUND(AVG(stars), 4) AS stars,
+       ROUND(AVG(review_count), 4) AS review_count, ROUND(AVG(total_checkins), 4) AS total_checkins
+FROM own GROUP BY start, segment
+""",
+)
+def q_lloyd_step_stated_starts(spark, d):
+    blocks = Blocks(_features(spark, d), seg.FEATURES, "business_id")
+    try:
+        step = lloyd_step(blocks, STARTS)
+    finally:
+        blocks.close()
+    rows = [(s, at, n, round(cost / n, 2), *[round(m, 4) for m in means]) for (s, at), (n, cost, means) in step.items()]
+    return spark.createDataFrame(rows, "start int, segment int, n long, mean_cost double, " + ", ".join(f"{f} double" for f in seg.FEATURES))

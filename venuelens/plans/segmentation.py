@@ -9,14 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import enrich_with_defaults
 from ..operators.reshape import group_means
-from ..operators.segments import (
-    FIT_PARTITIONS,
-    assign_segments,
-    centroid_frame,
-    feature_stats,
-    fit_segments,
-    standardize,
-)
+from ..operators.segments import assign_nearest, centroid_frame, feature_stats, fit_segments, standardize
 from ..session import materialize
 
 FEATURES = ("stars", "review_count", "total_checkins")
@@ -40,7 +33,6 @@ def segment_entities(
     features: DataFrame,
     k: int = 4,
     seeds: Sequence[int] = tuple(range(42, 52)),
-    partitions: int = FIT_PARTITIONS,
 ) -> tuple[DataFrame, DataFrame]:
     """(venues with ``segment``, centroids in standardised units).
 
@@ -51,9 +43,9 @@ def segment_entities(
     stats = feature_stats(features, FEATURES)
     z = standardize(features, FEATURES, stats=stats)
     zcols = [f + "_z" for f in FEATURES]
-    model, relabel = fit_segments(z, zcols, "business_id", k=k, seeds=seeds, partitions=partitions)
-    assigned = assign_segments(z, model, relabel, zcols).drop(*zcols)
-    return assigned, centroid_frame(features.sparkSession, model, relabel, zcols)
+    centres = fit_segments(z, zcols, "business_id", k=k, seeds=seeds)
+    assigned = assign_nearest(z, centres, zcols).drop(*zcols)
+    return assigned, centroid_frame(features.sparkSession, centres, zcols)
 
 
 def segment_profile(assigned: DataFrame) -> DataFrame:
