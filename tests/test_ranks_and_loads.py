@@ -169,3 +169,21 @@ def test_remote_reads_take_the_split_of_the_spec(spark, monkeypatch):
     specs = views.remote_specs({"business": "m", "tips": "m", "checkins": "m"}, spec, JdbcSpec("jdbc:x", "users"))
     assert load_source(spark, specs["reviews"]).schema["stars"].dataType.simpleString() == "double"
     assert seen == [spec.predicates] and len(seen[0]) == 2
+
+
+def test_measure_ranks_equal_the_builtin_rank(spark):
+    """Two measures at once, with NULLs, ties, a NULL group, one-row groups and a hot group of distinct values."""
+    from venuelens.operators.ranking import measure_ranks
+
+    rows = [("a", i, float(i * 7 % 400)) for i in range(400)] + [("b", i % 3, None if i % 4 == 0 else 1.5 * (i % 5)) for i in range(40)]
+    rows += [(None, 5, 2.0), (None, 5, None), (None, 6, 1.0), ("one", 1, None)]
+    df = spark.createDataFrame(rows, "g string, x int, y double").repartition(6)
+    for ranges in (2, 16, 64):
+        ranks = measure_ranks(df, ["g"], ["x", "y"], ranges=ranges).collect()
+        got = {(r.g, r.measure, r.value): r.pct_rank for r in ranks}
+        assert len(got) == len(ranks)
+        for number, m in enumerate(("x", "y")):
+            w = Window.partitionBy("g").orderBy(F.col(m).asc_nulls_first())
+            for r in df.withColumn("pr", F.percent_rank().over(w)).collect():
+                value = None if r[m] is None else float(r[m])
+                assert abs(got[r.g, number, value] - r.pr) < 1e-12, (r, ranges)

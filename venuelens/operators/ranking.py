@@ -61,6 +61,38 @@ def value_ranks(df: DataFrame, group: Sequence[str], value: str, out: str) -> Da
     return local.join(sums, same).select(*g, value, rank.alias(out))
 
 
+def measure_ranks(df: DataFrame, group: Sequence[str], measures: Sequence[str], out: str = "pct_rank", ranges: int = 64) -> DataFrame:
+    """``percent_rank()`` of every distinct value of several numeric measures in one pass: a written
+    table (group, measure: its number, value: double, ``out``).
+
+    The measures stand below each other, and rows are counted per value. Approximate quantiles of a
+    group's distinct values cut it into ``ranges`` that a window can hold, so that a hot group takes
+    many tasks; running counts inside a range and the exact totals of the ranges before it give the
+    ranks, whatever the quantiles' error. NULL comes first, as in Spark's ascending order.
+    """
+    g = list(group)
+    stacked = F.array(*[F.struct(F.lit(i).alias("measure"), F.col(m).cast("double").alias("value")) for i, m in enumerate(measures)])
+    counts = df.select(*g, F.inline(stacked)).groupBy(*g, "measure", "value").agg(F.count(F.lit(1)).alias("__c"))
+    keys = [*g, "measure"]
+
+    def with_keys(right: DataFrame, left: DataFrame, on: Sequence[str]) -> DataFrame:
+        named = right.withColumnsRenamed({c: f"__k_{c}" for c in on})
+        return left.join(named, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in on]).drop(*[f"__k_{c}" for c in on])
+
+    cuts = F.percentile_approx("value", [i / ranges for i in range(1, ranges)], 1000).alias("__cuts")
+    placed = with_keys(counts.groupBy(*keys).agg(cuts), counts, keys)
+    below = F.size(F.filter("__cuts", lambda c: c <= F.col("value")))
+    placed = placed.withColumn("__range", F.when(F.col("value").isNull(), -1).otherwise(below)).drop("__cuts")
+    sums = placed.groupBy(*keys, "__range").agg(F.sum("__c").alias("__s"))
+    along = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    sums = sums.select(*keys, "__range", F.sum("__s").over(along).alias("__before"), F.sum("__s").over(Window.partitionBy(*keys)).alias("__n"))
+    inside = Window.partitionBy(*keys, "__range").orderBy(F.col("value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    local = placed.withColumn("__below", F.coalesce(F.sum("__c").over(inside), F.lit(0)))
+    n = F.col("__n")
+    rank = F.when(n <= 1, F.lit(0.0)).otherwise((F.col("__below") + F.coalesce("__before", F.lit(0))) / (n - F.lit(1)))
+    return materialize(with_keys(sums, local, [*keys, "__range"]).select(*keys, "value", rank.alias(out)))
+
+
 def join_ranks(df: DataFrame, ranks: DataFrame, group: Sequence[str], value: str, out: str) -> DataFrame:
     """``df`` with the rank of its (group, value), by a NULL-safe join whose strategy the planner picks
     from the written table's real size."""

@@ -17,7 +17,6 @@ map-side partial aggregation. Every limit carries a total order (a key tie-break
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
@@ -27,7 +26,7 @@ from ..functions.dates import as_timestamp, month_label, month_start
 from ..functions.dayparts import day_part
 from ..functions.lists import split_trim
 from ..functions.stats import centred_second_moment, mean_from_moments, merge_moments, moments, pop_stddev_from_moments
-from ..operators.ranking import join_ranks, rows_of_top_groups, top_per_group, value_ranks
+from ..operators.ranking import measure_ranks, rows_of_top_groups, top_per_group
 from ..operators.reshape import bubble_scale, group_means, pivot_matrix
 from ..session import materialize
 
@@ -377,7 +376,7 @@ def traffic_vs_rating(
     rating percent rank <= 0.25 among venues with visits and >= ``min_reviews`` reviews.
 
     The venue frame is written once. A percent rank grows with its value, so each threshold is one
-    cut-off value per group: the ranks of the distinct values (:func:`value_ranks`) give the
+    cut-off value per group: the ranks of the distinct values (:func:`measure_ranks`) give the
     cut-offs, the frame is filtered by them, and ranks are looked up for the ``top_k`` rows alone.
     """
     if visits_by_part is not None:
@@ -410,33 +409,21 @@ def traffic_vs_rating(
     )
     # one row per venue feeds the rows and both ranks, so the facts behind it are scanned once
     combined = materialize(combined)
-    # the two counts are independent jobs over it and overlap
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        jobs = [pool.submit(value_ranks, combined, [group], v, out) for v, out in (("total_checkins", "__tpr"), ("avg_review_stars", "__rpr"))]
-        traffic, rating = (job.result() for job in jobs)
-    low = traffic.filter(F.round("__tpr", 4) >= traffic_at_least).groupBy(F.col(group).alias("__g1")).agg(
-        F.min("total_checkins").alias("__low")
-    )
-    high = rating.filter(F.round("__rpr", 4) <= rating_at_most).groupBy(F.col(group).alias("__g2")).agg(
-        F.max("avg_review_stars").alias("__high")
+    ranks = measure_ranks(combined, [group], ["total_checkins", "avg_review_stars"])
+    traffic = ranks.filter("measure = 0").select(F.col(group).alias("__g1"), F.col("value").alias("__v1"), F.round("pct_rank", 4).alias("traffic_pct_rank"))
+    rating = ranks.filter("measure = 1").select(F.col(group).alias("__g2"), F.col("value").alias("__v2"), F.round("pct_rank", 4).alias("rating_pct_rank"))
+    cuts = ranks.groupBy(F.col(group).alias("__g")).agg(
+        F.min(F.when((F.col("measure") == 0) & (F.round("pct_rank", 4) >= traffic_at_least), F.col("value"))).alias("__low"),
+        F.max(F.when((F.col("measure") == 1) & (F.round("pct_rank", 4) <= rating_at_most), F.col("value"))).alias("__high"),
     )
     order = [F.col("total_checkins").desc(), F.col("avg_review_stars").asc(), F.col("business_id").asc()]
-    chosen = (
-        combined.join(low, F.col(group).eqNullSafe(F.col("__g1")) & (F.col("total_checkins") >= F.col("__low")))
-        .join(
-            high,
-            F.col(group).eqNullSafe(F.col("__g2"))
-            & (F.col("avg_review_stars").isNull() | (F.col("avg_review_stars") <= F.col("__high"))),
-        )
-        .select(*combined.columns)
-        .orderBy(*order)
-        .limit(top_k)
-    )
+    poor = F.col("avg_review_stars").isNull() | (F.col("avg_review_stars") <= F.col("__high"))
+    same = F.col(group).eqNullSafe(F.col("__g")) & (F.col("total_checkins") >= F.col("__low")) & poor
+    chosen = combined.join(cuts, same).select(*combined.columns).orderBy(*order).limit(top_k)
     top = F.broadcast(chosen)  # at most top_k rows
-    ranked = join_ranks(join_ranks(top, traffic, [group], "total_checkins", "__tpr"), rating, [group], "avg_review_stars", "__rpr")
-    return ranked.select(
-        *combined.columns, F.round("__tpr", 4).alias("traffic_pct_rank"), F.round("__rpr", 4).alias("rating_pct_rank")
-    ).orderBy(*order)
+    found = traffic.join(top, F.col("__g1").eqNullSafe(F.col(group)) & (F.col("__v1") == F.col("total_checkins")))
+    found = rating.join(F.broadcast(found), F.col("__g2").eqNullSafe(F.col(group)) & F.col("__v2").eqNullSafe(F.col("avg_review_stars")))
+    return found.select(*combined.columns, "traffic_pct_rank", "rating_pct_rank").orderBy(*order)
 
 
 # --------------------------------------------------------------------------------------------
