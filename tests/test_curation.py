@@ -8,11 +8,17 @@ from venuelens.plans import venue_queries as vq
 from venuelens.plans.curate import CurationParams, curate, curated_specs, run_curation
 from venuelens.session import shared_path
 from venuelens.sources.files import write_layer
+from venuelens.sources.snapshots import SnapshotStore, read_layer
 from venuelens.sources.switch import load_views
 
 from .venue_fixture import raw_frames
 
 
+def layer_folder(spark, root, name):
+    (folder,) = SnapshotStore(spark, root).current().layers[name]
+    return folder
+
+
 def _raw_json(spark):
     base = shared_path(spark, "test", "raw")
     paths = {}
@@ -32,13 +38,13 @@ def test_curation_end_to_end(spark):
     assert summary["business"].rows_read == summary["business"].rows_written == 80
 
     raw = raw_frames(spark)
-    users = spark.read.parquet(f"{out}/user")
+    users = read_layer(spark, out, "user")
     assert "friends" not in users.columns
     assert users.count() == summary["user"].rows_written
     expected_users = {r.user_id for r in raw["user"].filter(hash_keep("user_id", 0.4, 42)).collect()}
     assert {r.user_id for r in users.collect()} == expected_users
 
-    reviews = spark.read.parquet(f"{out}/review")
+    reviews = read_layer(spark, out, "review")
     want = (
         raw["review"]
         .filter(F.col("user_id").isin(list(expected_users)))
@@ -48,10 +54,10 @@ def test_curation_end_to_end(spark):
     assert sorted(r.review_id for r in reviews.collect()) == sorted(r.review_id for r in want.collect())
     assert summary["review"].rows_written == reviews.count()
 
-    business = spark.read.parquet(f"{out}/business")
+    business = read_layer(spark, out, "business")
     assert not {"address", "postal_code", "latitude", "longitude"} & set(business.columns)
 
-    checkins = spark.read.parquet(f"{out}/checkin").collect()
+    checkins = read_layer(spark, out, "checkin").collect()
     for r in checkins:
         assert all(s[:4] in ("2018", "2020") for s in r.date.split(", "))
 
@@ -64,7 +70,7 @@ def test_curation_end_to_end(spark):
     leaders = vq.daypart_leaders(views["checkins"], views["business"])
     assert leaders.count() > 0
 
-    report = {r.layer: r for r in layer_report(spark, {n: f"{out}/{n}" for n in ("user", "review", "nope")}).collect()}
+    report = {r.layer: r for r in layer_report(spark, {**{n: layer_folder(spark, out, n) for n in ("user", "review")}, "nope": f"{out}/nope"}).collect()}
     assert set(report) == {"user", "review", "TOTAL"}
     assert report["TOTAL"].records == report["user"].records + report["review"].records
     assert report["TOTAL"].mb > 0
@@ -155,7 +161,7 @@ def test_load_curated_layers(spark):
     again = {r.entity: r for r in load_curated(spark, out, targets).collect()}
     assert again["review"].rows_written == 0 and again["user"].rows_written == 0
     assert again["business"].rows_in_target == first["business"].rows_in_target
-    users = spark.read.parquet(f"{targets}/user")
+    users = read_layer(spark, targets, "user")
     assert users.columns == [f.name for f in __import__("venuelens.sources.schemas", fromlist=["x"]).USER_TARGET.fields]
     skipped = {r.entity: r.mode for r in load_curated(spark, out, targets, skip=["tip"]).collect()}
     assert skipped["tip"] == "skipped"
@@ -197,7 +203,7 @@ def test_malformed_lines_are_counted_and_dropped(spark):
     out = shared_path(spark, "test", "curated_bad")
     summary = {r.step: r for r in run_curation(spark, {"business": f"{base}/business"}, out).collect()}
     assert (summary["business"].rows_read, summary["business"].rows_written) == (3, 2)
-    rows = spark.read.parquet(f"{out}/business").collect()
+    rows = read_layer(spark, out, "business").collect()
     assert sorted(r.business_id for r in rows) == ["b1", "b2"] and "address" not in rows[0].asDict()
 
 
@@ -248,17 +254,17 @@ def test_curation_keeps_unlisted_fields(spark):
     spark.sparkContext.parallelize(users, 1).saveAsTextFile(f"{base}/user")
     out = shared_path(spark, "test", "curated_open")
     run_curation(spark, {n: f"{base}/{n}" for n in ("business", "user")}, out)
-    rows = {r.business_id: r for r in spark.read.parquet(f"{out}/business").collect()}
+    rows = {r.business_id: r for r in read_layer(spark, out, "business").collect()}
     assert rows["b1"].other_fields == {"verified": "true", "tags": '["x",1]'}
     assert rows["b1"].attributes == {"WiFi": "free", "RestaurantsPriceRange2": "2", "Parking": '{"lot":true}'}
     assert rows["b2"].other_fields is None and rows["b2"].attributes is None and len(rows) == 2
     assert "address" not in rows["b1"].asDict()
-    kept = spark.read.parquet(f"{out}/user")
+    kept = read_layer(spark, out, "user")
     assert "friends" not in kept.columns and 0 < kept.count() < 20
     assert all(set(r.other_fields) == {"badge"} for r in kept.collect())
     streamed = curate_stream(spark, "business", f"{base}/business")
     assert streamed.schema["other_fields"].dataType.simpleString() == "map<string,string>"
-    assert streamed.columns == spark.read.parquet(f"{out}/business").columns
+    assert streamed.columns == read_layer(spark, out, "business").columns
 
 
 def test_price_tier_reads_an_attribute_member(spark):

@@ -2,7 +2,7 @@
 
 from venuelens.plans.curate import CurationParams, curate
 from venuelens.session import shared_path
-from venuelens.sources.files import write_layer
+from venuelens.sources.files import read_replaced, write_layer
 from venuelens.streaming import start_curation_stream
 
 from .venue_fixture import raw_frames
@@ -54,10 +54,10 @@ def test_visit_cube_stream_matches_batch(spark):
     rest = checkins.filter("business_id >= 'b4'")
     write_layer(first, f"{src}/a", fmt="json")
     start_visit_cube_stream(spark, f"{src}/*", out, checkpoint=ckpt).awaitTermination()
-    after_first = spark.read.parquet(out).count()
+    after_first = read_replaced(spark, out).count()
     write_layer(rest, f"{src}/b", fmt="json")
     start_visit_cube_stream(spark, f"{src}/*", out, checkpoint=ckpt).awaitTermination()
-    got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    got = sorted(tuple(r) for r in read_replaced(spark, out).collect())
     want = sorted(tuple(r) for r in vq.visit_cube(expand_visits(curate(raw)["checkin"])).collect())
     assert got == want and 0 < after_first < len(want)
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..sources.files import write_layer
 from ..sources.jdbc import JdbcSpec, read_jdbc, write_jdbc
+from ..sources.snapshots import SnapshotStore
 
 
 class DuplicateKeyError(ValueError):
@@ -197,6 +198,26 @@ def load_insert_absent_jdbc(
     }
 
 
+def reconcile_committed(
+    batch: DataFrame, store: SnapshotStore, layer: str, keys: Sequence[str] = (), order_by: Sequence[str] = (), batch_id: str | None = None
+) -> dict:
+    """Load into a layer of ``store`` (replace without ``keys``, insert-if-absent with) and report rows
+    read, written and now in the layer; ``reconciled`` as in :func:`load_reconcile`."""
+    obs = Observation("reconcile_committed")
+    src = batch.observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if(_null_key(keys)).alias("rejected"))
+    before = 0
+    if keys:
+        target = store.read(layer)
+        before = target.count() if target is not None else 0
+        res = load_insert_absent_committed(src, store, layer, keys, order_by, batch_id)
+    else:
+        res = load_replace_committed(src, store, layer)
+    seen = obs.get if res["status"] == "loaded" else {"rows": 0, "rejected": 0}
+    now = store.read(layer).count()
+    good = before + res["rows_written"] == now and not seen["rejected"]
+    return {"rows_read": seen["rows"], "rows_written": res["rows_written"], "rows_in_target": now, "reconciled": good}
+
+
 def load_reconcile(
     spark: SparkSession,
     batch: DataFrame,
@@ -238,6 +259,48 @@ def load_reconcile(
     )
 
 
+def load_replace_committed(df: DataFrame, store: SnapshotStore, layer: str, drop: Sequence[str] = ("_id",)) -> dict:
+    """Replace a layer of ``store`` by one commit: readers see the earlier rows until all are written."""
+    out, obs = _observed(_drop_present(df, drop), "load_replace_committed")
+    store.replace({layer: store.write(out, layer)})
+    return {"status": "loaded", "rows_written": obs.get["rows"]}
+
+
+def load_insert_absent_committed(
+    batch: DataFrame, store: SnapshotStore, layer: str, keys: Sequence[str], order_by: Sequence[str], batch_id: str | None = None
+) -> dict:
+    """Insert-if-absent that can be repeated and run beside others without a key coming in twice.
+
+    The new rows are written aside and become part of the layer by one commit. A batch whose id the
+    layer has taken in before is left alone, so a load that failed halfway or lost its answer is
+    simply run again. When another commit came first, the rows written aside are held against what
+    that one added (or against the whole layer, if it was replaced) before the next try.
+    """
+    def present(state) -> bool:
+        return batch_id is not None and batch_id in state.batches.get(layer, ())
+
+    spark, state = batch.sparkSession, store.current()
+    if present(state):
+        return {"status": "present", "rows_written": 0}
+    new, obs = _observed(rows_to_insert(batch, store.read(layer, state), keys, order_by), "insert_committed")
+    folder = store.write(new, layer)
+    rows = obs.get["rows"]
+    while not store.claim(state.appended(layer, folder, batch_id)):
+        later = store.current()
+        if present(later):
+            return {"status": "present", "rows_written": 0}
+        had, has = state.layers.get(layer, ()), later.layers.get(layer, ())
+        added = [f for f in has if f not in had]
+        state = later
+        if added:
+            others = spark.read.format(store.fmt).load(added)
+            rest = spark.read.format(store.fmt).load(folder).join(others.select(*keys), list(keys), "left_anti")
+            rest, obs = _observed(rest, "insert_committed_again")
+            folder = store.write(rest, layer)
+            rows = obs.get["rows"]
+    return {"status": "loaded", "rows_written": rows}
+
+
 def load_insert_absent_bucketed(
     batch: DataFrame,
     table: str,

@@ -10,6 +10,7 @@ from ..operators import loads
 from ..operators.reports import StepCounter, layer_report, size_delta, step_summary
 from ..session import materialize, shared_path
 from ..sources.files import read_json_lines, write_layer, read_replaced, replace_layer
+from ..sources.snapshots import SnapshotStore
 from ..sources.switch import SourceSpec, load_views
 from . import venue_queries as vq
 from .bindings import (
@@ -182,6 +183,35 @@ def q_load_insert_absent(spark, d):
     return spark.read.parquet(path).select(*li.columns)
 
 
+@register("load_insert_committed", ORACLE_SQL["load_insert_absent"])
+def q_load_insert_committed(spark, d):
+    """The same two batches into a committed layer: the first fails before its commit and is run again,
+    the second is sent twice."""
+    store = SnapshotStore(spark, shared_path(spark, "bind", "load_insert_committed"))
+    li = table(spark, d, "lineitem")
+    first = li.filter(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    store.write(first, "lineitem")  # a load that never came to its commit
+    for batch, name in ((first, "b1"), (li, "b2"), (li, "b2")):
+        loads.load_insert_absent_committed(batch, store, "lineitem", LINE_KEYS, LINE_ORDER, name)
+    return store.read("lineitem").select(*li.columns)
+
+
+@register(
+    "commit_layers",
+    "SELECT 'part' AS layer, COUNT(*) AS n FROM part UNION ALL SELECT 'supplier', COUNT(*) FROM supplier "
+    "UNION ALL SELECT 'orders', COUNT(*) FROM orders",
+)
+def q_commit_layers(spark, d):
+    """Three layers, one commit after another: rows of the last commit that names each."""
+    store = SnapshotStore(spark, shared_path(spark, "bind", "commit_layers"))
+    part, supplier, orders = (table(spark, d, n) for n in ("part", "supplier", "orders"))
+    store.replace({"part": store.write(part.filter("p_size > 25"), "part"), "supplier": store.write(supplier, "supplier")})
+    store.write(part.filter("p_size > 40"), "part")  # written, never committed
+    store.replace({"part": store.write(part, "part"), "orders": store.write(orders, "orders")})
+    counts = [store.read(n).agg(F.lit(n).alias("layer"), F.count(F.lit(1)).alias("n")) for n in ("part", "supplier", "orders")]
+    return counts[0].unionAll(counts[1]).unionAll(counts[2])
+
+
 @register(
     "load_reconcile",
     "SELECT COUNT(*) AS rows_read, COUNT(*) AS rows_written, COUNT(*) AS rows_in_target, "
@@ -362,7 +392,7 @@ def q_visit_cube_stream(spark, d):
     for i, batch in enumerate((packed.filter(early), packed.filter(~early))):  # every record arrives once
         write_layer(batch, f"{src}/arrival={i}", fmt="json")
         start_visit_cube_stream(spark, f"{src}/*", out, p, checkpoint=ckpt).awaitTermination()
-    cube = spark.read.parquet(out)
+    cube = read_replaced(spark, out)
     return cube.select(F.col("business_id").cast("bigint").alias("business_id"), "day_segment", "visits")
 
 

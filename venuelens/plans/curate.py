@@ -31,6 +31,7 @@ from ..operators.curation import (
 from ..operators.reports import StepCounter, step_summary
 from ..sources.files import read_json_lines, write_bucketed, write_layer
 from ..sources.schemas import BUSINESS_DROP, CARRIED, ENTITY_SCHEMAS, USER_DROP, USER_DROP_PREFIX
+from ..sources.snapshots import SnapshotStore, read_layer
 from ..sources.switch import SourceSpec
 
 
@@ -125,13 +126,18 @@ def run_curation(
 ) -> DataFrame:
     """Read raw JSON lines, write each curated layer once, return the per-step row summary.
 
+    All layers of a run become visible under ``out_dir`` together, by one commit after the last is
+    written (:class:`~venuelens.sources.snapshots.SnapshotStore`); a run that ends before leaves the
+    earlier layers as they were. ``read_layer`` reads a layer of the last commit.
+
     Only the columns the trimming names are lost: unlisted venue attributes stay in the
     ``attributes`` map, fields no schema declares in the map column ``other_fields``.
 
     With ``buckets``, the venues and the two fact aggregates (reviews per venue and month, visits per
     venue and day part) are also catalog tables ``<table_prefix>_business``, ``_review_cube`` and
     ``_visit_cube``, bucketed and sorted by ``business_id`` into as many files (under ``out_dir``):
-    joins of those aggregates to the venues need no shuffle.
+    joins of those aggregates to the venues need no shuffle. The catalog's tables are replaced one by
+    one, as they are written.
     """
     from .venue_queries import review_cube, visit_cube
     raw = {
@@ -139,22 +145,24 @@ def run_curation(
         for name, path in raw_paths.items()
     }
     outputs = list(curate(raw, p))
+    store = SnapshotStore(spark, out_dir, fmt)
+    run_dir = store.staged()
     clean = {k: v.drop(CORRUPT) for k, v in raw.items()}
 
     def step(name: str) -> StepCounter:
         counter = StepCounter(name)
         if name == "visit":
             # expanded from the written checkin layer, not from the raw checkin files again
-            plan = expand_visits(counter.input(spark.read.format(fmt).load(f"{out_dir}/checkin")))
+            plan = expand_visits(counter.input(spark.read.format(fmt).load(f"{run_dir}/checkin")))
         else:
             # Only this step's input carries the observation; malformed lines are counted as
             # read, then dropped (never written as rows of NULLs).
             parsed = counter.input(raw[name]).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
             plan = curate({**clean, name: parsed}, p)[name]
         if buckets and name == "business":
-            write_bucketed(counter.output(plan), f"{out_dir}/{name}", f"{table_prefix}_{name}", "business_id", buckets, fmt)
+            write_bucketed(counter.output(plan), f"{run_dir}/{name}", f"{table_prefix}_{name}", "business_id", buckets, fmt)
         else:
-            write_layer(counter.output(plan), f"{out_dir}/{name}", fmt=fmt)
+            write_layer(counter.output(plan), f"{run_dir}/{name}", fmt=fmt)
         return counter
 
     done: dict[str, StepCounter] = {}
@@ -163,7 +171,7 @@ def run_curation(
     # (sampling it again inside ``curate`` is idempotent).
     if "user" in outputs:
         done["user"] = step("user")
-        keys = spark.read.format(fmt).load(f"{out_dir}/user").select("user_id")
+        keys = spark.read.format(fmt).load(f"{run_dir}/user").select("user_id")
         clean["user"] = keys
     # the other layers are independent jobs: submitted together, the scheduler overlaps them
     middle = [n for n in outputs if n not in ("user", "visit")]
@@ -176,8 +184,11 @@ def run_curation(
         facts = {"review": ("review_cube", lambda df: review_cube(parse_dates(df))), "visit": ("visit_cube", visit_cube)}
         for name, (cube, aggregate) in facts.items():
             if name in outputs:
-                rows = aggregate(spark.read.format(fmt).load(f"{out_dir}/{name}"))
-                write_bucketed(rows, f"{out_dir}/{cube}", f"{table_prefix}_{cube}", "business_id", buckets, fmt)
+                rows = aggregate(spark.read.format(fmt).load(f"{run_dir}/{name}"))
+                write_bucketed(rows, f"{run_dir}/{cube}", f"{table_prefix}_{cube}", "business_id", buckets, fmt)
+    cubes = [cube for name, (cube, _) in facts.items() if name in outputs] if buckets else []
+    store.replace({name: f"{run_dir}/{name}" for name in [*outputs, *cubes]})
+    store.expire()
     counters = [done[n] for n in outputs if n in done]
     return step_summary(spark, counters)
 
@@ -193,15 +204,14 @@ def curated_specs(base_dir: str, fmt: str = "parquet", long_visits: bool = True)
     Visits come from the typed long-form ``visit`` layer written by the curation; with
     ``long_visits=False`` (layers from elsewhere) the packed ``checkin`` layer is expanded on read.
     """
-    visits = (
-        SourceSpec(fmt, f"{base_dir}/visit")
-        if long_visits
-        else SourceSpec(fmt, f"{base_dir}/checkin", normalize=expand_visits)
-    )
+
+    def layer(name: str, normalize=None) -> SourceSpec:
+        return SourceSpec(fmt, normalize=normalize, read=lambda spark: read_layer(spark, base_dir, name, fmt))
+
     return {
-        "business": SourceSpec(fmt, f"{base_dir}/business"),
-        "reviews": SourceSpec(fmt, f"{base_dir}/review", normalize=parse_dates),
-        "tips": SourceSpec(fmt, f"{base_dir}/tip"),
-        "users": SourceSpec(fmt, f"{base_dir}/user"),
-        "checkins": visits,
+        "business": layer("business"),
+        "reviews": layer("review", parse_dates),
+        "tips": layer("tip"),
+        "users": layer("user"),
+        "checkins": layer("visit") if long_visits else layer("checkin", expand_visits),
     }

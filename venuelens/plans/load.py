@@ -22,6 +22,10 @@ from ..operators import loads
 from ..sources.docstore import read_docstore, write_docstore
 from ..sources.jdbc import JdbcSpec
 from ..sources.schemas import REVIEW_TARGET, USER_TARGET
+from ..sources.snapshots import SnapshotStore, read_layer
+
+REPORT = ("rows_read", "rows_written", "rows_in_target", "reconciled")
+
 
 def _total_order(first: list[str], target: T.StructType) -> list[str]:
     """``first``, then all other target columns: rows that tie on all of them are equal."""
@@ -43,43 +47,49 @@ def load_curated(
     jdbc: Mapping[str, JdbcSpec] | None = None,
     skip: Sequence[str] = (),
     docstore: Mapping[str, Mapping[str, str]] | None = None,
+    batch_id: str | None = None,
 ) -> DataFrame:
     """Run the five loads; returns one row per entity with its reconciliation.
 
+    File targets are layers of one store under ``target_dir``: each load is one commit, a replaced
+    target keeps its earlier rows until then, and an insert can be repeated without a second row per
+    key. ``batch_id`` names the run: an entity that has taken it in before is left alone.
+
     ``docstore`` maps business, checkin or tip to its collection (``uri``, ``database``, ``collection``):
     that entity replaces the collection instead of a file layer.
     """
+    store = SnapshotStore(spark, target_dir, fmt)
+
     def load(name: str) -> tuple:
         if name in skip:
             return (name, "skipped", 0, 0, None, None)
-        src = spark.read.format(fmt).load(f"{curated_dir}/{name}")
+        src = read_layer(spark, curated_dir, name, fmt)
         if docstore and name in docstore:
             out, counted = loads._observed(loads._drop_present(src, ["_id"]), f"docstore_{name}")
             write_docstore(out, mode="overwrite", **docstore[name])
             written, in_target = counted.get["rows"], read_docstore(spark, **docstore[name]).count()
             return (name, "replace", written, written, in_target, written == in_target)
         if name in ("business", "checkin", "tip"):
-            rep = loads.load_reconcile(spark, loads._drop_present(src, ["_id"]), f"{target_dir}/{name}", fmt)
-            r = rep.first()
-            return (name, "replace", r.rows_read, r.rows_written, r.rows_in_target, r.reconciled)
+            res = loads.reconcile_committed(loads._drop_present(src, ["_id"]), store, name)
+            return (name, "replace", *[res[c] for c in REPORT])
         keys, order, target = INSERT_ENTITIES[name]
         batch = loads.conform_columns(src, target)
         if jdbc and name in jdbc:
             res = loads.load_insert_absent_jdbc(batch, jdbc[name], keys, order)
-            return (name, "insert_absent", *[res[c] for c in ("rows_read", "rows_written", "rows_in_target", "reconciled")])
-        rep = loads.load_reconcile(spark, batch, f"{target_dir}/{name}", fmt, "insert_absent", keys, order)
-        r = rep.first()
-        return (name, "insert_absent", r.rows_read, r.rows_written, r.rows_in_target, r.reconciled)
+            return (name, "insert_absent", *[res[c] for c in REPORT])
+        res = loads.reconcile_committed(batch, store, name, keys, order, batch_id)
+        return (name, "insert_absent", *[res[c] for c in REPORT])
 
     names = ("business", "checkin", "tip", "user", "review")
     if "business" not in skip:  # a unique-key target: reject duplicates before any load starts
-        src = spark.read.format(fmt).load(f"{curated_dir}/business")
+        src = read_layer(spark, curated_dir, "business", fmt)
         dup = loads.duplicate_keys(src, ["business_id"]).limit(1).collect()
         if dup:
             raise loads.DuplicateKeyError(f"duplicate key in batch: {dup[0].asDict()}")
     # the five targets are independent: their jobs are submitted together and overlap
     with ThreadPoolExecutor(max_workers=len(names)) as pool:
         rows = list(pool.map(load, names))
+    store.expire(2 * len(names))  # the commits of this run and of the one before stay readable
     return spark.createDataFrame(
         rows,
         "entity string, mode string, rows_read bigint, rows_written bigint, rows_in_target bigint, reconciled boolean",

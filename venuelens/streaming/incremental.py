@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.curate import CurationParams, curate
 from ..session import materialize, shared_path
-from ..sources.files import parse_lines
+from ..sources.files import parse_lines, replace_layer
 from ..sources.schemas import CARRIED, ENTITY_SCHEMAS
 
 
@@ -136,8 +136,9 @@ def start_visit_cube_stream(
 
     Each file is curated (packed-stamp filter), expanded and counted into streaming state keyed
     by (venue, day part) - state is bounded by the venue dimension, not by the visits. Every
-    micro-batch overwrites ``out_dir`` with the whole cube, so a replayed batch rewrites the same
-    result (idempotent); the questions read it through their ``visits_by_part`` argument.
+    micro-batch replaces the cube kept at ``out_dir`` by a whole new version, so a replayed batch
+    writes the same result again and a reader (``read_replaced``) never meets an empty folder; the
+    questions read it through their ``visits_by_part`` argument.
     """
     from ..operators.curation import expand_visits
     from ..plans.venue_queries import visit_cube
@@ -148,7 +149,7 @@ def start_visit_cube_stream(
     cube = stream_files(spark, source_dir, ENTITY_SCHEMAS["checkin"], transform, "json")
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_dir)
+        replace_layer(batch, out_dir)
 
     writer = (
         cube.writeStream.outputMode("complete")
