@@ -92,7 +92,7 @@ def each_window(column: pa.Array, table: np.ndarray, lower: bool = False, size:
         while True:
             stop = end if b - a > 1 else min(begin + size, end)
             while stop < end:
-                ahead = data[stop : stop + size]
+                ahead = data[stop : min(stop + size, end)]
                 gap = np.flatnonzero(~table[LOWER[ahead] if lower else ahead])
                 if len(gap):
                     stop += int(gap[0])
