@@ -1,7 +1,8 @@
 """Language identification by language-bitmask n-gram filters.
 
 Training keeps, for each language, the letter n-grams (four bytes, word edges included) that make
-up at least ``MIN_SHARE`` of its n-grams, hence at most 1 / MIN_SHARE of them. They fill one
+up at least ``MIN_SHARE`` of its n-grams, hence at most 1 / MIN_SHARE of them, and all of them where
+a language has fewer in all. They fill one
 bit-sliced Bloom filter: every cell is a mask with one bit per language, so looking up an n-gram is
 an AND of its cells and returns all languages that contain it at once. A text's n-grams are counted
 per language bit; each count is corrected for the filter's false positives, and the largest decides.
@@ -45,21 +46,23 @@ _ASCII_LETTER[0x61:0x7B] = True
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(n-gram, first): four letters, or three with a word edge before or after them, of each row.
-    Every row is taken as if it began and ended at a word edge."""
+    """(n-gram, first): four letters, or up to three with a word edge before, after or on both sides
+    of them, of each row. Every row is taken as if it began and ended at a word edge."""
     if len(data) == 0:
         return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
     # one blank between rows, so that no window reaches into the next one
     n = len(offsets) - 1
-    text = np.full(len(data) + n + 1, 0x20, np.uint8)
+    text = np.full(len(data) + n + 2, 0x20, np.uint8)
     clean = LOWER[data]
     text[np.arange(len(data)) + np.repeat(np.arange(n), np.diff(offsets)) + 1] = np.where(_LETTER[clean], clean, 0x20)
     starts = offsets[:-1] + np.arange(n)
     letter = text != 0x20
-    inner = letter[1:-2] & letter[2:-1] & (letter[:-3] | letter[3:]) if len(text) > 3 else np.zeros(0, bool)
-    at = np.flatnonzero(inner)
+    alone = letter[1:-2] & ~letter[:-3] & ~letter[2:-1] if len(text) > 3 else np.zeros(0, bool)  # a word of one letter
+    inner = letter[1:-2] & letter[2:-1] if len(text) > 3 else alone
+    at = np.flatnonzero(inner | alone)
     wide = text.astype(np.uint32)
-    packed = (wide[at] << np.uint32(24)) | (wide[at + 1] << np.uint32(16)) | (wide[at + 2] << np.uint32(8)) | wide[at + 3]
+    last = np.where(alone[at], np.uint32(0x20), wide[at + 3])
+    packed = (wide[at] << np.uint32(24)) | (wide[at + 1] << np.uint32(16)) | (wide[at + 2] << np.uint32(8)) | last
     return packed, np.searchsorted(at, np.concatenate([starts, [len(text)]]), "left")
 
 
@@ -150,7 +153,7 @@ def fit_language(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, mi
         if not totals:
             return None
         languages = sorted(totals)
-        floor = F.create_map(*[F.lit(x) for l in languages for x in (l, max(3.0, min_share * totals[l]))])
+        floor = F.create_map(*[F.lit(x) for l in languages for x in (l, min_share * totals[l])])
         kept = counts.filter(F.col("n") >= floor[F.col("lang")]).select("lang", "gram").toArrow()
     finally:
         counts.unpersist()
