@@ -22,7 +22,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import cut
@@ -93,18 +93,10 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFram
     if max_bits % 2:
         raise ValueError("max_bits must be even: the ball of half the radius decides exactly")
     emitted = distinct.select("fp", F.explode(ball(F.col("fp"), max_bits // 2)).alias("variant"))
-    met = (
-        emitted.groupBy("variant")
-        .agg(F.min("fp").alias("a"), F.max("fp").alias("z"), F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > 1)
-    )
-    # two members: both are known. More: the members between are met again from the same variants.
-    two = met.select("a", F.col("z").alias("b"))
-    more = met.filter(F.col("n") > 2).select("variant", "a")
-    between = emitted.join(more, "variant").select("a", F.col("fp").alias("b")).filter("a <> b")
+    # a bucket holds at most the ball around its variant, so a window over it is bounded: one exchange
+    met = emitted.select(F.min("fp").over(Window.partitionBy("variant")).alias("a"), F.col("fp").alias("b")).filter("a <> b")
     return (
-        two.union(between)
-        .distinct()
+        met.distinct()
         .filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
     )
 
