@@ -232,3 +232,24 @@ def test_pipeline_stage_by_stage(spark):
     packed = frames[-1].groupBy("doc_id").agg(F.sum("length").alias("n")).count()
     assert packed == len({i for i, _ in texts[4]})
     assert cp.run(spark, sf).count() == frames[-1].count()
+
+
+def test_likeness_does_not_break_across_the_short_length():
+    """One or two characters more never make alike texts strangers, whichever side of 64 they lie on."""
+    rng = np.random.default_rng(8)
+    letters = np.frombuffer("abcdefghijklmnop qrstuvw".encode("utf-32-le"), "<u4")
+    for _ in range(40):
+        base = rng.choice(letters, 120)
+        for n in (58, 60, 62, 63, 64, 66, 80):
+            a, b = fingerprints.fingerprint(base[:n]), fingerprints.fingerprint(base[: n + 2])
+            assert fingerprints.likeness(a, b) == fingerprints.likeness(b, a) >= 0.7, n
+        half = np.concatenate([base[:50], rng.choice(letters, 5)])  # 100 characters whose edited form shrinks to 55
+        assert fingerprints.likeness(fingerprints.fingerprint(base[:100]), fingerprints.fingerprint(half)) > 0.2
+        short, long = fingerprints.as_text(fingerprints.fingerprint(base[:40])), fingerprints.as_text(fingerprints.fingerprint(base))
+        assert short.startswith(fingerprints.as_text(fingerprints.fingerprint(base[:40])).split(".")[0]) and "." in short and "." not in long
+
+
+def test_fingerprint_of_edge_texts():
+    empty, one, other = (fingerprints.fingerprint(np.array(c, np.uint32)) for c in ([], [97], [98, 99, 100, 101, 102, 103]))
+    assert fingerprints.likeness(empty, empty) == 1.0 and fingerprints.likeness(empty, one) == 0.0
+    assert fingerprints.likeness(one, one) == 1.0 and fingerprints.likeness(one, other) == 0.0

@@ -14,9 +14,11 @@ doc_id, and with a version of itself whose end is replaced by that one's beginni
 made by one range shuffle; the first row of each range is sent to the range before as well, so no
 other data moves.
 
-Texts under SHORT_TEXT code points use the shorter pair of sizes, or they would have few anchors.
+One pair of sizes serves texts of every length. Those under SHORT_TEXT code points, which have few
+anchors, keep the anchors of a smaller pair as well, and two such texts are compared by these.
 
-Defined cases: a text shorter than k is one anchor, the whole text; an empty or null text has an
+Defined cases: a text shorter than k is one anchor, the whole text (of the smaller size, where it
+has that many code points, its smaller anchors); an empty or null text has an
 empty fingerprint, and two empty fingerprints have likeness 1, an empty and another one 0; rows of
 equal doc_id are ordered by the hash of their text; null ids come last; a single row follows
 itself; repeated rows each follow one another; an empty table gives an empty result; other columns
@@ -28,6 +30,7 @@ from __future__ import annotations
 import hashlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -79,10 +82,26 @@ def syncmers(codes: np.ndarray, k: int = K, s: int = S) -> tuple[np.ndarray, np.
     return chosen, _mixed(h)
 
 
-def fingerprint(codes: np.ndarray, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray, bool]:
-    """(positions, 32-bit hashes) of the kept distinct hashes at their first places, in order of
-    position, and whether only those under LIMIT are kept."""
-    at, h = syncmers(codes, k, s) if len(codes) >= SHORT_TEXT else syncmers(codes, SHORT_K, SHORT_S)
+@dataclass(frozen=True)
+class Fingerprint:
+    """Positions and 32-bit hashes of the kept distinct anchors at their first places, in order of
+    position; whether only those under LIMIT are kept; and for a short text its finer anchors too."""
+
+    at: np.ndarray
+    h: np.ndarray
+    thin: bool
+    fine: Fingerprint | None = None
+
+
+def fingerprint(codes: np.ndarray, k: int = K, s: int = S) -> Fingerprint:
+    """Anchors of one pair of sizes at every length; texts of under SHORT_TEXT code points, which have
+    few of them, keep those of the small sizes as well."""
+    at, h = syncmers(codes, k, s)
+    fine = fingerprint_of(*syncmers(codes, SHORT_K, SHORT_S)) if len(codes) < SHORT_TEXT else None
+    return fingerprint_of(at, h, fine)
+
+
+def fingerprint_of(at: np.ndarray, h: np.ndarray, fine: Fingerprint | None = None) -> Fingerprint:
     under = np.flatnonzero(h < LIMIT)
     kept, first = np.unique(h[under], return_index=True)
     at_kept = at[under][first]
@@ -93,22 +112,25 @@ def fingerprint(codes: np.ndarray, k: int = K, s: int = S) -> tuple[np.ndarray,
         if not thin:
             kept, at_kept = every, at[first]
     order = np.argsort(at_kept, kind="stable")
-    return at_kept[order], kept[order], thin
+    return Fingerprint(at_kept[order], kept[order], thin, fine)
 
 
-def as_text(at: np.ndarray, h: np.ndarray) -> str:
-    """Hash and position of each anchor, eight hexadecimal digits each."""
-    pairs = np.empty((len(h), 2), ">u4")
-    pairs[:, 0], pairs[:, 1] = h, at
-    return pairs.tobytes().hex()
+def as_text(f: Fingerprint) -> str:
+    """Hash and position of each anchor, eight hexadecimal digits each; the finer ones after a dot."""
+    pairs = np.empty((len(f.h), 2), ">u4")
+    pairs[:, 0], pairs[:, 1] = f.h, f.at
+    return pairs.tobytes().hex() + ("." + as_text(f.fine) if f.fine else "")
 
 
-def likeness(a: tuple[np.ndarray, np.ndarray, bool], b: tuple[np.ndarray, np.ndarray, bool], slack: int = K) -> float:
-    """Share of the hashes of both fingerprints that is common at the best offset."""
-    if not len(a[1]) or not len(b[1]):
-        return float(len(a[1]) == len(b[1]))
-    (at_a, h_a, thin_a), (at_b, h_b, thin_b) = a, b
-    if thin_a != thin_b:  # the share that both keep
+def likeness(a: Fingerprint, b: Fingerprint, slack: int = K) -> float:
+    """Share of the hashes of both fingerprints that is common at the best offset: of the finer ones
+    where both texts have them, else of those that texts of every length have."""
+    if a.fine and b.fine:
+        a, b = a.fine, b.fine
+    if not len(a.h) or not len(b.h):
+        return float(len(a.h) == len(b.h))
+    at_a, h_a, at_b, h_b = a.at, a.h, b.at, b.h
+    if a.thin != b.thin:  # the share that both keep
         at_a, h_a, at_b, h_b = at_a[h_a < LIMIT], h_a[h_a < LIMIT], at_b[h_b < LIMIT], h_b[h_b < LIMIT]
     common, i, j = np.intersect1d(h_a, h_b, assume_unique=True, return_indices=True)
     if not len(common):
@@ -128,7 +150,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.as_py() or "" for t in batch.column(1)]
-            got = [as_text(*fingerprint(_codes(t))[:2]) for t in texts]
+            got = [as_text(fingerprint(_codes(t))) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array(got, pa.string())],
                 names=["doc_id", "n_chars", "fingerprint"],
@@ -200,7 +222,7 @@ def neighbour_fingerprints(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> D
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         size = 0
-        last: tuple[str, tuple] | None = None
+        last: tuple[str, Fingerprint] | None = None
 
         def flush() -> pa.RecordBatch:
             columns = list(zip(*rows, strict=True))
@@ -216,7 +238,7 @@ def neighbour_fingerprints(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> D
             last = (following, after)
             changed = own if edited == text else fingerprint(_codes(edited))
             rows.append((
-                doc_id, n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), as_text(*own[:2]), as_text(*changed[:2]),
+                doc_id, n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), as_text(own), as_text(changed),
                 likeness(own, changed), likeness(own, after),
             ))
             size += len(rows[-1][3]) + len(rows[-1][4])
