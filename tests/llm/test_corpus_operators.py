@@ -200,6 +200,67 @@ def test_mixed_documents_carry_whole_rows(docs):
     assert Counter(r.doc_id for r in mixed.collect()) == +want
 
 
+def test_tilt_solves_the_dual(spark):
+    """Multipliers against a plain bisection of each source's constraint; rates differ by size."""
+    rng = np.random.default_rng(6)
+    sizes = {s: rng.integers(0, 400, 60) for s in ("up", "down", "same", "full", "none", None)}
+    rows = [(s, int(x)) for s, v in sizes.items() for x in (v if s != "none" else [0, 0])]
+    histogram = spark.createDataFrame(rows, "source string, size long").groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
+    total = {s: int(v.sum()) if s != "none" else 0 for s, v in sizes.items()}
+    factor = {"up": 2.2, "down": 0.3, "same": 1.0, "full": 3.0, "none": 0.0, None: 0.01}
+    targets = {s: factor[s] * total[s] for s in sizes}
+    got = mixing.balance(histogram, total, targets)
+    for s, v in sizes.items():
+        if s == "none":
+            assert got[s] == 0.0
+            continue
+        low, high = -20.0, np.log(3)
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if (v * np.minimum(np.exp(mid * v), 3)).sum() < targets[s] else (low, mid)
+        rate = np.minimum(np.exp(got[s] * v), 3)
+        assert abs((v * rate).sum() - targets[s]) <= 1e-6 * targets[s]
+        if s != "full":
+            assert got[s] == pytest.approx(low, rel=1e-4, abs=1e-7)
+    assert len(set(np.round(np.exp(got["down"] * sizes["down"]), 6))) > 20
+
+
+def test_many_sources(spark):
+    docs = spark.range(6000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 3000).alias("source"), F.repeat(F.lit("w "), (F.col("id") % 40 + 1).cast("int")).alias("text")
+    )
+    rows = mixing.mixture(docs).collect()
+    assert len(rows) == 6000 and all(r.taken <= 3 * r.size for r in rows)
+    assert abs(sum(r.taken for r in rows) - sum(r.size for r in rows)) < 0.1 * sum(r.size for r in rows)
+
+
+def test_rows_come_through_whatever_their_columns_are_called(spark):
+    """Names the operators use themselves, dots, blanks, back-ticks, nested fields: values unchanged."""
+    from venuelens.llm import quality_classifier, quality_rules
+
+    names = ["id", "h", "row", "no_id", "name", "size", "copies", "in_all", "alike", "own", "copy", "no_source", "__id", "__h", "__words", "__all",
+             "a.b", "with blank", "tick`s", "score", "kept", "fp", "root", "label"]
+    kept = quality_rules.keep_documents(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).limit(8).collect()
+    prose = kept[0].text
+    rows = [(i, kept[i].text, "s" if i % 3 else None, (i, f"n{i}"), *[f"{n}-{i}" for n in names]) for i in range(8)]
+    rows += [(None, prose + " again", "\u0000", (9, "n"), *[None] * len(names)), (-(2**63), prose + " once more", None, None, *["x"] * len(names))]
+    kinds = "doc_id long, text string, source string, nested struct<`odd field`:long,`p.q`:string>, " + ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+    docs = spark.createDataFrame(rows, kinds).repartition(3)
+    model = quality_classifier.fit_quality(
+        spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    )
+    want = {repr(tuple(r)) for r in docs.collect()}
+    stages = {
+        "good": quality_classifier.keep_good(docs, model, 0.0), "rules": quality_rules.keep_documents(docs),
+        "near": simhash.drop_near_duplicates(docs), "mix": mixing.mixed_documents(docs),
+    }
+    for stage, out in stages.items():
+        assert out.columns == docs.columns, stage
+        got = [repr(tuple(r)) for r in out.collect()]
+        assert got and set(got) <= want, stage
+    assert sorted(map(repr, map(tuple, stages["good"].collect()))) == sorted(want)
+
+
 def test_too_many_sources(many):
     with pytest.raises(ValueError, match="sources"):
         mixing.mixture(many, max_sources=3)

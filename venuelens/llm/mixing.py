@@ -1,26 +1,28 @@
 """Mixing sources to target weights by entropy balancing.
 
 Document rates are the exponential tilt that moves the token totals of the sources to their targets
-with the least relative entropy, every token of a source weighing the same:
+with the least relative entropy over the documents:
 
-    minimise  sum_d size_d (r_d log r_d - r_d + 1)   with   sum_{d in s} size_d r_d = T_s
+    minimise  sum_d (r_d log r_d - r_d + 1)   with   sum_{d in s} size_d r_d = T_s,  r_d <= max_copies
 
-The dual is convex, one multiplier per source; Newton iterations on it take each source's tilted
-total from Spark, summed over a table of (source, size, count) that is aggregated once, until every
-constraint holds. Rates are then rounded into whole copies by systematic rounding: within a source,
-documents are ordered by size, and a document gets one copy more whenever the running sum of
-fractions passes an integer, so that neighbours in size make up for each other; what is left of a target is
-settled by single copies of the source's smallest documents. Running sums come
-from two passes (totals per partition, then within partitions) in whole numbers, so that neither a
-source that holds most rows nor the partitioning changes the result.
+so that r_d = min(exp(lambda_s size_d), max_copies): the dual has one multiplier a source, and rates
+differ between the documents of a source. The dual is convex; Newton iterations on it, held inside a
+bracket, take each source's tilted total and its slope from Spark, summed over a table of (source,
+size, count) that is aggregated once, until every constraint holds. Rates are then rounded into whole
+copies by systematic rounding: within a source, documents are ordered by size, and a document gets one
+copy more whenever the running sum of rates passes an integer and a half, so that neighbours in size
+make up for each other; what is left of a target is settled by single copies of the source's smallest
+documents. Running sums come from two passes (totals per partition, then within partitions) in whole
+numbers, so that neither a source that holds most rows nor the partitioning changes the result.
 
 Weights follow the sources' order: by code point, null last, 5, 2, 1, repeating. They share all of
 the corpus' words; a target stops at ``max_copies`` times its source's size and the excess is shared
 again by weight among the others. The sources are the mix's parameters: one row each comes to the
-driver, at most ``max_sources`` of them, beyond which ValueError is raised.
+driver, at most ``max_sources`` of them, beyond which ValueError is raised; what is worked out for
+them goes back as a small table that is joined.
 
 Defined cases: a null or empty text has size 0, takes 0 words and, in the mixed documents, stays
-with one copy of rate below or at 1 by the same rounding; a source of empty texts has target 0;
+with one copy; a source of empty texts has target 0; texts of any length count whole, in windows;
 ties in size are ordered by the hash of doc_id and by doc_id; rows repeated under one id, source
 and size share their copies evenly; a null source is a source; an empty table gives
 an empty result; other columns are carried by ``mixed_documents`` and not read otherwise.
@@ -34,29 +36,31 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .shared import cut
-from .textbytes import SPACE_WORD, each_block, map_rows, words
+from .shared import cut, unpacked, with_row
+from .textbytes import SPACE_WORD, each_window, map_rows, words
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_COPIES = 3
 MAX_SOURCES = 1_000_000
+BROADCAST = 100_000  # sources whose numbers are broadcast
 UNIT = 1 << 20  # rates are kept in units of 1 / UNIT
 
 
 def sized(docs: DataFrame, carry: bool = False) -> DataFrame:
-    """``docs`` with the number of words of ``text`` as the last column, ``__size``: its doc_id and
-    source alone, or all columns."""
-    frame = docs if carry else docs.select("doc_id", "source", "text")
-    at = frame.columns.index("text")
-    kept = [i for i in range(len(frame.columns)) if carry or i != at]
-    schema = ", ".join([*(f"`{frame.columns[i]}` {frame.schema[i].dataType.simpleString()}" for i in kept), "__size long"])
+    """(doc_id, source, size) of each row of ``docs``, size being the number of words of ``text``; with
+    ``carry`` the whole row as well, as the struct ``row``."""
+    frame = with_row(docs, "doc_id", "source", "text") if carry else docs.select("doc_id", "source", "text")
+    kept = [f for f in frame.schema.fields if f.name != "text"]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n = np.concatenate([np.diff(words(data, offs, SPACE_WORD)[2]) for _, _, data, offs in each_block(batch.column(at))])
-        return pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), pa.array(n.astype(np.int64))], names=[*(batch.schema.names[i] for i in kept), "__size"])
+        size = np.zeros(batch.num_rows, np.int64)
+        for a, b, data, offs in each_window(batch.column("text"), SPACE_WORD):
+            size[a:b] += np.diff(words(data, offs, SPACE_WORD)[2])
+        return pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(size)], names=[*(f.name for f in kept), "size"])
 
-    return frame.mapInArrow(map_rows(run), schema)
+    return frame.mapInArrow(map_rows(run), StructType([*kept, StructField("size", LongType())]))
 
 
 def source_targets(sizes: dict[str | None, int], weights: tuple = WEIGHTS, max_copies: int = MAX_COPIES) -> dict[str | None, float]:
@@ -78,40 +82,65 @@ def source_targets(sizes: dict[str | None, int], weights: tuple = WEIGHTS, max_c
     return target
 
 
-def _by_source(values: dict[str | None, float], source: Column) -> Column:
-    """Look up a value per source; the map is one literal, however many sources there are."""
-    known = [(s, v) for s, v in values.items() if s is not None]
-    names = F.array(*[F.lit(s) for s, _ in known]) if known else F.array().cast("array<string>")
-    numbers = F.array(*[F.lit(float(v)) for _, v in known]) if known else F.array().cast("array<double>")
-    return F.when(source.isNull(), F.lit(float(values.get(None, 0.0)))).otherwise(F.map_from_arrays(names, numbers)[source])
-
-
-def balance(histogram: DataFrame, targets: dict[str | None, float], max_copies: int = MAX_COPIES, tolerance: float = 1e-9, max_steps: int = 50) -> dict[str | None, float]:
-    """Rate of each source: exp of the multiplier that solves the dual, by damped Newton steps over
-    (source, size, n). The gradient T_s - sum n size r and the second derivative are summed by
-    Spark each step. A source of target 0 has rate 0."""
-    multiplier = {s: 0.0 for s, t in targets.items() if t > 0}
+def with_values(df: DataFrame, values: dict[str | None, tuple], names: list[str]) -> DataFrame:
+    """``df`` with the numbers of its source, one double column a name. The table has a row a source and
+    is broadcast up to ``BROADCAST`` of them."""
+    table = df.sparkSession.createDataFrame(
+        [(s, *map(float, v)) for s, v in values.items()], "__source string, " + ", ".join(f"{n} double" for n in names)
+    )
+    table = F.broadcast(table) if len(values) <= BROADCAST else table
+    return df.join(table, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
+
+
+def rate(multiplier: Column, size: Column, max_copies: int = MAX_COPIES) -> Column:
+    """Rate of a document of ``size`` words under its source's multiplier."""
+    return F.exp(F.least(multiplier * size, F.lit(math.log(max_copies))))
+
+
+def balance(
+    histogram: DataFrame, sizes: dict[str | None, int], targets: dict[str | None, float], max_copies: int = MAX_COPIES, tolerance: float = 1e-7,
+    max_steps: int = 100,
+) -> dict[str | None, float]:
+    """The multiplier of each source, by Newton steps on the dual over (source, size, n); a step that
+    leaves the bracket of the root halves it instead. Totals and slopes are summed by Spark in one
+    job a step, over the sources that have not come to their targets yet."""
+    cap = math.log(max_copies)
+    found = {s: 0.0 for s in targets if sizes[s] == 0}
+    low, high, at = {}, {}, {}
+    for s, t in targets.items():
+        if sizes[s] > 0:
+            wanted = t / sizes[s]
+            # every size with words is one or more, so these bound the root on both sides
+            low[s], high[s] = min(0.0, math.log(max(wanted, 1e-300))), cap
+            at[s] = 0.0
+            if wanted >= max_copies * (1 - 1e-12):
+                found[s] = at[s] = cap  # every document at its most
     for _ in range(max_steps):
-        rate = F.least(F.exp(_by_source(multiplier, F.col("source"))), F.lit(float(max_copies)))
-        sums = {
-            r["source"]: r["tilted"]
-            for r in histogram.groupBy("source").agg(F.sum(F.col("n") * F.col("size") * rate).alias("tilted")).collect()
-        }
-        worst = 0.0
-        for s in multiplier:
-            worst = max(worst, abs(targets[s] - sums[s]) / targets[s])
-            # a step beyond 1 in the exponent would overshoot
-            multiplier[s] += min(max((targets[s] - sums[s]) / sums[s], -1.0), 1.0)
-            multiplier[s] = min(multiplier[s], math.log(max_copies))
-        if worst <= tolerance:
+        open_ = {s: (m,) for s, m in at.items() if s not in found}
+        if not open_:
             break
-    return {s: min(math.exp(multiplier[s]), float(max_copies)) if s in multiplier else 0.0 for s in targets}
+        r = rate(F.col("m"), F.col("size"), max_copies)
+        free = F.when(F.col("m") * F.col("size") < cap, F.col("size")).otherwise(0)
+        sums = with_values(histogram, open_, ["m"]).groupBy("source").agg(
+            F.sum(F.col("n") * F.col("size") * r).alias("tilted"), F.sum(F.col("n") * F.col("size") * free * r).alias("slope")
+        )
+        for x in sums.collect():  # a row a source
+            s, gap = x["source"], targets[x["source"]] - x["tilted"]
+            if abs(gap) <= tolerance * targets[s]:
+                found[s] = at[s]
+                continue
+            (low if gap > 0 else high)[s] = at[s]
+            step = at[s] + gap / x["slope"] if x["slope"] > 0 else math.inf
+            at[s] = step if low[s] < step < high[s] else (low[s] + high[s]) / 2
+            if not low[s] < at[s] < high[s]:  # the bracket holds no further number
+                found[s] = at[s]
+    return {s: found.get(s, at.get(s, 0.0)) for s in targets}
 
 
 def mix_plan(docs: DataFrame, weights: tuple = WEIGHTS, max_copies: int = MAX_COPIES, max_sources: int = MAX_SOURCES) -> tuple[DataFrame, dict, dict, dict]:
-    """(rows, sizes, targets, rates): rows (doc_id, source, size, copies) of each row of ``docs``,
-    and the three numbers of each source."""
-    base = cut(sized(docs).withColumnRenamed("__size", "size").withColumn("h", F.xxhash64("doc_id")))
+    """(rows, sizes, targets, multipliers): rows (doc_id, source, size, copies) of each row of
+    ``docs``, and the three numbers of each source."""
+    base = cut(sized(docs).withColumn("h", F.xxhash64("doc_id")))
     # distinct sizes of a source are few, and are merged in every task before the shuffle
     histogram = cut(base.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
     per_source = histogram.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("size"))
@@ -120,32 +149,31 @@ def mix_plan(docs: DataFrame, weights: tuple = WEIGHTS, max_copies: int = MAX_CO
         raise ValueError(f"more than {max_sources} sources; give max_sources a larger value if the driver can hold them")
     sizes = {r["source"]: int(r["size"]) for r in rows}
     targets = source_targets(sizes, weights, max_copies)
-    rates = balance(histogram, targets, max_copies)
-    units = _by_source({s: round(r * UNIT) for s, r in rates.items()}, F.col("source")).cast("long")
-    # first pass: rows in the order (source, size, hash, id), with the running number of rows of the
-    # source inside the partition; a hot source is split over partitions by the range bounds
+    multipliers = balance(histogram, sizes, targets, max_copies)
+    units = F.round(rate(F.col("m"), F.col("size"), max_copies) * UNIT).cast("long")
+    # first pass: rows in the order (source, size, hash, id), with the running sum of the source's
+    # rates inside the partition; a hot source is split over partitions by the range bounds
     ranged = cut(
-        base.withColumn("units", units)
+        with_values(base, {s: (m,) for s, m in multipliers.items()}, ["m"]).withColumn("units", units).drop("m")
         .repartitionByRange(F.col("source").asc_nulls_first(), "size", "h", F.col("doc_id").asc_nulls_first())
         .withColumn("part", F.spark_partition_id())
     )
-    numbered = _running(ranged, F.lit(1)).withColumnRenamed("run", "rank")  # from 1
-    shift = lambda n: F.shiftright(n * F.col("units") + F.lit(UNIT // 2), 20)  # noqa: E731 whole numbers only
-    rounded = cut(
-        numbered.select("part", "source", "size", "h", "doc_id", (shift(F.col("rank")) - shift(F.col("rank") - 1)).alias("copies"))
-    )
+    summed = _running(ranged, F.col("units"))
+    whole = lambda n: F.shiftright(n + F.lit(UNIT // 2), 20)  # noqa: E731 whole numbers only
+    copies = (whole(F.col("run")) - whole(F.col("run") - F.col("units"))).alias("copies")
+    rounded = cut(summed.select("part", "source", "size", "h", "doc_id", F.when(F.col("size") > 0, copies).otherwise(1).alias("copies")))
     # what whole documents leave of a target (less than one long document) goes to or comes from
     # the source's smallest documents that may still give or take a copy
     taken = {
         r["source"]: int(r["taken"])
         for r in rounded.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("taken")).collect()
     }
-    rest = _by_source({s: float(round(targets[s] - taken[s])) for s in targets}, F.col("source")).cast("long")
-    rounded = rounded.withColumn("rest", rest)
+    rest = {s: (round(targets[s] - taken[s]),) for s in targets}
+    rounded = with_values(rounded, rest, ["rest"]).withColumn("rest", F.col("rest").cast("long"))
     may = (F.col("size") > 0) & F.when(F.col("rest") > 0, F.col("copies") < max_copies).otherwise(F.col("copies") > 0)
     moved = _running(rounded.withColumn("may", may), F.when(F.col("may"), F.col("size")).otherwise(0))
     copies = F.col("copies") + F.when(F.col("may") & (F.col("run") <= F.abs("rest")), F.signum("rest")).otherwise(0)
-    return moved.select("doc_id", "source", "size", copies.cast("long").alias("copies")), sizes, targets, rates
+    return moved.select("doc_id", "source", "size", copies.cast("long").alias("copies")), sizes, targets, multipliers
 
 
 def _running(ranged: DataFrame, value: Column) -> DataFrame:
@@ -171,12 +199,8 @@ def _running(ranged: DataFrame, value: Column) -> DataFrame:
 def mixture(docs: DataFrame, weights: tuple = WEIGHTS, max_copies: int = MAX_COPIES, max_sources: int = MAX_SOURCES) -> DataFrame:
     """Per row of ``docs``: doc_id, size, source_size, target (its source's), taken, copies."""
     rows, sizes, targets, _ = mix_plan(docs, weights, max_copies, max_sources)
-    return rows.select(
-        "doc_id", "size",
-        _by_source({s: float(v) for s, v in sizes.items()}, F.col("source")).cast("long").alias("source_size"),
-        _by_source(targets, F.col("source")).alias("target"),
-        (F.col("copies") * F.col("size")).alias("taken"),
-        "copies",
+    return with_values(rows, {s: (sizes[s], targets[s]) for s in targets}, ["source_size", "target"]).select(
+        "doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"
     )
 
 
@@ -187,20 +211,18 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, max_copies: int =
     alike to the mix and share their group's copies evenly, the first ones taking what is left over.
     The texts are shuffled once: the numbering of a group's rows reuses the join's partitioning."""
     copies, *_ = mix_plan(docs, weights, max_copies)
-    lowest = F.lit(-(1 << 63)).cast("long")
-    key = {"__id": F.coalesce(F.col("doc_id").cast("long"), lowest), "__source": F.coalesce("source", F.lit("\u0000"))}
-    keys = [*key, "__words"]
-    groups = (
-        copies.select(*[c.alias(n) for n, c in key.items()], F.col("size").alias("__words"), F.col("copies").alias("__copies"))
-        .groupBy(*keys)
-        .agg(F.sum("__copies").alias("__all"), F.count(F.lit(1)).alias("__rows"))
-        .filter("__all > 0")
-    )
-    rows = sized(docs, carry=True).withColumnRenamed("__size", "__words").withColumns(key).join(groups, keys)
+    keys = ["no_id", "id", "no_source", "name", "size"]  # nulls are told apart from every value
+
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumns({
+            "no_id": F.col("doc_id").isNull(), "id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)),
+            "no_source": F.col("source").isNull(), "name": F.coalesce("source", F.lit("")),
+        })
+
+    groups = keyed(copies).groupBy(*keys).agg(F.sum("copies").alias("in_all"), F.count(F.lit(1)).alias("alike")).filter("in_all > 0")
+    rows = keyed(sized(docs, carry=True)).select(*keys, "row").join(groups, keys)
+    # a row's number among those alike: of one document's copies, or of all rows without id of one size
     number = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
-    own = F.floor(F.col("__all") / F.col("__rows")) + F.when(number <= F.col("__all") % F.col("__rows"), 1).otherwise(0)
-    return (
-        rows.withColumn("__own", own.cast("int")).filter("__own > 0")
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__own"))))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
-    )
+    own = F.floor(F.col("in_all") / F.col("alike")) + F.when(number <= F.col("in_all") % F.col("alike"), 1).otherwise(0)
+    taken = rows.withColumn("own", own.cast("int")).filter("own > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("own"))))
+    return unpacked(taken, docs)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import boosting
-from .shared import labelled_sample, with_fold
+from .shared import filtered, labelled_sample, with_fold
 from .textbytes import (
     CODE_POINT, SPACE_WORD, each_block, gram_hashes, histograms, map_rows, repeated_in_row, rows_of, span_hashes, sums, words,
 )
@@ -116,9 +116,5 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, sample_rows: int = SA
 
 def keep_good(docs: DataFrame, model: boosting.Trees, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` scored at least ``threshold``, with all their columns."""
-    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.filter(pa.array(_scores(batch.column(at), shared.value) >= threshold))
-
-    return docs.mapInArrow(map_rows(run), docs.schema)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return filtered(docs, lambda column: _scores(column, shared.value) >= threshold)

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .shared import filtered
 from .textbytes import (
     CODE_POINT, SPACE_WORD, each_block, gram_hashes, map_rows, repeated_in_row, rows_of, span_hashes, sums, words,
 )
@@ -280,9 +281,4 @@ def quality_rules(docs: DataFrame, min_share: float = MIN_CONTENT_SHARE) -> Data
 
 def keep_documents(docs: DataFrame, min_share: float = MIN_CONTENT_SHARE) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
-    at = docs.columns.index("text")
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.filter(pa.array(_verdicts(batch.column(at), min_share)["kept"]))
-
-    return docs.mapInArrow(map_rows(run), docs.schema)
+    return filtered(docs, lambda column: _verdicts(column, min_share)["kept"])

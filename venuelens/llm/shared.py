@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from venuelens.session import ensure_checkpoint_dir
 
@@ -97,3 +101,31 @@ def lookup(rows: DataFrame, table: DataFrame, keys: list[str], counts: DataFrame
     joined = near.withColumn("__spread", spread).join(far, [*keys, "__spread"], "left")
     found = F.coalesce("__hot", "__cold")
     return joined.select(*rows.columns, *[found[c].alias(c) for c in values])
+
+
+def _named(column: str) -> Column:
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def with_row(docs: DataFrame, *columns: str | Column) -> DataFrame:
+    """The named columns and, as the struct ``row``, all of each row: an operator's own columns stand
+    beside it, so that no name of a user's column can clash with them."""
+    return docs.select(*columns, F.struct(*[_named(c) for c in docs.columns]).alias("row"))
+
+
+def unpacked(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows that ``with_row`` packed, with the columns of ``docs``."""
+    return df.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
+def filtered(docs: DataFrame, keep: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """The rows of ``docs`` whose text ``keep`` (from a column of texts to booleans) marks, all columns
+    unchanged, whatever their names and types."""
+    packed = with_row(docs, "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.select(["row"]).filter(pa.array(keep(batch.column("text"))))
+
+    return unpacked(packed.mapInArrow(run, StructType([packed.schema["row"]])), docs)

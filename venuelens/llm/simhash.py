@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import cut, unpacked, with_row
 from .textbytes import SPACE_WORD, each_block, map_rows, words
 from .xxh64 import xxh64_spans
 
@@ -160,10 +160,12 @@ def drop_near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, ma
     (null last; of rows repeated under that id, the one whose text hashes smallest, and of rows with
     the same text any one)."""
     _, placed = _grouped(docs, shingle_words, max_bits)
-    lowest = F.lit(-(1 << 63)).cast("long")
-    winners = placed.groupBy("root").agg(F.min("first").alias("first")).select(
-        F.coalesce("first.doc_id", lowest).alias("__id"), F.col("first.h").alias("__h")
-    ).distinct()
-    keyed = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), lowest), "__h": text_hash()})
+    keys = ["no_id", "id", "h"]  # a null id is told apart from every value
+
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumns({"no_id": F.col("id").isNull(), "id": F.coalesce("id", F.lit(0))})
+
+    winners = placed.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("id"), F.col("first.h").alias("h"))
+    packed = with_row(docs, F.col("doc_id").cast("long").alias("id"), text_hash().alias("h"))
     # the texts are shuffled once: repeated rows are dropped on the join's own keys
-    return keyed.join(winners, ["__id", "__h"], "left_semi").dropDuplicates(["__id", "__h"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unpacked(keyed(packed).join(keyed(winners).distinct(), keys, "left_semi").dropDuplicates(keys), docs)
