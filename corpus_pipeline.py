@@ -2,7 +2,14 @@
 
 The quality classifier and the quality rules drop documents, near-duplicates leave one document of
 each group, sources are mixed to their target weights, and what is left is packed. Each stage reads
-the Parquet table its predecessor wrote; all but the last return the columns of ``documents``.
+the Parquet table its predecessor wrote; all but the last return the columns of ``documents``, whatever
+further columns a caller's table has and whatever their names.
+
+Defined cases: a null or empty text is rejected by the quality rules (fewer than 50 words), so no
+later stage meets one; null ids are documents of their own until near-duplicates, where they never
+stand for a group that has an id; rows repeated under one id and text become one row there; ties are
+decided as each operator states; texts of any length go through whole; an empty table gives an empty
+result at every stage.
 """
 
 from __future__ import annotations
@@ -16,7 +23,7 @@ from pyspark.sql import functions as F
 from venuelens.llm import mixing, packing, quality_classifier, quality_rules, simhash
 from venuelens.llm.queries import tokenizer_path
 from venuelens.llm.shared import on_workers, read
-from venuelens.session import ensure_checkpoint_dir
+from venuelens.session import ensure_checkpoint_dir, remove_path
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,11 +67,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``, writing each one's table under ``spark.checkpoint.dir``."""
+    """Apply the stages to ``documents``, writing each one's table under ``spark.checkpoint.dir``; when
+    the last is written, the tables between are removed."""
     docs = read(spark, sf_dir, "documents")
     root = os.path.join(ensure_checkpoint_dir(spark), "corpus_pipeline", uuid.uuid4().hex)
     for i, (_, stage) in enumerate(STAGES):
         path = os.path.join(root, str(i))
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+    for i in range(len(STAGES) - 1):
+        remove_path(spark, os.path.join(root, str(i)))
     return docs

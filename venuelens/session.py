@@ -58,6 +58,12 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return os.path.join(root, "venuelens", *tail)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of written tables, on whatever file system it lies (classic sessions)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def local_session(cores: int | str = 8, app: str = "venuelens", memory: str = "8g") -> SparkSession:
     """A local session for tests and benchmarks: UI off, AQE on, UTC, partitions ~ cores."""
     parts = "8" if cores == "*" else str(cores)
