@@ -268,3 +268,39 @@ def test_blocks_cover_batches():
     assert offs.tolist() == [0, 2, 2, 52, 52, 54]
     spans = list(blocks(offs, 10))
     assert spans[0][0] == 0 and spans[-1][1] == 5 and all(a[1] == b[0] for a, b in zip(spans, spans[1:], strict=False))
+
+
+RISE = "The river rose slowly through the night and covered the lower fields by morning, and people moved their cattle to the hills."
+MILL = "Nobody was hurt, but the mill lost its wheel and two barns were carried away to the sea before the boats could reach them."
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<div><p>Rain fell.</p><p>{RISE}</p><p>Quiet night</p><p>{MILL}</p></div>", f"Rain fell.\n{RISE}\nQuiet night\n{MILL}"),
+    (f'<div class="post"><div class="post-header"><h1>Flood</h1></div><p>{RISE}</p><ul><li>two barns</li><li>one mill</li></ul><p>{MILL}</p></div>',
+     f"Flood\n{RISE}\ntwo barns\none mill\n{MILL}"),
+    (f'<form action="/x"><div><a href="/">Home</a></div><h1>Old page</h1><p>{RISE}</p><p>{MILL}</p></form>', f"Old page\n{RISE}\n{MILL}"),
+    (f'<div class="widget-area"><h2>Title here</h2><p>{RISE}</p><p>{MILL}</p></div>', f"Title here\n{RISE}\n{MILL}"),
+    (f"<ul><li>Home</li><li>Shop</li></ul><h1>Flood</h1><p>{RISE}</p><p>{MILL}</p><p>Print</p><p>Top</p>", f"Flood\n{RISE}\n{MILL}"),
+    (f'<div><p>{RISE}</p><p>{MILL}</p></div><div class="comments"><h3>Comments</h3><p>{MILL}</p></div>', f"{RISE}\n{MILL}"),
+])
+def test_main_text_without_an_article_element(page, want):
+    assert html_text.main_text(page) == want
+
+
+def test_the_tree_asks_for_neighbours():
+    def asked(tree):
+        return set() if len(tree) == 1 else {html_text.FEATURES[tree[0]]} | asked(tree[2]) | asked(tree[3])
+
+    names = asked(html_text.fitted())
+    assert names & {"longest of three before", "longest of three after"}
+    assert names & {"words before", "words after", "link density before", "link density after"}
+    unmarked = [b for line in html_text.LAYOUTS.split("\n") for b in html_text.layout(line)[0] if not b.furniture and not b.body]
+    assert len(unmarked) > 250
+
+
+def test_features_of_neighbours_by_hand():
+    blocks = [html_text.Block("a", w, l, f, False, False) for w, l, f in ((1, 1, False), (30, 0, False), (5, 0, True), (2, 0, False), (8, 4, False))]
+    x = html_text.features(blocks)
+    assert x[3].tolist() == [2, 0, 0, 0, 8, 0.5, 30, 4, 0, 0, 0, 0]  # furniture beside it counts as nothing
+    assert x[0].tolist() == [1, 1, 0, 0, 30, 0, 0, 30, 0, 0, 0, 0]
+    assert x[2][8] == 1 and html_text.features([]).shape == (0, len(html_text.FEATURES))

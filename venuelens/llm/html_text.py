@@ -1,9 +1,15 @@
 """Main text of HTML pages from flat text blocks, classified by a decision tree.
 
 A page is read once, left to right, into text blocks (the text between block-level tags). Each
-block has its word count and link density, those of the blocks before and after it, and marks of
-the elements it stands in (page furniture by element, class, id or role; article body; heading). A
-decision tree, grown here from the small labelled pages below, says which blocks are main text.
+block has its word count and link density, those of the blocks before and after it, the longest plain
+block among the three before and the three after, and marks: page furniture by element, class, id or
+role; article body; heading; an end like a sentence's. A decision tree, grown here from the small
+labelled tables below, says which blocks are main text. Most labelled blocks stand in no marked
+element, so that there the neighbours decide: a short line between paragraphs stays, the same line
+among links or at the edge of the page goes.
+
+A mark that covers nearly all plain words of a page (a form or a widget around everything) says
+nothing and is not counted, unless the page has an article body elsewhere.
 
 Defined cases: a null or empty page, or one without main text, gives the empty string; character
 references are decoded, white space inside a block becomes one space, blocks are joined by one
@@ -30,6 +36,7 @@ BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hr html label legend li main menu nav ol option p pre section summary table tbody td tfoot th "
     "thead tr ul".split()
 )
+WHOLE_PAGE = 0.9  # a marked element with this share of a page's plain words marks nothing
 TRACKED = BLOCK - frozenset("p hr".split())  # a paragraph ends where the next block begins, closed or not
 FURNITURE = frozenset("nav footer aside form button head menu dialog fieldset label legend".split())
 MARKS = re.compile(
@@ -39,6 +46,7 @@ MARKS = re.compile(
     r"|complementary|contentinfo|form|dialog)(?=$|[\s_\d-])",
     re.I,
 )
+OF_ARTICLE = re.compile(r"(?:post|entry|article|story|content|section)[_-](?:header|title)", re.I)  # heads of articles, not of pages
 HIDDEN = re.compile(r"(?:^|\s)hidden(?=$|[\s=/])|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 TOKEN = re.compile(
@@ -63,7 +71,9 @@ class Block:
 def text_blocks(page: str) -> list[Block]:
     """The non-empty text blocks of a page, in order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool]] = []  # open elements and whether they are furniture
+    stack: list[tuple[str, int]] = []  # open elements and, for furniture, the number of the mark
+    marks_of: list[list[int]] = []  # the marks each block stands in
+    n_marks = 0
     pieces: list[str] = []
     linked = 0
     in_link = False
@@ -82,8 +92,9 @@ def text_blocks(page: str) -> list[Block]:
         if text:
             words = len(text.split(" "))
             out.append(Block(
-                text, words, min(linked, words), any(f for _, f in stack), any(n in BODY for n, _ in stack), heading,
+                text, words, min(linked, words), False, any(n in BODY for n, _ in stack), heading,
             ))
+            marks_of.append([f for _, f in stack if f])
         pieces.clear()
         linked, in_link = 0, False
 
@@ -109,9 +120,10 @@ def text_blocks(page: str) -> list[Block]:
                     continue
                 marked = name in FURNITURE or (name == "header" and not any(n in BODY for n, _ in stack))
                 if attributes and not marked and name not in ("body", "html"):
-                    names = " ".join(filter(None, (x for t in NAMES.findall(attributes) for x in t)))
+                    names = OF_ARTICLE.sub("", " ".join(filter(None, (x for t in NAMES.findall(attributes) for x in t))))
                     marked = bool(MARKS.search(names)) and name not in BODY or bool(HIDDEN.search(attributes))
-                stack.append((name, marked))
+                n_marks += marked
+                stack.append((name, n_marks if marked else 0))
             else:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == name:
@@ -120,6 +132,16 @@ def text_blocks(page: str) -> list[Block]:
     tail = page[at:]
     add(tail)
     end_block()
+    plain = [b.words - b.linked for b in out]
+    covered, bodies = [0] * (n_marks + 1), [0] * (n_marks + 1)
+    for b, marks, n in zip(out, marks_of, plain, strict=True):
+        for f in marks:
+            covered[f] += n
+            bodies[f] += b.body
+    n_bodies = sum(b.body for b in out)
+    says_nothing = {f for f in range(1, n_marks + 1) if covered[f] >= WHOLE_PAGE * max(sum(plain), 1) and bodies[f] == n_bodies}
+    for b, marks in zip(out, marks_of, strict=True):
+        b.furniture = any(f not in says_nothing for f in marks)
     return out
 
 
@@ -165,27 +187,106 @@ LABELLED = [
 ]
 
 
+# Further labelled blocks, a page a line: verdict, kind (p plain, h heading, l all one link), number of
+# words, "/" linked words of a plain block, "f" in page furniture, "b" in an article body, "." an end
+# like a sentence's. Most stand in no marked element.
+LAYOUTS = """
+-l1 -l1 -l2 -l1 +h5 +p48. +p3. +p52. +p2. +p39. -l2 -l2 -l1
+-l1 -l2 -l1 +h7 +p2. +p61. +p44. +p5. -p1 -l3 -l4 -l3 -l5
+-p1 -p1 -p2 +h4 +p35. +p2 +p2 +p3 +p41. -p1 -p1 -p1
+-p2 -p1 -p1 +p57. +p33. +p2 +p47. +p28. -p2 -p1
++h6 +p40. +p4. +p38/3. +p2. +p55. -l6 -l5 -l7 -l4
+-l3 -l2 -l4 +h3 +p30. +h2 +p45. +h3 +p26. -l2 -l1
+-l5 -l6 -l4 -l7 +p70. +p3. +p64. -p4/4 -l2 -l8 -l6
++p33. +p2. +p29. +p2. +p31.
++p3. +p45. +p2 +p50.
++h2 +p2. +p36. +p1. +p42.
+-l1 -l1 -l1 -l1 -l1 +h8 +p90. +p75/6. +p5 +p6 +p4 +p5 +p66. -l2 -l3 -l2
+-p1 -l2 -p1 -l1 +h5 +p22. +p18. +p25. -p2 -p2 -l1 -p3
+-l2 -l2 +h4 +p19. +p4 +p4 +p17. +p21. -l3 -l2 -p2
+-p3 -p2 -p2 +p48. +p52. +p3 +p44. -p3 -p2 -p4
+-l4 -p2 -l3 +h9 +p28/4. +p35/2. +p6. +p31. -l9 -l8 -l10 -l7
++h4 +p15. +p18. +p2. +p16. -l2 -l2 -l2
+-l10 -l12 -l9 -l11 +p80. +p62. -l11 -l10 -l12
+-p1 -p1 +h6 +p53. +p2 +p2 +p2 +p2 +p47. +p40. -p2
+-l2 -l1 -l3 +p41. +h3 +p2. +p38. +h2 +p1. +p44. -l1 -l2
+-p2 -l1 -l1 -p2 -l1 +h5 +p60. +p7/2. +p58. -p5/5 -l3 -p2 -l2
++p24. +p3 +p22. +p3. +p27. -p1 -p1 -p2
+-l1 -l2 -l1 -l2 +h7 +p34. +p5/1. +p3. +p29. +p33. -l1 -l1 -l2 -l1
+-p4 -p1 -p3 +h4 +p46. +p2. +p3. +p50. -p2 -l4 -p1
+-l6 -l5 +h3 +p12. +p14. +p3. +p13. -l5 -l6 -l5
+-p1 -p2 -p1 -p1 +p66. +p2 +p71. -p1 -p2 -p1
++h4 +p25. +p2 +p2 +p23. +p3 +p2 +p1 +p28. -l2 -l1
+-l2 -p1 +h6 +p37. +p2 +p1 +p2 +p34. +p1 +p3 +p31. -p1 -l2
+-l1 -l1 +h5 +p27. +p1 +p2 +p22. -p2 -p1 -l1
+-p1f -l2f -h3f -p20f. -p2f +h5b +p40b. +p2b +l4b +p3b. -h2f -p30f. -p45f. -p8f.
+-h4f -l3f -l5f +p15b. +h3b +p1b +p6b/6 +p28b. -p22bf. -l4bf +p19b. -p60f. -p3f
+-h2f -p12f. -p33f. +h6 +p44. +p3. +p39. -h3f -p27f. -p18f. -p9f.
+-l1f -l1f -l2f +h4b +p2b +p2b. +l2b +p1b -h2f -l9f -p25f. -p70f.
+-p40f. -h6f -p16f. +p50b. +p48b. +h2b +p4b. -p35bf. -h3bf -p3bf +p29b. -p11f. -l2f
+-p9f. -p2f +p31. +p2. +p35. -p14f. -p38f. -h2f -l3f
++p11
++p14
++p9 +p12
++h3 +p13 +p10 -l2
+-p1
+-p2 -p3
+-l2 -p2 -p1 +p16 +p21 -p2
+-l1 -l3 +p34 +p18 +p40 -p1 -l2
+-l2 -p1 +h1 +p24. +p30.
+-p2 -p1 +h2 +p19. +p26.
++h1 +p28. +p33. -p1
+-p1 -l1 +h1 +p21. +h2 +p25. -p2
+-p1 -p2 +h1 +p55. +h1 +p47.
+-l2f +p30b. -h2bf -l5bf -l6bf -l4bf +p25b. -l3bf +l2b +p2b -l7bf -l2bf +l5b +p18b.
+"""
+WORD = re.compile(r"([+-])([phl])(\d+)(b?)(f?)(?:/(\d+))?(\.?)")
+
+
+def layout(line: str) -> tuple[list[Block], str]:
+    """The blocks of a line of LAYOUTS and their verdicts."""
+    out, marks = [], ""
+    for verdict, kind, words, body, furniture, linked, stop in WORD.findall(line):
+        n = int(words)
+        out.append(Block("word" + stop, n, n if kind == "l" else int(linked or 0), bool(furniture), bool(body), kind == "h"))
+        marks += verdict
+    return out, marks
+
+
+REACH = 3
+FEATURES = (
+    "words", "link density", "words before", "link density before", "words after", "link density after", "longest of three before",
+    "longest of three after", "furniture", "body", "heading", "sentence end",
+)
+
+
 def features(blocks: list[Block]) -> np.ndarray:
-    """words, link density, the same of the block before and after, furniture, body, heading, and
-    whether the block ends like a sentence."""
+    """One row of FEATURES a block. A neighbour in page furniture, or beyond the page, counts as a block
+    without words; linked words do not count towards the longest."""
     n = len(blocks)
-    x = np.zeros((n, 10))
+    x = np.zeros((n, len(FEATURES)))
     if n:
         words = np.array([b.words for b in blocks], float)
-        density = np.array([b.linked for b in blocks]) / words
-        x[:, 0], x[:, 1] = words, density
-        x[1:, 2], x[1:, 3], x[:-1, 4], x[:-1, 5] = words[:-1], density[:-1], words[1:], density[1:]
-        x[:, 6] = [b.furniture for b in blocks]
-        x[:, 7] = [b.body for b in blocks]
-        x[:, 8] = [b.heading for b in blocks]
-        x[:, 9] = [b.text[-1] in ".?!:;…" for b in blocks]
+        linked = np.array([b.linked for b in blocks], float)
+        open_ = ~np.array([b.furniture for b in blocks])
+        x[:, 0], x[:, 1] = words, linked / words
+        near, density = words * open_, linked / words * open_
+        x[1:, 2], x[1:, 3], x[:-1, 4], x[:-1, 5] = near[:-1], density[:-1], near[1:], density[1:]
+        plain = (words - linked) * open_
+        for step in range(1, min(REACH, n - 1) + 1):
+            x[step:, 6] = np.maximum(x[step:, 6], plain[:-step])
+            x[:-step, 7] = np.maximum(x[:-step, 7], plain[step:])
+        x[:, 8] = ~open_
+        x[:, 9] = [b.body for b in blocks]
+        x[:, 10] = [b.heading for b in blocks]
+        x[:, 11] = [b.text[-1] in ".?!:;…" for b in blocks]
     return x
 
 
 Node = tuple  # (feature, threshold, at most, above) or (verdict,)
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 6, min_rows: int = 1) -> Node:
+def grow(x: np.ndarray, y: np.ndarray, depth: int = 8, min_rows: int = 3) -> Node:
     """CART by Gini impurity; of equal splits the first feature and the smallest threshold."""
     if depth == 0 or y.all() or not y.any():
         return (bool(2 * y.sum() >= len(y)),)
@@ -209,7 +310,7 @@ def grow(x: np.ndarray, y: np.ndarray, depth: int = 6, min_rows: int = 1) -> Nod
 
 @lru_cache(maxsize=1)
 def fitted() -> Node:
-    pages = [(text_blocks(page), marks) for page, marks in LABELLED]
+    pages = [(text_blocks(page), marks) for page, marks in LABELLED] + [layout(line) for line in LAYOUTS.split("\n") if line]
     for blocks, marks in pages:
         if len(blocks) != len(marks):
             raise ValueError(f"{len(marks)} marks for the blocks {[b.text for b in blocks]}")
