@@ -81,3 +81,59 @@ SELECT page_id, payload_bytes,
        CASE WHEN keeper IS DISTINCT FROM page_id THEN keeper END AS refers_to
 FROM kept
 """
+
+# The columns of op2, op6, op9 and op10 that SQL can follow, under keys of their own.
+LICENSE_BASE = """
+WITH doc AS (
+  SELECT row_number() OVER () AS place, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+), word AS (
+  SELECT place, unnest(w) AS a, generate_subscripts(w, 1) - 1 AS i FROM doc
+), four AS (
+  SELECT place, i, a, lead(a) OVER s AS b, lead(a, 2) OVER s AS c, lead(a, 3) OVER s AS d FROM word WINDOW s AS (PARTITION BY place ORDER BY i)
+), found AS (
+  SELECT place, i, CASE WHEN a = 'gnu' AND b = 'general' AND c = 'public' AND d = 'license' THEN 'gpl' WHEN a = 'apache' AND b = 'license' THEN 'apache'
+                        WHEN a = 'cc' AND b = 'by' THEN 'cc-by' WHEN a = 'mit' AND b = 'license' THEN 'mit' END AS label FROM four
+), base AS (
+  SELECT place, count(*) AS n, min(i) AS first_word, max(i) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM found WHERE label IS NOT NULL GROUP BY place
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+       coalesce(labels, '') AS base_labels
+FROM doc LEFT JOIN base USING (place)
+"""
+
+EDITED_TEXTS = """
+WITH doc AS (
+  SELECT doc_id, coalesce(text, '') AS t, lead(coalesce(text, '')) OVER s AS after, first_value(coalesce(text, '')) OVER s AS head
+  FROM documents WINDOW s AS (ORDER BY doc_id DESC NULLS LAST)
+)
+SELECT doc_id, length(t)::BIGINT AS n_chars, sha256(left(t, length(t) - length(t) // 2) || left(coalesce(after, head), length(t) // 2)) AS edited_sha256 FROM doc
+"""
+
+QUALITY_BASE = """
+WITH doc AS (
+  SELECT row_number() OVER () AS place, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), line AS (
+  SELECT place, count(*) - count(DISTINCT l) AS n FROM (SELECT place, unnest(string_split(t, chr(10))) AS l FROM doc)
+  WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY place
+), word AS (
+  SELECT place, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM doc
+), three AS (
+  SELECT place, i, [a, lead(a) OVER s, lead(a, 2) OVER s] AS g, lead(a, 2) OVER s IS NOT NULL AS whole FROM word WINDOW s AS (PARTITION BY place ORDER BY i)
+), again AS (
+  SELECT place, i FROM (SELECT place, i, count(*) OVER (PARTITION BY place, g) AS n FROM three WHERE whole) WHERE n > 1
+), covered AS (
+  SELECT place, count(DISTINCT i + k) AS n FROM again, (VALUES (0), (1), (2)) step(k) GROUP BY place
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g'))::BIGINT AS word_chars,
+       (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, coalesce(line.n, 0)::BIGINT AS n_dup_lines,
+       coalesce(covered.n, 0)::BIGINT AS n_repeat_words, len(w) < 50 OR 100 * coalesce(covered.n, 0) > 50 * len(w) AS base_failed
+FROM doc LEFT JOIN line USING (place) LEFT JOIN covered USING (place)
+"""
+
+MIXTURE_SIZES = """
+WITH doc AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents)
+SELECT doc_id, size, sum(size) OVER (PARTITION BY source)::BIGINT AS source_size FROM doc
+"""

@@ -79,6 +79,26 @@ def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def license_scan_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op2 that SQL can follow."""
+    return op2_license_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+def document_fingerprints_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op6 that SQL can follow."""
+    return op6_document_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
+def quality_rules_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op9 that SQL can follow."""
+    return op9_quality_rules(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def source_mixing_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op10 that SQL can follow."""
+    return op10_source_mixing(spark, sf_dir).select("doc_id", "size", "source_size")
+
+
 def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         on_workers(spark)
@@ -94,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_quality_classifier, op2_license_scan, op3_toxicity, op4_simhash_near_dedup, op5_packing, op6_document_fingerprints,
         op7_html_extraction, op8_language_id, op9_quality_rules, op10_source_mixing, op11_lexical_search,
         op12_conversation_prefix_trie, op13_warc,
+        license_scan_base, document_fingerprints_edited, quality_rules_base, source_mixing_sizes,
     )
 }
 
@@ -102,4 +123,8 @@ ORACLE_SQL: dict[str, str] = {
     "op11_lexical_search": oracles.LEXICAL_SEARCH,
     "op12_conversation_prefix_trie": oracles.PREFIX_TRIE,
     "op13_warc": oracles.WARC,
+    "license_scan_base": oracles.LICENSE_BASE,
+    "document_fingerprints_edited": oracles.EDITED_TEXTS,
+    "quality_rules_base": oracles.QUALITY_BASE,
+    "source_mixing_sizes": oracles.MIXTURE_SIZES,
 }
