@@ -9,8 +9,9 @@ reveal its own labels.
 
 Raw probabilities are mapped to scores so that 0.7 is the cut-off for the language of the text
 (English, German, French, Spanish, or none of them), guessed from the text's own function words,
-never read from a column. The training sample is bounded (``sample_rows`` labelled ids in a fixed
-hash order); the cut-offs come from the scores of every labelled row outside the held fold, counted
+never read from a column. The training sample is bounded twice: ``sample_rows`` labelled ids in a
+fixed hash order, of which the first are taken that have ``sample_words`` words together; it is hashed
+on the workers, and only buckets come to the driver, 24 bytes a word. The cut-offs come from the scores of every labelled row outside the held fold, counted
 by bins on Spark. A language's cut-off is drawn towards that of all languages, the more the fewer
 toxic rows it has; rows the network was not trained on draw it from there to their own. Scoring reads whole texts once and shuffles ids and raw scores only.
 
@@ -32,6 +33,7 @@ from .shared import bounded_sample, cut, known_labels, labelled_sample, with_fol
 from .textbytes import ALNUM_WORD, SpanHasher, each_block, mix, rows_of, span_hashes, words
 
 SAMPLE_ROWS = 8_000
+SAMPLE_WORDS = 4_000_000
 PARTS, HELD, THRESHOLD = 3, 1, 0.7
 BUCKETS, DIMENSIONS, WIDTHS, FILTERS = 1 << 18, 8, (1, 2, 3), 8
 PREFIXES = (4, 5, 6, 7, 8)  # bytes
@@ -258,32 +260,51 @@ def train(
     return net
 
 
-def fit_network(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Network | None:
-    """The network, its cut-offs not yet calibrated."""
-    rows = (
+def hashed_sample(docs: DataFrame, labels: DataFrame, label: str, sample_rows: int, sample_words: int) -> pa.Table:
+    """(doc_id, half, label, n, pieces) of the training sample in order of id: the buckets of each text,
+    of the first ids in hash order whose words add up to at most ``sample_words``."""
+
+    def hashed(batches):
+        for batch in batches:
+            sizes, data_ = [], []
+            for _, _, data, offs in each_block(batch.column("text"), lower=True):
+                pieces, first, _ = tokens(data, offs)
+                sizes.append(np.diff(first))
+                data_ += [pieces[a:b].astype("<i4").tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
+            if data_:
+                columns = [batch.column(c) for c in ("doc_id", "half", "label")]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(np.concatenate(sizes)), pa.array(data_, pa.binary())], names=["doc_id", "half", "label", "n", "pieces"]
+                )
+
+    rows = cut(
         labelled_sample(docs, labels, label, PARTS, HELD, sample_rows)
         .groupBy("doc_id")
         .agg(F.min(F.struct("label", "text")).alias("row"))  # rows repeated under one id teach once
         .select("doc_id", _in_half().alias("half"), "row.*")
-        .orderBy("doc_id")
-        .toArrow()
+        .mapInArrow(hashed, "doc_id long, half boolean, label double, n long, pieces binary")
     )
-    got, sizes = [], []
-    for _, _, data, offs in each_block(rows.column("text"), lower=True):
-        pieces, first, _ = tokens(data, offs)
-        got.append(pieces)
-        sizes.append(np.diff(first))
-    if not got:
+    sizes = rows.select("n", F.xxhash64("doc_id", F.lit(7)).alias("place"), "doc_id").orderBy("place", "doc_id").toArrow()  # sample_rows at most
+    taken = int((np.cumsum(sizes.column("n").to_numpy()) <= sample_words).sum())
+    if taken < sizes.num_rows:
+        ids = docs.sparkSession.createDataFrame([(i,) for i in sizes.column("doc_id").to_pylist()[:taken]], "doc_id long")
+        rows = rows.join(F.broadcast(ids), "doc_id", "left_semi")
+    return rows.orderBy("doc_id").toArrow()
+
+
+def fit_network(
+    docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = SAMPLE_ROWS, sample_words: int = SAMPLE_WORDS
+) -> Network | None:
+    """The network, its cut-offs not yet calibrated."""
+    rows = hashed_sample(docs, labels, label, sample_rows, sample_words)
+    if not rows.num_rows:
         return None
-    first = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+    first = np.concatenate([[0], np.cumsum(rows.column("n").to_numpy())])
+    pieces = np.empty((int(first[-1]), 1 + len(PREFIXES)), np.int32)
+    for a, b, data in zip(first[:-1], first[1:], rows.column("pieces"), strict=True):
+        pieces[a:b] = np.frombuffer(data.as_buffer(), "<i4").reshape(-1, pieces.shape[1])
     y, half = rows.column("label").to_numpy(), rows.column("half").to_numpy()
     del rows
-    pieces = np.empty((int(first[-1]), 1 + len(PREFIXES)), np.int32)
-    at = 0
-    while got:  # each block's array is freed once it is copied
-        block = got.pop(0)
-        pieces[at : at + len(block)] = block
-        at += len(block)
     return train(pieces, first, y, half)
 
 
