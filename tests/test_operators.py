@@ -211,3 +211,33 @@ def test_year_window_on_dates_is_pushed_down(spark):
     assert "PushedFilters: [IsNotNull(d), GreaterThanOrEqual(d,2018-01-01), LessThan(d,2022-01-01)]" in (
         out._jdf.queryExecution().executedPlan().toString()
     )
+
+
+def test_packed_stamps_have_one_separator_rule(spark):
+    """With or without blanks after the commas, the filter and the expansion see the same stamps."""
+    stamps = "2019-01-01 10:00:00,2018-05-05 11:00:00 ,  2020-02-02 12:00:00"
+    df = spark.createDataFrame([("b", stamps, "mine"), ("c", None, "x")], "business_id string, date string, kept_stamps string")
+    expanded = cur.expand_visits(df).collect()
+    assert sorted(str(r.checkin_ts) for r in expanded) == ["2018-05-05 11:00:00", "2019-01-01 10:00:00", "2020-02-02 12:00:00"]
+    kept = cur.packed_filter(df, "date", 2018, 2019).collect()
+    assert [(r.date, r.kept_stamps) for r in kept] == [("2019-01-01 10:00:00, 2018-05-05 11:00:00", "mine")]
+
+
+def test_first_per_key_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, 7, 9), (1, 3, 8), (2, 5, 6)], "k int, number int, `number_` int")
+    assert sorted(map(tuple, loads.first_per_key(df, ["k"], ["number"]).collect())) == [(1, 3, 8), (2, 5, 6)]
+
+
+def test_bucketed_target_keeps_its_own_number_of_buckets(spark):
+    import uuid
+
+    name, path = f"bucketed_{uuid.uuid4().hex[:8]}", shared_path(spark, "test", "own_buckets")
+    rows = spark.createDataFrame([(i, i) for i in range(40)], "k long, v long")
+    loads.load_insert_absent_bucketed(rows.filter("k < 20"), name, path, ["k"], ["v"], buckets=3)
+    loads.load_insert_absent_bucketed(rows, name, path, ["k"], ["v"], buckets=5)
+    assert loads.table_buckets(spark, name) == 3 and spark.table(name).count() == 40
+    known = spark.table(name)
+    assert loads.buckets_for(known, 1 << 40) == 1 and loads.buckets_for(known, 64) > 1
+    with pytest.raises(ValueError, match="size is not known"):
+        loads.buckets_for(rows)
+    spark.sql(f"DROP TABLE {name}")

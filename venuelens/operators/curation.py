@@ -56,6 +56,14 @@ def trim_columns(
     return out.withColumn(carried, F.when(F.size(left) > 0, left))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called that."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def year_window(df: DataFrame, column: str, year_min: int, year_max: int) -> DataFrame:
     """Keep rows whose date falls in the inclusive year range.
 
@@ -93,7 +101,7 @@ def packed_filter(
         F.transform(F.split(_q(column), ","), lambda s: F.btrim(s, F.lit(STAMP_WHITESPACE))),
         pred,
     )
-    tmp = "__kept_stamps"
+    tmp = free_name(df, "kept_stamps")
     out = df.withColumn(tmp, stamps).filter(F.coalesce(F.size(tmp) > 0, F.lit(False)))
     return out.withColumn(column, F.array_join(tmp, sep_out)).drop(tmp)
 
@@ -161,8 +169,8 @@ def expand_visits(
 ) -> DataFrame:
     """Packed visit text -> one row per stamp ``(key, timestamp_ntz)``.
 
-    Separator ``", "`` as written by the curation; a stamp that does not parse becomes NULL;
-    a NULL or missing text yields no row.
+    Split as :func:`packed_filter` does, on ``","`` with white space stripped from each stamp; a stamp
+    that does not parse becomes NULL; a NULL or missing text yields no row.
     """
-    exploded = df.select(_q(key), F.explode(F.split(_q(column), ", ")).alias("__s"))
-    return exploded.select(_q(key), F.trim("__s").try_cast("timestamp_ntz").alias(out))
+    exploded = df.select(_q(key), F.explode(F.split(_q(column), ",")).alias("__s"))
+    return exploded.select(_q(key), F.btrim("__s", F.lit(STAMP_WHITESPACE)).try_cast("timestamp_ntz").alias(out))

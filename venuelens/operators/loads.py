@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from ..sources.files import write_layer
 from ..sources.jdbc import JdbcSpec, read_jdbc, write_jdbc
 from ..sources.snapshots import SnapshotStore
+from .curation import free_name
 
 
 class DuplicateKeyError(ValueError):
@@ -51,7 +52,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -
     map partition and is never collected whole into one task.
     """
     w = Window.partitionBy(*[_q(k) for k in keys]).orderBy(*[_q(c).asc_nulls_first() for c in order_by])
-    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
+    number = free_name(df, "number")
+    return df.withColumn(number, F.row_number().over(w)).filter(_q(number) == 1).drop(number)
 
 
 def rows_to_insert(
@@ -301,13 +303,34 @@ def load_insert_absent_committed(
     return {"status": "loaded", "rows_written": rows}
 
 
+BUCKET_BYTES = 256 << 20
+
+
+def buckets_for(batch: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets of about ``bucket_bytes`` for a batch, by the bytes of the sources it reads. A batch of
+    rows whose size nobody knows (not read from files) needs a stated number: ValueError."""
+    leaves = batch._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    if any(s >= 2**62 for s in sizes):
+        raise ValueError("the batch's size is not known: say how many buckets the table shall have")
+    return max(1, -(-sum(sizes) // bucket_bytes))
+
+
+def table_buckets(spark: SparkSession, table: str) -> int:
+    """The number of buckets of a bucketed catalog table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Num Buckets'").collect()
+    if not rows:
+        raise ValueError(f"{table} is not bucketed")
+    return int(rows[0]["data_type"])
+
+
 def load_insert_absent_bucketed(
     batch: DataFrame,
     table: str,
     path: str,
     keys: Sequence[str],
     order_by: Sequence[str],
-    buckets: int,
+    buckets: int | None = None,
     skip: bool = False,
 ) -> dict:
     """Insert-if-absent into a catalog table bucketed (and sorted) by the key.
@@ -316,13 +339,15 @@ def load_insert_absent_bucketed(
     so the anti join reads it without a shuffle - only the batch is exchanged, into the same
     buckets - and repeated loads into a very large target never re-shuffle it. Appends keep the
     bucketing. Keys are unique, so no bucket is hot; the new rows are laid out by bucket before they
-    are written, so each load adds at most one file to a bucket.
+    are written, so each load adds at most one file to a bucket. A table keeps the number of buckets it
+    was made with; a new one gets ``buckets``, or as many as the batch's bytes need.
     """
     if skip:
         return {"status": "skipped", "rows_written": 0}
     spark = batch.sparkSession
     exists = spark.catalog.tableExists(table)
     target = spark.table(table) if exists else None
+    buckets = table_buckets(spark, table) if exists else buckets or buckets_for(batch)
     new, obs = _observed(rows_to_insert(batch, target, keys, order_by), "insert_absent_bucketed")
     new = new.repartition(buckets, *[_q(k) for k in keys])
     writer = new.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", path)

@@ -371,9 +371,8 @@ def q_load_insert_absent_bucketed(spark, d):
     path = shared_path(spark, "bind", "load_insert_absent_bucketed")
     li = table(spark, d, "lineitem")
     first = li.filter(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
-    buckets = 8  # sized for the test tables; a cluster target uses input size / ~256 MB
-    loads.load_insert_absent_bucketed(first, name, path, LINE_KEYS, LINE_ORDER, buckets)
-    loads.load_insert_absent_bucketed(li, name, path, LINE_KEYS, LINE_ORDER, buckets)
+    loads.load_insert_absent_bucketed(first, name, path, LINE_KEYS, LINE_ORDER)  # buckets by the batch's size
+    loads.load_insert_absent_bucketed(li, name, path, LINE_KEYS, LINE_ORDER)  # ... kept by the table
     return spark.table(name).select(*li.columns)
 
 
