@@ -273,3 +273,32 @@ def test_price_tier_reads_an_attribute_member(spark):
     flat = business.withColumn("tier", F.element_at("attributes", "RestaurantsPriceRange2"))
     got = vq.price_tier_rating(business, min_venues=2).collect()
     assert got and got == vq.price_tier_rating(flat, tier="tier", min_venues=2).collect()
+
+
+def test_layers_by_year_and_month(spark):
+    """The same rows as the plain layers; a year window reads the folders of its years alone."""
+    from venuelens.operators.curation import MONTH, YEAR, year_window
+
+    paths = _raw_json(spark)
+    flat, parted = shared_path(spark, "test", "flat"), shared_path(spark, "test", "by_period")
+    run_curation(spark, paths, flat)
+    run_curation(spark, paths, parted, by_period=True)
+    for name in ("review", "tip", "visit"):
+        plain, layer = read_layer(spark, flat, name), read_layer(spark, parted, name)
+        assert layer.columns == [*plain.columns, YEAR, MONTH]
+        assert sorted(map(str, layer.drop(YEAR, MONTH).collect())) == sorted(map(str, plain.collect()))
+    window = year_window(read_layer(spark, parted, "visit"), "checkin_ts", 2018, 2018)
+    plan = window._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(layer_year" in plan
+    want = year_window(read_layer(spark, flat, "visit"), "checkin_ts", 2018, 2018)
+    assert window.count() == want.count() > 0
+    views = load_views(spark, curated_specs(parted))
+    assert views["checkins"].columns == ["business_id", "checkin_ts"] and YEAR not in views["reviews"].columns
+
+
+def test_layer_report_reads_no_column(spark):
+    path = shared_path(spark, "test", "report_plan")
+    spark.range(50).selectExpr("id", "cast(id as string) as t").write.parquet(path)
+    report = layer_report(spark, {"x": path})
+    assert "ReadSchema: struct<>" in report._jdf.queryExecution().executedPlan().toString()
+    assert {r.layer: r.records for r in report.collect()} == {"x": 50, "TOTAL": 50}

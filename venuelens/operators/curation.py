@@ -64,14 +64,32 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+YEAR, MONTH = "layer_year", "layer_month"
+
+
+def with_periods(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with the year and month of a date column (temporal, or text that begins ``yyyy-MM``) as
+    ``layer_year`` and ``layer_month``, for a layer partitioned by them; NULL where there is none."""
+    stamp = _q(column)
+    if isinstance(df.schema[column].dataType, T.StringType):
+        year, month = F.substring(stamp, 1, 4).try_cast("int"), F.substring(stamp, 6, 2).try_cast("int")
+    else:
+        year, month = F.year(stamp), F.month(stamp)
+    return df.withColumns({YEAR: year, MONTH: month})
+
+
 def year_window(df: DataFrame, column: str, year_min: int, year_max: int) -> DataFrame:
     """Keep rows whose date falls in the inclusive year range.
 
+    A layer partitioned by :func:`with_periods` is cut to the folders of these years first.
+
     A temporal column gets a half-open range on the value itself so the predicate reaches the
     parquet scan (``PushedFilters``) and partition pruning; a text column gets the text-prefix
     predicate (first four characters are digits within the range).
     """
     dtype = df.schema[column].dataType
+    if YEAR in df.columns:
+        df = df.filter(F.col(YEAR).between(year_min, year_max))
     if isinstance(dtype, T.DateType):
         # date literals keep the predicate on the bare column, so it is pushed to the scan
         lo, hi = F.lit(dt.date(year_min, 1, 1)), F.lit(dt.date(year_max + 1, 1, 1))

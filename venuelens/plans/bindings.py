@@ -25,6 +25,8 @@ from ..functions.sampling import hash_keep, hash_threshold
 from ..operators import curation as cur
 from ..operators.joins import enrich_with_defaults
 from ..operators.ranking import percent_rank_by_histogram, top_groups
+from ..session import shared_path
+from ..sources.files import write_layer
 from . import venue_queries as vq
 from .curate import CurationParams, curate_facts
 
@@ -555,6 +557,19 @@ def q_year_window(spark, d):
     return cur.year_window(table(spark, d, "orders"), "o_orderdate", 1996, 1999)
 
 
+@register(
+    "year_window_layer",
+    "SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'",
+)
+def q_year_window_layer(spark, d):
+    """The window over a written layer in year and month folders: only those of the two years are read."""
+    orders = table(spark, d, "orders")
+    path = shared_path(spark, "bind", "year_window_layer")
+    parted = cur.with_periods(orders, "o_orderdate")
+    write_layer(parted.repartition(cur.YEAR, cur.MONTH), path, partition_by=[cur.YEAR, cur.MONTH])
+    return cur.year_window(spark.read.parquet(path), "o_orderdate", 1996, 1997).select(*orders.columns)
+
+
 @register(
     "year_window_text",
     """

@@ -16,10 +16,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import as_timestamp
 from ..functions.sampling import hash_keep
 from ..operators.curation import (
+    MONTH,
+    YEAR,
     cascade_semi,
     expand_visits,
     packed_filter,
@@ -27,6 +30,7 @@ from ..operators.curation import (
     sample_facts,
     trim_columns,
     year_window,
+    with_periods,
 )
 from ..operators.reports import StepCounter, step_summary
 from ..sources.files import read_json_lines, write_bucketed, write_layer
@@ -114,6 +118,10 @@ CORRUPT = "_corrupt_record"
 # bucket is hot. Raw facts stay plain layers: a bucketed scan is one task a bucket, whatever it holds.
 BUCKETED = ("business", "review_cube", "visit_cube")
 
+# Layers with one date a row, and the tasks (hence files, at most) that write a month of them.
+DATED = {"review": "date", "tip": "date", "visit": "checkin_ts"}
+MONTH_TASKS = 16
+
 
 def run_curation(
     spark: SparkSession,
@@ -123,6 +131,7 @@ def run_curation(
     fmt: str = "parquet",
     buckets: int | None = None,
     table_prefix: str = "curated",
+    by_period: bool = False,
 ) -> DataFrame:
     """Read raw JSON lines, write each curated layer once, return the per-step row summary.
 
@@ -133,6 +142,10 @@ def run_curation(
     Only the columns the trimming names are lost: unlisted venue attributes stay in the
     ``attributes`` map, fields no schema declares in the map column ``other_fields``.
 
+    With ``by_period``, the layers that have a date a row (reviews, tips, visits) are partitioned by its
+    year and month, in folders that a year window or any filter on ``layer_year`` and ``layer_month``
+    prunes; rows are laid out by month first, so a month's folder holds few files.
+
     With ``buckets``, the venues and the two fact aggregates (reviews per venue and month, visits per
     venue and day part) are also catalog tables ``<table_prefix>_business``, ``_review_cube`` and
     ``_visit_cube``, bucketed and sorted by ``business_id`` into as many files (under ``out_dir``):
@@ -161,6 +174,12 @@ def run_curation(
             plan = curate({**clean, name: parsed}, p)[name]
         if buckets and name == "business":
             write_bucketed(counter.output(plan), f"{run_dir}/{name}", f"{table_prefix}_{name}", "business_id", buckets, fmt)
+        elif by_period and name in DATED:
+            parted = with_periods(counter.output(plan), DATED[name])
+            # months are spread over tasks by a salt that follows the rows, so that a hot month is not one task
+            plain = [f.name for f in parted.schema.fields if not isinstance(f.dataType, (T.MapType, T.StructType, T.ArrayType))]
+            salt = F.pmod(F.xxhash64(*plain), F.lit(MONTH_TASKS))
+            write_layer(parted.repartition(YEAR, MONTH, salt), f"{run_dir}/{name}", fmt=fmt, partition_by=[YEAR, MONTH])
         else:
             write_layer(counter.output(plan), f"{run_dir}/{name}", fmt=fmt)
         return counter
@@ -206,7 +225,7 @@ def curated_specs(base_dir: str, fmt: str = "parquet", long_visits: bool = True)
     """
 
     def layer(name: str, normalize=None) -> SourceSpec:
-        return SourceSpec(fmt, normalize=normalize, read=lambda spark: read_layer(spark, base_dir, name, fmt))
+        return SourceSpec(fmt, normalize=normalize, read=lambda spark: read_layer(spark, base_dir, name, fmt).drop(YEAR, MONTH))
 
     return {
         "business": layer("business"),

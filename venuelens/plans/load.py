@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import loads
+from ..operators.curation import MONTH, YEAR
 from ..sources.docstore import read_docstore, write_docstore
 from ..sources.jdbc import JdbcSpec
 from ..sources.schemas import REVIEW_TARGET, USER_TARGET
@@ -63,7 +64,7 @@ def load_curated(
     def load(name: str) -> tuple:
         if name in skip:
             return (name, "skipped", 0, 0, None, None)
-        src = read_layer(spark, curated_dir, name, fmt)
+        src = read_layer(spark, curated_dir, name, fmt).drop(YEAR, MONTH)
         if docstore and name in docstore:
             out, counted = loads._observed(loads._drop_present(src, ["_id"]), f"docstore_{name}")
             write_docstore(out, mode="overwrite", **docstore[name])
