@@ -51,12 +51,13 @@ UNIT = 1 << 20  # rates are kept in units of 1 / UNIT
 def sized(docs: DataFrame, carry: bool = False) -> DataFrame:
     """(doc_id, source, size) of each row of ``docs``, size being the number of words of ``text``; with
     ``carry`` the whole row as well, as the struct ``row``."""
-    frame = with_row(docs, "doc_id", "source", "text") if carry else docs.select("doc_id", "source", "text")
+    frame = with_row(docs, "doc_id", "source") if carry else docs.select("doc_id", "source", "text")
     kept = [f for f in frame.schema.fields if f.name != "text"]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         size = np.zeros(batch.num_rows, np.int64)
-        for a, b, data, offs in each_window(batch.column("text"), SPACE_WORD):
+        text = batch.column("row").field("text") if carry else batch.column("text")
+        for a, b, data, offs in each_window(text, SPACE_WORD):
             size[a:b] += np.diff(words(data, offs, SPACE_WORD)[2])
         return pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(size)], names=[*(f.name for f in kept), "size"])
 

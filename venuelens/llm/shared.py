@@ -10,7 +10,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from venuelens.session import ensure_checkpoint_dir
 
@@ -128,11 +127,11 @@ def unpacked(df: DataFrame, docs: DataFrame) -> DataFrame:
 def filtered(docs: DataFrame, keep: Callable[[pa.Array], np.ndarray]) -> DataFrame:
     """The rows of ``docs`` whose text ``keep`` (from a column of texts to booleans) marks, all columns
     unchanged, whatever their names and types."""
-    packed = with_row(docs, "text")
+    packed = with_row(docs)  # the text is read where it lies in the row, not sent twice
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield batch.select(["row"]).filter(pa.array(keep(batch.column("text"))))
+                yield batch.filter(pa.array(keep(batch.column("row").field("text"))))
 
-    return unpacked(packed.mapInArrow(run, StructType([packed.schema["row"]])), docs)
+    return unpacked(packed.mapInArrow(run, packed.schema), docs)
