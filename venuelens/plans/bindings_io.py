@@ -141,6 +141,18 @@ def q_replace_layer(spark, d):
     return read_replaced(spark, path)
 
 
+@register("load_skipped", "SELECT * FROM part WHERE p_size > 25")
+def q_load_skipped(spark, d):
+    """Loads told to skip leave the target as the load before them wrote it, and read nothing."""
+    path = shared_path(spark, "bind", "load_skipped")
+    part = table(spark, d, "part")
+    loads.load_replace(part.filter(F.col("p_size") > 25), path)
+    loads.load_replace(part, path, skip=True)
+    loads.load_replace_unique(part.unionAll(part), path, ["p_partkey"], skip=True)
+    loads.load_insert_absent(part, path, ["p_partkey"], ["p_name"], skip=True)
+    return spark.read.parquet(path)
+
+
 @register("load_replace_unique", "SELECT * FROM part")
 def q_load_replace_unique(spark, d):
     path = shared_path(spark, "bind", "load_replace_unique")

@@ -98,7 +98,7 @@ def replace_layer(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     The rows go to a fresh folder under ``path``; only when all are written does the pointer file
     ``CURRENT`` change, by one rename. A failed write leaves the earlier version in place, and a
     reader always sees one whole version. The version replaced last stays for its readers, older
-    ones are removed.
+    ones are removed. The rename goes through the JVM's file system API: classic sessions only.
     """
     spark = df.sparkSession
     version = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
