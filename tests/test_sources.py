@@ -136,3 +136,31 @@ def test_jdbc_read_is_range_partitioned():
     rec3 = _Recorder()
     read_jdbc(rec3, JdbcSpec("jdbc:x", "users"))
     assert "partitionColumn" not in rec3.calls[-1][1]
+
+
+def test_text_keys_are_cut_evenly_by_the_database(spark, monkeypatch):
+    """The queries asked of a database, answered by a frame: every row in one slice, slices about even."""
+    from venuelens.sources import jdbc
+
+    keys = spark.range(1000).selectExpr("case when id % 50 = 0 then null else concat(char(65 + int(id % 7)), '\\'', id) end as review_id", "id")
+    keys.createOrReplaceTempView("remote_reviews")
+    asked = []
+
+    def answer(spark, spec, sql):
+        asked.append(sql)
+        return spark.sql(sql)
+
+    monkeypatch.setattr(jdbc, "_asked", answer)
+    spec = jdbc.planned(spark, jdbc.JdbcSpec("jdbc:x", "remote_reviews", partition_column="review_id", num_partitions=8))
+    assert len(spec.predicates) == 8 and "NTILE(8)" in asked[-1]
+    sizes = [keys.filter(p).count() for p in spec.predicates]
+    assert sum(sizes) == 1000 and max(sizes) <= 150  # the first slice holds the 20 rows without a key too
+    sampled = jdbc.JdbcSpec("jdbc:x", "remote_reviews", partition_column="review_id", num_partitions=4, sample_clause="TABLESAMPLE (30 PERCENT)")
+    rough = jdbc.planned(spark, sampled)
+    assert len(rough.predicates) == 4 and sum(keys.filter(p).count() for p in rough.predicates) == 1000
+    numbers = jdbc.planned(spark, jdbc.JdbcSpec("jdbc:x", "remote_reviews", partition_column="id", num_partitions=8))
+    assert (numbers.lower_bound, numbers.upper_bound, numbers.predicates) == (0, 999, ())
+    spark.createDataFrame([], "review_id string, id long").createOrReplaceTempView("remote_reviews")
+    assert jdbc.planned(spark, spec.__class__("jdbc:x", "remote_reviews", partition_column="review_id", num_partitions=8)).predicates == ()
+    given = jdbc.JdbcSpec("jdbc:x", "remote_reviews", partition_column="review_id", num_partitions=8, predicates=("a", "b"))
+    assert jdbc.planned(spark, given) is given

@@ -1,8 +1,8 @@
 """Relational sources and sinks over JDBC.
 
 Reads are split by key range into ``num_partitions`` parallel queries (one task per slice)
-instead of one task reading a whole table. The key bounds come from one pushed-down
-``min/max`` query when not given.
+instead of one task reading a whole table. What is not given is asked of the database: the bounds of a
+number key by one ``min/max`` query, even cuts of a text key by one query for its quantiles.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ class JdbcSpec:
     lower_bound: int | None = None
     upper_bound: int | None = None
     predicates: tuple[str, ...] = ()
+    sample_clause: str = ""  # the database's own sampling clause for quantiles, like TABLESAMPLE SYSTEM (1)
     fetchsize: int = 10_000
     batchsize: int = 10_000
     extra: dict[str, str] = field(default_factory=dict)
@@ -66,14 +67,33 @@ def text_key_predicates(column: str, cuts: Sequence[str]) -> tuple[str, ...]:
     return (first, *inner, f"{column} >= {quoted[-1]}")
 
 
-def key_bounds(spark: SparkSession, spec: JdbcSpec) -> tuple[int, int] | None:
+def _asked(spark: SparkSession, spec: JdbcSpec, sql: str) -> DataFrame:
+    """The answer of the database to a query of its own."""
+    return spark.read.format("jdbc").options(**spec.options()).option("dbtable", f"({sql}) q").load()
+
+
+def cut_query(spec: JdbcSpec) -> str:
+    """The least key of each of ``num_partitions`` equal parts of the (sampled) keys, in the database's
+    own order of the key, in which its comparisons are made as well."""
+    col = spec.partition_column
+    part = f"NTILE({spec.num_partitions}) OVER (ORDER BY {col}) AS part"
+    keys = f"SELECT {col} AS k, {part} FROM {spec.table} {spec.sample_clause}".rstrip() + f" WHERE {col} IS NOT NULL"
+    return f"SELECT MIN(k) AS cut FROM ({keys}) s GROUP BY part"
+
+
+def key_cuts(spark: SparkSession, spec: JdbcSpec) -> list[str]:
+    """Where to cut a text key so that the slices hold about the same number of rows: at most
+    ``num_partitions`` - 1 keys, one row each back from the database."""
+    return sorted({r["cut"] for r in _asked(spark, spec, cut_query(spec)).collect()})[1:]
+
+
+def key_bounds(spark: SparkSession, spec: JdbcSpec) -> tuple | None:
     """Min and max of the partition column, computed by the database (one row back)."""
     col = spec.partition_column
-    q = f"(SELECT MIN({col}) AS lo, MAX({col}) AS hi FROM {spec.table}) b"
-    row = spark.read.format("jdbc").options(**spec.options()).option("dbtable", q).load().first()
+    row = _asked(spark, spec, f"SELECT MIN({col}) AS lo, MAX({col}) AS hi FROM {spec.table}").first()
     if row is None or row["lo"] is None:
         return None
-    return int(row["lo"]), int(row["hi"])
+    return row["lo"], row["hi"]
 
 
 def read_options(spec: JdbcSpec) -> dict[str, str]:
@@ -89,16 +109,27 @@ def read_options(spec: JdbcSpec) -> dict[str, str]:
     return opts
 
 
+def planned(spark: SparkSession, spec: JdbcSpec) -> JdbcSpec:
+    """``spec`` with the split that its key column allows, where none is given: predicates between even
+    cuts for a text key, bounds for a number key. An empty table is read in one piece."""
+    if spec.predicates or not spec.partition_column or (spec.num_partitions or 0) <= 1:
+        return spec
+    if spec.lower_bound is not None and spec.upper_bound is not None:
+        return spec
+    bounds = key_bounds(spark, spec)
+    if bounds is None:
+        return spec
+    if isinstance(bounds[0], str):
+        return replace(spec, predicates=text_key_predicates(spec.partition_column, key_cuts(spark, spec)))
+    return replace(spec, lower_bound=int(bounds[0]), upper_bound=int(bounds[1]))
+
+
 def read_jdbc(spark: SparkSession, spec: JdbcSpec) -> DataFrame:
-    """Read a table: one query per predicate (text keys) when given, else split by key range when
-    ``partition_column`` is set."""
+    """Read a table: one query per predicate when given, else split by its key as :func:`planned`."""
+    spec = planned(spark, spec)
     if spec.predicates:
         options = {k: v for k, v in spec.options().items() if k != "url"}
         return spark.read.jdbc(spec.url, spec.table, predicates=list(spec.predicates), properties=options)
-    if spec.partition_column and (spec.num_partitions or 0) > 1 and (spec.lower_bound is None or spec.upper_bound is None):
-        bounds = key_bounds(spark, spec)
-        if bounds is not None:
-            spec = replace(spec, lower_bound=bounds[0], upper_bound=bounds[1])
     return spark.read.format("jdbc").options(**read_options(spec)).load()
 
 
